@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from sugarloom.llm.html_blocks import op10_html_blocks
 from sugarloom.llm.mixing import OP9_SQL, op9_mixing
+from sugarloom.llm.ngram_join import op2_ngram_join
 from sugarloom.llm.pii import op7_pii
 from sugarloom.llm.quality import op8_quality
 from sugarloom.llm.toxicity import op5_toxicity
 from sugarloom.llm.url_filter import op6_url_filter
 
-QUERIES = {"op5_toxicity": op5_toxicity, "op6_url_filter": op6_url_filter, "op7_pii": op7_pii, "op8_quality": op8_quality, "op9_mixing": op9_mixing, "op10_html_blocks": op10_html_blocks}
+QUERIES = {"op2_ngram_join": op2_ngram_join, "op5_toxicity": op5_toxicity, "op6_url_filter": op6_url_filter, "op7_pii": op7_pii, "op8_quality": op8_quality, "op9_mixing": op9_mixing, "op10_html_blocks": op10_html_blocks}
 ORACLE_SQL = {"op9_mixing": OP9_SQL}
