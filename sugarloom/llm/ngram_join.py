@@ -1,6 +1,6 @@
 """N-gram Jaccard join of documents by prefix tree.
 
-Documents with one shingle set are one class. Shingles are put in one global order, by frequency class
+Documents with one shingle set are one class. Shingles are put in one global order, by frequency rank
 and then by hash, so that a set's prefix holds its rarest members: two sets that are alike enough share
 one of them. The classes that share a prefix member form a group, and the groups' sets meet in tries
 (setjoin.SetTrie), which give the links; components of the links are the result.
@@ -24,7 +24,9 @@ from sugarloom.llm.common import ngram_hashes, small_batches, staged, table, tex
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.setjoin import group_links, pack
 
-SKETCH_BITS, SLICE_BITS, BLOOM_BITS = 23, 17, 24
+SKETCH_BITS, SLICE_BITS, BLOOM_BITS = 24, 17, 24
+#: Bits of a sort key that hold the frequency rank.
+RANK_BITS = 6
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -38,8 +40,9 @@ def class_id(hashes: np.ndarray) -> int:
 
 
 def ranked(hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The shingles as sort keys of the global order, ascending: frequency class in the top bits, then hash."""
-    return np.sort((ranks[hashes >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(59)) | (hashes >> np.uint64(5)))
+    """The shingles as sort keys of the global order, ascending: frequency rank in the top bits, then hash."""
+    of = ranks[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+    return np.sort((of << np.uint64(64 - RANK_BITS)) | (hashes >> np.uint64(RANK_BITS)))
 
 
 def _scan(k: int):
@@ -88,7 +91,7 @@ def _sum_slices(batches):
 
 
 def frequency_ranks(slices: DataFrame) -> np.ndarray:
-    """Of each counter its frequency class: 0 up to four times the mean, one more for each doubling, at most 31.
+    """Of each counter its frequency rank: sixteen steps a mean up to three means, then one for each doubling.
 
     What comes to the driver is the sketch, whose size is fixed.
     """
@@ -96,8 +99,10 @@ def frequency_ranks(slices: DataFrame) -> np.ndarray:
     unpack = zstandard.ZstdDecompressor()
     for r in slices.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary").toLocalIterator():
         counts[r["slice"] << SLICE_BITS : (r["slice"] + 1) << SLICE_BITS] = np.frombuffer(unpack.decompress(bytes(r["counts"])), np.uint32)
-    usual = max(2.0, 4 * counts.mean())
-    return np.clip(np.ceil(np.log2(np.maximum(counts, 1) / usual)), 0, 31).astype(np.uint8)
+    mean = max(1.0, counts.mean())
+    fine = np.minimum(47, counts * (16 / mean))
+    coarse = 48 + np.log2(np.maximum(1, counts / (3 * mean)))
+    return np.minimum(63, np.where(counts > 3 * mean, coarse, fine)).astype(np.uint8)
 
 
 def _heads(batches):
@@ -201,7 +206,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
                 sets = [shingles(t, k) for t in batch.column("text").take(pa.array(where)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[where]), pa.array([class_id(x) for x in sets], pa.int64()), pa.array([pack(ranked(x, ranks.value)) for x in sets], pa.binary())], names=["doc_id", "member", "members"])
 
-    sets = staged(docs.mapInArrow(packed, "doc_id long, member long, members binary").join(chosen.select("doc_id", F.col("cls").alias("member")), ["doc_id", "member"], "left_semi").select("member", "members"), "sets")
+    sets = staged(docs.mapInArrow(packed, "doc_id long, member long, members binary").select("member", "members"), "sets")
     links = group_links(groups, sets, num, den)
     parts = connected_components(links)
     named = classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))

@@ -11,12 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sugarloom.llm.common import staged
 from sugarloom.llm.components import connected_components
 
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
 #: Sets of one block, so of one task's memory and one trie.
 BLOCK = 384
 
@@ -157,8 +160,20 @@ def links_within(sets: list[np.ndarray], num: int, den: int, split: int | None =
     return out
 
 
-def pack(ranks: np.ndarray) -> bytes:
-    return ranks.astype("<u8").tobytes()
+def pack(keys: np.ndarray) -> bytes:
+    """The upper 48 bits of ascending sort keys, byte planes apart and compressed.
+
+    Of n members two share those bits, and so count as one, with a chance of n * n / 2**43.
+    """
+    planes = (keys >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return _PACKER.compress(np.ascontiguousarray(planes.T).tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(_UNPACKER.decompress(raw), np.uint8).reshape(6, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :6] = planes.T
+    return out.reshape(-1).view("<u8")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -189,7 +204,7 @@ def _link_blocks(rows: DataFrame, keys: list[str], num: int, den: int, across: b
                 seen.add((side, member))
                 split += side == 0
                 ids.append(member)
-                sets.append(np.frombuffer(raw, "<u8"))
+                sets.append(unpack(raw))
             found = links_within(sets, num, den, split if across else None)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([ids[j] for _, j in found], pa.int64())], names=["a", "b"])
@@ -199,7 +214,7 @@ def _link_blocks(rows: DataFrame, keys: list[str], num: int, den: int, across: b
 
 
 def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 100, block: int = BLOCK, label: str = "links") -> DataFrame:
-    """groups(head, member), sets(member, members as packed ascending ranks) to links (a, b).
+    """groups(head, member), sets(member, members as packed sort keys; repeated rows do no harm) to links (a, b).
 
     Two members of one group that are num/den Jaccard or more alike are connected by the links given, if
     not always directly. A head is a member of its group too, whether listed or not.
