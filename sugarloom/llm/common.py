@@ -78,6 +78,16 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def lowest_hashes(df: DataFrame, most: int, *cols: Column | str) -> DataFrame:
+    """The rows whose hash of cols is among the `most` lowest (with ties): a bounded, repeatable sample.
+
+    The cut is found over hashes alone, so no task sends rows to the driver that another would outdo.
+    """
+    h = F.xxhash64(F.lit("sample"), *cols)
+    cut = [r[0] for r in df.select(h.alias("h")).orderBy("h").limit(most).collect()]
+    return df.where(h <= max(cut)) if cut else df.limit(0)
+
+
 # -- words and hashes -----------------------------------------------------------------------------
 
 

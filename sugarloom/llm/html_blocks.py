@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import small_batches, table
+from sugarloom.llm.common import lowest_hashes, small_batches, table
 
 #: The elements that end a block of text.
 BLOCK_TAGS = frozenset(
@@ -313,8 +313,8 @@ def train(samples: list[str], epochs: int = 6, seed: int = 11) -> Labeller:
 
 def sample_pages(pages: DataFrame, most: int) -> list[str]:
     """Up to `most` pages, those with the lowest hash of their id; bounded in number, read whole."""
-    keyed = pages.where("html is not null and length(html) between 200 and 200000").select(F.xxhash64(F.lit("train"), "page_id").alias("h"), "html")
-    return [r["html"] for r in keyed.orderBy("h", "html").limit(most).collect()]
+    whole = pages.where(F.length("html").between(200, 200_000)).select("page_id", "html")
+    return sorted(r["html"] for r in lowest_hashes(whole, most, "page_id").limit(most).collect())
 
 
 def extract(pages: DataFrame, model: Labeller | None = None, train_pages: int = 240, least: float = 0.5) -> DataFrame:

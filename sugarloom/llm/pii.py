@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import small_batches, table
+from sugarloom.llm.common import lowest_hashes, small_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 _RANK = {k: i for i, k in enumerate(KINDS)}
@@ -330,7 +330,7 @@ def train(texts: list[str], most: int = 1500) -> SemiCRF:
 def sample_texts(docs: DataFrame, most: int) -> list[str]:
     """Up to `most` texts that hold an @ or seven signs of a number, those with the lowest hash; bounded."""
     kept = docs.where(F.col("text").rlike(r"@|[0-9]([\x20().+-]?[0-9]){6}") & (F.length("text") < 50_000))
-    return [r["text"] for r in kept.select("text", F.xxhash64(F.lit("pii"), "text").alias("h")).orderBy("h", "text").limit(most).collect()]
+    return sorted(r["text"] for r in lowest_hashes(kept.select("text"), most, "text").limit(most).collect())
 
 
 # -- operator -------------------------------------------------------------------------------------
