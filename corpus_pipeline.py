@@ -1,13 +1,64 @@
-"""A corpus pipeline over documents; each stage works on all that the one before kept."""
+"""A corpus pipeline over documents: quality rules, near duplicates, benchmark decontamination, personal
+data, and mixing to target weights. Each stage works on all that the one before kept."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sugarloom.llm.common import staged, table
+from sugarloom.llm.decontaminate import clean
+from sugarloom.llm.mixing import mix
+from sugarloom.llm.ngram_join import near_duplicates
+from sugarloom.llm.pii import find_pii
+from sugarloom.llm.quality import quality
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that pass the counts and the divergence from their language."""
+    return quality(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id; rows of one id count as one."""
+    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no item of the benchmark."""
+    return clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by the name of its kind."""
+    found = find_pii(docs.select(*COLUMNS))
+    return found.withColumn("text", F.col("redacted")).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long"))).select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each document how many of its words the mix takes."""
+    return mix(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
+    ("mixing sources to target weights", mixing),
+]
+
+#: The divergence, the model of personal data and edit distances are no SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name.split()[0])
     return docs
