@@ -280,7 +280,7 @@ def varied(page: list[Block], labels: np.ndarray, others: list[str], r: np.rando
             new = ["html", "body", *wrap, *main, *(x for x in path[-1:] if x not in MAIN[0])]
         else:
             kind = menu if "nav" in path else end if "footer" in path else more
-            new = ["html", "body", *wrap, *kind, *(("ul", "li") if path[-1] == "li" else pick([(), ("p",), ("div",), ("h1",), ("h2",), ("span",)]))]
+            new = ["html", "body", *wrap, *kind, *(("ul", "li") if path[-1:] == ["li"] else pick([(), ("p",), ("div",), ("h1",), ("h2",), ("span",)]))]
         out.append(Block(tuple(new), b.text, b.linked))
         marks.append(float(y))
     places = [i for i, y in enumerate(marks) if y]

@@ -276,7 +276,9 @@ def respelled(kind: str, s: str, r: np.random.Generator) -> list[tuple[str | Non
             (None, f"{a}{b}"),
             (None, f"20{a[:2]}-{b[:2]}-{c[:2]}"),
             (None, f"{a}{b}{c}{a}{b}{c}"),
-            (None, f"{a},{b}"),
+            (None, f"20{a[:2]}-{b[:2]}-{c[:2]} {d[-2:]}:{b[1:]}"),
+            (None, f"{b[:2]}.{c[:2]}.20{a[:2]} {c[2:]}:{a[1:]}:{b[1:]}"),
+            (None, f"{a},{b},{c}.{a[:2]}"),
             (None, d[-10:]),
         ]
     if kind == "card":
@@ -308,7 +310,7 @@ def examples_of(texts: list[str], most: int = 1500, seed: int = 9) -> list[tuple
             if len(own) == 1:
                 kind, s, e = own[0]
                 options = respelled(kind, text[s:e], r)
-                for i in r.permutation(len(options))[:3]:
+                for i in r.permutation(len(options))[:4]:
                     k, new = options[i]
                     piece = f"{left} {new} {right}"
                     for x, y in stretches(piece):
