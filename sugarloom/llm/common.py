@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -73,6 +74,12 @@ def drop_stage(df: DataFrame | None) -> None:
         where.getFileSystem(hadoop).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound the rows of an Arrow batch, as one text can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -16,7 +16,6 @@ p_{k-1}(w | c'), with t(c) the number of different words after c, down to add-on
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import uuid
@@ -28,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import new_path, ngram_hashes, py_part, small_batches, staged, table, texts, words_of
+from sugarloom.llm.common import new_path, ngram_hashes, py_part, release, small_batches, staged, table, texts, words_of
 from sugarloom.llm.elias_fano import EliasFano, build
 
 #: The token that ends every text: no word, as it holds a blank.
@@ -322,8 +321,8 @@ def _manifest(spark: SparkSession, blobs: DataFrame, make: Callable[[int, np.nda
     for r in sorted(rows, key=lambda r: r["lo"]):
         r["first"] = first
         first += r["n"]
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle that is done with
+    del dealt, blobs
+    release(spark)
     return rows
 
 

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import ngram_hashes, small_batches, staged, table, texts, words_of
+from sugarloom.llm.common import ngram_hashes, release, small_batches, staged, table, texts, words_of
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.setjoin import group_links, pack
 
@@ -105,28 +105,46 @@ def frequency_ranks(slices: DataFrame) -> np.ndarray:
     return np.minimum(63, np.where(counts > 3 * mean, coarse, fine)).astype(np.uint8)
 
 
-def _heads(batches):
-    """Rows (token, cls) in token order: (head, member) for all but the first class of each token."""
-    last_token = last_head = None
-    seen: set[tuple[int, int]] = set()
-    for batch in batches:
-        token, cls = batch.column("token").to_numpy(), batch.column("cls").to_numpy()
-        if not len(token):
-            continue
-        new = np.empty(len(token), bool)
-        new[0] = token[0] != last_token
-        new[1:] = token[1:] != token[:-1]
-        starts = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        heads = np.where(run >= 0, cls[starts[np.maximum(run, 0)]] if len(starts) else 0, last_head if last_head is not None else 0)
-        last_token, last_head = token[-1], heads[-1]
-        pairs = {(int(a), int(b)) for a, b in zip(heads[heads != cls], cls[heads != cls], strict=True)} - seen
-        if len(seen) > 500_000:
-            seen.clear()
-        seen |= pairs
-        if pairs:
-            a, b = zip(*pairs, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["head", "member"])
+def heads_of(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """entries(token, n, cls) to distinct (head, member, n): groups that hold every pair of classes which
+    share a token and whose sizes n allow num/den Jaccard.
+
+    The classes of a token are taken by size. Where the next is larger than den/num times the last, no
+    pair across that gap can be alike, so a new group begins. The head is a group's first class; n is the
+    member's size. Only a token's current group is remembered, whatever the token's number of rows.
+    """
+
+    def run(batches):
+        last: tuple[int, int, int] | None = None  # token, size, head
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            token, n, cls = (batch.column(x).to_numpy() for x in ("token", "n", "cls"))
+            if not len(token):
+                continue
+            before_token, before_n = np.roll(token, 1), np.roll(n, 1)
+            new = (token != before_token) | (num * n > den * before_n)
+            new[0] = last is None or token[0] != last[0] or num * n[0] > den * last[1]
+            starts = np.flatnonzero(new)
+            at = np.cumsum(new) - 1
+            heads = cls[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[2])
+            if last is not None:
+                heads[at < 0] = last[2]
+            last = (int(token[-1]), int(n[-1]), int(heads[-1]))
+            own = heads != cls
+            pairs = dict(zip(zip(heads[own].tolist(), cls[own].tolist(), strict=True), n[own].tolist(), strict=True))
+            fresh = [(a, b, m) for (a, b), m in pairs.items() if (a, b) not in seen]
+            if len(seen) > 200_000:
+                seen.clear()
+            seen.update((a, b) for a, b, _ in fresh)
+            if fresh:
+                a, b, m = zip(*fresh, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(m, pa.int32())], names=["head", "member", "n"])
+
+    small_batches(entries.sparkSession, 20_000)
+    ordered = entries.select("token", "n", "cls").repartition("token").sortWithinPartitions("token", "n", "cls")
+    out = staged(ordered.mapInArrow(run, "head long, member long, n int").distinct(), "groups")
+    small_batches(entries.sparkSession)
+    return out
 
 
 def _bloom_hits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +188,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     def prefixes(batches):
         known: set[int] = set()
         for batch in batches:
-            tokens, owners = [], []
+            tokens, owners, sizes = [], [], []
             for text in batch.column("text").to_pylist():
                 h = shingles(text, k)
                 if not len(h):
@@ -183,13 +201,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
                 n = len(h)
                 tokens.append(ranked(h, ranks.value)[: n - -(-num * n // den) + 1].view(np.int64))
                 owners.append(np.full(len(tokens[-1]), c, np.int64))
+                sizes.append(np.full(len(tokens[-1]), n, np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(owners))], names=["token", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, owners, sizes)], names=["token", "cls", "n"])
 
-    entries = docs.select("text").mapInArrow(prefixes, "token long, cls long")
-    small_batches(spark, 512)
-    heads = entries.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(_heads, "head long, member long")
-    groups = staged(heads.distinct(), "groups")
+    groups = heads_of(docs.select("text").mapInArrow(prefixes, "token long, cls long, n int"), num, den)
+    release(spark)
     members = groups.select(F.col("head").alias("cls")).union(groups.select("member")).distinct()
     chosen = staged(members.join(classes, "cls").select("cls", "doc_id"), "groups")
     bloom = spark.sparkContext.broadcast(id_filter(chosen))

@@ -16,9 +16,9 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import mix64, ngram_hashes, small_batches, staged, table, texts, words_of
+from sugarloom.llm.common import mix64, ngram_hashes, release, small_batches, staged, table, texts, words_of
 from sugarloom.llm.components import connected_components
-from sugarloom.llm.ngram_join import _bloom_hits, _heads, class_id, id_filter
+from sugarloom.llm.ngram_join import _bloom_hits, class_id, heads_of, id_filter
 from sugarloom.llm.setjoin import group_links, pack
 
 
@@ -74,11 +74,11 @@ def _scan(k: int, least_words: int, bands: int, rows: int):
                         if len(known) < 1_000_000:
                             known.add(c)
                         keys = band_keys(h, bands, rows)
-                    out.append((doc_id, no, start, end, len(words), c, keys))
+                    out.append((doc_id, no, start, end, len(words), c, len(h), keys))
             if out:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[1:6]), pa.array(cols[6], pa.list_(pa.int64()))], names=["doc_id", "paragraph", "start", "end", "n_words", "cls", "bands"]
+                    [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[1:7]), pa.array(cols[7], pa.list_(pa.int64()))], names=["doc_id", "paragraph", "start", "end", "n_words", "cls", "size", "bands"]
                 )
 
     return run
@@ -97,10 +97,9 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     bands, rows = tune_bands(num / den)
-    units = staged(docs.mapInArrow(_scan(k, least_words, bands, rows), "doc_id long, paragraph long, start long, end long, n_words long, cls long, bands array<long>"), "paragraphs")
-    keys = units.where("bands is not null").select(F.explode("bands").alias("token"), "cls")
-    heads = keys.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(_heads, "head long, member long")
-    groups = staged(heads.distinct(), "groups")
+    units = staged(docs.mapInArrow(_scan(k, least_words, bands, rows), "doc_id long, paragraph long, start long, end long, n_words long, cls long, size long, bands array<long>"), "paragraphs")
+    groups = heads_of(units.where("bands is not null").select(F.explode("bands").alias("token"), F.col("size").cast("int").alias("n"), "cls"), num, den)
+    release(spark)
     members = groups.select(F.col("head").alias("member")).union(groups.select("member")).distinct()
     bloom = spark.sparkContext.broadcast(id_filter(members.select(F.col("member").alias("doc_id"))))
 
@@ -134,7 +133,7 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     named = classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("cluster", F.coalesce("component", "cls"))
     clusters = named.groupBy("cluster").agg(F.sum("n").alias("n_members"), F.min("first").alias("first")).where("n_members > 1")
     of_class = named.select("cls", "cluster").join(clusters, "cluster")
-    out = units.drop("bands").join(of_class, "cls")
+    out = units.drop("bands", "size").join(of_class, "cls")
     kept = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("paragraph") == F.col("first.paragraph"))
     return out.select("doc_id", "paragraph", "start", "end", "n_words", "cluster", "n_members", (~F.coalesce(kept, F.lit(False))).alias("removed"))
 

@@ -20,8 +20,8 @@ from sugarloom.llm.components import connected_components
 
 _PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
-#: Sets of one block, so of one task's memory and one trie.
-BLOCK = 384
+#: Sets of one block, and members of all its sets: what one trie and one task's memory hold.
+BLOCK, BLOCK_MEMBERS = 384, 1 << 20
 
 
 class Linked:
@@ -214,34 +214,34 @@ def _link_blocks(rows: DataFrame, keys: list[str], num: int, den: int, across: b
 
 
 def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 100, block: int = BLOCK, label: str = "links") -> DataFrame:
-    """groups(head, member), sets(member, members as packed sort keys; repeated rows do no harm) to links (a, b).
+    """groups(head, member, n), sets(member, members as packed sort keys; repeated rows do no harm) to links (a, b).
 
     Two members of one group that are num/den Jaccard or more alike are connected by the links given, if
     not always directly. A head is a member of its group too, whether listed or not.
 
-    A group of up to `block` members is one block. A larger one is dealt over blocks by hash, each with
+    n is the member's size. A group of up to `block` members and BLOCK_MEMBERS in all is one block. A larger one is dealt over blocks by hash, each with
     the head, so no task gets more; what is linked to the head by then is one component. Only members
     that are not (the rest) can miss links across blocks, and they are held, block by block, against all
     of their group.
     """
-    groups = groups.select("head", "member").where("head <> member").distinct()
-    sizes = groups.groupBy("head").agg(F.count("*").alias("size"))
-    dealt = groups.join(sizes, "head").withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
+    groups = groups.select("head", "member", "n").where("head <> member").distinct()
+    sizes = groups.groupBy("head").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("parts"))
+    dealt = groups.join(sizes, "head")
     dealt = dealt.withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("member"), F.col("parts"))).otherwise(0).cast("int"))
-    heads = sizes.select("head", F.col("head").alias("member"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / block).cast("int") - 1)).alias("part"))
+    heads = sizes.select("head", F.col("head").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = dealt.select("head", "part", "member").union(heads.select("head", "part", "member")).join(sets, "member").withColumn("side", F.lit(0))
     first = staged(_link_blocks(rows, ["head", "part"], num, den, False), label)
-    large = staged(dealt.where("parts > 1").select("head", "part", "parts", "member"), label)
+    large = staged(dealt.where("parts > 1").select("head", "part", "parts", "member", "n"), label)
     if not large.limit(1).count():
         return first
     parts = connected_components(first, label)
     of_member = parts.select(F.col("node").alias("member"), "component")
     of_head = parts.select(F.col("node").alias("head"), F.col("component").alias("main"))
     rest = large.join(of_member, "member", "left").join(of_head, "head", "left").where(~(F.coalesce("component", "member") == F.coalesce("main", "head")))
-    rest = rest.select("head", "part", "parts", "member")
+    rest = rest.select("head", "part", "parts", "member", "n")
     if not rest.limit(1).count():
         return first
-    waiting = rest.groupBy("head").agg(F.count("*").alias("left")).withColumn("turns", F.ceil(F.col("left") / block).cast("int"))
+    waiting = rest.groupBy("head").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("turns"))
     probes = rest.join(waiting, "head").withColumn("turn", F.pmod(F.xxhash64("member", F.lit(1)), F.col("turns")).cast("int"))
     probes = probes.select("head", "turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "member", F.lit(0).alias("side"))
     against = large.join(waiting, "head").select("head", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "part", "member", F.lit(1).alias("side"))

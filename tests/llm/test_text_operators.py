@@ -135,7 +135,7 @@ def test_large_groups_are_linked_across_blocks(spark):
         family = [1000 * (i % 2 + 1) + j for j in range(40)]
         sets[i] = sorted([head[0], *r.sample(family, 37)])
     rows = [(i, setjoin.pack(np.array(sorted(s), np.uint64) << np.uint64(16))) for i, s in sets.items()]
-    groups = spark.createDataFrame([(0, i) for i in range(1, 31)], "head long, member long")
+    groups = spark.createDataFrame([(0, i, 38) for i in range(1, 31)], "head long, member long, n int")
     links = setjoin.group_links(groups, spark.createDataFrame(rows, "member long, members binary"), block=4)
     got = {x["node"]: x["component"] for x in connected_components(links).collect()}
     want = components(sets, lambda a, b: jaccard(frozenset(sets[a]), frozenset(sets[b])))
