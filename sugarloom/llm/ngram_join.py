@@ -95,14 +95,17 @@ def frequency_ranks(slices: DataFrame) -> np.ndarray:
 
     What comes to the driver is the sketch, whose size is fixed.
     """
-    counts = np.zeros(1 << SKETCH_BITS, np.float64)
     unpack = zstandard.ZstdDecompressor()
-    for r in slices.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary").toLocalIterator():
-        counts[r["slice"] << SLICE_BITS : (r["slice"] + 1) << SLICE_BITS] = np.frombuffer(unpack.decompress(bytes(r["counts"])), np.uint32)
-    mean = max(1.0, counts.mean())
-    fine = np.minimum(47, counts * (16 / mean))
-    coarse = 48 + np.log2(np.maximum(1, counts / (3 * mean)))
-    return np.minimum(63, np.where(counts > 3 * mean, coarse, fine)).astype(np.uint8)
+    summed = slices.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary")
+    packed = {r["slice"]: bytes(r["counts"]) for r in summed.toLocalIterator()}
+    read = lambda raw: np.frombuffer(unpack.decompress(raw), np.uint32)
+    mean = max(1.0, sum(int(read(x).sum(dtype=np.uint64)) for x in packed.values()) / (1 << SKETCH_BITS))
+    ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for at, raw in packed.items():  # a slice at a time, so the driver holds one byte a counter
+        counts = read(raw).astype(np.float64)
+        coarse = 48 + np.log2(np.maximum(1, counts / (3 * mean)))
+        ranks[at << SLICE_BITS : (at + 1) << SLICE_BITS] = np.minimum(63, np.where(counts > 3 * mean, coarse, np.minimum(47, counts * (16 / mean))))
+    return ranks
 
 
 def heads_of(entries: DataFrame, num: int, den: int) -> DataFrame:
