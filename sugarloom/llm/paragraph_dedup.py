@@ -16,7 +16,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import mix64, ngram_hashes, release, small_batches, staged, table, texts, words_of
+from sugarloom.llm.common import mix64, ngram_hashes, release, small_batches, staged, table, words_of
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.ngram_join import _bloom_hits, class_id, heads_of, id_filter
 from sugarloom.llm.setjoin import group_links, pack
@@ -33,21 +33,36 @@ def tune_bands(similarity: float, miss: float = 0.002, most_hashes: int = 64) ->
     return best
 
 
-def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    r = np.random.default_rng(97)
-    return r.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), r.integers(0, 2**63, n, dtype=np.uint64)
-
-
-def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """Of a set of shingle hashes one 64-bit key a band, different for different bands."""
-    a, b = _multipliers(bands * rows)
-    least = np.full(bands * rows, ~np.uint64(0))
-    for at in range(0, len(hashes), 2048):  # bounded memory for long paragraphs
-        least = np.minimum(least, mix64(hashes[at : at + 2048, None] * a + b).min(0))
-    key = np.arange(bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    for i in range(rows):
-        key = mix64(key ^ least[i::rows][:bands])
-    return key.view(np.int64)
+class Bander:
+    """Band keys of many sets of shingle hashes at once."""
+
+    def __init__(self, bands: int, rows: int):
+        r = np.random.default_rng(97)
+        self.bands, self.rows = bands, rows
+        self.a = r.integers(0, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.b = r.integers(0, 2**63, bands * rows, dtype=np.uint64)
+
+    def keys(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A row of 64-bit keys a set, one a band and different for different bands; sets begin at starts."""
+        least = np.empty((len(starts), self.bands * self.rows), np.uint64)
+        ends = np.append(starts[1:], len(hashes))
+        at = 0
+        while at < len(starts):  # some thousand hashes at a time, so memory is bounded; a longer set goes alone
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + 8192, "right")))
+            own, first = hashes[starts[at] : ends[to - 1]], starts[at:to] - starts[at]
+            if to == at + 1:
+                low = np.full(self.bands * self.rows, ~np.uint64(0))
+                for i in range(0, len(own), 8192):
+                    low = np.minimum(low, (own[i : i + 8192, None] * self.a + self.b).min(0))
+                least[at] = low
+            else:
+                least[at:to] = np.minimum.reduceat(own[:, None] * self.a + self.b, first, axis=0)
+            at = to
+        key = np.arange(self.bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        out = np.broadcast_to(key, (len(starts), self.bands))
+        for i in range(self.rows):
+            out = mix64(out ^ least[:, i :: self.rows][:, : self.bands])
+        return out.view(np.int64)
 
 
 def paragraphs(text: str | None, least_words: int) -> Iterator[tuple[int, int, int, list[bytes]]]:
@@ -60,26 +75,59 @@ def paragraphs(text: str | None, least_words: int) -> Iterator[tuple[int, int, i
         at += len(line) + 1
 
 
+class Units:
+    """The paragraphs of some texts: places (text, number, start, end, words), distinct ascending shingle hashes, where
+    each paragraph's begin, and class ids. All texts are hashed in one go; windows across paragraphs fall out."""
+
+    def __init__(self, batch: list[str | None], k: int, least_words: int):
+        self.places, words, lengths = [], [], []
+        for i, text in enumerate(batch):
+            for no, start, end, own in paragraphs(text, least_words):
+                self.places.append((i, no, start, end, len(own)))
+                words += own
+                lengths.append(len(own))
+        n = np.array(lengths, np.int64)
+        h = ngram_hashes(words, k)
+        unit = np.repeat(np.arange(len(n)), n)[: len(h)]
+        left = (np.cumsum(n)[unit] if len(n) else np.empty(0, np.int64)) - np.arange(len(h))
+        whole = left >= k
+        h, unit = h[whole], unit[whole]
+        order = np.lexsort((h, unit))
+        h, unit = h[order], unit[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (unit[1:] != unit[:-1])) if len(h) else np.empty(0, bool)
+        self.hashes, unit = h[new], unit[new]
+        self.starts = np.searchsorted(unit, np.arange(len(n)))
+        self.sizes = np.diff(np.append(self.starts, len(self.hashes)))
+        self.classes = np.array([class_id(self.of(i)) for i in range(len(n))], np.int64)
+
+    def of(self, i: int) -> np.ndarray:
+        return self.hashes[self.starts[i] : self.starts[i] + self.sizes[i]]
+
+
 def _scan(k: int, least_words: int, bands: int, rows: int):
     def run(batches):
         known: set[int] = set()
+        bander = Bander(bands, rows)
         for batch in batches:
-            out = []
-            for doc_id, text in texts([batch], "doc_id", "text"):
-                for no, start, end, words in paragraphs(text, least_words):
-                    h = np.unique(ngram_hashes(words, k))
-                    c = class_id(h)
-                    keys = None
-                    if c not in known:
-                        if len(known) < 1_000_000:
-                            known.add(c)
-                        keys = band_keys(h, bands, rows)
-                    out.append((doc_id, no, start, end, len(words), c, len(h), keys))
-            if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[1:7]), pa.array(cols[7], pa.list_(pa.int64()))], names=["doc_id", "paragraph", "start", "end", "n_words", "cls", "size", "bands"]
-                )
+            ids = batch.column("doc_id").to_pylist()
+            u = Units(batch.column("text").to_pylist(), k, least_words)
+            if not u.places:
+                continue
+            fresh = []
+            for i, c in enumerate(u.classes.tolist()):
+                if c not in known:
+                    if len(known) < 1_000_000:
+                        known.add(c)
+                    fresh.append(i)
+            keys: list = [None] * len(u.places)
+            if fresh:
+                parts = [u.of(i) for i in fresh]
+                starts = np.concatenate(([0], np.cumsum([len(x) for x in parts])))[:-1]
+                for i, row in zip(fresh, bander.keys(np.concatenate(parts), starts), strict=True):
+                    keys[i] = row
+            at, no, start, end, words = zip(*u.places, strict=True)
+            cols = [pa.array([ids[i] for i in at], pa.int64()), *(pa.array(x, pa.int64()) for x in (no, start, end, words, u.classes, u.sizes)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "paragraph", "start", "end", "n_words", "cls", "size", "bands"])
 
     return run
 
@@ -93,6 +141,8 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     paragraph). Lines of fewer than least_words words, null and empty texts have no paragraphs; the lines
     of repeated rows are members of their own. An empty table gives no rows.
     """
+    if least_words < k:
+        raise ValueError("a paragraph needs as many words as a shingle")
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -107,22 +157,17 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
         done: set[int] = set()
         for batch in batches:
             ids, sets = [], []
-            for text in batch.column("text").to_pylist():
-                own = []
-                for _, _, _, words in paragraphs(text, least_words):
-                    h = np.unique(ngram_hashes(words, k))
-                    own.append((class_id(h), h))
-                if not own:
-                    continue
-                hit = np.ones(len(own), bool)
-                for at in _bloom_hits(np.array([c for c, _ in own], np.int64)):
-                    hit &= (bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-                for (c, h), x in zip(own, hit, strict=True):
-                    if x and c not in done:
-                        if len(done) < 1_000_000:
-                            done.add(c)
-                        ids.append(c)
-                        sets.append(pack(h))
+            u = Units(batch.column("text").to_pylist(), k, least_words)
+            hit = np.ones(len(u.places), bool)
+            for at in _bloom_hits(u.classes):
+                hit &= (bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            for i in np.flatnonzero(hit).tolist():
+                c = int(u.classes[i])
+                if c not in done:
+                    if len(done) < 1_000_000:
+                        done.add(c)
+                    ids.append(c)
+                    sets.append(pack(u.of(i)))
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["member", "members"])
 
