@@ -71,7 +71,7 @@ def sections(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Data
 
     Small files are read whole; lines that don't parse are left out.
     """
-    whole = spark.read.option("wholetext", True).text(path).select(F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.[^.]*$", "").alias("mol_id"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.[^.]*$", "").alias("mol_id"), "value")
     cut = lambda name: F.regexp_extract("value", rf"(?s)@<TRIPOS>{name}[^\n]*\n(.*?)(?:@<TRIPOS>|\z)", 1)
     tokens = lambda name: whole.select("mol_id", F.explode(F.split(cut(name), "\n")).alias("line")).select("mol_id", F.split(F.trim("line"), r"\s+").alias("t"))
     get = lambda i, kind: F.get("t", i - 1).try_cast(kind)
