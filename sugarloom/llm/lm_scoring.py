@@ -192,17 +192,21 @@ class Level:
         return out
 
 
-def _distinct(*cols: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """Distinct ascending tuples of two columns and where each row's is."""
-    if len(cols) == 1:
-        values, at = np.unique(cols[0], return_inverse=True)
-        return (values,), at
-    order = np.lexsort(cols[::-1])
-    sorted_cols = [c[order] for c in cols]
-    new = np.append(True, np.any([c[1:] != c[:-1] for c in sorted_cols], axis=0)) if len(order) else np.empty(0, bool)
-    at = np.empty(len(order), np.int64)
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ascending values and where each element's is."""
+    order = np.argsort(x)
+    ordered = x[order]
+    new = np.append(True, ordered[1:] != ordered[:-1]) if len(x) else np.empty(0, bool)
+    at = np.empty(len(x), np.int64)
     at[order] = np.cumsum(new) - 1
-    return tuple(c[new] for c in sorted_cols), at
+    return ordered[new], at
+
+
+def _packed(context: np.ndarray, child: np.ndarray) -> np.ndarray:
+    """A context's place and a child in one number, in the order of the pair."""
+    if child.max(initial=0) >> CHILD_BITS or context.max(initial=0) >> 64 - CHILD_BITS:
+        raise OverflowError("more different words or contexts than a packed n-gram holds")
+    return context.astype(np.uint64) << np.uint64(CHILD_BITS) | child.astype(np.uint64)
 
 
 class Trie:
@@ -216,7 +220,7 @@ class Trie:
 
     def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of tokens."""
-        (own,), at = _distinct(hashes)
+        own, at = _distinct(hashes)
         # the words are one level whose contexts are the upper 32 bits of a hash
         ids = self.words.find(own >> np.uint64(32), (own & np.uint64(0xFFFFFFFF)).astype(np.int64))
         counts = np.zeros(len(own), np.int64)
@@ -244,7 +248,7 @@ class Trie:
                 child = np.full(n, -1, np.int64)
                 known = np.flatnonzero(place >= 0)
                 if len(known):
-                    (contexts,), at = _distinct(context[known].astype(np.uint64))
+                    contexts, at = _distinct(context[known].astype(np.uint64))
                     child[known] = place[known] - self.levels[k - 1].begin(contexts)[at]
             reach &= child >= 0
             context = np.where(reach, before, -1)
@@ -253,8 +257,8 @@ class Trie:
                 place = np.full(n, -1, np.int64)
                 where = np.flatnonzero(reach)
                 if len(where):
-                    (c, w), at = _distinct(context[where].astype(np.uint64), child[where])
-                    place[where] = self.levels[k].find(c, w)[at]
+                    own, at = _distinct(_packed(context[where], child[where]))
+                    place[where] = self.levels[k].find(own >> np.uint64(CHILD_BITS), (own & np.uint64((1 << CHILD_BITS) - 1)).astype(np.int64))[at]
             else:
                 place = np.full(n, -1, np.int64)
             # a token whose context exists but that was never seen there still leaves weight to it
@@ -273,11 +277,11 @@ class Trie:
             level = self.levels[k]
             known = np.flatnonzero(context >= 0)
             if len(known):
-                (contexts,), at = _distinct(context[known].astype(np.uint64))
+                contexts, at = _distinct(context[known].astype(np.uint64))
                 p[known] *= level.weight(contexts)[at]
             seen = np.flatnonzero(place >= 0)
             if len(seen):
-                (places,), at = _distinct(place[seen])
+                places, at = _distinct(place[seen])
                 p[seen] += 10.0 ** (-level.value(places, "values")[at] / STEP)
         return np.log10(p), base, counts > 0
 
@@ -369,9 +373,7 @@ def train(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int =
                 for context, child, _ in trie.grams(ids, new, level - 1):
                     pass
                 seen = (context >= 0) & (child >= 0)
-                if child.max(initial=0) >> CHILD_BITS or context.max(initial=0) >> 64 - CHILD_BITS:
-                    raise OverflowError("more different words or contexts than a packed n-gram holds")
-                own, counts = np.unique(context[seen].astype(np.uint64) << np.uint64(CHILD_BITS) | child[seen].astype(np.uint64), return_counts=True)
+                own, counts = np.unique(_packed(context[seen], child[seen]), return_counts=True)
                 yield from _cut(own, counts, (own >> np.uint64(CHILD_BITS)).astype(np.int64) // step)
 
         def make(bucket, keys, counts, level=level, contexts=contexts, step=step):
