@@ -86,11 +86,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     members = connected_components(edges.where("a is not null and b is not null and a <> b"), "urls")
     # one row a key before the join, so that a url that many pages share is no hot key
     said = judged.where("key is not null").groupBy("key").agg(F.max(F.col("best.verdict") == "allow").alias("allowed"), F.max(F.col("best.verdict") == "block").alias("blocked"))
-    named = said.join(members.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    named = said.join(members.withColumnRenamed("node", "key").hint("merge"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     verdict = named.groupBy("component").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))
     verdict = verdict.select("component", F.when(F.col("blocked") & ~F.coalesce("allowed", F.lit(False)), "block").otherwise("allow").alias("alias_verdict"))
-    by_key = named.select("key", "component").join(verdict, "component")
-    out = judged.drop("links").join(by_key, "key", "left")
+    # keys grow with the pages, so none of these joins may broadcast on a guess of their size
+    by_key = named.select("key", "component").join(verdict.hint("merge"), "component")
+    out = judged.drop("links").join(by_key.hint("merge"), "key", "left")
     return out.select(
         "page_id",
         "host",
