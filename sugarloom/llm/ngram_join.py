@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sugarloom.llm.common import ngram_hashes, release, small_batches, staged, table, texts, words_of
@@ -27,6 +27,8 @@ from sugarloom.llm.setjoin import group_links, pack
 SKETCH_BITS, SLICE_BITS, BLOOM_BITS = 24, 17, 24
 #: Bits of a sort key that hold the frequency rank.
 RANK_BITS = 6
+#: Hundredths of a set that its prefix is longer, so that chance hits on few tokens fall out.
+MORE = 4
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -108,46 +110,82 @@ def frequency_ranks(slices: DataFrame) -> np.ndarray:
     return ranks
 
 
-def heads_of(entries: DataFrame, num: int, den: int) -> DataFrame:
-    """entries(token, n, cls) to distinct (head, member, n): groups that hold every pair of classes which
-    share a token and whose sizes n allow num/den Jaccard.
+def prefix_length(n: int, num: int, den: int, more: int = 0) -> int:
+    """How many of a set's first members are looked at: two sets of num/den Jaccard or more share one of n - ceil(n *
+    num / den) + 1, and l of them if l - 1 more are looked at. l is `more` hundredths of n."""
+    return min(n, n - -(-num * n // den) + max(1, more * n // 100))
+
+
+def shared_at_least(n: Column, num: int, den: int, more: int) -> Column:
+    """Tokens that a set of n shares within both prefixes with any set it is alike to, the smallest of which has num/den
+    of n members."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(n * num / den) * more / 100))
+
+
+def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame:
+    """entries(token, n, cls) to distinct (head, member, n): groups that hold every pair of classes that can be num/den
+    alike; a head is a member of its own group unless it can be alike to none.
 
     The classes of a token are taken by size. Where the next is larger than den/num times the last, no
-    pair across that gap can be alike, so a new group begins. The head is a group's first class; n is the
-    member's size. Only a token's current group is remembered, whatever the token's number of rows.
+    pair across that gap can be alike, so a new group begins; its first class is its head. A class that
+    shares fewer tokens with others than `shared_at_least` is alike to none and falls out, and so do groups
+    of one. Only a token's current group is remembered, whatever the token's number of rows.
     """
 
     def run(batches):
-        last: tuple[int, int, int] | None = None  # token, size, head
-        seen: set[tuple[int, int]] = set()
+        last: tuple | None = None  # token, size, head, the head's size, class, whether the head has company
+        tokens: dict[tuple[int, int, int], int] = {}
+
+        def rows():
+            h, m, n = zip(*tokens, strict=True)
+            out = pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(m, pa.int64()), pa.array(n, pa.int32()), pa.array(tokens.values(), pa.int64())], names=["head", "member", "n", "tokens"])
+            tokens.clear()
+            return out
+
+        def add(h, m, n):
+            for key in zip(h.tolist(), m.tolist(), n.tolist(), strict=True):
+                tokens[key] = tokens.get(key, 0) + 1
+
         for batch in batches:
             token, n, cls = (batch.column(x).to_numpy() for x in ("token", "n", "cls"))
             if not len(token):
                 continue
-            before_token, before_n = np.roll(token, 1), np.roll(n, 1)
-            new = (token != before_token) | (num * n > den * before_n)
-            new[0] = last is None or token[0] != last[0] or num * n[0] > den * last[1]
+            # copies of a class in other tasks are one row
+            new = np.append(True, (token[1:] != token[:-1]) | (num * n[1:] > den * n[:-1]))
+            twice = np.append(False, (token[1:] == token[:-1]) & (cls[1:] == cls[:-1]))
+            if last is not None and token[0] == last[0]:
+                new[0] = num * n[0] > den * last[1]
+                twice[0] = cls[0] == last[4]
             starts = np.flatnonzero(new)
             at = np.cumsum(new) - 1
             heads = cls[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[2])
-            if last is not None:
-                heads[at < 0] = last[2]
-            last = (int(token[-1]), int(n[-1]), int(heads[-1]))
-            own = heads != cls
-            pairs = dict(zip(zip(heads[own].tolist(), cls[own].tolist(), strict=True), n[own].tolist(), strict=True))
-            fresh = [(a, b, m) for (a, b), m in pairs.items() if (a, b) not in seen]
-            if len(seen) > 200_000:
-                seen.clear()
-            seen.update((a, b) for a, b, _ in fresh)
-            if fresh:
-                a, b, m = zip(*fresh, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(m, pa.int32())], names=["head", "member", "n"])
+            sizes = n[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[3])
+            if at[0] < 0:
+                heads[at < 0], sizes[at < 0] = last[2], last[3]
+            follow = ~new & ~twice & (heads != cls)
+            add(heads[follow], cls[follow], n[follow])
+            # the head's own token counts once for each group that has a second class
+            run_id = at[follow]
+            first = np.append(True, run_id[1:] != run_id[:-1]) if len(run_id) else np.empty(0, bool)
+            own = np.flatnonzero(follow)[first]
+            if len(own) and at[own[0]] < 0 and last is not None and last[5]:
+                own = own[1:]  # it was counted in the batch before
+            add(heads[own], heads[own], sizes[own])
+            open_ = bool(follow[at == at[-1]].any()) or (at[-1] < 0 and last is not None and last[5])
+            last = (int(token[-1]), int(n[-1]), int(heads[-1]), int(sizes[-1]), int(cls[-1]), open_)
+            if len(tokens) > 200_000:
+                yield rows()
+        if tokens:
+            yield rows()
 
     small_batches(entries.sparkSession, 20_000)
     ordered = entries.select("token", "n", "cls").repartition("token").sortWithinPartitions("token", "n", "cls")
-    out = staged(ordered.mapInArrow(run, "head long, member long, n int").distinct(), "groups")
+    found = staged(ordered.mapInArrow(run, "head long, member long, n int, tokens long").groupBy("head", "member", "n").agg(F.sum("tokens").alias("tokens")), "groups")
     small_batches(entries.sparkSession)
-    return out
+    able = found.groupBy("member", "n").agg(F.sum("tokens").alias("tokens")).where(F.col("tokens") >= shared_at_least(F.col("n"), num, den, more)).select("member")
+    kept = found.join(able, "member", "left_semi").select("head", "member", "n")
+    several = kept.groupBy("head").agg(F.count("*").alias("k")).where("k > 1").select("head")
+    return staged(kept.join(several, "head", "left_semi"), "groups")
 
 
 def _bloom_hits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,15 +240,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
                 if len(known) < 1_000_000:
                     known.add(c)
                 n = len(h)
-                tokens.append(ranked(h, ranks.value)[: n - -(-num * n // den) + 1].view(np.int64))
+                tokens.append(ranked(h, ranks.value)[: prefix_length(n, num, den, MORE)].view(np.int64))
                 owners.append(np.full(len(tokens[-1]), c, np.int64))
                 sizes.append(np.full(len(tokens[-1]), n, np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, owners, sizes)], names=["token", "cls", "n"])
 
-    groups = heads_of(docs.select("text").mapInArrow(prefixes, "token long, cls long, n int"), num, den)
+    groups = heads_of(docs.select("text").mapInArrow(prefixes, "token long, cls long, n int"), num, den, MORE)
     release(spark)
-    members = groups.select(F.col("head").alias("cls")).union(groups.select("member")).distinct()
+    members = groups.select(F.col("member").alias("cls")).distinct()
     chosen = staged(members.join(classes, "cls").select("cls", "doc_id"), "groups")
     bloom = spark.sparkContext.broadcast(id_filter(chosen))
 

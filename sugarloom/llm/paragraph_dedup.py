@@ -150,7 +150,7 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     units = staged(docs.mapInArrow(_scan(k, least_words, bands, rows), "doc_id long, paragraph long, start long, end long, n_words long, cls long, size long, bands array<long>"), "paragraphs")
     groups = heads_of(units.where("bands is not null").select(F.explode("bands").alias("token"), F.col("size").cast("int").alias("n"), "cls"), num, den)
     release(spark)
-    members = groups.select(F.col("head").alias("member")).union(groups.select("member")).distinct()
+    members = groups.select("member").distinct()
     bloom = spark.sparkContext.broadcast(id_filter(members.select(F.col("member").alias("doc_id"))))
 
     def packed(batches):
