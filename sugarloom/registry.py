@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sugarloom.queries import bonds, records, shape, sources, text
+from sugarloom.queries import bonds, metadata, records, shape, sources, text
 
 FLAGSHIP = "torsion_stats"
-QUERIES: dict = {**shape.QUERIES, **bonds.QUERIES, **text.QUERIES, **records.QUERIES, **sources.QUERIES}
-ORACLE_SQL: dict = {**shape.SQL, **bonds.SQL, **text.SQL, **records.SQL, **sources.SQL}
+QUERIES: dict = {**shape.QUERIES, **bonds.QUERIES, **text.QUERIES, **records.QUERIES, **sources.QUERIES, **metadata.QUERIES}
+ORACLE_SQL: dict = {**shape.SQL, **bonds.SQL, **text.SQL, **records.SQL, **sources.SQL, **metadata.SQL}
