@@ -20,15 +20,17 @@ def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
     before = _print_of(now)
     while before[0]:
+        # few edges are written by few tasks, whatever the number of shuffle partitions
+        tasks = max(12, before[0] // 100_000)
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: every higher neighbour to the lowest one
-        large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), label)
+        large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks), label)
         drop_stage(now)
         # small star: every lower neighbour, and the node itself, to the lowest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(joined.union(low.select("u", F.col("m").alias("v"))).distinct(), label)
+        now = staged(joined.union(low.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks), label)
         drop_stage(large)
         after = _print_of(now)
         if after == before:
