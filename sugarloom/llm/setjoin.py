@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sugarloom.llm.common import staged
-from sugarloom.llm.components import connected_components
 
 _PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
@@ -193,10 +192,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
 
 
 def _link_blocks(rows: DataFrame, keys: list[str], num: int, den: int, across: bool) -> DataFrame:
-    """rows(*keys, side, member, members): the links of each block; side 0 is held against side 1 if across."""
+    """rows(*keys, side, member, members): the links (a, b) of each block; side 0 is held against side 1 if across.
+
+    Blocks of several parts also give rows (head, rest): members that their block doesn't connect to the head.
+    """
 
     def run(batches):
-        for _, block in _blocks(batches, keys):
+        for key, block in _blocks(batches, keys):
             seen, ids, sets, split = set(), [], [], 0
             for side, member, raw in sorted(block, key=lambda x: (x[0], x[1])):
                 if (side, member) in seen:
@@ -206,44 +208,47 @@ def _link_blocks(rows: DataFrame, keys: list[str], num: int, den: int, across: b
                 ids.append(member)
                 sets.append(unpack(raw))
             found = links_within(sets, num, den, split if across else None)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([ids[j] for _, j in found], pa.int64())], names=["a", "b"])
+            links = [(ids[i], ids[j], None, None) for i, j in found if ids[i] != ids[j]]
+            if not across and key[2] > 1:
+                linked = Linked(len(ids))
+                for i, j in found:
+                    linked.join(i, j)
+                main = linked.find(ids.index(key[0])) if key[0] in ids else None
+                links += [(None, None, key[0], m) for i, m in enumerate(ids) if linked.find(i) != main]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["a", "b", "head", "rest"])
 
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.select(*keys, "side", "member", "members").mapInArrow(run, "a long, b long").where("a <> b")
+    return dealt.select(*keys, "side", "member", "members").mapInArrow(run, "a long, b long, head long, rest long")
 
 
 def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 100, block: int = BLOCK, label: str = "links") -> DataFrame:
     """groups(head, member, n), sets(member, members as packed sort keys; repeated rows do no harm) to links (a, b).
 
     Two members of one group that are num/den Jaccard or more alike are connected by the links given, if
-    not always directly. A head is a member of its group too, whether listed or not.
+    not always directly. A head is in its group too if it has a set.
 
-    n is the member's size. A group of up to `block` members and BLOCK_MEMBERS in all is one block. A larger one is dealt over blocks by hash, each with
-    the head, so no task gets more; what is linked to the head by then is one component. Only members
-    that are not (the rest) can miss links across blocks, and they are held, block by block, against all
-    of their group.
+    n is the member's size. A group of up to `block` members and BLOCK_MEMBERS in all is one block. A
+    larger one is dealt over blocks by hash, each with the head, so no task gets more; what its blocks
+    connect to the head is one component. Only members that they don't (the rest) can miss links across
+    blocks, and they are held, block by block, against all of their group.
     """
     groups = groups.select("head", "member", "n").where("head <> member").distinct()
     sizes = groups.groupBy("head").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("parts"))
     dealt = groups.join(sizes, "head")
     dealt = dealt.withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("member"), F.col("parts"))).otherwise(0).cast("int"))
-    heads = sizes.select("head", F.col("head").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rows = dealt.select("head", "part", "member").union(heads.select("head", "part", "member")).join(sets, "member").withColumn("side", F.lit(0))
-    first = staged(_link_blocks(rows, ["head", "part"], num, den, False), label)
+    heads = sizes.select("head", F.col("head").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
+    keys = ["head", "part", "parts"]
+    rows = dealt.select(*keys, "member").union(heads.select(*keys, "member")).join(sets, "member").withColumn("side", F.lit(0))
+    first = staged(_link_blocks(rows, keys, num, den, False), label)
+    links = first.where("a is not null").select("a", "b")
+    if not first.where("rest is not null").limit(1).count():
+        return links
     large = staged(dealt.where("parts > 1").select("head", "part", "parts", "member", "n"), label)
-    if not large.limit(1).count():
-        return first
-    parts = connected_components(first, label)
-    of_member = parts.select(F.col("node").alias("member"), "component")
-    of_head = parts.select(F.col("node").alias("head"), F.col("component").alias("main"))
-    rest = large.join(of_member, "member", "left").join(of_head, "head", "left").where(~(F.coalesce("component", "member") == F.coalesce("main", "head")))
-    rest = rest.select("head", "part", "parts", "member", "n")
-    if not rest.limit(1).count():
-        return first
+    rest = large.join(first.where("rest is not null").select("head", F.col("rest").alias("member")), ["head", "member"], "left_semi")
     waiting = rest.groupBy("head").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("turns"))
     probes = rest.join(waiting, "head").withColumn("turn", F.pmod(F.xxhash64("member", F.lit(1)), F.col("turns")).cast("int"))
     probes = probes.select("head", "turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "member", F.lit(0).alias("side"))
     against = large.join(waiting, "head").select("head", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "part", "member", F.lit(1).alias("side"))
     second = probes.unionByName(against).join(sets, "member")
-    return first.union(staged(_link_blocks(second, ["head", "turn", "part"], num, den, True), label))
+    return links.union(staged(_link_blocks(second, ["head", "turn", "part"], num, den, True), label).where("a is not null").select("a", "b"))
