@@ -216,7 +216,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     Two documents link if the Jaccard of their sets of k-word shingles is num/den or more; component_id
     is the smallest doc_id reachable. A document without words is linked with nothing and has
     component_id doc_id and n_copies 1; n_copies counts the rows with the document's own set. Repeated
-    rows are kept; a null doc_id counts as larger than any other. An empty table gives no rows.
+    rows are kept; a null doc_id counts as larger than any other, and a set that only rows without doc_id
+    have is linked with nothing but its copies. An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
