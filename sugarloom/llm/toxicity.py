@@ -1,8 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
 score = sigmoid(b + sum of w_i + sum over pairs of <v_i, v_j>), over the distinct terms of a text. The
-linear part is learned by FTRL-proximal, whose L1 bound leaves only terms with evidence at a weight;
-those few get factor vectors (as in DiFacto), which learn what pairs add beyond their parts.
+linear part is learned by FTRL-proximal, whose L1 bound leaves only terms with evidence at a weight.
+Factor vectors learn what pairs add beyond their parts: those of all terms of a few rows, or of the terms
+at a weight only (as in DiFacto), whichever does better on rows kept apart.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from sugarloom.llm.common import py_part, small_batches, split_part, table, text
 
 TERMS = 1 << 20
 PREFIXES = (4, 5, 6)
+#: Fits that are compared: standard errors below which a weight is 0, whether all terms get factors, and the factors' L2.
+FITS = ((4.0, False, 1e-3), (3.0, False, 1e-3), (2.0, False, 1e-3), (4.0, True, 1e-2), (4.0, True, 5e-2), (3.0, True, 5e-2))
 EDGES = ".,;:!?'\"()[]{}|*#%$&-_<>"
 
 
@@ -71,64 +74,107 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.raw(self.places(text)), -35, 35)))
 
     @classmethod
-    def fit(cls, rows: list[np.ndarray], labels: np.ndarray, factors: int = 8, l1: float = 1.0, l2: float = 0.1, alpha: float = 0.1, epochs: int = 5, evidence: float = 5.0, balance: float = 4.0, seed: int = 1) -> FactorizationMachine:
-        """FTRL-proximal for the linear part, then AdaGrad on bias, weights and factors of its terms.
-
-        Only terms with evidence for label 1 take part: those whose share of rows with that label is
-        above the sample's by `evidence` standard errors, at most one term in millions by chance. So the
-        many neutral words of a long text neither add up nor outweigh a few telling ones. A row of the
-        rarer label counts as many times as that label is rarer, up to `balance`.
+    def fit(cls, rows: list[np.ndarray], labels: np.ndarray, factors: int = 8, l1: float = 1.0, l2: float = 0.1, alpha: float = 0.1, epochs: int = 5, least: int = 3, balance: float = 4.0, seed: int = 1) -> FactorizationMachine:
+        """FTRL-proximal for the linear part, then AdaGrad on bias, weights and factors.
+
+        Every term of `least` rows takes part, whatever its own share of toxic rows, so that a pair can tell
+        what neither of its terms does. What noise the many terms of a long text bring is held down by the L1
+        bound, which grows with a term's standard error, and by L2 on the factors; how far is chosen by
+        comparing fits: each of FITS learns from three rows in four, and the one with the least log loss
+        on the rest is learned again from all. A row of the rarer label counts as many times as that
+        label is rarer, up to `balance`.
         """
         r = np.random.default_rng(seed)
-        df, toxic = np.zeros(TERMS), np.zeros(TERMS)
-        for i, label in zip(rows, labels, strict=True):
+        df = np.zeros(TERMS, np.int64)
+        for i in rows:
             df[i] += 1
-            toxic[i] += label
-        share = labels.mean() if len(rows) else 0.0
-        told = toxic - share * df > evidence * np.sqrt(np.maximum(df, 1) * share * (1 - share))
-        rows = [i[told[i]] for i in rows]
+        terms = np.flatnonzero(df >= least)
+        at = np.full(TERMS, -1)
+        at[terms] = np.arange(len(terms))
+        rows = [at[i][at[i] >= 0] for i in rows]
         ones = max(1.0, float(labels.sum()))
         zeros = max(1.0, len(labels) - ones)
         weight = np.where(labels > 0, np.clip(zeros / ones, 1, balance), np.clip(ones / zeros, 1, balance))
-        z, n, z0, n0 = np.zeros(TERMS), np.zeros(TERMS), 0.0, 0.0
-
-        def weights(i):
-            zi = z[i]
-            return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((1 + np.sqrt(n[i])) / alpha + l2))
-
-        for _ in range(epochs):
-            for k in r.permutation(len(rows)):
-                i = rows[k]
-                w, b = weights(i), -z0 / ((1 + np.sqrt(n0)) / alpha)
-                g = 1 / (1 + np.exp(-np.clip(b + w.sum(), -35, 35))) - labels[k]
-                g *= weight[k]
-                z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha * w
-                n[i] += g * g
-                z0 += g - (np.sqrt(n0 + g * g) - np.sqrt(n0)) / alpha * b
-                n0 += g * g
-        every = np.arange(TERMS)
-        w = weights(every)
-        kept = np.flatnonzero(w)
-        at = np.full(TERMS, -1)
-        at[kept] = np.arange(len(kept))
-        model = cls(float(-z0 / ((1 + np.sqrt(n0)) / alpha)), kept, w[kept].copy(), r.standard_normal((len(kept), factors)) * 0.01)
-        short = [at[i][at[i] >= 0] for i in rows]
-        sw, sv, sb, rate = np.full(len(kept), 1e-6), np.full((len(kept), factors), 1e-6), 1e-6, 0.05
-        for _ in range(epochs):
-            for k in r.permutation(len(rows)):
-                p = short[k]
-                g = 1 / (1 + np.exp(-np.clip(model.raw(p), -35, 35))) - labels[k]
-                g *= weight[k]
-                sb += g * g
-                model.bias -= rate * g / np.sqrt(sb)
-                if len(p):
-                    v = model.v[p]
-                    gw, gv = g + 1e-4 * model.w[p], g * (v.sum(0) - v) + 1e-3 * v
-                    sw[p] += gw * gw
-                    sv[p] += gv * gv
-                    model.w[p] -= rate * gw / np.sqrt(sw[p])
-                    model.v[p] -= rate * gv / np.sqrt(sv[p])
-        return model
+        if not len(terms):
+            return cls(float(np.log(((labels * weight).sum() + 0.5) / (((1 - labels) * weight).sum() + 0.5))))
+        test = np.zeros(len(rows), bool)
+        for label in (0, 1):  # one row in four of each label
+            test[r.permutation(np.flatnonzero(labels == label))[::4]] = True
+        linear: dict[float, tuple] = {}
+        losses = []
+        for strict, all_terms, decay in FITS:
+            own = np.flatnonzero(~test)
+            if strict not in linear:
+                linear[strict] = _linear(rows, labels, weight, own, len(terms), strict, l1, l2, alpha, epochs, seed)
+            model = _pairs(cls, rows, labels, weight, own, linear[strict], all_terms, decay, factors, epochs, seed)
+            raw = np.array([model.raw(model.own(rows[k])) for k in np.flatnonzero(test)])
+            losses.append(float((weight[test] * np.logaddexp(0, np.where(labels[test] > 0, -raw, raw))).sum()))
+        strict, all_terms, decay = FITS[int(np.argmin(losses))]
+        every = np.arange(len(rows))
+        model = _pairs(cls, rows, labels, weight, every, _linear(rows, labels, weight, every, len(terms), strict, l1, l2, alpha, epochs, seed), all_terms, decay, factors, epochs, seed)
+        return cls(model.bias, terms[model.terms], model.w, model.v)
+
+    def own(self, ids: np.ndarray) -> np.ndarray:
+        """Places of those of the ascending ids that are terms of the model."""
+        p = np.searchsorted(self.terms, ids)
+        p[p == len(self.terms)] = 0
+        return p[self.terms[p] == ids] if len(self.terms) else p[:0]
+
+
+def _linear(rows, labels, weight, use, n_terms, strict, l1, l2, alpha, epochs, seed) -> tuple[float, np.ndarray]:
+    """Bias and weights by FTRL-proximal over the rows `use`. A weight stays 0 while its gradients' sum is within l1
+    or `strict` of its standard errors; passes over the same rows are no new evidence."""
+    r = np.random.default_rng(seed)
+    z, n, z0, n0 = np.zeros(n_terms), np.zeros(n_terms), 0.0, 0.0
+
+    def weights(zi, ni, passes):
+        size = np.abs(zi)
+        return np.where((size <= l1) | (size <= strict * np.sqrt(ni * passes)), 0.0, -np.sign(zi) * (size - l1) / ((1 + np.sqrt(ni)) / alpha + l2))
+
+    for e in range(epochs):
+        for k in r.permutation(use):
+            i = rows[k]
+            zi, ni = z[i], n[i]
+            w, b = weights(zi, ni, e + 1), -z0 / ((1 + np.sqrt(n0)) / alpha)
+            g = 1 / (1 + np.exp(-np.clip(b + w.sum(), -35, 35))) - labels[k]
+            g *= weight[k]
+            z[i] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha * w
+            n[i] = ni + g * g
+            z0 += g - (np.sqrt(n0 + g * g) - np.sqrt(n0)) / alpha * b
+            n0 += g * g
+    return float(-z0 / ((1 + np.sqrt(n0)) / alpha)), weights(z, n, epochs)
+
+
+def _pairs(cls, rows, labels, weight, use, linear, all_terms, decay, factors, epochs, seed) -> FactorizationMachine:
+    """AdaGrad from the linear part on, over its terms of a weight or over all terms. With all terms those without a
+    weight have factors only, steps begin small, so that only factors of pairs that go on telling something grow,
+    and a long row moves its score no further than a short one."""
+    r = np.random.default_rng(seed)
+    bias, w = linear
+    kept = np.arange(len(w)) if all_terms else np.flatnonzero(w)
+    at = np.full(len(w), -1)
+    at[kept] = np.arange(len(kept))
+    model = cls(bias, kept, w[kept].copy(), r.standard_normal((len(kept), factors)) * 0.01)
+    short = {k: at[rows[k]][at[rows[k]] >= 0] for k in use}
+    sw, sv, sb, rate = np.full(len(kept), 1e-6), np.full((len(kept), factors), 1.0 if all_terms else 1e-6), 1e-6, 0.05
+    for _ in range(epochs):
+        for k in r.permutation(use):
+            p = short[k]
+            g = 1 / (1 + np.exp(-np.clip(model.raw(p), -35, 35))) - labels[k]
+            g *= weight[k]
+            sb += g * g
+            model.bias -= rate * g / np.sqrt(sb)
+            if len(p):
+                v = model.v[p]
+                slope = v.sum(0) - v
+                gw, gv = g + 1e-4 * model.w[p], g * slope + decay * v
+                sw[p] += gw * gw
+                sv[p] += gv * gv
+                told = w[kept[p]] != 0
+                model.w[p] -= told * rate * gw / np.sqrt(sw[p])
+                far = 1 + rate * float((slope * slope).sum()) if all_terms else 1.0
+                model.v[p] -= rate * gv / np.sqrt(sv[p]) / far
+    return model
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int, held_out: int, parts: int) -> tuple[list[np.ndarray], np.ndarray]:

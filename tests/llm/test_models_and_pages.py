@@ -28,6 +28,32 @@ def test_factorization_machine_learns_pairs():
     assert pair > 0.2 and at(1, 2) > 0 > max(at(1), at(2))
 
 
+def test_factorization_machine_learns_pairs_of_neutral_terms():
+    """Each of two terms is as common in both labels; only whether they come together tells."""
+    r = np.random.default_rng(4)
+    rows, labels = [], []
+    for k in range(2000):
+        a, b = k % 2, k // 2 % 2
+        noise = r.integers(10, 400, 12)
+        rows.append(np.unique(np.concatenate([noise, [1] * a, [2] * b])).astype(np.int64))
+        labels.append(float(a == b))
+    fm = tox.FactorizationMachine.fit(rows[:1600], np.array(labels[:1600]))
+    right = [(fm.raw(np.array([fm._at[x] for x in i if x in fm._at], np.int64)) > 0) == bool(y) for i, y in zip(rows[1600:], labels[1600:], strict=True)]
+    assert np.mean(right) > 0.95
+
+
+def test_rare_telling_word_keeps_its_weight_in_a_large_sample():
+    """A word that only ten of two thousand toxic rows hold and no clean one, beside common telling ones."""
+    r = np.random.default_rng(6)
+    rows, labels = [], []
+    for k in range(4000):
+        told = [5] if k % 2 and k // 2 % 200 == 0 else [1 + k // 2 % 3] if k % 2 else []
+        rows.append(np.unique(np.concatenate([r.integers(10, 2000, 12), told])).astype(np.int64))
+        labels.append(float(k % 2))
+    fm = tox.FactorizationMachine.fit(rows, np.array(labels))
+    assert 5 in fm._at and fm.raw(np.array([fm._at[5]])) > fm.bias + 0.2
+
+
 def test_pair_term_equals_the_double_sum():
     r = np.random.default_rng(2)
     fm = tox.FactorizationMachine(0.3, np.arange(6), r.random(6), r.random((6, 3)))
