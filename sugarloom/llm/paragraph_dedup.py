@@ -8,7 +8,8 @@ are the clusters: the first paragraph of each stays, the others are removals.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,11 @@ from sugarloom.llm.components import connected_components
 from sugarloom.llm.ngram_join import _bloom_hits, class_id, heads_of, id_filter
 from sugarloom.llm.setjoin import group_links, pack
 
+#: As words_of splits.
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+#: Told from the classes of lines by this, as a passage is compared to passages only.
+PASSAGE = 0x5DEECE66D1234567
+
 
 def tune_bands(similarity: float, miss: float = 0.002, most_hashes: int = 64) -> tuple[int, int]:
     """(bands, rows) with the most rows a band, so the fewest chance collisions, that misses at most `miss`."""
@@ -75,14 +81,39 @@ def paragraphs(text: str | None, least_words: int) -> Iterator[tuple[int, int, i
         at += len(line) + 1
 
 
+def _breaks(words: list[bytes], reach: int) -> np.ndarray:
+    """Words that begin a passage: where the hash of three words is below all `reach` before it and not above those
+    after it. Only the words around a place decide, so equal stretches break alike wherever they stand."""
+    h = ngram_hashes(words, 3)
+    n = len(h)
+    if len(words) <= reach:
+        return np.array([0])
+    least = np.ones(n, bool)
+    for d in range(1, min(reach, n - 1) + 1):
+        least[d:] &= h[d:] < h[:-d]
+        least[:-d] &= h[:-d] <= h[d:]
+    return np.union1d([0], np.flatnonzero(least))
+
+
+def passages(text: str | None, least_words: int) -> Iterator[tuple[None, int, int, list[bytes]]]:
+    """(None, start, end, words) of the content-defined stretches of a text across its lines, breaks at most every
+    least_words words; places in code points."""
+    found = list(WORDS.finditer(text)) if text else []
+    words = [m.group().encode("utf-8", "surrogatepass").lower() for m in found]
+    cuts = [*_breaks(words, least_words - 1).tolist(), len(words)] if words else []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b - a >= least_words:
+            yield None, found[a].start(), found[b - 1].end(), words[a:b]
+
+
 class Units:
-    """The paragraphs of some texts: places (text, number, start, end, words), distinct ascending shingle hashes, where
+    """The paragraphs, or what `cut` makes, of some texts: places (text, number, start, end, words), distinct ascending shingle hashes, where
     each paragraph's begin, and class ids. All texts are hashed in one go; windows across paragraphs fall out."""
 
-    def __init__(self, batch: list[str | None], k: int, least_words: int):
+    def __init__(self, batch: list[str | None], k: int, least_words: int, cut: Callable = paragraphs):
         self.places, words, lengths = [], [], []
         for i, text in enumerate(batch):
-            for no, start, end, own in paragraphs(text, least_words):
+            for no, start, end, own in cut(text, least_words):
                 self.places.append((i, no, start, end, len(own)))
                 words += own
                 lengths.append(len(own))
@@ -104,12 +135,21 @@ class Units:
         return self.hashes[self.starts[i] : self.starts[i] + self.sizes[i]]
 
 
-def _scan(k: int, least_words: int, bands: int, rows: int):
+def _scan(k: int, least_words: int, bands: int, rows: int, with_passages: bool):
+    def table_of(ids, u, classes, keys):
+        at, no, start, end, words = zip(*u.places, strict=True)
+        cols = [pa.array([ids[i] for i in at], pa.int64()), *(pa.array(x, pa.int64()) for x in (no, start, end, words, classes, u.sizes)), pa.array(keys, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "paragraph", "start", "end", "n_words", "cls", "size", "bands"])
+
     def run(batches):
         known: set[int] = set()
         bander = Bander(bands, rows)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
+            if with_passages:
+                u = Units(batch.column("text").to_pylist(), k, least_words, passages)
+                if u.places:
+                    yield table_of(ids, u, u.classes ^ PASSAGE, [None] * len(u.places))
             u = Units(batch.column("text").to_pylist(), k, least_words)
             if not u.places:
                 continue
@@ -125,14 +165,12 @@ def _scan(k: int, least_words: int, bands: int, rows: int):
                 starts = np.concatenate(([0], np.cumsum([len(x) for x in parts])))[:-1]
                 for i, row in zip(fresh, bander.keys(np.concatenate(parts), starts), strict=True):
                     keys[i] = row
-            at, no, start, end, words = zip(*u.places, strict=True)
-            cols = [pa.array([ids[i] for i in at], pa.int64()), *(pa.array(x, pa.int64()) for x in (no, start, end, words, u.classes, u.sizes)), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "paragraph", "start", "end", "n_words", "cls", "size", "bands"])
+            yield table_of(ids, u, u.classes, keys)
 
     return run
 
 
-def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, least_words: int = 8) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, least_words: int = 8, with_passages: bool = False) -> DataFrame:
     """docs(doc_id, text, ...) to (doc_id, paragraph, start, end, n_words, cluster, n_members, removed).
 
     One row for each paragraph that is alike (Jaccard of k-word shingles num/den or more, directly or over
@@ -140,6 +178,11 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     id of the component, the same in all its rows; removed is false for its first paragraph by (doc_id,
     paragraph). Lines of fewer than least_words words, null and empty texts have no paragraphs; the lines
     of repeated rows are members of their own. An empty table gives no rows.
+
+    with_passages adds rows with a null paragraph: content-defined stretches of the whole text that have the
+    shingles of another one, wherever their lines begin or end. A verbatim passage has such stretches
+    in it unless it is shorter than the two breaks it needs; the words before its first and after its
+    last break are in none.
     """
     if least_words < k:
         raise ValueError("a paragraph needs as many words as a shingle")
@@ -147,7 +190,7 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     bands, rows = tune_bands(num / den)
-    units = staged(docs.mapInArrow(_scan(k, least_words, bands, rows), "doc_id long, paragraph long, start long, end long, n_words long, cls long, size long, bands array<long>"), "paragraphs")
+    units = staged(docs.mapInArrow(_scan(k, least_words, bands, rows, with_passages), "doc_id long, paragraph long, start long, end long, n_words long, cls long, size long, bands array<long>"), "paragraphs")
     groups = heads_of(units.where("bands is not null").select(F.explode("bands").alias("token"), F.col("size").cast("int").alias("n"), "cls"), num, den)
     release(spark)
     members = groups.select("member").distinct()
@@ -174,14 +217,14 @@ def repeated_paragraphs(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     sets = staged(docs.select("text").mapInArrow(packed, "member long, members binary").join(members, "member", "left_semi").dropDuplicates(["member"]), "sets")
     parts = connected_components(group_links(groups, sets, num, den))
     # by class before the clusters, so that a line of a third of all rows is one row from each task
-    classes = units.groupBy("cls").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "paragraph")).alias("first"))
+    classes = units.groupBy("cls").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
     named = classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("cluster", F.coalesce("component", "cls"))
     clusters = named.groupBy("cluster").agg(F.sum("n").alias("n_members"), F.min("first").alias("first")).where("n_members > 1")
     of_class = named.select("cls", "cluster").join(clusters, "cluster")
     out = units.drop("bands", "size").join(of_class, "cls")
-    kept = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("paragraph") == F.col("first.paragraph"))
+    kept = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))
     return out.select("doc_id", "paragraph", "start", "end", "n_words", "cluster", "n_members", (~F.coalesce(kept, F.lit(False))).alias("removed"))
 
 
 def op3_paragraph_dedup(spark, sf_dir: str) -> DataFrame:
-    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return repeated_paragraphs(table(spark, sf_dir, "documents"), with_passages=True)

@@ -175,6 +175,28 @@ def test_paragraphs(docs, rows):
     assert paragraph_dedup.repeated_paragraphs(docs.limit(0)).count() == 0
 
 
+def test_passages_inside_and_across_lines(spark):
+    """A verbatim passage within a longer line, across line breaks and in short lines, none of which is alike to another."""
+    r = random.Random(12)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    common = fresh(90)
+    long = " ".join(fresh(60) + common + fresh(60))
+    across = " ".join(fresh(30) + common[:47]) + "\n" + " ".join(common[47:] + fresh(30))
+    short = "\n".join([" ".join(common[i : i + 5]) for i in range(0, 90, 5)] + [" ".join(fresh(70))])
+    df = frame(spark, [(1, long, "en", "s", 0), (2, across, "en", "s", 0), (3, short, "en", "s", 0), (4, " ".join(fresh(200)), "en", "s", 0)])
+    assert paragraph_dedup.repeated_paragraphs(df).count() == 0
+    out = paragraph_dedup.repeated_paragraphs(df, with_passages=True).collect()
+    text = {1: long, 2: across, 3: short}
+    found = collections.defaultdict(list)
+    for x in out:
+        words = text[x["doc_id"]][x["start"] : x["end"]].split()
+        assert x["paragraph"] is None and len(words) == x["n_words"] and " ".join(words) in " ".join(common)
+        found[x["cluster"]].append((x["doc_id"], x["removed"], tuple(words)))
+    for v in found.values():
+        assert len({w for _, _, w in v}) == 1 and all(gone == (i != min(v)[0]) for i, gone, _ in v)
+    assert sum(len(v[0][2]) for v in found.values() if {i for i, _, _ in v} == {1, 2, 3}) >= 30
+
+
 def test_bands_miss_few():
     bands, rows = paragraph_dedup.tune_bands(0.75)
     assert (1 - 0.75**rows) ** bands <= 0.002 < (1 - 0.75**rows) ** (bands - 1)
