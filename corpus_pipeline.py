@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sugarloom.llm.common import staged, table
 from sugarloom.llm.decontaminate import clean
 from sugarloom.llm.mixing import mix
-from sugarloom.llm.ngram_join import near_duplicates
+from sugarloom.llm.ngram_join import first_of_components
 from sugarloom.llm.pii import find_pii
 from sugarloom.llm.quality import quality
 
@@ -24,9 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; rows of one id count as one."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of near duplicates the first row by doc_id, nulls last, and text; unlike texts of one id all stay."""
+    return first_of_components(docs.select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -210,15 +210,9 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return total
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """docs(doc_id, text, ...) to (doc_id, n_shingles, component_id, n_copies).
-
-    Two documents link if the Jaccard of their sets of k-word shingles is num/den or more; component_id
-    is the smallest doc_id reachable. A document without words is linked with nothing and has
-    component_id doc_id and n_copies 1; n_copies counts the rows with the document's own set. Repeated
-    rows are kept; a null doc_id counts as larger than any other, and a set that only rows without doc_id
-    have is linked with nothing but its copies. An empty table gives no rows.
-    """
+def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, cls, n) of each row, cls null without words, and (cls, doc_id, n_copies, component) of each class: its
+    smallest doc_id and the class that its component goes by."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -249,31 +243,74 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
 
     groups = heads_of(docs.select("text").mapInArrow(prefixes, "token long, cls long, n int"), num, den, MORE)
     release(spark)
-    members = groups.select(F.col("member").alias("cls")).distinct()
-    chosen = staged(members.join(classes, "cls").select("cls", "doc_id"), "groups")
-    bloom = spark.sparkContext.broadcast(id_filter(chosen))
+    members = groups.select("member").distinct()
+    bloom = spark.sparkContext.broadcast(id_filter(members.select(F.col("member").alias("doc_id"))))
 
     def packed(batches):
+        done: set[int] = set()
         for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column("doc_id")))
-            ids = batch.column("doc_id").to_numpy()
-            keep = np.ones(len(ids), bool)
-            for at in _bloom_hits(ids):
-                keep &= (bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-            where = np.flatnonzero(keep)
-            if len(where):
-                sets = [shingles(t, k) for t in batch.column("text").take(pa.array(where)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[where]), pa.array([class_id(x) for x in sets], pa.int64()), pa.array([pack(ranked(x, ranks.value)) for x in sets], pa.binary())], names=["doc_id", "member", "members"])
-
-    sets = staged(docs.mapInArrow(packed, "doc_id long, member long, members binary").select("member", "members"), "sets")
+            ids, sets = [], []
+            for text in batch.column("text").to_pylist():
+                h = shingles(text, k)
+                if not len(h):
+                    continue
+                c = class_id(h)
+                if c in done or not all(bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 for (at,) in _bloom_hits(np.array([c]))):
+                    continue
+                if len(done) < 1_000_000:
+                    done.add(c)
+                ids.append(c)
+                sets.append(pack(ranked(h, ranks.value)))
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["member", "members"])
+
+    # a row of each class, whatever ids its documents have
+    sets = staged(docs.select("text").mapInArrow(packed, "member long, members binary").join(members, "member", "left_semi").dropDuplicates(["member"]), "sets")
     links = group_links(groups, sets, num, den)
     parts = connected_components(links)
     named = classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    return rows, named
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """docs(doc_id, text, ...) to (doc_id, n_shingles, component_id, n_copies).
+
+    Two documents link if the Jaccard of their sets of k-word shingles is num/den or more; component_id
+    is the smallest doc_id reachable. A document without words is linked with nothing and has
+    component_id doc_id and n_copies 1; n_copies counts the rows with the document's own set. Repeated
+    rows are kept; a null doc_id counts as larger than any other, links as all do, and a component of rows
+    without doc_id has a null component_id. An empty table gives no rows.
+    """
+    rows, named = _named(docs, k, num, den)
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(least, "component").select("cls", "component_id", "n_copies")
     out = rows.join(of_class, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
+def first_of_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """docs(doc_id, text, ...): of each component of near duplicates one row, the first by doc_id (nulls last) and then
+    text. Rows of one id but unlike texts are documents of their own. Of texts without words, which are linked with
+    nothing, each stays, rows of the same doc_id and text once."""
+    _, named = _named(docs, k, num, den)
+
+    def classed(batches):
+        for batch in batches:
+            sets = (shingles(t, k) for t in batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([class_id(h) if len(h) else None for h in sets], pa.int64())], names=[*batch.schema.names, "cls"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    rows = docs.mapInArrow(classed, f"{schema}, cls long")
+    # a component's first class is one that holds its smallest id, so only rows of that id can be its first
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    of_class = named.join(least, "component").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("cls", "component", "least")
+    near = rows.join(of_class, "cls").where(F.col("doc_id").cast("long").eqNullSafe(F.col("least")))
+    order = F.struct("text", *(c for c in docs.columns if c != "text"))
+    # min is combined in each task before the rows are dealt
+    first = near.groupBy("component").agg(F.min(order).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    empty = rows.where("cls is null").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return first.unionByName(empty)
+
+
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -126,6 +126,21 @@ def test_near_duplicates(docs, rows):
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_id_and_equal_ids(spark):
+    """Near-alike rows without an id link; unlike texts of one id all stay, and so do clean rows without an id."""
+    r = random.Random(21)
+    fresh = lambda: [f"w{r.randrange(10**9)}" for _ in range(80)]
+    a, b, c, d = fresh(), fresh(), fresh(), fresh()
+    near = lambda w: " ".join([*w[:-1], "other"])
+    a0, b0, c0, d0 = (" ".join(x) for x in (a, b, c, d))
+    rows = [(None, a0), (None, near(a)), (7, b0), (7, c0), (3, near(b)), (None, d0), (None, near(c)), (8, ""), (None, None)]
+    df = frame(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    got = collections.Counter((x["doc_id"], x["component_id"]) for x in ngram_join.near_duplicates(df).collect())
+    assert got == {(None, None): 4, (7, 3): 1, (7, 7): 1, (3, 3): 1, (None, 7): 1, (8, 8): 1}
+    kept = {(x["doc_id"], x["text"]) for x in ngram_join.first_of_components(df).collect()}
+    assert kept == {(None, min(a0, near(a))), (3, near(b)), (7, c0), (None, d0), (8, ""), (None, None)}
+
+
 def test_large_groups_are_linked_across_blocks(spark):
     """A group of several blocks whose head is alike to few of its members."""
     r = random.Random(8)
