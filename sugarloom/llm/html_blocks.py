@@ -32,11 +32,19 @@ VOID = frozenset("hr".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|iframe|object|noscript|template)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
+    r"|<(?P<raw>script|style|noscript|template)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<held>svg|iframe|object)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[/a-zA-Z!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+#: What an end tag of a held element can close; comments and raw text hold none.
+HELD = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template)\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<held>svg|iframe|object)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?P<empty>(?<=/))?>",
+    re.S | re.I,
+)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME_PART = re.compile(r"[a-z]+")
 
@@ -48,8 +56,26 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+def held_ends(page: str) -> dict[int, int]:
+    """Where each svg, iframe or object that has its own end tag begins, and where that tag ends."""
+    out: dict[int, int] = {}
+    begun: dict[str, list[int]] = {}
+    for m in HELD.finditer(page):
+        if m["held"] and m["empty"] is None:
+            stack = begun.setdefault(m["held"].lower(), [])
+            if not m["end"]:
+                stack.append(m.start())
+            elif stack:
+                out[stack.pop()] = m.end()
+    return out
+
+
 def blocks_of(page: str | None) -> list[Block]:
-    """The leaf blocks in page order, with white space made one space and character references decoded."""
+    """The leaf blocks in page order, with white space made one space and character references decoded.
+
+    What stands in svg, iframe and object falls out; without an end tag of its own only the tag does. A tag
+    that closes itself is empty.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
@@ -71,10 +97,15 @@ def blocks_of(page: str | None) -> list[Block]:
 
     at = 0
     page = page or ""
-    for m in TOKEN.finditer(page):
+    ends: dict[int, int] | None = None
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             text(page[at : m.start()])
         at = m.end()
+        if m["held"]:
+            ends = held_ends(page) if ends is None else ends
+            at = ends.get(m.start(), at)
+            continue
         tag = m["tag"]
         if tag is None:
             continue
@@ -120,7 +151,7 @@ def _features(page: list[Block]) -> tuple[list[np.ndarray], list[np.ndarray], np
     known: dict = {}
     for i, b in enumerate(page):
         if b.path not in known:
-            known[b.path] = _ids([*b.path[-12:], "/".join(b.path[-2:])], PATHS)
+            known[b.path] = _ids([*b.path, "/".join(b.path[-2:])], PATHS)
         split = b.text.split()
         paths.append(known[b.path])
         words.append(_ids(split, WORDS))

@@ -183,6 +183,20 @@ def test_blocks():
     assert got == [(("div", "@a", "@b"), "x <y z"), (("div", "@a", "@b", "p"), "one"), (("div", "@a", "@b", "p"), "two bold"), ((), "tail")]
 
 
+def test_held_elements_take_only_their_own_content():
+    texts = lambda html: [b.text for b in hb.blocks_of(html)]
+    assert texts('<p>a<svg class="i"/>article text</p><p>b') == ["aarticle text", "b"]
+    assert texts("<p>a</p><iframe src='x'><p>b</p><object data=y><p>c</p><svg><g>d</g></svg><p>e") == ["a", "b", "c", "e"]
+    assert texts("<p>a</p><svg><p>b</p><svg>c</svg><p>d") == ["a", "b", "d"]
+    assert texts("<object>a<object>b</object>c</object><p>d<SVG><svg/>e</SVG >f") == ["df"]
+    assert texts("<p>a<template/>b<noscript>c</noscript>d") == ["abd"]
+
+
+def test_all_names_of_a_path_are_features():
+    deep = hb._features(hb.blocks_of(f'<article class="{" ".join("abcdefghijklmno")}"><p>x'))[0][0]
+    assert set(hb._ids(["article"], hb.PATHS)) <= set(deep)
+
+
 def test_gradients_are_the_slopes_of_the_loss():
     r = random.Random(5)
     pages = [hb._features(hb.blocks_of(page(r, i)[2])) for i in range(3)]
