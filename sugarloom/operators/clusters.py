@@ -5,6 +5,7 @@ points are rows (mol_id, frame, x, y, z). Loops run for all molecules together a
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -20,30 +21,34 @@ def _gap(prefix: str) -> Column:
     return sum(((F.col(c) - F.col(prefix + c)) * (F.col(c) - F.col(prefix + c)) for c in AXES[1:]), (F.col("x") - F.col(prefix + "x")) * (F.col("x") - F.col(prefix + "x")))
 
 
-def k_centre(points: DataFrame, k: int, radius: float | None = None) -> DataFrame:
+def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> DataFrame:
     """(mol_id, frame, cluster): farthest-point centres from the smallest frame on, each point to its nearest (ties to
     the earlier centre). A molecule of k points or fewer has one cluster a point; with `radius` it stops
-    once every point is that near.
+    once every point is that near, and without k it goes on until then.
 
     The distance to the nearest centre is a column that each round lowers, so k rounds cost k passes; one
     row a molecule is gathered in each.
     """
+    if k is None and not radius:
+        raise ValueError("without k a radius above 0 is needed")
     p = points.select("mol_id", "frame", *AXES)
     order = W.partitionBy("mol_id").orderBy("frame")
     first = p.groupBy("mol_id").agg(F.min_by(F.struct(*AXES), "frame").alias("c"))
     at = lambda df: df.select("mol_id", *(F.col(f"c.{x}").alias("c" + x) for x in AXES))
     state = p.join(at(first), "mol_id").withColumn("d2", _gap("c")).withColumn("cluster", F.lit(0)).select("mol_id", "frame", *AXES, "d2", "cluster")
-    for i in range(1, k):
-        far = state.groupBy("mol_id").agg(F.max_by(F.struct(*AXES), F.struct("d2", -F.col("frame"))).alias("c"), F.max("d2").alias("most"))
+    for i in itertools.count(1) if k is None else range(1, k):
+        far = (state if k is not None else state.where(~F.isnan("d2"))).groupBy("mol_id").agg(F.max_by(F.struct(*AXES), F.struct("d2", -F.col("frame"))).alias("c"), F.max("d2").alias("most"))
         far = far.where(F.col("most") > (0.0 if radius is None else radius * radius))
+        if k is None:
+            far = staged(far, "far")
+            if far.isEmpty():
+                break
         new = state.join(at(far), "mol_id", "left").withColumn("new", _gap("c"))
         closer = F.col("new") < F.col("d2")
         state = new.select("mol_id", "frame", *AXES, F.when(closer, F.col("new")).otherwise(F.col("d2")).alias("d2"), F.when(closer, F.lit(i)).otherwise(F.col("cluster")).alias("cluster"))
         if i % 8 == 0:  # plans grow with the rounds, so they are cut
             state = staged(state, "kcentre")
-    small = F.count("*").over(W.partitionBy("mol_id")) <= k
-    if radius is not None:
-        small = F.lit(False)
+    small = F.lit(False) if radius is not None else F.count("*").over(W.partitionBy("mol_id")) <= k
     return state.select("mol_id", "frame", F.when(small, F.row_number().over(order) - 1).otherwise(F.col("cluster")).alias("cluster"))
 
 
@@ -94,20 +99,17 @@ def densest_member(points: DataFrame, labels: DataFrame, bandwidth: Column | Non
     return best
 
 
-def density_mode(points: DataFrame, labels: DataFrame, rounds: int = 20, most: int = 5000) -> DataFrame:
+def density_mode(points: DataFrame, labels: DataFrame, rounds: int = 20) -> DataFrame:
     """(mol_id, cluster, frame): the member nearest to the mode that mean shift reaches from the cluster's mean.
 
-    Clusters of fewer than five members give their first frame. A cluster of more than `most` members moves
-    over a hash sample of that size; the member is looked for among all.
+    Clusters of fewer than five members give their first frame. Each round is one sum over all members.
     """
-    p = points.join(labels, ["mol_id", "frame"]).select("mol_id", "cluster", "frame", *AXES)
-    rank = F.row_number().over(W.partitionBy("mol_id", "cluster").orderBy(F.xxhash64("frame"), "frame"))
-    sample = staged(p.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r"), "mode")
+    p = staged(points.join(labels, ["mol_id", "frame"]).select("mol_id", "cluster", "frame", *AXES), "mode")
     sd = sum((F.coalesce(F.stddev_samp(a), F.lit(0.0)) for a in AXES[1:]), F.coalesce(F.stddev_samp("x"), F.lit(0.0))) / 3
-    at = sample.groupBy("mol_id", "cluster").agg(*(F.avg(a).alias("c" + a) for a in AXES), F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9)).alias("h"))
+    at = p.groupBy("mol_id", "cluster").agg(*(F.avg(a).alias("c" + a) for a in AXES), F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9)).alias("h"))
     for i in range(rounds):
         w = F.exp(-_gap("c") / (2 * F.col("h") * F.col("h")))
-        moved = sample.join(at, ["mol_id", "cluster"]).withColumn("w", w).groupBy("mol_id", "cluster", "h").agg(*((F.sum(F.col("w") * F.col(a)) / F.sum("w")).alias("c" + a) for a in AXES))
+        moved = p.join(at, ["mol_id", "cluster"]).withColumn("w", w).groupBy("mol_id", "cluster", "h").agg(*((F.sum(F.col("w") * F.col(a)) / F.sum("w")).alias("c" + a) for a in AXES))
         at = staged(moved, "mode") if i % 5 == 4 else moved
     found = p.join(at, ["mol_id", "cluster"]).groupBy("mol_id", "cluster").agg(F.count("*").alias("n"), F.min("frame").alias("first"), F.min_by("frame", F.struct(_gap("c"), F.col("frame"))).alias("near"))
     return found.select("mol_id", "cluster", F.when(F.col("n") < 5, F.col("first")).otherwise(F.col("near")).alias("frame"))

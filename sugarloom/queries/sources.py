@@ -113,5 +113,5 @@ def analysis_documents(spark, d):
 @query(None)
 def covered_clusters(spark, d):
     """Centres placed until every point lies within a radius, and how many each molecule took."""
-    c = clusters.k_centre(shape.points(spark, d), 24, radius=0.35)
+    c = clusters.k_centre(shape.points(spark, d), None, radius=0.35)
     return c.groupBy("mol_id").agg(F.countDistinct("cluster").alias("clusters"))

@@ -74,6 +74,27 @@ def test_k_centre_radius_never_grows(spark):
     assert {x["cluster"] for x in clusters.k_centre(df.limit(4), 9).collect()} == {0, 1, 2, 3}
 
 
+def test_centres_go_on_until_all_points_are_covered(spark):
+    """Forty points farther apart than the radius, beside a molecule that needs one centre."""
+    rows = [(0, i, float(i), 0.0, 0.0) for i in range(40)] + [(1, i, 0.01 * i, 0.0, 0.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "mol_id long, frame long, x double, y double, z double")
+    own = clusters.k_centre(df, None, radius=0.35).collect()
+    assert len({x["cluster"] for x in own if x["mol_id"] == 0}) == 40 and {x["cluster"] for x in own if x["mol_id"] == 1} == {0}
+
+
+def test_mode_moves_over_all_members(spark):
+    """Six thousand members: the mode is the plain mean shift's over all of them."""
+    r = np.random.default_rng(3)
+    xyz = np.concatenate([r.normal(0, 1, (3300, 3)), r.normal(2.2, 0.8, (2700, 3))])
+    df = spark.createDataFrame([(0, i, *map(float, v)) for i, v in enumerate(xyz)], "mol_id long, frame long, x double, y double, z double")
+    got = clusters.density_mode(df, df.selectExpr("mol_id", "frame", "0 AS cluster"), rounds=5).collect()
+    h, c = len(xyz) ** (-1 / 7) * xyz.std(0, ddof=1).mean(), xyz.mean(0)
+    for _ in range(5):
+        w = np.exp(-((xyz - c) ** 2).sum(1) / (2 * h * h))
+        c = (w[:, None] * xyz).sum(0) / w.sum()
+    assert [x["frame"] for x in got] == [int(((xyz - c) ** 2).sum(1).argmin())]
+
+
 def test_mixture_finds_three_blobs(spark):
     rows, df = points(spark, 150, mols=1)
     far = df.select("mol_id", "frame", *((F.col(c) + 20 * (F.col("frame") % 3)).alias(c) for c in "xyz"))
