@@ -7,6 +7,8 @@ matched with Myers' bit-parallel edit distance.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sugarloom.llm.common import small_batches, table, words_of
 
-#: Bytes that every piece has at least, and that are looked up at each place of a text.
+#: First bytes of a piece that are looked up at each place of a text; all of a shorter piece.
 GRAM = 8
 #: Text of items held in memory at a time; a larger benchmark goes in blocks of this size.
 BLOCK_BYTES = 32 << 20
@@ -28,8 +30,8 @@ def normalised(text: str | None) -> bytes:
 
 
 def errors_allowed(length: int, rate: float) -> int:
-    """rate times the length, but pieces keep GRAM bytes."""
-    return max(0, min(int(rate * length), length // GRAM - 1))
+    """rate times the length, less than one error a byte."""
+    return max(0, min(int(rate * length), length - 1))
 
 
 def pieces_of(item: bytes, errors: int) -> list[tuple[int, bytes]]:
@@ -73,72 +75,84 @@ def best_match(item: bytes, window: bytes) -> tuple[int, int, int]:
 
 
 def _grams(raw: bytes) -> np.ndarray:
-    """The GRAM bytes at each place as one number."""
-    return np.ndarray((len(raw) - GRAM + 1,), "<u8", raw, strides=(1,)) if len(raw) >= GRAM else np.empty(0, np.uint64)
+    """The GRAM bytes from each place on as one number, zeros after the end."""
+    return np.ndarray((len(raw),), "<u8", raw + b"\0" * GRAM, strides=(1,)) if raw else np.empty(0, np.uint64)
+
+
+def _in_word(byte: int) -> bool:
+    return byte >= 128 or chr(byte).isalnum()
+
+
+def stands_alone(raw: bytes, start: int, end: int) -> bool:
+    """Whether raw[start:end] begins and ends at the edge of a word."""
+    left = start == 0 or not (_in_word(raw[start - 1]) and _in_word(raw[start]))
+    return left and (end == len(raw) or not (_in_word(raw[end - 1]) and _in_word(raw[end])))
 
 
 class ItemIndex:
-    """The pieces of a block of items by their first bytes; items shorter than GRAM stand apart."""
+    """The pieces of a block of items by their first bytes, a table for each number of bytes up to GRAM."""
 
     def __init__(self, items: list[tuple[object, str]], rate: float):
-        self.items, self.short, firsts = [], [], []
+        self.items: list[tuple[object, bytes, int]] = []
+        self.tables: dict[int, dict[int, list[tuple[int, int, bytes]]]] = {}
         for item_id, text in items:
             raw = normalised(text)
             if not raw:
                 continue
-            if len(raw) < GRAM:
-                self.short.append((item_id, raw))
-                continue
             errors = errors_allowed(len(raw), rate)
             at = len(self.items)
             self.items.append((item_id, raw, errors))
-            firsts += [(int.from_bytes(p[:GRAM], "little"), at, offset, p) for offset, p in pieces_of(raw, errors)]
-        self.pieces: dict[int, list[tuple[int, int, bytes]]] = {}
-        for gram, at, offset, piece in firsts:
-            self.pieces.setdefault(gram, []).append((at, offset, piece))
-        self.flags = np.zeros(1 << _TABLE_BITS, bool)
-        if firsts:
-            grams = np.array(sorted(self.pieces), np.uint64)
-            self.flags[grams * _MIX >> np.uint64(64 - _TABLE_BITS)] = True
+            for offset, p in pieces_of(raw, errors):
+                table_ = self.tables.setdefault(min(GRAM, len(p)), {})
+                table_.setdefault(int.from_bytes(p[:GRAM], "little"), []).append((at, offset, p))
+        self.flags: dict[int, np.ndarray] = {}
+        for size, table_ in self.tables.items():
+            flags = self.flags[size] = np.zeros(1 << _TABLE_BITS, bool)
+            flags[np.array(sorted(table_), np.uint64) * _MIX >> np.uint64(64 - _TABLE_BITS)] = True
+
+    def _hits(self, raw: bytes):
+        """(place in raw, item, offset in the item, piece) of the pieces that stand in raw."""
+        grams = _grams(raw)
+        for size, table_ in self.tables.items():
+            own = grams & np.uint64((1 << 8 * size) - 1)
+            for at in np.flatnonzero(self.flags[size][own * _MIX >> np.uint64(64 - _TABLE_BITS)]).tolist():
+                for k, offset, piece in table_.get(int(own[at]), ()):
+                    if raw[at : at + len(piece)] == piece:
+                        yield at, k, offset
 
     def matches(self, text: str | None) -> list[tuple[object, int, int, int, int]]:
         """(item_id, distance, errors allowed, start, end) of the best match of each item within its errors."""
         raw = normalised(text)
         found: dict[int, tuple[int, int, int]] = {}
         looked: dict[int, list[tuple[int, int]]] = {}
-        grams = _grams(raw)
-        for at in np.flatnonzero(self.flags[grams * _MIX >> np.uint64(64 - _TABLE_BITS)]).tolist() if len(grams) else ():
-            for k, offset, piece in self.pieces.get(int(grams[at]), ()):
-                if raw[at : at + len(piece)] != piece:
-                    continue
-                _, item, errors = self.items[k]
-                if k in found and found[k][0] == 0:
-                    continue
-                if raw[max(0, at - offset) : at - offset + len(item)] == item and at >= offset:
-                    found[k] = (0, at - offset, at - offset + len(item))
-                    continue
-                lo, hi = max(0, at - offset - errors), min(len(raw), at - offset + len(item) + errors)
-                if any(a <= lo and hi <= b for a, b in looked.get(k, ())):
-                    continue
-                looked.setdefault(k, []).append((lo, hi))
-                distance, start, end = best_match(item, raw[lo:hi])
-                if distance <= errors and (k not in found or distance < found[k][0]):
-                    found[k] = (distance, lo + start, lo + end)
+        for at, k, offset in self._hits(raw):
+            _, item, errors = self.items[k]
+            start, end = at - offset, at - offset + len(item)
+            if start >= 0 and raw[start:end] == item:
+                if (errors or stands_alone(raw, start, end)) and (k not in found or (0, start) < found[k][:2]):
+                    found[k] = (0, start, end)
+                continue
+            if not errors or k in found and found[k][0] == 0:
+                continue
+            lo, hi = max(0, start - errors), min(len(raw), end + errors)
+            if any(a <= lo and hi <= b for a, b in looked.get(k, ())):
+                continue
+            looked.setdefault(k, []).append((lo, hi))
+            distance, a, b = best_match(item, raw[lo:hi])
+            if distance <= errors and (k not in found or (distance, lo + a) < found[k][:2]):
+                found[k] = (distance, lo + a, lo + b)
         out = [(self.items[k][0], d, self.items[k][2], a, b) for k, (d, a, b) in found.items()]
-        for item_id, item in self.short:
-            at = (b" " + raw + b" ").find(b" " + item + b" ")
-            if at >= 0:
-                out.append((item_id, 0, 0, at, at + len(item)))
         return sorted(out, key=lambda x: (x[3], str(x[0])))
 
 
-def _item_blocks(benchmark: DataFrame) -> list[list[tuple[object, str]]]:
-    """The items in blocks of bounded size; the usual benchmark is one block."""
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
+    """The items in blocks of bounded size, one at a time; the usual benchmark is one block."""
+    items = benchmark.where("text is not null").select("item_id", "text").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = -(-total // BLOCK_BYTES) or 1
-    part = lambda i: items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
-    return [sorted(((r["item_id"], r["text"]) for r in part(i).collect()), key=lambda x: (str(x[0]), x[1])) for i in range(blocks)]
+    for i in range(blocks):
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
+        yield sorted(((r["item_id"], r["text"]) for r in own.collect()), key=lambda x: (str(x[0]), x[1]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> DataFrame:
@@ -146,10 +160,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> D
 
     One row for each document and item that occurs in it with at most `rate` errors a byte of the item,
     both lower-cased and with words parted by one space; start and end are bytes of the document so
-    written, n_bytes its length. The whole text is searched. A piece has 8 bytes at least, which bounds
-    the errors of short items; one of under 8 bytes must stand as words of its own. Null and empty texts
-    and items match nothing; repeated documents match each; either table may be empty. Each block of
-    the benchmark is held against all documents.
+    written, n_bytes its length. The whole text is searched. Of equally good matches the first counts. An item
+    too short for an error (under 1/rate bytes) must begin and end at the edge of a word. Null and empty
+    texts and items match nothing, a null doc_id or item_id stays null; repeated documents match each;
+    either table may be empty; other columns, whatever their names, are not read. The benchmark, a
+    stated query set, is held against all documents in blocks of at most BLOCK_BYTES, a pass each.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -178,10 +193,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> D
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> DataFrame:
-    """The rows of docs that hold no item; a null doc_id stays. The ids of the others are few and are
-    joined by Spark's choice."""
-    bad = contaminated(docs, benchmark, rate).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs(text, ...) that hold no item, with all their columns.
+
+    Each row is judged by its own text, so rows of a null or repeated doc_id stay or go by themselves. Null
+    and empty texts stay; either table may be empty. Nothing is shuffled.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    for block in _item_blocks(benchmark):
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            index = ItemIndex(shared.value, rate)
+            for batch in batches:
+                yield batch.filter(pa.array([not index.matches(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sugarloom.llm import decontaminate as dec
 from sugarloom.llm import elias_fano as ef
@@ -248,9 +249,9 @@ def test_decontamination(spark, docs, rows):
         raw = dec.normalised(t)
         for k, item in items:
             p = dec.normalised(item)
-            if len(p) >= 8 and (d := edits(p, raw)) <= dec.errors_allowed(len(p), 0.08):
+            if len(p) >= 13 and (d := edits(p, raw)) <= dec.errors_allowed(len(p), 0.08):
                 want.add((i, k, d))
-            if 0 < len(p) < 8 and p in raw.split():
+            if 0 < len(p) < 13 and p in raw.split():
                 want.add((i, k, 0))
     assert got == want and {k for _, k, _ in want} >= {1, 6}
     assert dec.contaminated(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
@@ -258,6 +259,33 @@ def test_decontamination(spark, docs, rows):
     assert sorted(left) == sorted(i for i, *_ in rows if i not in {x[0] for x in want})
 
 
+def test_short_items_keep_their_budget_and_ties_take_the_first_place(spark):
+    match = lambda item, text: dec.ItemIndex([(1, item)], 0.08).matches(text)
+    assert [x[1:3] for x in match("thirteen byte", "a thirXeen byte b")] == [(1, 1)]
+    assert match("thirteen byte", "a thirXXen byte b") == []
+    assert match("cat", "the cat.") == [(1, 0, 0, 4, 7)] and match("cat", "concatenate") == []
+    # the same distance at two places: the first
+    assert match("some twenty-odd bytes, one", "some twenty-odd byteX, one x some twenty-odd bytesX one")[0][3] == 0
+    r = random.Random(4)
+    for _ in range(300):
+        item = "".join(r.choices("abcd ", k=r.randint(13, 40))).strip()
+        text = "".join(r.choices("abcd ", k=60)) + item[:7] + "x" + item[8:] + "".join(r.choices("abcd ", k=60))
+        p, raw = dec.normalised(item), dec.normalised(text)
+        best = edits(p, raw)
+        allowed = dec.errors_allowed(len(p), 0.08)
+        assert [x[1] for x in match(item, text)] == ([best] if best <= allowed and allowed else [x[1] for x in match(item, text)])
+
+
+def test_cleaning_judges_each_row(spark):
+    bad = "Which of these rivers is the longest one of them all?"
+    docs = spark.createDataFrame([(1, "text with " + bad, 7), (1, "another text of that id", 7), (None, bad, 8), (None, "clean", 9), (2, None, 7), (2, "", 7), (2, "", 7)], "doc_id long, text string, distance int")
+    items = spark.createDataFrame([(None, bad), (3, None)], "item_id long, text string")
+    left = sorted((x["doc_id"] or 0, x["text"] or "", x["distance"]) for x in dec.clean(docs, items).collect())
+    assert left == [(0, "clean", 9), (1, "another text of that id", 7), (2, "", 7), (2, "", 7), (2, "", 7)]
+    assert [(x["doc_id"], x["item_id"]) for x in dec.contaminated(docs, items).orderBy(F.col("doc_id").asc_nulls_last()).collect()] == [(1, None), (None, None)]
+    assert dec.clean(docs.limit(0), items).count() == 0
+
+
 PII_TEXTS = [
     (1, "Write to ann.lee@mail.example.com or bob@x and c@d.e, now."),
     (2, "Hosts 10.0.0.1, 300.1.1.1, 1.2.3.4.5.6.7.8 and 256.1.2.3"),
