@@ -25,6 +25,8 @@ from sugarloom.llm.components import connected_components
 from sugarloom.llm.setjoin import group_links, pack
 
 SKETCH_BITS, SLICE_BITS, BLOOM_BITS = 24, 17, 24
+#: Tasks that each merge a part of what is counted into one slice of the sketch, or of a filter.
+MERGERS = 16
 #: Bits of a sort key that hold the frequency rank.
 RANK_BITS = 6
 #: Hundredths of a set that its prefix is longer, so that chance hits on few tokens fall out.
@@ -98,7 +100,10 @@ def frequency_ranks(slices: DataFrame) -> np.ndarray:
     What comes to the driver is the sketch, whose size is fixed.
     """
     unpack = zstandard.ZstdDecompressor()
-    summed = slices.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary")
+    # first some tasks a slice, so that no task merges what all others have counted
+    parts = slices.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(MERGERS))).repartition("slice", "salt").sortWithinPartitions("slice")
+    halves = parts.select("slice", "counts").mapInArrow(_sum_slices, "slice int, counts binary")
+    summed = halves.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary")
     packed = {r["slice"]: bytes(r["counts"]) for r in summed.toLocalIterator()}
     read = lambda raw: np.frombuffer(unpack.decompress(raw), np.uint32)
     mean = max(1.0, sum(int(read(x).sum(dtype=np.uint64)) for x in packed.values()) / (1 << SKETCH_BITS))
@@ -129,23 +134,12 @@ def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame
     The classes of a token are taken by size. Where the next is larger than den/num times the last, no
     pair across that gap can be alike, so a new group begins; its first class is its head. A class that
     shares fewer tokens with others than `shared_at_least` is alike to none and falls out, and so do groups
-    of one. Only a token's current group is remembered, whatever the token's number of rows.
+    of one. Only a token's current group is remembered, whatever the token's number of rows. A row is made for
+    each token that a head and a member share, in whatever task; Spark counts them by pair.
     """
 
     def run(batches):
         last: tuple | None = None  # token, size, head, the head's size, class, whether the head has company
-        tokens: dict[tuple[int, int, int], int] = {}
-
-        def rows():
-            h, m, n = zip(*tokens, strict=True)
-            out = pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(m, pa.int64()), pa.array(n, pa.int32()), pa.array(tokens.values(), pa.int64())], names=["head", "member", "n", "tokens"])
-            tokens.clear()
-            return out
-
-        def add(h, m, n):
-            for key in zip(h.tolist(), m.tolist(), n.tolist(), strict=True):
-                tokens[key] = tokens.get(key, 0) + 1
-
         for batch in batches:
             token, n, cls = (batch.column(x).to_numpy() for x in ("token", "n", "cls"))
             if not len(token):
@@ -163,24 +157,21 @@ def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame
             if at[0] < 0:
                 heads[at < 0], sizes[at < 0] = last[2], last[3]
             follow = ~new & ~twice & (heads != cls)
-            add(heads[follow], cls[follow], n[follow])
             # the head's own token counts once for each group that has a second class
             run_id = at[follow]
             first = np.append(True, run_id[1:] != run_id[:-1]) if len(run_id) else np.empty(0, bool)
             own = np.flatnonzero(follow)[first]
             if len(own) and at[own[0]] < 0 and last is not None and last[5]:
                 own = own[1:]  # it was counted in the batch before
-            add(heads[own], heads[own], sizes[own])
+            rows = [np.concatenate(x) for x in ((heads[follow], heads[own]), (cls[follow], heads[own]), (n[follow], sizes[own]))]
             open_ = bool(follow[at == at[-1]].any()) or (at[-1] < 0 and last is not None and last[5])
             last = (int(token[-1]), int(n[-1]), int(heads[-1]), int(sizes[-1]), int(cls[-1]), open_)
-            if len(tokens) > 200_000:
-                yield rows()
-        if tokens:
-            yield rows()
+            if len(rows[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32())], names=["head", "member", "n"])
 
     small_batches(entries.sparkSession, 20_000)
     ordered = entries.select("token", "n", "cls").repartition("token").sortWithinPartitions("token", "n", "cls")
-    found = staged(ordered.mapInArrow(run, "head long, member long, n int, tokens long").groupBy("head", "member", "n").agg(F.sum("tokens").alias("tokens")), "groups")
+    found = staged(ordered.mapInArrow(run, "head long, member long, n int").groupBy("head", "member", "n").agg(F.count("*").alias("tokens")), "groups")
     small_batches(entries.sparkSession)
     able = found.groupBy("member", "n").agg(F.sum("tokens").alias("tokens")).where(F.col("tokens") >= shared_at_least(F.col("n"), num, den, more)).select("member")
     kept = found.join(able, "member", "left_semi").select("head", "member", "n")
@@ -194,25 +185,42 @@ def _bloom_hits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over a column `doc_id`, built where the rows are."""
+    """A Bloom filter of fixed size over a column `doc_id`, built where the rows are and merged by slices: the driver gets
+    each slice once, however many tasks there are."""
+    slice_bytes = 1 << (SLICE_BITS - 3)
+
+    def rows(flags: dict[int, np.ndarray]):
+        packer = zstandard.ZstdCompressor(level=1)
+        for at, part in flags.items():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "flags": pa.array([packer.compress(part.tobytes())], pa.binary())})
 
-    def part(batches):
+    def build(batches):
         flags = np.zeros(1 << BLOOM_BITS, bool)
         for batch in batches:
             for at in _bloom_hits(batch.column("doc_id").to_numpy()):
                 flags[at] = True
-        raw = zstandard.ZstdCompressor(level=1).compress(np.packbits(flags).tobytes())
-        yield pa.RecordBatch.from_pydict({"flags": pa.array([raw], pa.binary())})
+        packed = np.packbits(flags).reshape(-1, slice_bytes)
+        yield from rows({at: part for at, part in enumerate(packed) if part.any()})
 
-    total = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
-    for r in ids.select("doc_id").mapInArrow(part, "flags binary").toLocalIterator():
-        total |= np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["flags"])), np.uint8)
-    return total
+    def merge(batches):
+        flags: dict[int, np.ndarray] = {}
+        for at, raw in texts(batches, "slice", "flags"):
+            part = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+            flags[at] = flags[at] | part if at in flags else part
+        yield from rows(flags)
+
+    kind = "slice int, flags binary"
+    parts = ids.select("doc_id").mapInArrow(build, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(MERGERS))).repartition("slice", "salt")
+    merged = parts.select("slice", "flags").mapInArrow(merge, kind).repartition("slice").mapInArrow(merge, kind)
+    total = np.zeros((1 << (BLOOM_BITS - SLICE_BITS), slice_bytes), np.uint8)
+    for r in merged.toLocalIterator():
+        total[r["slice"]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["flags"])), np.uint8)
+    return total.reshape(-1)
 
 
 def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, cls, n) of each row, cls null without words, and (cls, doc_id, n_copies, component) of each class: its
-    smallest doc_id and the class that its component goes by."""
+    smallest doc_id and the class that its component goes by, null if it has no links."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -268,8 +276,22 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     sets = staged(docs.select("text").mapInArrow(packed, "member long, members binary").join(members, "member", "left_semi").dropDuplicates(["member"]), "sets")
     links = group_links(groups, sets, num, den)
     parts = connected_components(links)
-    named = classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    return rows, named
+    return rows, classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left")
+
+
+def per_group(rows: DataFrame, key: str, of: str, *sums: Column) -> DataFrame:
+    """rows with sums over the rows of their key. The sums are combined in each task, and a key's rows are dealt over
+    MERGERS tasks by the column `of`, as one key can hold much of the corpus."""
+    totals = rows.groupBy(key).agg(*sums).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(MERGERS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(of), F.lit(MERGERS)).cast("int")).join(totals, [key, "salt"]).drop("salt")
+
+
+def with_least(named: DataFrame) -> DataFrame:
+    """named(cls, doc_id, n_copies, component or null) with `least`, the smallest doc_id of the class's component; a class
+    of no component is its own."""
+    linked = per_group(named.where("component is not null"), "component", "cls", F.min("doc_id").alias("least"))
+    alone = named.where("component is null").withColumn("component", F.col("cls")).withColumn("least", F.col("doc_id"))
+    return linked.unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
@@ -282,8 +304,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     without doc_id has a null component_id. An empty table gives no rows.
     """
     rows, named = _named(docs, k, num, den)
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(least, "component").select("cls", "component_id", "n_copies")
+    of_class = with_least(named).select("cls", F.col("least").alias("component_id"), "n_copies")
     out = rows.join(of_class, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
@@ -302,8 +323,7 @@ def first_of_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     rows = docs.mapInArrow(classed, f"{schema}, cls long")
     # a component's first class is one that holds its smallest id, so only rows of that id can be its first
-    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
-    of_class = named.join(least, "component").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("cls", "component", "least")
+    of_class = with_least(named).where(F.col("doc_id").eqNullSafe(F.col("least"))).select("cls", "component", "least")
     near = rows.join(of_class, "cls").where(F.col("doc_id").cast("long").eqNullSafe(F.col("least")))
     order = F.struct("text", *(c for c in docs.columns if c != "text"))
     # min is combined in each task before the rows are dealt

@@ -169,48 +169,80 @@ def test_trie_finds_what_pairs_find():
     assert up == want
 
 
-def test_paragraphs(docs, rows):
-    units = collections.defaultdict(list)
-    seen = []
-    for row, (i, text, *_) in enumerate(rows):
-        for no, line in enumerate((text or "").split("\n")):
-            if len(line.encode().split()) >= 8:
-                seen.append((row, i, no, shingle_set(line)))
-    of = components(range(len(seen)), lambda a, b: jaccard(seen[a][3], seen[b][3]))
-    for u, root in of.items():
-        units[root].append(seen[u][1:3])
-    want = sorted(tuple(sorted(v)) for v in units.values() if len(v) > 1)
+def shared_windows(rows, n=50):
+    """Plain version: of each (doc_id, text) the starts of n-word windows that another document has."""
+    docs = {(i, t): (t or "").encode().lower().split() for i, t, *_ in rows}
+    holders = collections.defaultdict(set)
+    for d, w in docs.items():
+        for at in range(len(w) - n + 1):
+            holders[tuple(w[at : at + n])].add(d)
+    return {d: [at for at in range(len(w) - n + 1) if len(holders[tuple(w[at : at + n])]) > 1] for d, w in docs.items()}
+
+
+def test_paragraphs_of_plain_texts():
+    texts = ["one two  three\nfour é six seven", "", None, " \n x", "a " * 40]
+    w = paragraph_dedup.Words(texts)
+    for i, t in enumerate(texts):
+        own = np.flatnonzero(w.text == i)
+        assert [t[a:b] for a, b in zip(w.start[own], w.end[own], strict=True)] == (t or "").split()
+        assert [w.words[x].decode() for x in own] == (t or "").lower().split()
+    r = random.Random(5)
+    words = [f"w{r.randrange(10**6)}" for _ in range(3000)]
+    # a piece depends on the words around it only
+    cut = lambda ws: {tuple(ws[a:b]) for a, b in (lambda c: zip(c, [*c[1:], len(ws)]))(paragraph_dedup.Words([" ".join(ws)]).pieces(6).tolist())}  # noqa: E731, B905
+    whole, part = cut(words), cut(words[1000:2000])
+    assert len(part - whole) <= 3 and all(len(x) > 6 for x in list(part & whole)) and 50 < len(part) < 110
+
+
+def test_repeated_passages(spark, docs, rows):
     got = collections.defaultdict(list)
-    out = paragraph_dedup.repeated_paragraphs(docs).collect()
-    for x in out:
-        got[x["cluster"]].append((x["doc_id"], x["paragraph"]))
-        line = next(t for i, t, *_ in rows if i == x["doc_id"])[x["start"] : x["end"]]
-        assert "\n" not in line and len(line.split()) == x["n_words"]
-    assert sorted(tuple(sorted(v)) for v in got.values()) == want
-    assert all(x["removed"] == ((x["doc_id"], x["paragraph"]) != min(got[x["cluster"]])) for x in out)
-    assert paragraph_dedup.repeated_paragraphs(docs.limit(0)).count() == 0
+    for x in paragraph_dedup.repeated_passages(docs).collect():
+        text = next(t for i, t, *_ in rows if i == x["doc_id"])
+        assert len(text[x["start"] : x["end"]].split()) == x["n_words"] >= 50
+        got[x["doc_id"]].append(x)
+    want = {i for (i, t), v in shared_windows(rows).items() if v}
+    assert want <= set(got)
+    # anything else is a line alike to another
+    lines = [(i, shingle_set(line)) for i, t, *_ in rows for line in (t or "").split("\n") if len(line.split()) >= 50]
+    assert set(got) - want <= {i for i, s in lines for j, z in lines if i != j and jaccard(s, z)}
+    assert paragraph_dedup.repeated_passages(docs.limit(0)).count() == 0
 
 
-def test_passages_inside_and_across_lines(spark):
-    """A verbatim passage within a longer line, across line breaks and in short lines, none of which is alike to another."""
+def test_passages_inside_longer_lines(spark):
+    """Passages of 51 to 90 words within longer lines, across lines and in short lines; short lines that repeat are none."""
     r = random.Random(12)
     fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
-    common = fresh(90)
-    long = " ".join(fresh(60) + common + fresh(60))
-    across = " ".join(fresh(30) + common[:47]) + "\n" + " ".join(common[47:] + fresh(30))
-    short = "\n".join([" ".join(common[i : i + 5]) for i in range(0, 90, 5)] + [" ".join(fresh(70))])
-    df = frame(spark, [(1, long, "en", "s", 0), (2, across, "en", "s", 0), (3, short, "en", "s", 0), (4, " ".join(fresh(200)), "en", "s", 0)])
-    assert paragraph_dedup.repeated_paragraphs(df).count() == 0
-    out = paragraph_dedup.repeated_paragraphs(df, with_passages=True).collect()
-    text = {1: long, 2: across, 3: short}
+    rows, planted = [], {}
+    common = ["All rights of this line are reserved by its owners here.", "Read more about it in the notes below, or write to us today."]
+    for i in range(60):
+        passage = fresh(r.randint(51, 90))
+        for copy in range(2):
+            words = fresh(r.randint(5, 80)) + passage + fresh(r.randint(5, 80))
+            if copy and i % 3 == 1:  # broken into short lines
+                text = "\n".join(" ".join(words[x : x + 5]) for x in range(0, len(words), 5))
+            elif copy and i % 3 == 2:
+                text = " ".join(words).upper().replace(passage[20].upper(), passage[20].upper() + "\n\n ")
+            else:
+                text = " ".join(words)
+            planted[len(rows)] = " ".join(passage)
+            rows.append((len(rows), text, "en", "s", 0))
+    for _ in range(40):
+        rows.append((len(rows), "\n".join([common[0], " ".join(fresh(30)), common[1], " ".join(fresh(45)), common[0]]), "en", "s", 0))
+    rows.append((None, " ".join(fresh(60)), "en", "s", 0))
+    own = " ".join(fresh(70))  # repeats in its own document only, whose row is there twice
+    rows += [(500, own + "\n" + own, "en", "s", 0)] * 2
+    out = paragraph_dedup.repeated_passages(frame(spark, rows).withColumn("cluster", F.lit("x"))).collect()
     found = collections.defaultdict(list)
     for x in out:
-        words = text[x["doc_id"]][x["start"] : x["end"]].split()
-        assert x["paragraph"] is None and len(words) == x["n_words"] and " ".join(words) in " ".join(common)
-        found[x["cluster"]].append((x["doc_id"], x["removed"], tuple(words)))
-    for v in found.values():
-        assert len({w for _, _, w in v}) == 1 and all(gone == (i != min(v)[0]) for i, gone, _ in v)
-    assert sum(len(v[0][2]) for v in found.values() if {i for i, _, _ in v} == {1, 2, 3}) >= 30
+        found[x["doc_id"]].append(" ".join(rows[x["doc_id"]][1][x["start"] : x["end"]].lower().split()))
+        assert x["removed"] == (x["doc_id"] % 2 == 1)
+    assert set(found) <= set(planted) and len(found) >= 0.95 * len(planted)
+    # to the word, but where the whole lines are alike
+    odd = {i: v for i, v in found.items() if v != [planted[i]]}
+    assert all(len(v) == 1 and planted[i] in v[0] for i, v in odd.items()), [(i, len(planted[i].split()), [(len(x.split()), planted[i].find(x)) for x in v]) for i, v in odd.items()]
+    assert len(odd) < 30
+    nulls = [(None, own, "en", "s", 0), (None, own + " x", "en", "s", 0), (None, None, None, None, None), (1, "", "en", "s", 0)]
+    assert sorted(x["removed"] for x in paragraph_dedup.repeated_passages(frame(spark, nulls)).collect()) == [False, True]
 
 
 def test_bands_miss_few():
