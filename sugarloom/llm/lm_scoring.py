@@ -6,9 +6,13 @@ child is stored by its rank among the words seen after the context's own last wo
 (context-relative), which keeps the numbers small, and a level is one ascending sequence of
 context * width + child in Elias-Fano code, with monotone pointers to where each context's children
 begin. Beside it lie the quantised probability of each k-gram and the weight each context leaves to the
-level below. A level is cut by ranges of contexts into segments; each is built by one task, written
-to the folder that all executors share, and mapped into memory where texts are scored, so a task's
-memory doesn't grow with the model.
+level below. A level is cut by ranges of contexts into segments of a bounded number of tokens; each is built
+by one task, written to the folder that all executors share, and mapped into memory where texts are
+scored, so a task's memory grows neither with the model nor with the corpus. What is counted in a
+context that alone has more tokens than a segment is merged by several tasks first.
+
+Texts are tokenised twice: for the counts of words, and to write each text's word ids once, which all
+later passes read.
 
 score interpolates absolutely discounted counts: p_k(w | c) = (n(cw) - d) / n(c) + d * t(c) / n(c) *
 p_{k-1}(w | c'), with t(c) the number of different words after c, down to add-one counts of words.
@@ -27,15 +31,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import new_path, ngram_hashes, py_part, release, small_batches, staged, table, texts, words_of
+from sugarloom.llm.common import new_path, ngram_hashes, py_part, release, staged, table, texts, words_of
 from sugarloom.llm.elias_fano import EliasFano, build
 
 #: The token that ends every text: no word, as it holds a blank.
 END = b"</s> "
 #: Tokens gathered before their n-grams are counted and looked up, so a task's memory is bounded.
 CHUNK = 1 << 19
-#: Bits of a packed n-gram for the child; the rest are for the context's place.
-CHILD_BITS = 28
+#: Tokens of a segment, so contexts of it at most; a context with more has one alone.
+SEGMENT = 1 << 22
+#: Bits of a packed n-gram for the child; the rest are for the context's place in its segment.
+CHILD_BITS = 41
 #: Probabilities are kept as -log10 in steps of 1/STEP; NONE marks a context without children.
 STEP, NONE = 4096, 65535
 _UP, _DOWN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
@@ -70,10 +76,11 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def _cut(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows (bucket, blob) of ascending keys whose bucket ascends with them."""
-    edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keys) else np.empty(0, int)
+    if not len(keys):
+        return
+    edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     rows = [(int(bucket[a]), _pack(keys[a:b], counts[a:b])) for a, b in zip(edges, np.append(edges[1:], len(keys)), strict=True)]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
 
 
 def _chunks(batches, keep: Callable[[object], bool] | None = None) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
@@ -145,21 +152,22 @@ class Level:
         self.los = np.array([s.lo for s in self.segments], np.uint64)
 
     def _routed(self, context: np.ndarray) -> Iterator[tuple[Segment, np.ndarray]]:
-        """Of ascending contexts the run that each segment has."""
+        """Of ascending contexts the run that each segment has; contexts without children can be in none."""
         if not len(context):
             return
         which = np.searchsorted(self.los, context, "right").astype(np.int64) - 1
         edges = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
         for a, b in zip(edges, np.append(edges[1:], len(which)), strict=True):
             if which[a] >= 0:
-                yield self.segments[which[a]], slice(a, b)
+                own = self.segments[which[a]]
+                yield own, slice(a, a + int(np.searchsorted(context[a:b], np.uint64(own.hi))))
 
     def find(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
         """Places of (context, child) pairs in ascending order; -1 for unseen ones."""
         out = np.full(len(context), -1, np.int64)
         for s, at in self._routed(context):
             own, rel = context[at] - np.uint64(s.lo), child[at]
-            known = (rel < s.width) & (context[at] < s.hi)
+            known = rel < s.width
             place, same = s.keys.successor(own[known] * np.uint64(s.width) + rel[known].astype(np.uint64))
             found = np.full(len(own), -1, np.int64)
             found[known] = np.where(same, place + s.first, -1)
@@ -194,19 +202,26 @@ class Level:
 
 def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ascending values and where each element's is."""
-    order = np.argsort(x)
+    n = len(x)
+    bits = int(x.max(initial=0)).bit_length()
+    if bits + n.bit_length() <= 64:  # value and place in one number: sorting is quicker than finding an order
+        both = np.sort(x.astype(np.uint64) << np.uint64(n.bit_length()) | np.arange(n, dtype=np.uint64))
+        order = (both & np.uint64((1 << n.bit_length()) - 1)).astype(np.int64)
+    else:
+        order = np.argsort(x)
     ordered = x[order]
-    new = np.append(True, ordered[1:] != ordered[:-1]) if len(x) else np.empty(0, bool)
-    at = np.empty(len(x), np.int64)
+    new = np.append(True, ordered[1:] != ordered[:-1]) if n else np.empty(0, bool)
+    at = np.empty(n, np.int64)
     at[order] = np.cumsum(new) - 1
     return ordered[new], at
 
 
-def _packed(context: np.ndarray, child: np.ndarray) -> np.ndarray:
-    """A context's place and a child in one number, in the order of the pair."""
-    if child.max(initial=0) >> CHILD_BITS or context.max(initial=0) >> 64 - CHILD_BITS:
-        raise OverflowError("more different words or contexts than a packed n-gram holds")
-    return context.astype(np.uint64) << np.uint64(CHILD_BITS) | child.astype(np.uint64)
+class Grams:
+    """The distinct k-grams of a chunk: their places, ascending by context; of each token which one ends there (-1: none);
+    their contexts and their child numbers there."""
+
+    def __init__(self, place: np.ndarray, at: np.ndarray, rank: np.ndarray):
+        self.place, self.at, self.rank = place, at, rank
 
 
 class Trie:
@@ -218,107 +233,109 @@ class Trie:
         self.levels = [Level(m) for m in manifests[1:]]
         self.vocabulary = sum(r["n"] for r in manifests[0])
 
-    def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: unknown) and counts of tokens."""
+    def word_ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of tokens, -1 for unknown ones."""
         own, at = _distinct(hashes)
         # the words are one level whose contexts are the upper 32 bits of a hash
-        ids = self.words.find(own >> np.uint64(32), (own & np.uint64(0xFFFFFFFF)).astype(np.int64))
-        counts = np.zeros(len(own), np.int64)
-        counts[ids >= 0] = self.words.value(ids[ids >= 0], "counts")
-        return ids[at], counts[at]
+        return self.words.find(own >> np.uint64(32), (own & np.uint64(0xFFFFFFFF)).astype(np.int64))[at]
 
-    def grams(self, ids: np.ndarray, new: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For k = 2, 3, ...: of each token its context's place (or -1), its child number under it (or -1)
-        and, for levels that are built, the k-gram's place (or -1). new: where texts begin.
+    def grams(self, ids: np.ndarray, new: np.ndarray, levels: int) -> Iterator[tuple[Grams, np.ndarray, np.ndarray, Grams | None]]:
+        """For k = 2, 3, ... `levels` times: the (k-1)-grams of the tokens; of each token its context among them and its
+        own last (k-1)-gram among them (-1: none); and, where the level is built, the k-grams seen, unseen
+        ones with place -1. new: where texts begin.
 
-        The child number at level 2 is the word's id; above, the place of the (k-1)-gram without its
+        A child's number at level 2 is the word's id; above, the place of the (k-1)-gram without its
         first word, counted from the first child of that one's context.
         """
-        n = len(ids)
-        place, context = ids, np.full(n, -1, np.int64)
+        known = np.flatnonzero(ids >= 0)
+        own, where = _distinct(ids[known])
+        at = np.full(len(ids), -1, np.int64)
+        at[known] = where
+        now = Grams(own, at, own)
         for k in range(levels):
-            before = np.full(n, -1, np.int64)
-            before[1:] = place[:-1]
-            reach = before >= 0
-            reach[new] = False
-            if k == 0:
-                child = place.copy()
-            else:
-                # place - begin(context): the k-gram's rank among its context's children
-                child = np.full(n, -1, np.int64)
-                known = np.flatnonzero(place >= 0)
-                if len(known):
-                    contexts, at = _distinct(context[known].astype(np.uint64))
-                    child[known] = place[known] - self.levels[k - 1].begin(contexts)[at]
-            reach &= child >= 0
-            context = np.where(reach, before, -1)
-            child = np.where(reach, child, -1)
-            if k < len(self.levels):
-                place = np.full(n, -1, np.int64)
-                where = np.flatnonzero(reach)
-                if len(where):
-                    own, at = _distinct(_packed(context[where], child[where]))
-                    place[where] = self.levels[k].find(own >> np.uint64(CHILD_BITS), (own & np.uint64((1 << CHILD_BITS) - 1)).astype(np.int64))[at]
-            else:
-                place = np.full(n, -1, np.int64)
-            # a token whose context exists but that was never seen there still leaves weight to it
-            full = before.copy()
-            full[new] = -1
-            yield full, child, place
-
-    def log10(self, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            before = np.full(len(ids), -1, np.int64)
+            before[1:] = now.at[:-1]
+            before[new] = -1
+            if k == len(self.levels):
+                yield now, before, now.at, None
+                return
+            reach = np.flatnonzero((before >= 0) & (now.at >= 0))
+            bits = np.uint64(max(1, len(now.place).bit_length()))
+            pairs, where = _distinct(before[reach].astype(np.uint64) << bits | now.at[reach].astype(np.uint64))
+            context, child = (pairs >> bits).astype(np.int64), (pairs & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+            place = self.levels[k].find(now.place[context].astype(np.uint64), now.rank[child])
+            at = np.full(len(ids), -1, np.int64)
+            seen = place >= 0
+            at[reach] = np.where(seen, np.cumsum(seen) - 1, -1)[where]
+            place, context = place[seen], context[seen]
+            contexts = now.place[context]
+            edge = np.append(True, contexts[1:] != contexts[:-1]) if len(contexts) else np.empty(0, bool)
+            first = self.levels[k].begin(contexts[edge].astype(np.uint64))[np.cumsum(edge) - 1] if len(contexts) else contexts
+            grams = Grams(place, at, place - first)
+            yield now, before, now.at, grams
+            now = grams
+
+    def log10(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each token: log10 probability, base log10 probability, whether it is known."""
-        ids, counts = self.word_ids(hashes)
-        base = np.log10((counts + 1) / ((self.total + 1) * (self.vocabulary + 1)))
-        p = (counts + 1.0) / (self.total + self.vocabulary + 1)
         new = np.zeros(len(ids), bool)
         new[starts] = True
-        for k, (context, _, place) in enumerate(self.grams(ids, new, len(self.levels))):
+        counts, p, base = np.zeros(len(ids), np.int64), np.empty(0), np.empty(0)
+        for k, (below, before, own, grams) in enumerate(self.grams(ids, new, len(self.levels) or 1)):
+            if k == 0:
+                known = own >= 0
+                counts[known] = self.words.value(below.place, "counts")[own[known]]
+                p = (counts + 1.0) / (self.total + self.vocabulary + 1)
+                base = np.log10(p)
+            if grams is None:
+                break
             level = self.levels[k]
-            known = np.flatnonzero(context >= 0)
-            if len(known):
-                contexts, at = _distinct(context[known].astype(np.uint64))
-                p[known] *= level.weight(contexts)[at]
-            seen = np.flatnonzero(place >= 0)
-            if len(seen):
-                places, at = _distinct(place[seen])
-                p[seen] += 10.0 ** (-level.value(places, "values")[at] / STEP)
+            some = np.flatnonzero(before >= 0)
+            p[some] *= level.weight(below.place.astype(np.uint64))[before[some]]
+            seen = np.flatnonzero(grams.at >= 0)
+            p[seen] += (10.0 ** (-level.value(grams.place, "values") / STEP))[grams.at[seen]]
         return np.log10(p), base, counts > 0
 
 
 # -- building ---------------------------------------------------------------------------------------
 
-MANIFEST = "bucket int, path string, layout string, lo long, hi long, n long, width long, words long"
-
+MANIFEST = "bucket long, path string, layout string, lo long, hi long, n long, width long, words long, cuts string"
 
-def _buckets(spark: SparkSession) -> int:
-    """Segments of a level: as many as shuffle partitions, so they grow with the input as those do."""
-    return max(4, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
+def _manifest(spark: SparkSession, blobs: DataFrame, make: Callable[[int, np.ndarray, np.ndarray], dict], label: str, segment: int, tokens: list[int] | None = None) -> list[dict]:
+    """Merge the blobs of each bucket, build and write its segment; rows of metadata come to the driver.
 
-def _manifest(spark: SparkSession, blobs: DataFrame, make: Callable[[int, np.ndarray, np.ndarray], dict], label: str) -> list[dict]:
-    """Merge the blobs of each bucket, build and write its segment; rows of metadata come to the driver."""
+    tokens: how many each bucket has at most. One of several segments' size is merged by as many tasks first.
+    """
 
-    def run(batches):
+    def gathered(batches):
         held: list = []
         now = None
-
-        def out():
-            row = make(now, *merged(held))
-            return pa.RecordBatch.from_pylist([row], schema)
-
-        schema = pa.schema([("bucket", pa.int32()), ("path", pa.string()), ("layout", pa.string()), *((x, pa.int64()) for x in ("lo", "hi", "n", "width", "words"))])
         for bucket, blob in texts(batches, "bucket", "blob"):
             if bucket != now and now is not None:
-                yield out()
+                yield now, merged(held)
                 held = []
             now = bucket
             held.append(_unpack(blob))
             if len(held) > 64:
                 held = [merged(held)]
         if now is not None:
-            yield out()
+            yield now, merged(held)
 
+    def run(batches):
+        schema = pa.schema([("bucket", pa.int64()), ("path", pa.string()), ("layout", pa.string()), *((x, pa.int64()) for x in ("lo", "hi", "n", "width", "words")), ("cuts", pa.string())])
+        for bucket, own in gathered(batches):
+            yield pa.RecordBatch.from_pylist([make(bucket, *own)], schema)
+
+    def halve(batches):
+        for bucket, (keys, counts) in gathered(batches):
+            yield from _cut(keys, counts, np.full(len(keys), bucket))
+
+    hot = {i: n // segment for i, n in enumerate(tokens or ()) if n >= 2 * segment}
+    if hot:  # so few as words with a segment's tokens
+        salts = F.element_at(F.create_map(*(F.lit(x) for i, n in hot.items() for x in (i, n))), F.col("bucket").cast("int"))
+        several = blobs.withColumn("salts", salts)
+        halves = several.where("salts is not null").withColumn("salt", F.pmod(F.xxhash64("blob"), F.col("salts"))).repartition("bucket", "salt").sortWithinPartitions("bucket")
+        blobs = several.where("salts is null").select("bucket", "blob").unionByName(halves.select("bucket", "blob").mapInArrow(halve, "bucket long, blob binary"))
     dealt = blobs.repartition("bucket").sortWithinPartitions("bucket")
     rows = [r.asDict() for r in staged(dealt.mapInArrow(run, MANIFEST), label).collect()]
     first = 0
@@ -330,19 +347,56 @@ def _manifest(spark: SparkSession, blobs: DataFrame, make: Callable[[int, np.nda
     return rows
 
 
+def _cuts(counts: np.ndarray, segment: int) -> str:
+    """Where the places of a segment are cut, as contexts of the next level, and the tokens of each part: about `segment`
+    or one context."""
+    turn = (np.cumsum(counts) - 1) // segment
+    edges = np.flatnonzero(np.append(True, turn[1:] != turn[:-1])) if len(counts) else np.empty(0, int)
+    return json.dumps([edges.tolist(), np.add.reduceat(counts, edges).astype(int).tolist() if len(edges) else []])
+
+
+def _contexts(manifest: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Of a built level the places that buckets of the next begin at, and the tokens of each."""
+    los, tokens = [], []
+    for r in sorted(manifest, key=lambda r: r["lo"]):
+        edges, sums = json.loads(r["cuts"])
+        los += [r["first"] + x for x in edges]
+        tokens += sums
+    return np.array(los, np.int64), np.array(tokens, np.int64)
+
+
 def _prefixed(prefix: str, parts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {prefix + k: v for k, v in parts.items()}
 
 
-def train(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int = 7, held_out: int = 2) -> tuple[list[list[dict]], int]:
-    """The manifests of levels 1 to order, and the number of training tokens.
+def _ids(words: np.ndarray) -> bytes:
+    """Word ids in compressed byte planes, -1 as 0."""
+    return _UP.compress(np.ascontiguousarray((words + 1).astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _read_ids(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(_DOWN.decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel() - 1
+
+
+def _coded(batches) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Of each chunk its documents, word ids and where each document begins."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.column("docs")[i].as_py(), _read_ids(batch.column("words")[i].as_py()), np.frombuffer(batch.column("starts")[i].as_py(), np.int64)
+
+
+def train(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int = 7, held_out: int = 2, segment: int = SEGMENT) -> tuple[list[list[dict]], int, DataFrame]:
+    """The manifests of levels 1 to order, the number of training tokens, and the staged chunks of word ids.
 
     Counts are over all documents whose crc32(doc_id as text) mod parts isn't held_out.
     """
     spark = docs.sparkSession
-    buckets = _buckets(spark)
     folder = _posix(new_path(spark, "trie"))
     keep = lambda i: py_part(i, parts) != held_out
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(4, size // (8 * segment))
 
     def words(batches):
         for _, hashes, _ in _chunks(batches, keep):
@@ -353,32 +407,61 @@ def train(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int =
         lo, hi = -(-(bucket << 32) // buckets), -(-((bucket + 1) << 32) // buckets)
         arrays = _prefixed("k_", build(keys - np.uint64(lo << 32))) | {"counts": counts.astype(np.uint64)}
         path, layout = _write(folder, 1, bucket, arrays)
-        return {"bucket": bucket, "path": path, "layout": layout, "lo": lo, "hi": hi, "n": len(keys), "width": 1 << 32, "words": int(counts.sum())}
+        return {"bucket": bucket, "path": path, "layout": layout, "lo": lo, "hi": hi, "n": len(keys), "width": 1 << 32, "words": int(counts.sum()), "cuts": _cuts(counts, segment)}
 
-    manifests = [_manifest(spark, docs.mapInArrow(words, "bucket int, blob binary"), make_words, "words")]
+    manifests = [_manifest(spark, docs.mapInArrow(words, "bucket long, blob binary"), make_words, "words", segment)]
     total = sum(r["words"] for r in manifests[0])
+    first = spark.sparkContext.broadcast((list(manifests), total))  # paths and sizes: a row a segment
+
+    def coded(batches):
+        trie = Trie(*first.value)
+        rows = list(batches)
+        for held in (False, True):
+            for own, hashes, starts in _chunks(iter(rows), lambda i, held=held: keep(i) != held):
+                cols = [pa.array([held]), pa.array([own], pa.list_(pa.string() if kind == "string" else pa.int64())), pa.array([starts.astype(np.int64).tobytes()]), pa.array([_ids(trie.word_ids(hashes))])]
+                yield pa.RecordBatch.from_arrays(cols, names=["held", "docs", "starts", "words"])
+
+    def coded_in_turn(batches):
+        """Some batches together, so that chunks fill and memory is bounded."""
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size > CHUNK * 16:
+                yield from coded(held)
+                held, size = [], 0
+        yield from coded(held)
+
+    chunks = staged(docs.mapInArrow(coded_in_turn, f"held boolean, docs array<{'string' if kind == 'string' else 'long'}>, starts binary, words binary"), "word-ids")
     for level in range(2, order + 1):
+        los, tokens = _contexts(manifests[-1])
         contexts = sum(r["n"] for r in manifests[-1])
         if not contexts:
             break
-        shared = spark.sparkContext.broadcast((list(manifests), total))  # paths and sizes: a row a segment
-        step = -(-contexts // buckets)
+        shared = spark.sparkContext.broadcast((list(manifests), total))
+        begins = spark.sparkContext.broadcast(los)
 
-        def grams(batches, shared=shared, level=level, step=step):
-            trie = Trie(*shared.value)
-            for _, hashes, starts in _chunks(batches, keep):
-                ids, _ = trie.word_ids(hashes)
+        def grams(batches, shared=shared, level=level, begins=begins):
+            trie, los = Trie(*shared.value), begins.value
+            for _, ids, starts in _coded(batches):
                 new = np.zeros(len(ids), bool)
                 new[starts] = True
-                for context, child, _ in trie.grams(ids, new, level - 1):
-                    pass
-                seen = (context >= 0) & (child >= 0)
-                own, counts = np.unique(_packed(context[seen], child[seen]), return_counts=True)
-                yield from _cut(own, counts, (own >> np.uint64(CHILD_BITS)).astype(np.int64) // step)
-
-        def make(bucket, keys, counts, level=level, contexts=contexts, step=step):
-            lo, hi = bucket * step, min(contexts, (bucket + 1) * step)
-            context = (keys >> np.uint64(CHILD_BITS)).astype(np.int64) - lo
+                *_, (below, before, own, _) = trie.grams(ids, new, level - 1)
+                seen = (before >= 0) & (own >= 0)
+                bits = np.uint64(max(1, len(below.place).bit_length()))
+                pairs, counts = np.unique(before[seen].astype(np.uint64) << bits | own[seen].astype(np.uint64), return_counts=True)
+                context, child = below.place[(pairs >> bits).astype(np.int64)], below.rank[(pairs & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)]
+                bucket = np.searchsorted(los, context, "right") - 1
+                keys = (context - los[bucket]).astype(np.uint64) << np.uint64(CHILD_BITS) | child.astype(np.uint64)
+                if level > 2:  # ranks don't ascend with the pairs' order
+                    order = np.lexsort((keys, bucket))
+                    keys, counts, bucket = keys[order], counts[order], bucket[order]
+                yield from _cut(keys, counts, bucket)
+
+        def make(bucket, keys, counts, level=level, contexts=contexts, begins=begins):
+            los = begins.value
+            lo, hi = int(los[bucket]), int(los[bucket + 1]) if bucket + 1 < len(los) else contexts
+            context = (keys >> np.uint64(CHILD_BITS)).astype(np.int64)
             child = keys & np.uint64((1 << CHILD_BITS) - 1)
             width = int(child.max(initial=0)) + 1
             kinds = np.bincount(context, minlength=hi - lo)
@@ -391,46 +474,48 @@ def train(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int =
             arrays = _prefixed("k_", build(context.astype(np.uint64) * np.uint64(width) + child)) | _prefixed("s_", build(starts))
             arrays |= {"values": steps((counts - discount) / total[context]), "weights": weights}
             path, layout = _write(folder, level, bucket, arrays)
-            return {"bucket": bucket, "path": path, "layout": layout, "lo": lo, "hi": hi, "n": len(keys), "width": width, "words": int(counts.sum())}
+            return {"bucket": bucket, "path": path, "layout": layout, "lo": lo, "hi": hi, "n": len(keys), "width": width, "words": int(counts.sum()), "cuts": _cuts(counts, segment)}
 
-        manifests.append(_manifest(spark, docs.mapInArrow(grams, "bucket int, blob binary"), make, f"grams{level}"))
-    return manifests, total
+        counted = chunks.where("not held").select("docs", "starts", "words").mapInArrow(grams, "bucket long, blob binary")
+        manifests.append(_manifest(spark, counted, make, f"grams{level}", segment, tokens.tolist()))
+    return manifests, total, chunks
 
 
 # -- scoring ----------------------------------------------------------------------------------------
 
 
-def score_texts(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int = 7, held_out: int = 2) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = 3, discount: float = 0.75, parts: int = 7, held_out: int = 2, segment: int = SEGMENT) -> DataFrame:
     """docs(doc_id, text, ...) to (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Every whole text is scored by a trie of all documents outside the held-out part. A null or empty text
-    is its end token alone. Repeated rows count and are scored each. With no training text at all every
-    token is unknown: base_score and score come from N = 0 and V = 0. An empty table gives no rows.
+    is its end token alone. Repeated rows count and are scored each; a null doc_id is in the part that the
+    empty text's crc32 gives and stays null. Other columns, whatever their names, are not read. With no
+    training text at all every token is unknown: base_score and score come from N = 0 and V = 0. An
+    empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", "text")
-    manifests, total = train(docs, order, discount, parts, held_out)
+    kind = "string" if docs.schema["doc_id"].dataType.simpleString() == "string" else "long"
+    docs = docs.select(F.col("doc_id").cast(kind).alias("doc_id"), "text")
+    manifests, total, chunks = train(docs, order, discount, parts, held_out, segment)
     shared = spark.sparkContext.broadcast((manifests, total))
     schema = pa.schema([("doc_id", pa.string() if kind == "string" else pa.int64()), ("held_out", pa.bool_()), *((x, pa.int64()) for x in ("n_tokens", "n_known", "train_tokens")), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches):
         trie = Trie(*shared.value)
-        for ids, hashes, starts in _chunks(batches):
-            p, base, known = trie.log10(hashes, starts)
+        for own, ids, starts in _coded(batches):
+            p, base, known = trie.log10(ids, starts)
             cols = [
-                ids,
-                [py_part(i, parts) == held_out for i in ids],
-                np.diff(np.append(starts, len(hashes))),
+                own,
+                [py_part(i, parts) == held_out for i in own],
+                np.diff(np.append(starts, len(ids))),
                 np.add.reduceat(known.astype(np.int64), starts),
-                np.full(len(ids), trie.total, np.int64),
+                np.full(len(own), trie.total, np.int64),
                 np.add.reduceat(base, starts),
                 np.add.reduceat(p, starts),
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return docs.mapInArrow(run, f"doc_id {'string' if kind == 'string' else 'long'}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return chunks.select("docs", "starts", "words").mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -99,21 +99,28 @@ def test_lm_scoring(docs, rows):
         w, x = tokens(text), got[i][0]
         assert (x["n_tokens"], x["n_known"], x["train_tokens"]) == (len(w), sum(counts[1][(t,)] > 0 for t in w), n)
         assert x["held_out"] == (zlib.crc32(str(i).encode()) % 7 == 2)
-        assert x["base_score"] == pytest.approx(sum(math.log10((counts[1][(t,)] + 1) / ((n + 1) * (v + 1))) for t in w))
+        assert x["base_score"] == pytest.approx(sum(math.log10((counts[1][(t,)] + 1) / (n + 1 * (v + 1))) for t in w))
         assert x["score"] == pytest.approx(sum(log10(w, j) for j in range(len(w))), abs=1e-3 * len(w))
 
 
+def test_lm_segments_of_any_size_score_alike(spark, docs, rows):
+    """Cut into many segments, with words of several segments' tokens, and with rows that have no id or other columns."""
+    odd = docs.unionByName(frame(spark, [(None, rows[3][1], "en", "s", 0), (None, None, None, None, None)])).withColumnRenamed("lang", "held").withColumnRenamed("source", "words")
+    score = lambda segment: sorted(((x["doc_id"] or -1, x["n_tokens"], x["n_known"], round(x["score"], 9)) for x in lm.score_texts(odd, segment=segment).collect()))
+    assert score(300) == score(1 << 22) and len(score(1 << 22)) == len(rows) + 2
+
+
 def test_lm_scoring_without_rows(docs):
     assert lm.score_texts(docs.limit(0)).count() == 0
 
 
 def test_lm_probabilities_sum_to_one(docs):
-    manifests, total = lm.train(docs, parts=1, held_out=9)
+    manifests, total, _ = lm.train(docs, parts=1, held_out=9)
     trie = lm.Trie(manifests, total)
     raw = np.sort(trie.words.segments and np.concatenate([s.keys.access(np.arange(s.n)) + np.uint64(s.lo << 32) for s in trie.words.segments]))
     context = ngram_hashes(words_of("word word"), 1)
     hashes = np.concatenate([np.concatenate([context, [w]]) for w in raw]).astype(np.uint64)
-    p, _, _ = trie.log10(hashes, np.arange(0, len(hashes), 3))
+    p, _, _ = trie.log10(trie.word_ids(hashes), np.arange(0, len(hashes), 3))
     unknown = 1 / (total + len(raw) + 1)
     assert (10 ** p[2::3]).sum() == pytest.approx(1, abs=0.01 + unknown)
 
