@@ -43,9 +43,11 @@ def py_part(doc_id: object, n: int) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset and Spark is local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -80,9 +82,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch, as one text can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def sliced(batches: Iterator, rows: int = 512, size: int = 8 << 20) -> Iterator:
+    """Arrow batches in slices of bounded rows and about `size` bytes, as texts can be long; a text is never cut."""
+    for batch in batches:
+        step = max(1, min(rows, size * batch.num_rows // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
 
 
 def lowest_hashes(df: DataFrame, most: int, *cols: Column | str) -> DataFrame:
@@ -158,5 +163,5 @@ def ngram_hashes(words: list[bytes], k: int) -> np.ndarray:
 
 def texts(batches: Iterator, *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of the named columns."""
-    for batch in batches:
+    for batch in sliced(batches):
         yield from zip(*(batch.column(x).to_pylist() for x in names), strict=True)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import small_batches, table, words_of
+from sugarloom.llm.common import sliced, table, words_of
 
 #: First bytes of a piece that are looked up at each place of a text; all of a shorter piece.
 GRAM = 8
@@ -167,7 +167,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> D
     stated query set, is held against all documents in blocks of at most BLOCK_BYTES, a pass each.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     kinds = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "item_id": benchmark.schema["item_id"].dataType.simpleString()}
     out = None
     for block in _item_blocks(benchmark):
@@ -175,7 +174,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> D
 
         def run(batches, shared=shared):
             index = ItemIndex(shared.value, rate)
-            for batch in batches:
+            for batch in sliced(batches):
                 ids, rows = batch.column("doc_id"), []
                 for i, text in enumerate(batch.column("text").to_pylist()):
                     hits = index.matches(text)
@@ -199,14 +198,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08) -> DataFram
     and empty texts stay; either table may be empty. Nothing is shuffled.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     for block in _item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
             index = ItemIndex(shared.value, rate)
-            for batch in batches:
+            for batch in sliced(batches):
                 yield batch.filter(pa.array([not index.matches(t) for t in batch.column("text").to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)

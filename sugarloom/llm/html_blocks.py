@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import lowest_hashes, small_batches, table
+from sugarloom.llm.common import lowest_hashes, sliced, table
 
 #: The elements that end a block of text.
 BLOCK_TAGS = frozenset(
@@ -328,41 +328,44 @@ def varied(page: list[Block], labels: np.ndarray, others: list[str], r: np.rando
     return out, np.array(marks, np.float32)
 
 
-def train(samples: list[str], epochs: int = 6, seed: int = 11) -> Labeller:
-    """A labeller from whole pages; of each, once as it is and once varied."""
+def train(samples: list[str], epochs: int = 6, seed: int = 11, most_blocks: int = 400, most_texts: int = 5000) -> Labeller:
+    """A labeller from pages; of each, once as it is and twice varied, its first most_blocks blocks each time. What is
+    put into other pages comes from most_texts blocks."""
     r = np.random.default_rng(seed)
     found = [b for b in map(blocks_of, samples) if b]
     parsed = [(b, y) for b, y in ((b, weak_labels(b)) for b in found) if y is not None] or [(b, weak_labels(b, True)) for b in found]
     model = Labeller()
     if not parsed:
         return model
-    others = [b.text for page, y in parsed for b, one in zip(page, y, strict=True) if one][:5000]
-    pages = [(b[:400], y[:400]) for page in parsed for b, y in (page, varied(*page, others, r), varied(*page, others, r))]
+    others = [b.text for page, y in parsed for b, one in zip(page, y, strict=True) if one][:most_texts]
+    pages = [(b[:most_blocks], y[:most_blocks]) for page in parsed for b, y in (page, varied(*page, others, r), varied(*page, others, r))]
     model.fit([_features(b) for b, _ in pages], [y for _, y in pages], epochs)
     return model
 
 
-def sample_pages(pages: DataFrame, most: int) -> list[str]:
-    """Up to `most` pages, those with the lowest hash of their id; bounded in number, read whole."""
-    whole = pages.where(F.length("html").between(200, 200_000)).select("page_id", "html")
+def sample_pages(pages: DataFrame, most: int, longest: int = 200_000) -> list[str]:
+    """Up to `most` pages of 200 to `longest` characters, those with the lowest hash of their id: what comes to the driver
+    is bounded."""
+    whole = pages.where(F.length("html").between(200, longest)).select("page_id", "html")
     return sorted(r["html"] for r in lowest_hashes(whole, most, "page_id").limit(most).collect())
 
 
-def extract(pages: DataFrame, model: Labeller | None = None, train_pages: int = 240, least: float = 0.5) -> DataFrame:
+def extract(pages: DataFrame, model: Labeller | None = None, train_pages: int = 240, train_blocks: int = 400, train_chars: int = 200_000, least: float = 0.5) -> DataFrame:
     """pages(page_id, url, html, ...) to (page_id, url, text, n_chars, n_blocks, n_main).
 
     A null or empty html, or one without text, gives an empty text; nothing is cut. Blocks stay in page
-    order, repeated rows and blocks too. Without a model one is fitted on up to `train_pages` pages; if
-    none of them has an article or main element, its labels are guesses from the other elements.
+    order, repeated rows and blocks too; null ids and urls stay null; other columns, whatever their names, are
+    not read. Every page is labelled whole. Without a model one is fitted on a bounded sample: up to
+    `train_pages` pages of at most `train_chars` characters, of each the first `train_blocks` blocks; if none of
+    them has an article or main element, its labels are guesses from the other elements.
     """
     spark = pages.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast((model or train(sample_pages(pages, train_pages))).p)
+    shared = spark.sparkContext.broadcast((model or train(sample_pages(pages, train_pages, train_chars), most_blocks=train_blocks)).p)
 
     def run(batches):
         labeller = Labeller()
         labeller.p = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             parsed = [blocks_of(x) for x in batch.column("html").to_pylist()]
             chosen: list[list[str]] = [[] for _ in parsed]
             order = sorted((i for i, x in enumerate(parsed) if x), key=lambda i: len(parsed[i]))

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import ngram_hashes, release, small_batches, staged, table, texts, words_of
+from sugarloom.llm.common import ngram_hashes, release, sliced, staged, table, texts, words_of
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.setjoin import group_links, pack
 
@@ -169,10 +169,8 @@ def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame
             if len(rows[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32())], names=["head", "member", "n"])
 
-    small_batches(entries.sparkSession, 20_000)
     ordered = entries.select("token", "n", "cls").repartition("token").sortWithinPartitions("token", "n", "cls")
     found = staged(ordered.mapInArrow(run, "head long, member long, n int").groupBy("head", "member", "n").agg(F.count("*").alias("tokens")), "groups")
-    small_batches(entries.sparkSession)
     able = found.groupBy("member", "n").agg(F.sum("tokens").alias("tokens")).where(F.col("tokens") >= shared_at_least(F.col("n"), num, den, more)).select("member")
     kept = found.join(able, "member", "left_semi").select("head", "member", "n")
     several = kept.groupBy("head").agg(F.count("*").alias("k")).where("k > 1").select("head")
@@ -222,7 +220,6 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     """(doc_id, cls, n) of each row, cls null without words, and (cls, doc_id, n_copies, component) of each class: its
     smallest doc_id and the class that its component goes by, null if it has no links."""
     spark = docs.sparkSession
-    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scanned = staged(docs.mapInArrow(_scan(k), "doc_id long, cls long, n long, slice int, counts binary"), "shingles")
     rows = scanned.where("slice is null").select("doc_id", "cls", "n")
@@ -231,7 +228,7 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
 
     def prefixes(batches):
         known: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches):
             tokens, owners, sizes = [], [], []
             for text in batch.column("text").to_pylist():
                 h = shingles(text, k)
@@ -256,7 +253,7 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
 
     def packed(batches):
         done: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches):
             ids, sets = [], []
             for text in batch.column("text").to_pylist():
                 h = shingles(text, k)
@@ -316,7 +313,7 @@ def first_of_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     _, named = _named(docs, k, num, den)
 
     def classed(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             sets = (shingles(t, k) for t in batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([class_id(h) if len(h) else None for h in sets], pa.int64())], names=[*batch.schema.names, "cls"])
 

@@ -19,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import mix64, ngram_hashes, release, small_batches, staged, table
+from sugarloom.llm.common import mix64, ngram_hashes, release, sliced, staged, table
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.ngram_join import _bloom_hits, heads_of, id_filter, per_group
 from sugarloom.llm.setjoin import group_links, pack
@@ -170,7 +170,7 @@ def _scan(k: int, reach: int, passage_words: int, similarity: float):
     def run(batches):
         known: set[int] = set()
         banders = [Bander(*tune_bands(similarity, 0.1, 6)), Bander(*tune_bands(similarity))]  # of pieces, of lines
-        for batch in batches:
+        for batch in sliced(batches):
             words = Words(batch.column("text").to_pylist())
             u = Units(words, k, reach, passage_words)
             if not len(u.a):
@@ -230,7 +230,7 @@ def _settled(docs: DataFrame, open_: DataFrame, passage_words: int) -> DataFrame
             yield batch.filter(pa.array(hit))
 
     def windows(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             words = Words(batch.column("text").to_pylist())
             n = np.diff(np.append(words.first, len(words.words)))
             parts = []
@@ -270,7 +270,6 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
     if passage_words < k + 4 * reach:
         raise ValueError("a passage needs room for some pieces")
     spark = docs.sparkSession
-    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
     units = staged(docs.mapInArrow(_scan(k, reach, passage_words, num / den), UNITS), "paragraphs")
     groups = heads_of(units.select(F.explode("bands").alias("token"), F.col("size").alias("n"), "cls"), num, den)
@@ -280,7 +279,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
 
     def packed(batches):
         done: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches):
             ids, sets = [], []
             u = Units(Words(batch.column("text").to_pylist()), k, reach, passage_words)
             hit = np.ones(len(u.a), bool)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import lowest_hashes, small_batches, table
+from sugarloom.llm.common import lowest_hashes, sliced, table
 
 KINDS = ("email", "ip", "card", "phone")
 _RANK = {k: i for i, k in enumerate(KINDS)}
@@ -294,13 +294,14 @@ def respelled(kind: str, s: str, r: np.random.Generator) -> list[tuple[str | Non
     return [("email", f"{name} at {' dot '.join(dots)}"), ("email", f"{name} (at) {' (dot) '.join(dots)}"), ("email", f"{name}[at]{'[dot]'.join(dots)}"), ("email", f"{name} @ {host}"), (None, f"{name}@{dots[0]}"), (None, f"{name} at {dots[0]}")]
 
 
-def examples_of(texts: list[str], most: int = 1500, seed: int = 9) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]:
-    """(text, start, end, spans) of stretches: as found, and respelled in the same surroundings."""
+def examples_of(texts: list[str], most: int = 1500, longest: int = 200, seed: int = 9) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]:
+    """(text, start, end, spans) of up to `most` stretches of at most `longest` characters: as found, and respelled in the
+    same surroundings."""
     r, out = np.random.default_rng(seed), []
     for text in texts:
         spans = base_spans(text)
         for a, b in stretches(text):
-            if b - a > 200:
+            if b - a > longest:
                 continue
             own = [x for x in spans if a <= x[1] and x[2] <= b]
             left, right = text[max(0, a - 12) : a], text[b : b + 12]
@@ -322,16 +323,18 @@ def examples_of(texts: list[str], most: int = 1500, seed: int = 9) -> list[tuple
     return out[:most]
 
 
-def train(texts: list[str], most: int = 1500) -> SemiCRF:
+def train(texts: list[str], most: int = 1500, longest: int = 200) -> SemiCRF:
+    """A model of up to `most` stretches of at most `longest` characters."""
     model = SemiCRF()
-    model.fit(examples_of(texts, most))
+    model.fit(examples_of(texts, most, longest))
     model.w = {k: round(v, 4) for k, v in model.w.items() if abs(v) > 1e-3}
     return SemiCRF(model.w)
 
 
-def sample_texts(docs: DataFrame, most: int) -> list[str]:
-    """Up to `most` texts that hold an @ or seven signs of a number, those with the lowest hash; bounded."""
-    kept = docs.where(F.col("text").rlike(r"@|[0-9]([\x20().+-]?[0-9]){6}") & (F.length("text") < 50_000))
+def sample_texts(docs: DataFrame, most: int, longest: int = 50_000) -> list[str]:
+    """Up to `most` texts of under `longest` characters that hold an @ or seven signs of a number, those with the lowest
+    hash: what comes to the driver is bounded."""
+    kept = docs.where(F.col("text").rlike(r"@|[0-9]([\x20().+-]?[0-9]){6}") & (F.length("text") < longest))
     return sorted(r["text"] for r in lowest_hashes(kept.select("text"), most, "text").limit(most).collect())
 
 
@@ -345,11 +348,12 @@ def all_spans(text: str | None, model: SemiCRF, base: list[tuple[str, int, int]]
         for a, b in stretches(text):
             if any(s <= a and b <= e for _, s, e in base):
                 continue
-            taken = [(s, e) for _, s, e in base if s < b and a < e]
-            edges = [a, *(x for t in taken for x in t), b]
-            for x, y in zip(edges[::2], edges[1::2], strict=True):
-                if y - x >= 7:
-                    out += model.decode(text, atoms_of(text, x, y))[0]
+            # what the fixed patterns leave free, of which spans may lie in one another
+            free = a
+            for x, y in [*sorted((s, e) for _, s, e in base if s < b and a < e), (b, b)]:
+                if x - free >= 7:
+                    out += model.decode(text, atoms_of(text, free, x))[0]
+                free = max(free, y)
     return sorted(out, key=lambda x: (x[1], _RANK[x[0]], x[2]))
 
 
@@ -368,22 +372,23 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
 FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_spans string, spans string, redacted string"
 
 
-def find_pii(docs: DataFrame, model: SemiCRF | None = None, train_texts: int = 600, redact: bool = True) -> DataFrame:
+def find_pii(docs: DataFrame, model: SemiCRF | None = None, train_texts: int = 600, train_examples: int = 1500, train_chars: int = 50_000, redact: bool = True) -> DataFrame:
     """All columns of docs(text, ...) plus those of FOUND; counts are of the fixed patterns' spans.
 
     Spans are kind:start:end in code points, by start, then kind, comma-joined. A null text has none and
     stays null when redacted; an empty table gives no rows; columns named as in FOUND give way. Without a
-    model one is fitted on up to `train_texts` texts; with none that hold a number, it adds no spans.
+    model one is fitted on a bounded sample: up to `train_examples` stretches of up to `train_texts` texts of
+    under `train_chars` characters; with none that hold a number, it adds no spans. A segment of the model spans
+    at most MOST_ATOMS atoms, as bounded-entity decoding has it; texts are read whole.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     names = [x.split()[0] for x in FOUND.split(", ")]
     docs = docs.drop(*names)
-    weights = (model or train(sample_texts(docs, train_texts))).w
+    weights = (model or train(sample_texts(docs, train_texts, train_chars), train_examples)).w
 
     def run(batches):
         crf = SemiCRF(weights)
-        for batch in batches:
+        for batch in sliced(batches):
             cols: list[list] = [[] for _ in names]
             for text in batch.column("text").to_pylist():
                 base = base_spans(text)

@@ -11,10 +11,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import ngram_hashes, small_batches, staged, table, texts
+from sugarloom.llm.common import ngram_hashes, sliced, table, texts
 
 #: Character classes, by lead byte of UTF-8; continuation bytes count nothing.
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "mark", "symbol", "other")
@@ -31,7 +31,6 @@ _CLASS[list(b"!?'\"()-")] = 6
 
 SYMBOLS = b"#*$%&|<>"
 COMMON_WORDS = 64
-LOSSY = 1 << 12
 
 
 def class_counts(raw: bytes) -> np.ndarray:
@@ -73,24 +72,52 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeats
 
 
-def _frequent_words(batches):
-    """Lossy counting (Manku and Motwani 2002): of each language and task, the words above 1/LOSSY of it."""
-    seen, total = {}, Counter()
+def _shares(h: np.ndarray) -> np.ndarray:
+    """Parts in a million, so that sums are the same in any order."""
+    return h * 1_000_000 // max(1, int(h.sum()))
+
+
+GATHERED = "lang string, kind string, word string, n long"
+
+
+def _gathered(batches):
+    """Of each language the number of texts with words (kind t), and over these texts the sums of their shares of each
+    character class (c) and of each word (w), in parts in a million; some rows a task."""
+    sums: dict[tuple, dict] = {}
+    bared: dict[bytes, bytes] = {}
+    held = 0
+
+    def rows():
+        nonlocal held
+        flat = [(lang, kind, x, int(n)) for (lang, kind), own in sums.items() for x, n in own.items()]
+        sums.clear()
+        held = 0
+        for at in range(0, len(flat), 100_000):
+            lang, kind, words, n = zip(*flat[at : at + 100_000], strict=True)
+            words = [w.decode("utf-8", "surrogatepass").encode("utf-8", "replace").decode() if isinstance(w, bytes) else w for w in words]
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())], names=["lang", "kind", "word", "n"])
+
     for lang, text in texts(batches, "lang", "text"):
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        counts = seen.setdefault(lang, Counter())
-        counts.update(words)
-        total[lang] += len(words)
-        if len(counts) > 50 * LOSSY:
-            least = total[lang] // (50 * LOSSY)
-            seen[lang] = Counter({w: c for w, c in counts.items() if c > least})
-    rows = []
-    for lang, counts in seen.items():
-        merged = Counter()
-        for word, c in counts.items():
-            merged[bare(word)] += c
-        rows += [(lang, w.decode("utf-8", "surrogatepass"), c) for w, c in merged.items() if w and c * LOSSY >= total[lang]]
-    yield pa.RecordBatch.from_pylist([{"lang": a, "word": b, "n": c} for a, b, c in rows], pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        words = raw.split()
+        if not words:
+            continue
+        for kind, own in (("t", {"": 1}), ("c", {str(i): x for i, x in enumerate(_shares(class_counts(raw))) if x})):
+            into = sums.setdefault((lang, kind), {})
+            for x, n in own.items():
+                into[x] = into.get(x, 0) + n
+        into, before, total = sums.setdefault((lang, "w"), {}), len(sums[lang, "w"]), len(words)
+        for w, c in Counter(words).items():
+            b = bared.get(w)
+            if b is None:
+                b = bared[w] = bare(w)
+            into[b] = into.get(b, 0) + c * 1_000_000 // total
+        held += len(into) - before
+        if len(bared) > 500_000:
+            bared.clear()
+        if held > 500_000:
+            yield from rows()
+    yield from rows()
 
 
 def _histogram(words: list[bytes], places: dict[bytes, int]) -> np.ndarray:
@@ -102,37 +129,30 @@ def _histogram(words: list[bytes], places: dict[bytes, int]) -> np.ndarray:
     return out
 
 
-def _shares(h: np.ndarray) -> np.ndarray:
-    """Parts in a million, so that sums are the same in any order."""
-    return h * 1_000_000 // max(1, int(h.sum()))
-
-
 def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict:
-    """Of each language: its common words and its histograms over all documents, each text counting alike,
-    so that no long text speaks for its language.
+    """Of each language: its common words and its histograms over all documents, each text counting alike, so that no long
+    text speaks for its language. Junk counts too, as what is judged here is the corpus as it is.
 
-    Bounded: a language has `common` words and 9 classes, whatever the corpus.
+    Every word of every text is counted, in one pass, by language and word; `common` words and 9 classes of
+    each language come to the driver, whatever the corpus.
     """
-    words = docs.select("lang", "text").mapInArrow(_frequent_words, "lang string, word string, n long")
-    top = words.groupBy("lang", "word").agg(F.sum("n").alias("n")).groupBy("lang")
-    top = top.agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))), 1, common).alias("top"))
-    places = {r["lang"]: {x["word"].encode("utf-8", "surrogatepass"): i for i, x in enumerate(r["top"])} for r in top.collect()}
-
-    def sums(batches):
-        classes, common_words = {}, {}
-        for lang, text in texts(batches, "lang", "text"):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            if raw:
-                classes[lang] = classes.get(lang, 0) + _shares(class_counts(raw))
-                common_words[lang] = common_words.get(lang, 0) + _shares(_histogram(raw.split(), places.get(lang, {})))
-        rows = [(x, kind, i, int(c)) for x in classes for kind, h in (("c", classes[x]), ("w", common_words[x])) for i, c in enumerate(h) if c]
-        yield pa.RecordBatch.from_pydict({"lang": pa.array([r[0] for r in rows], pa.string()), "kind": pa.array([r[1] for r in rows], pa.string()), "at": pa.array([r[2] for r in rows], pa.int32()), "n": pa.array([r[3] for r in rows], pa.int64())})
-
-    found = docs.select("lang", "text").mapInArrow(sums, "lang string, kind string, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).collect()
-    out = {}
-    for r in found:
-        kept = out.setdefault(r["lang"], {"places": places.get(r["lang"], {}), "c": np.zeros(9), "w": np.zeros(len(places.get(r["lang"], {})) + 1)})
-        kept[r["kind"]][r["at"]] = r["n"]
+    sums = docs.select("lang", "text").mapInArrow(_gathered, GATHERED).groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    # each task keeps its own first ones, so a language's words don't meet in one
+    place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
+    top = sums.where("kind <> 'w' or word <> ''").withColumn("place", place).where(F.col("place") <= max(common, len(CLASSES))).where(f"kind <> 'w' or place <= {common}").orderBy("lang", "kind", "place").collect()
+    out: dict = {}
+    for r in top:
+        if r["kind"] == "t":
+            out[r["lang"]] = {"places": {}, "c": np.zeros(len(CLASSES)), "w": [], "texts": r["n"]}
+    for r in top:
+        own = out[r["lang"]]
+        if r["kind"] == "c":
+            own["c"][int(r["word"])] = r["n"]
+        elif r["kind"] == "w":
+            own["places"][r["word"].encode()] = len(own["places"])
+            own["w"].append(r["n"])
+    for own in out.values():
+        own["w"] = np.array([*own["w"], max(0, own["texts"] * 1_000_000 - sum(own["w"]))], float)
     return out
 
 
@@ -157,10 +177,10 @@ def quality(docs: DataFrame, most_class: float = 0.28, most_word: float = 0.44,
 
     A text of under `least_words` words is too short for the histogram of classes, one of under
     `least_common` for that of common words; the counts decide all the same. A null or
-    empty text has no words and fails; a null lang is a language of its own. Columns of docs named as in
+    empty text has no words and fails; a null lang is a language of its own; ids, null or repeated, play no part,
+    and repeated rows are judged each. Columns of docs named as in
     SCORED give way to the new ones. An empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
     new = [x.split()[0] for x in SCORED.split(", ")]
     docs = docs.drop(*new)
     known = references(docs)
@@ -168,7 +188,7 @@ def quality(docs: DataFrame, most_class: float = 0.28, most_word: float = 0.44,
 
     def run(batches):
         kinds = dict(zip(new, (pa.int64(),) * 5 + (pa.float64(),) * 2 + (pa.bool_(),) * 2, strict=True))
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [judge(t, known.get(x), most_class, most_word, least_words, least_common) for t, x in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True)]
             cols = list(zip(*rows, strict=True)) if rows else [[]] * len(new)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, kinds[x]) for c, x in zip(cols, new, strict=True))], names=[*batch.schema.names, *new])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import py_part, small_batches, split_part, table, texts
+from sugarloom.llm.common import py_part, sliced, split_part, table, texts
 
 TERMS = 1 << 20
 PREFIXES = (4, 5, 6)
@@ -204,7 +204,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000, parts:
     every score is one half. n_terms is the number of the model's terms in the text.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     if model is None:
         rows, y = training_rows(docs, labels, most, held_out, parts)
         model = FactorizationMachine.fit(rows, y) if rows else FactorizationMachine()
@@ -212,7 +211,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000, parts:
 
     def run(batches):
         fm = FactorizationMachine(*figures)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, scores, counts = batch.column("doc_id"), [], []
             for text in batch.column("text").to_pylist():
                 at = fm.places(text)

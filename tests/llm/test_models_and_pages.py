@@ -197,6 +197,30 @@ def test_all_names_of_a_path_are_features():
     assert set(hb._ids(["article"], hb.PATHS)) <= set(deep)
 
 
+def test_forward_pass_equals_a_plain_one():
+    """One block after another, gate by gate, in both directions, for pages of different length in one batch."""
+    import math
+
+    m = hb.Labeller(3)
+    pages = [hb._features(hb.blocks_of(x)) for x in ("<body><nav>Home</nav><article><p>One text.</p><p>Two, three.</p></article><footer>End</footer>", "<p class=x>Alone")]
+    got = m.probabilities(*m.inputs(pages))
+    sig = lambda v: 1 / (1 + math.exp(-v))
+    size = hb.HIDDEN
+    for i, (paths, words, shape) in enumerate(pages):
+        x = [[4 * sum(m.p["path"][k][d] for k in p) / len(p) for d in range(hb.DIM)] + [sum(m.p["word"][k][d] for k in w) / len(w) for d in range(hb.DIM)] + list(s) for p, w, s in zip(paths, words, shape, strict=True)]
+        states = {}
+        for way in "fb":
+            h, c, states[way] = [0.0] * size, [0.0] * size, [None] * len(x)
+            for t in range(len(x)) if way == "f" else reversed(range(len(x))):
+                z = [sum(a * m.p[way + "x"][j][n] for j, a in enumerate(x[t])) + sum(a * m.p[way + "h"][j][n] for j, a in enumerate(h)) + m.p[way + "b"][n] for n in range(4 * size)]
+                c = [sig(z[size + n]) * c[n] + sig(z[n]) * math.tanh(z[3 * size + n]) for n in range(size)]
+                h = [sig(z[2 * size + n]) * math.tanh(c[n]) for n in range(size)]
+                states[way][t] = h
+        for t in range(len(x)):
+            want = sig(sum(a * b for a, b in zip([*states["f"][t], *states["b"][t]], m.p["out"], strict=True)) + m.p["bias"][0])
+            assert abs(got[t, i] - want) < 1e-4
+
+
 def test_gradients_are_the_slopes_of_the_loss():
     r = random.Random(5)
     pages = [hb._features(hb.blocks_of(page(r, i)[2])) for i in range(3)]

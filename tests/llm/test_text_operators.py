@@ -15,7 +15,7 @@ from sugarloom.llm import lm_scoring as lm
 from sugarloom.llm import mixing, ngram_join, paragraph_dedup, pii, quality, setjoin
 from sugarloom.llm.common import ngram_hashes, words_of
 from sugarloom.llm.components import connected_components
-from tests.llm.helpers import components, corpus, frame, jaccard, shingle_set
+from tests.llm.helpers import components, corpus, frame, jaccard, prose, shingle_set
 
 
 @pytest.fixture(scope="module")
@@ -366,6 +366,20 @@ def test_pii(spark, rows):
         assert pii.base_spans(t) == plain_spans(t), t
 
 
+def test_added_spans_stay_clear_of_nested_base_spans():
+    class Whole:
+        w = {"x": 1.0}
+
+        def decode(self, text, atoms):
+            return ([("phone", atoms[0][0], atoms[-1][1])] if atoms else []), 0.0
+
+    text = "x 1.2.3.4@host.example.com 5551234567 y"
+    base = pii.base_spans(text)
+    assert {k for k, *_ in base} == {"email", "ip"}
+    added = [s for s in pii.all_spans(text, Whole(), base) if s not in base]
+    assert all(e <= a or b <= s for _, a, b in added for _, s, e in base)
+
+
 def test_semi_markov_model_finds_other_spellings():
     r = random.Random(1)
     texts = []
@@ -432,6 +446,59 @@ def test_quality(spark, docs, rows):
     assert quality.quality(docs.limit(0)).count() == 0
 
 
+def plain_kept(rows, most_class=0.28, most_word=0.44):
+    """Plain version of the divergence: shares of characters and words by text, their means by language, and distances."""
+    words = lambda t: (t or "").encode().split()
+    bare = lambda w: w.lower().strip(b".,;:!?'\"()")
+
+    def kinds(t):
+        out = collections.Counter()
+        for ch in t or "":
+            b = ch.encode()[0]
+            out["x" if b >= 192 else "a" if "a" <= ch <= "z" else "A" if "A" <= ch <= "Z" else "0" if ch in "0123456789" else " " if ch in " \t" else "n" if ch in "\n\x0b\x0c\r" else "." if ch in ".,;:" else "!" if ch in "!?'\"()-" else "#"] += 1
+        return out
+
+    by_class, by_word, texts_ = [collections.defaultdict(collections.Counter) for _ in range(2)] + [collections.Counter()]
+    for _, t, lang, *_ in rows:
+        if w := words(t):
+            texts_[lang] += 1
+            for k, n in kinds(t).items():
+                by_class[lang][k] += n * 1_000_000 // sum(kinds(t).values())
+            for x, n in collections.Counter(w).items():
+                by_word[lang][bare(x)] += n * 1_000_000 // len(w)
+    common = {lang: [w for w, _ in sorted(((w, n) for w, n in c.items() if w), key=lambda x: (-x[1], x[0]))[:64]] for lang, c in by_word.items()}
+
+    def apart(p, q):
+        out = 0.0
+        p, q = ({k: v / sum(x.values()) for k, v in x.items()} for x in (p, q))
+        for k in {*p, *q}:
+            a, b = p.get(k, 0), q.get(k, 0)
+            out += sum(v / 2 * math.log2(2 * v / (a + b)) for v in (a, b) if v)
+        return math.sqrt(max(0, out))
+
+    out = []
+    for _, t, lang, *_ in rows:
+        n, repeats = len(words(t)), plain_quality(t)[4]
+        if n < 10 or 100 * repeats > 20 * n:
+            out.append(False)
+            continue
+        own = collections.Counter(bare(w) if bare(w) in common[lang] else None for w in words(t))
+        whole = collections.Counter({w: by_word[lang][w] for w in common[lang]})
+        whole[None] = max(0, texts_[lang] * 1_000_000 - sum(whole.values()))
+        out.append(not (n >= 40 and apart(kinds(t), by_class[lang]) > most_class or n >= 100 and apart(own, whole) > most_word))
+    return out
+
+
+def test_quality_keeps_what_the_plain_version_keeps(spark, rows):
+    odd = [(900, "SHOUT!! ***### " * 30 + prose(random.Random(1), 200), "en", "x", 0), (901, "12345 6789 " + " ".join(str(i) for i in range(200)), "de", "x", 0), (902, " ".join(f"Xq{i}" for i in range(150)), None, "x", 0), (903, prose(random.Random(2), 150).upper(), "en", "x", 0)]
+    every = rows + odd
+    kept = collections.defaultdict(set)
+    for x in quality.quality(frame(spark, every)).collect():
+        kept[x["doc_id"], x["text"]].add(x["kept"])
+    want = plain_kept(every)
+    assert all(kept[i, t] == {w} for (i, t, *_), w in zip(every, want, strict=True)) and not want[-1] and sum(want) > 20
+
+
 def test_divergence():
     p = np.array([1.0, 0, 3])
     assert quality.distance(p, p * 7) == 0 and quality.distance(np.array([1.0, 0]), np.array([0, 1.0])) == 1
