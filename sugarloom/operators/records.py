@@ -14,12 +14,13 @@ from sugarloom.functions.columns import clean_null, normal_list
 def with_fallback(rows: DataFrame, key: str, sources: Sequence[tuple[str, DataFrame]], columns: Sequence[str]) -> DataFrame:
     """rows with `columns` of the first source that has the key, and `origin`, that source's name (null: none).
 
-    A source's first row by key counts; sources are looked up in turn, and a source that lacks a value lets
-    the next one give it.
+    Of a key's rows in one source the least by its columns counts, whole, so that reruns agree; sources are
+    looked up in turn, and a source that lacks a value lets the next one give it.
     """
     out, marks = rows, []
     for i, (name, table) in enumerate(sources):
-        once = table.groupBy(key).agg(*(F.first(c, ignorenulls=True).alias(f"_{i}_{c}") for c in columns)).withColumn(f"_{i}", F.lit(name))
+        least = table.groupBy(key).agg(F.min(F.struct(*columns)).alias("_row"))
+        once = least.select(key, *(F.col(f"_row.{c}").alias(f"_{i}_{c}") for c in columns), F.lit(name).alias(f"_{i}"))
         out = out.join(once, key, "left")
         marks.append(F.col(f"_{i}"))
     picked = [F.coalesce(*(F.col(f"_{i}_{c}") for i in range(len(sources)))).alias(c) for c in columns]
@@ -37,20 +38,24 @@ def upsert(old: DataFrame, new: DataFrame, key: str, action: str = "action") ->
 
 
 def patch(records: DataFrame, changes: DataFrame, id_key: str, name_key: str, columns: Sequence[str]) -> DataFrame:
-    """records with columns of changes found by id, else by name; no match changes nothing."""
-    by = lambda k, tag: changes.where(F.col(k).isNotNull()).groupBy(k).agg(*(F.first(c).alias(f"{tag}{c}") for c in columns))
+    """records with columns of changes found by id, else by name; no match changes nothing. Of a key's changes the least
+    row by those columns counts, whole."""
+    least = lambda k: changes.where(F.col(k).isNotNull()).groupBy(k).agg(F.min(F.struct(*columns)).alias("_row"))
+    by = lambda k, tag: least(k).select(k, *(F.col(f"_row.{c}").alias(f"{tag}{c}") for c in columns))
     both = records.join(by(id_key, "_i_"), id_key, "left").join(by(name_key, "_n_"), name_key, "left")
     return both.select(*(F.coalesce(f"_i_{c}", f"_n_{c}", c).alias(c) if c in columns else F.col(c) for c in records.columns))
 
 
 def insert_absent(old: DataFrame, new: DataFrame, key: str, needed: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(old with the rows of new that it lacks, counts by outcome): rows without a needed value are skipped."""
+    """(old with the rows of new that it lacks, counts by outcome): rows without a needed value are skipped; of the rows of
+    new with one key the least complete one is created, the others count as present."""
     has = [clean_null(F.col(c)).isNotNull() for c in needed]
     complete = has[0]
     for h in has[1:]:
         complete = complete & h
     marked = new.join(old.select(key).distinct().withColumn("_there", F.lit(True)), key, "left")
-    marked = marked.withColumn("outcome", F.when(~complete, "incomplete").when(F.col("_there"), "present").otherwise("created"))
+    turn = F.row_number().over(W.partitionBy(key, complete).orderBy(*(c for c in old.columns if c != key)))
+    marked = marked.withColumn("_turn", turn).withColumn("outcome", F.when(~complete, "incomplete").when(F.col("_there") | (F.col("_turn") > 1), "present").otherwise("created"))
     added = marked.where("outcome = 'created'").select(*old.columns)
     return old.unionByName(added), marked.groupBy("outcome").agg(F.count("*").alias("n"))
 
@@ -90,12 +95,13 @@ def resolve(variants: DataFrame, registry: DataFrame, key: str = "sequence", fou
 
 
 def first_writer(sources: Sequence[DataFrame], key: str) -> DataFrame:
-    """The row of the earliest source that has the key."""
+    """The row of the earliest source that has the key, the least one by its columns if there are several."""
     out = None
+    columns = sorted(c for c in sources[0].columns if c != key)
     for i, s in enumerate(sources):
         s = s.withColumn("_turn", F.lit(i))
         out = s if out is None else out.unionByName(s)
-    return out.withColumn("_at", F.row_number().over(W.partitionBy(key).orderBy("_turn"))).where("_at = 1").drop("_at", "_turn")
+    return out.withColumn("_at", F.row_number().over(W.partitionBy(key).orderBy("_turn", *columns))).where("_at = 1").drop("_at", "_turn")
 
 
 def set_report(required: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -149,15 +155,25 @@ def canonical_name(*options: Column) -> Column:
     return F.coalesce(*(clean_null(x) for x in options), F.lit(""))
 
 
-def described(ident: Column, name: Column, kinds: Column, package: Column, temperature: Column, names: Column, comment: Column) -> Column:
-    """A sentence for search; parts without a value fall out."""
+#: Keywords that say what kind of glycan an entry is.
+KINDS = ("N-Glycan", "O-Glycan", "GAG", "Oligomannose", "Complex N-Glycan", "Hybrid N-Glycan", "Biantennary N-Glycan", "Triantennary N-Glycan", "Tetraantennary N-Glycan", "Fucosylated N-Glycan")
+
+
+def described(ident: Column, name: Column, keywords: Column, package: Column, forcefield: Column, temperature: Column, names: Column, parts: Column, comment: Column) -> Column:
+    """Sentences for search: identity, kinds among the keywords, simulation, common names, composition (a map of counts, or
+    null) and a comment; what has no value falls out."""
     listed = lambda x: F.array_join(x, ", ")
-    setup = F.concat_ws(", ", F.when(clean_null(package).isNotNull(), F.concat(F.lit("MD package "), package)), F.when(temperature.isNotNull(), F.concat(temperature.cast("string"), F.lit("K"))))
+    some = lambda x: F.when(x.cast("string") != "", x.cast("string"))
+    kinds = F.filter(keywords, lambda x: x.isin(*KINDS))
+    setup = F.concat_ws(", ", F.concat(F.lit("MD package "), some(package)), F.concat(F.lit("force field "), some(forcefield)), F.concat(temperature.cast("string"), F.lit("K")))
+    counts = parts.cast("map<string,string>")
+    made = F.array_join(F.transform(F.map_entries(counts), lambda x: F.concat(x.value, F.lit("x "), x.key)), ", ")
     return F.concat_ws(
         " ",
-        F.when(clean_null(name).isNotNull(), F.concat(ident, F.lit(" has the condensed name "), name, F.lit("."))),
+        F.concat(ident, F.lit(" is a glycan with IUPAC notation "), some(name), F.lit(".")),
         F.when(F.size(kinds) > 0, F.concat(F.lit("Classified as: "), listed(kinds), F.lit("."))),
         F.when(setup != "", F.concat(F.lit("Simulated with "), setup, F.lit("."))),
         F.when(F.size(names) > 0, F.concat(F.lit("Also known as: "), listed(names), F.lit("."))),
-        clean_null(comment),
+        F.when(F.size(counts) > 0, F.concat(F.lit("Composed of "), made, F.lit("."))),
+        some(comment),
     )

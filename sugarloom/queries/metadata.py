@@ -31,11 +31,28 @@ def canonical_names(spark, d):
     return t(spark, d, "customer").select("c_custkey", records.canonical_name(first, F.when(F.col("c_custkey") % 2 == 0, F.col("c_name"))).alias("name"))
 
 
-@query("SELECT p_partkey, concat_ws(' ', 'P' || p_partkey || ' has the condensed name ' || p_type || '.', CASE WHEN p_partkey % 2 = 0 THEN 'Classified as: ' || p_brand || ', x.' END, 'Simulated with ' || concat_ws(', ', CASE WHEN p_partkey % 3 = 0 THEN 'MD package ' || p_brand END, '300K') || '.', CASE WHEN p_partkey % 5 = 0 THEN 'Also known as: ' || p_name || '.' END, CASE WHEN p_partkey % 7 = 0 THEN 'noted' END) AS description FROM part")
+@query("""
+SELECT p_partkey, concat_ws(' ',
+  'P' || p_partkey || ' is a glycan with IUPAC notation ' || p_type || '.',
+  CASE WHEN p_partkey % 2 = 0 THEN 'Classified as: GAG.' END,
+  'Simulated with ' || concat_ws(', ', CASE WHEN p_partkey % 3 = 0 THEN 'MD package ' || p_brand END, 'force field f' || p_size, '300K') || '.',
+  CASE WHEN p_partkey % 5 = 0 THEN 'Also known as: ' || p_name || '.' END,
+  CASE WHEN p_partkey % 4 = 0 THEN 'Composed of ' || p_size || 'x Gal, 1x Man.' END,
+  CASE WHEN p_partkey % 7 = 0 THEN 'noted' END) AS description
+FROM part""")
 def descriptions(spark, d):
-    k = F.col("p_partkey")
-    none = F.array().cast("array<string>")
-    out = records.described(F.concat(F.lit("P"), k.cast("string")), F.col("p_type"), F.when(k % 2 == 0, F.array("p_brand", F.lit("x"))).otherwise(none), F.when(k % 3 == 0, F.col("p_brand")), F.lit(300), F.when(k % 5 == 0, F.array("p_name")).otherwise(none), F.when(k % 7 == 0, "noted").otherwise(" "))
+    k, none = F.col("p_partkey"), F.array().cast("array<string>")
+    out = records.described(
+        F.concat(F.lit("P"), k.cast("string")),
+        F.col("p_type"),
+        F.when(k % 2 == 0, F.array("p_brand", F.lit("GAG"))).otherwise(none),
+        F.when(k % 3 == 0, F.col("p_brand")),
+        F.concat(F.lit("f"), F.col("p_size").cast("string")),
+        F.lit(300),
+        F.when(k % 5 == 0, F.array("p_name")).otherwise(none),
+        F.when(k % 4 == 0, F.create_map(F.lit("Gal"), F.col("p_size").cast("string"), F.lit("Man"), F.lit("1"))),
+        F.when(k % 7 == 0, "noted").otherwise(""),
+    )
     return t(spark, d, "part").select("p_partkey", out.alias("description"))
 
 
