@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sugarloom.llm.common import ngram_hashes, release, sliced, staged, table, texts, words_of
 from sugarloom.llm.components import connected_components
-from sugarloom.llm.setjoin import group_links, pack
+from sugarloom.llm.setjoin import group_links, heads_of, pack, prefix_length
 
 SKETCH_BITS, SLICE_BITS, BLOOM_BITS = 24, 17, 24
 #: Tasks that each merge a part of what is counted into one slice of the sketch, or of a filter.
@@ -115,76 +115,16 @@ def frequency_ranks(slices: DataFrame) -> np.ndarray:
     return ranks
 
 
-def prefix_length(n: int, num: int, den: int, more: int = 0) -> int:
-    """How many of a set's first members are looked at: two sets of num/den Jaccard or more share one of n - ceil(n *
-    num / den) + 1, and l of them if l - 1 more are looked at. l is `more` hundredths of n."""
-    return min(n, n - -(-num * n // den) + max(1, more * n // 100))
-
-
-def shared_at_least(n: Column, num: int, den: int, more: int) -> Column:
-    """Tokens that a set of n shares within both prefixes with any set it is alike to, the smallest of which has num/den
-    of n members."""
-    return F.greatest(F.lit(1), F.floor(F.ceil(n * num / den) * more / 100))
-
-
-def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame:
-    """entries(token, n, cls) to distinct (head, member, n): groups that hold every pair of classes that can be num/den
-    alike; a head is a member of its own group unless it can be alike to none.
-
-    The classes of a token are taken by size. Where the next is larger than den/num times the last, no
-    pair across that gap can be alike, so a new group begins; its first class is its head. A class that
-    shares fewer tokens with others than `shared_at_least` is alike to none and falls out, and so do groups
-    of one. Only a token's current group is remembered, whatever the token's number of rows. A row is made for
-    each token that a head and a member share, in whatever task; Spark counts them by pair.
-    """
-
-    def run(batches):
-        last: tuple | None = None  # token, size, head, the head's size, class, whether the head has company
-        for batch in batches:
-            token, n, cls = (batch.column(x).to_numpy() for x in ("token", "n", "cls"))
-            if not len(token):
-                continue
-            # copies of a class in other tasks are one row
-            new = np.append(True, (token[1:] != token[:-1]) | (num * n[1:] > den * n[:-1]))
-            twice = np.append(False, (token[1:] == token[:-1]) & (cls[1:] == cls[:-1]))
-            if last is not None and token[0] == last[0]:
-                new[0] = num * n[0] > den * last[1]
-                twice[0] = cls[0] == last[4]
-            starts = np.flatnonzero(new)
-            at = np.cumsum(new) - 1
-            heads = cls[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[2])
-            sizes = n[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[3])
-            if at[0] < 0:
-                heads[at < 0], sizes[at < 0] = last[2], last[3]
-            follow = ~new & ~twice & (heads != cls)
-            # the head's own token counts once for each group that has a second class
-            run_id = at[follow]
-            first = np.append(True, run_id[1:] != run_id[:-1]) if len(run_id) else np.empty(0, bool)
-            own = np.flatnonzero(follow)[first]
-            if len(own) and at[own[0]] < 0 and last is not None and last[5]:
-                own = own[1:]  # it was counted in the batch before
-            rows = [np.concatenate(x) for x in ((heads[follow], heads[own]), (cls[follow], heads[own]), (n[follow], sizes[own]))]
-            open_ = bool(follow[at == at[-1]].any()) or (at[-1] < 0 and last is not None and last[5])
-            last = (int(token[-1]), int(n[-1]), int(heads[-1]), int(sizes[-1]), int(cls[-1]), open_)
-            if len(rows[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32())], names=["head", "member", "n"])
-
-    ordered = entries.select("token", "n", "cls").repartition("token").sortWithinPartitions("token", "n", "cls")
-    found = staged(ordered.mapInArrow(run, "head long, member long, n int").groupBy("head", "member", "n").agg(F.count("*").alias("tokens")), "groups")
-    able = found.groupBy("member", "n").agg(F.sum("tokens").alias("tokens")).where(F.col("tokens") >= shared_at_least(F.col("n"), num, den, more)).select("member")
-    kept = found.join(able, "member", "left_semi").select("head", "member", "n")
-    several = kept.groupBy("head").agg(F.count("*").alias("k")).where("k > 1").select("head")
-    return staged(kept.join(several, "head", "left_semi"), "groups")
-
-
-def _bloom_hits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bloom_hits(ids: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each id in a filter of packed flags, whose size is a power of two."""
+    bits = len(flags).bit_length() + 2
     x = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (x >> np.uint64(64 - BLOOM_BITS)).astype(np.int64), ((x >> np.uint64(8)) & np.uint64((1 << BLOOM_BITS) - 1)).astype(np.int64)
+    return (x >> np.uint64(64 - bits)).astype(np.int64), ((x >> np.uint64(8)) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over a column `doc_id`, built where the rows are and merged by slices: the driver gets
-    each slice once, however many tasks there are."""
+def id_filter(ids: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of 2**bits flags over a column `doc_id`, built where the rows are and merged by slices: the driver
+    gets each slice once, however many tasks there are."""
     slice_bytes = 1 << (SLICE_BITS - 3)
 
     def rows(flags: dict[int, np.ndarray]):
@@ -193,9 +133,9 @@ def id_filter(ids: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "flags": pa.array([packer.compress(part.tobytes())], pa.binary())})
 
     def build(batches):
-        flags = np.zeros(1 << BLOOM_BITS, bool)
+        flags, size = np.zeros(1 << bits, bool), np.empty(1 << (bits - 3), np.uint8)
         for batch in batches:
-            for at in _bloom_hits(batch.column("doc_id").to_numpy()):
+            for at in _bloom_hits(batch.column("doc_id").to_numpy(), size):
                 flags[at] = True
         packed = np.packbits(flags).reshape(-1, slice_bytes)
         yield from rows({at: part for at, part in enumerate(packed) if part.any()})
@@ -210,7 +150,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     kind = "slice int, flags binary"
     parts = ids.select("doc_id").mapInArrow(build, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(MERGERS))).repartition("slice", "salt")
     merged = parts.select("slice", "flags").mapInArrow(merge, kind).repartition("slice").mapInArrow(merge, kind)
-    total = np.zeros((1 << (BLOOM_BITS - SLICE_BITS), slice_bytes), np.uint8)
+    total = np.zeros((1 << (bits - SLICE_BITS), slice_bytes), np.uint8)
     for r in merged.toLocalIterator():
         total[r["slice"]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["flags"])), np.uint8)
     return total.reshape(-1)
@@ -260,7 +200,7 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
                 if not len(h):
                     continue
                 c = class_id(h)
-                if c in done or not all(bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 for (at,) in _bloom_hits(np.array([c]))):
+                if c in done or not all(bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 for (at,) in _bloom_hits(np.array([c]), bloom.value)):
                     continue
                 if len(done) < 1_000_000:
                     done.add(c)

@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from sugarloom.llm.common import mix64, ngram_hashes, release, sliced, staged, table
 from sugarloom.llm.components import connected_components
-from sugarloom.llm.ngram_join import _bloom_hits, heads_of, id_filter, per_group
-from sugarloom.llm.setjoin import group_links, pack
+from sugarloom.llm.ngram_join import _bloom_hits, id_filter, per_group
+from sugarloom.llm.setjoin import group_links, heads_of, pack
 
 #: Bits of a shingle's hash within a set; two of n shingles share them with a chance of n * n / 2**45.
 BITS = 44
+#: The similarity at which at most a tenth of the pieces are missed; more of less alike ones are, equal ones never.
+PIECE_SIMILARITY = 0.9
 #: Paragraphs that are hashed at once.
 CHUNK = 1 << 16
 _SPACE = np.zeros(256, bool)
@@ -169,7 +171,8 @@ UNITS = "doc_id long, row long, line boolean, at long, n_words long, start long,
 def _scan(k: int, reach: int, passage_words: int, similarity: float):
     def run(batches):
         known: set[int] = set()
-        banders = [Bander(*tune_bands(similarity, 0.1, 6)), Bander(*tune_bands(similarity))]  # of pieces, of lines
+        # pieces are small sets, of which many share a shingle by chance: bands for those that are nearly equal
+        banders = [Bander(*tune_bands(max(similarity, PIECE_SIMILARITY), 0.1, 6)), Bander(*tune_bands(similarity))]
         for batch in sliced(batches):
             words = Words(batch.column("text").to_pylist())
             u = Units(words, k, reach, passage_words)
@@ -207,14 +210,32 @@ def stretches(rows: DataFrame) -> DataFrame:
     return rows.withColumn("new", new).withColumn("stretch", F.sum("new").over(of.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
 
 
+def _kept(bloom, column: str):
+    """A task that keeps the rows whose `column` may be in the filter."""
+
+    def run(batches):
+        for batch in batches:
+            hit = np.ones(batch.num_rows, bool)
+            for at in _bloom_hits(batch.column(column).to_numpy(), bloom.value):
+                hit &= (bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            yield batch.filter(pa.array(hit))
+
+    return run
+
+
 def _matched(units: DataFrame, parts: DataFrame) -> DataFrame:
-    """(cls, cluster, n_members, keeper) of the classes whose cluster is in two documents or more."""
+    """units whose cluster is in two documents or more, with cluster, n_members, and keeper, the row of its first document."""
     # by class before the clusters, so that a paragraph of a third of all rows is one row from each task
-    classes = units.groupBy("cls").agg(F.count("*").alias("n"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("first"))
+    classes = units.groupBy("cls").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
     named = classes.join(parts.select(F.col("node").alias("cls"), F.col("component").alias("cluster")), "cls", "left")
-    linked = per_group(named.where("cluster is not null").drop("lo", "hi", "n", "first").join(classes, "cls"), "cluster", "cls", F.sum("n").alias("n_members"), F.min("lo").alias("low"), F.max("hi").alias("high"), F.min("first").alias("keeper"))
-    alone = named.where("cluster is null and lo < hi").select("cls", F.col("cls").alias("cluster"), F.col("n").alias("n_members"), F.col("first.row").alias("keeper"))
-    return linked.where("low < high").select("cls", "cluster", "n_members", F.col("keeper.row").alias("keeper")).unionByName(alone)
+    named = staged(named.where("cluster is not null or lo < hi"), "classes")
+    linked = per_group(named.where("cluster is not null"), "cluster", "cls", F.min("lo").alias("low"), F.max("hi").alias("high")).where("low < high")
+    clusters = staged(linked.select("cls", "cluster").unionByName(named.where("cluster is null").select("cls", F.col("cls").alias("cluster"))), "clusters")
+    bloom = units.sparkSession.sparkContext.broadcast(id_filter(clusters.select(F.col("cls").alias("doc_id")), 26))
+    slim = units.drop("bands", "size")
+    found = staged(slim.mapInArrow(_kept(bloom, "cls"), slim.schema).join(clusters, "cls"), "matched")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
+    return per_group(found, "cluster", "row", F.count("*").alias("n_members"), first.alias("first")).withColumn("keeper", F.col("first.row")).drop("first")
 
 
 def _settled(docs: DataFrame, open_: DataFrame, passage_words: int) -> DataFrame:
@@ -222,13 +243,6 @@ def _settled(docs: DataFrame, open_: DataFrame, passage_words: int) -> DataFrame
     another document's as well: (doc_id, row, lo, at, to, start, end)."""
     bloom = docs.sparkSession.sparkContext.broadcast(id_filter(open_.select(F.col("row").alias("doc_id"))))
 
-    def with_open(batches):
-        for batch in batches:
-            hit = np.ones(batch.num_rows, bool)
-            for at in _bloom_hits(batch.column("row").to_numpy()):
-                hit &= (bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-            yield batch.filter(pa.array(hit))
-
     def windows(batches):
         for batch in sliced(batches):
             words = Words(batch.column("text").to_pylist())
@@ -246,7 +260,7 @@ def _settled(docs: DataFrame, open_: DataFrame, passage_words: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(of), batch.column("row").take(of), *(pa.array(x) for x in (lo, at, at + passage_words, start, end, h))], names=["doc_id", "row", "lo", "at", "to", "start", "end", "h"])
 
     spans = open_.groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # of one document
-    texts_ = docs.mapInArrow(with_open, docs.schema).dropDuplicates(["doc_id", "row"]).alias("d").join(spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.row") == F.col("s.row")))
+    texts_ = docs.mapInArrow(_kept(bloom, "row"), docs.schema).dropDuplicates(["doc_id", "row"]).alias("d").join(spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.row") == F.col("s.row")))
     found = staged(texts_.select("d.doc_id", "d.row", "text", "spans").mapInArrow(windows, "doc_id long, row long, lo long, at long, to long, start long, end long, h long"), "windows")
     several = found.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("h")
     return found.join(several, "h", "left_semi").drop("h")
@@ -283,7 +297,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
             ids, sets = [], []
             u = Units(Words(batch.column("text").to_pylist()), k, reach, passage_words)
             hit = np.ones(len(u.a), bool)
-            for at in _bloom_hits(u.classes):
+            for at in _bloom_hits(u.classes, bloom.value):
                 hit &= (bloom.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
             for i in np.flatnonzero(hit).tolist():
                 c = int(u.classes[i])
@@ -297,7 +311,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
 
     sets = staged(docs.select("text").mapInArrow(packed, "member long, members binary").join(members, "member", "left_semi").dropDuplicates(["member"]), "sets")
     parts = connected_components(group_links(groups, sets, num, den))
-    found = units.drop("bands", "size").join(_matched(units, parts), "cls").withColumn("to", F.col("at") + F.col("n_words"))
+    found = _matched(units, parts).withColumn("to", F.col("at") + F.col("n_words"))
     best = F.max(F.struct("n_words", "cluster", "n_members", (F.col("row") != F.col("keeper")).alias("removed"))).alias("best")
     places = [F.min("at").alias("at"), F.max("to").alias("to"), F.min("start").alias("start"), F.max("end").alias("end")]
     joined = stretches(found).groupBy("doc_id", "row", "stretch").agg(*places, F.bool_or("line").alias("whole"), F.min_by("left", "at").alias("left"), F.max_by("right", "to").alias("right"), best)

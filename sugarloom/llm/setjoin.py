@@ -11,8 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sugarloom.llm.common import staged
@@ -222,7 +223,96 @@ def _link_blocks(rows: DataFrame, keys: list[str], num: int, den: int, across: b
     return dealt.select(*keys, "side", "member", "members").mapInArrow(run, "a long, b long, head long, rest long")
 
 
-def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 100, block: int = BLOCK, label: str = "links") -> DataFrame:
+def prefix_length(n: int, num: int, den: int, more: int = 0) -> int:
+    """How many of a set's first members are looked at: two sets of num/den Jaccard or more share one of n - ceil(n *
+    num / den) + 1, and l of them if l - 1 more are looked at. l is `more` hundredths of n."""
+    return min(n, n - -(-num * n // den) + max(1, more * n // 100))
+
+
+def shared_at_least(n: Column, num: int, den: int, more: int) -> Column:
+    """Tokens that a set of n shares within both prefixes with any set it is alike to, the smallest of which has num/den
+    of n members."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(n * num / den) * more / 100))
+
+
+def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame:
+    """entries(token, n, cls) to distinct (head, member, n): groups that hold every pair of classes that can be num/den
+    alike; a head is a member of its own group unless it can be alike to none.
+
+    The classes of a token are taken by size. Where the next is larger than den/num times the last, no
+    pair across that gap can be alike, so a new group begins; its first class is its head. A class that
+    shares fewer tokens with others than `shared_at_least` is alike to none and falls out, and so do groups
+    of one. Only a token's current group is remembered, whatever the token's number of rows. A row is made for
+    each token that a head and a member share, in whatever task; Spark counts them by pair.
+    """
+
+    def run(batches):
+        last: tuple | None = None  # token, size, head, the head's size, class, whether the head has company
+        for batch in batches:
+            token, n, cls = (batch.column(x).to_numpy() for x in ("token", "n", "cls"))
+            if not len(token):
+                continue
+            # copies of a class in other tasks are one row
+            new = np.append(True, (token[1:] != token[:-1]) | (num * n[1:] > den * n[:-1]))
+            twice = np.append(False, (token[1:] == token[:-1]) & (cls[1:] == cls[:-1]))
+            if last is not None and token[0] == last[0]:
+                new[0] = num * n[0] > den * last[1]
+                twice[0] = cls[0] == last[4]
+            starts = np.flatnonzero(new)
+            at = np.cumsum(new) - 1
+            heads = cls[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[2])
+            sizes = n[starts[np.maximum(at, 0)]] if len(starts) else np.full(len(cls), last[3])
+            if at[0] < 0:
+                heads[at < 0], sizes[at < 0] = last[2], last[3]
+            follow = ~new & ~twice & (heads != cls)
+            # the head's own token counts once for each group that has a second class
+            run_id = at[follow]
+            first = np.append(True, run_id[1:] != run_id[:-1]) if len(run_id) else np.empty(0, bool)
+            own = np.flatnonzero(follow)[first]
+            if len(own) and at[own[0]] < 0 and last is not None and last[5]:
+                own = own[1:]  # it was counted in the batch before
+            rows = [np.concatenate(x) for x in ((heads[follow], heads[own]), (cls[follow], heads[own]), (n[follow], sizes[own]))]
+            open_ = bool(follow[at == at[-1]].any()) or (at[-1] < 0 and last is not None and last[5])
+            last = (int(token[-1]), int(n[-1]), int(heads[-1]), int(sizes[-1]), int(cls[-1]), open_)
+            if len(rows[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32())], names=["head", "member", "n"])
+
+    ordered = entries.select("token", "n", "cls").repartition("token").sortWithinPartitions("token", "n", "cls")
+    found = staged(ordered.mapInArrow(run, "head long, member long, n int").groupBy("head", "member", "n").agg(F.count("*").alias("tokens")), "groups")
+    able = found.groupBy("member", "n").agg(F.sum("tokens").alias("tokens")).where(F.col("tokens") >= shared_at_least(F.col("n"), num, den, more)).select("member")
+    kept = found.join(able, "member", "left_semi").select("head", "member", "n")
+    several = kept.groupBy("head").agg(F.count("*").alias("k")).where("k > 1").select("head")
+    return staged(kept.join(several, "head", "left_semi"), "groups")
+
+
+def _own_prefixes(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """large(head, member, n), sets(member, members) to entries(token, n, cls) of new groups: in each group the members'
+    prefixes by the group's own frequencies, rare tokens first. Members that share the group's common tokens only have
+    no such token in common; those that are alike have."""
+
+    def tokens(batches):
+        for batch in batches:
+            sizes, parts = [], []
+            for raw in batch.column("members").to_pylist():
+                parts.append(unpack(raw).view(np.int64))
+                sizes.append(len(parts[-1]))
+            at = np.repeat(np.arange(len(sizes)), sizes)
+            for lo in range(0, len(at), 1 << 18):
+                own = pa.array(at[lo : lo + (1 << 18)])
+                flat = np.concatenate(parts)[lo : lo + (1 << 18)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(own) for c in ("head", "member", "n")), pa.array(flat)], names=["head", "member", "n", "token"])
+
+    rows = large.select("head", "member", "n").distinct().join(sets, "member").select("head", "member", "n", "members")
+    every = staged(rows.mapInArrow(tokens, "head long, member long, n int, token long"), "tokens")
+    counts = every.groupBy("head", "token").agg(F.count("*").alias("k"))
+    # of one member's set
+    place = F.row_number().over(Window.partitionBy("head", "member").orderBy("k", "token"))
+    prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1
+    first = every.join(counts, ["head", "token"]).withColumn("place", place).where((F.col("place") <= prefix) & (F.col("k") > 1))
+    return first.select(F.xxhash64("head", "token").alias("token"), "n", F.col("member").alias("cls"))
+
+
+def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 100, block: int = BLOCK, label: str = "links", split: bool = True) -> DataFrame:
     """groups(head, member, n), sets(member, members as packed sort keys; repeated rows do no harm) to links (a, b).
 
     Two members of one group that are num/den Jaccard or more alike are connected by the links given, if
@@ -231,7 +321,9 @@ def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 10
     n is the member's size. A group of up to `block` members and BLOCK_MEMBERS in all is one block. A
     larger one is dealt over blocks by hash, each with the head, so no task gets more; what its blocks
     connect to the head is one component. Only members that they don't (the rest) can miss links across
-    blocks, and they are held, block by block, against all of their group.
+    blocks. Groups with a rest are then grouped anew by their members' own rare tokens (split), which takes apart
+    what a common token has thrown together; what is left over after that is held, block by block, against all
+    of its group.
     """
     groups = groups.select("head", "member", "n").where("head <> member").distinct()
     sizes = groups.groupBy("head").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("parts"))
@@ -245,6 +337,10 @@ def group_links(groups: DataFrame, sets: DataFrame, num: int = 75, den: int = 10
     if not first.where("rest is not null").limit(1).count():
         return links
     large = staged(dealt.where("parts > 1").select("head", "part", "parts", "member", "n"), label)
+    if split:
+        again = large.join(first.where("rest is not null").select("head").distinct(), "head", "left_semi")
+        groups = heads_of(_own_prefixes(again, sets, num, den), num, den)
+        return links.union(group_links(groups, sets, num, den, block, label, False))
     rest = large.join(first.where("rest is not null").select("head", F.col("rest").alias("member")), ["head", "member"], "left_semi")
     waiting = rest.groupBy("head").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_MEMBERS)).cast("int").alias("turns"))
     probes = rest.join(waiting, "head").withColumn("turn", F.pmod(F.xxhash64("member", F.lit(1)), F.col("turns")).cast("int"))
