@@ -194,9 +194,18 @@ def renamed_residue(residue: Column, scheme: str) -> Column:
 
 #: Sugars and their usual series.
 SERIES = {
-    "D": "4eLeg 6dGul 6dTal 6dTalNAc 8eAci Abe All AllA AllN AllNAc Bac Col DDmanHep Dha Dig Fru Gal GalA GalN GalNAc Glc GlcA GlcN GlcNAc Gul GulA GulN GulNAc Kdn Kdo Leg Lyx Man ManA ManN ManNAc Mur MurNAc MurNGc Neu Neu5Ac Neu5Gc Oli Par Psi Qui QuiNAc Rib Sia Tag Tal TalA TalN TalNAc Tyv Xyl",
-    "L": "6dAlt 6dAltNAc 8eLeg Aci Alt AltA AltN AltNAc Api Ara Fuc FucNAc Ido IdoA IdoN IdoNAc LDmanHep Pse Rha RhaNAc Sor",
-}
+    "D": (
+        "4eLeg", "6dGul", "6dTal", "6dTalNAc", "8eAci", "Abe", "All", "AllA", "AllN", "AllNAc", "Bac", "Col",
+        "DDmanHep", "Dha", "Dig", "Fru", "Gal", "GalA", "GalN", "GalNAc", "Glc", "GlcA", "GlcN", "GlcNAc", "Gul",
+        "GulA", "GulN", "GulNAc", "Kdn", "Kdo", "Leg", "Lyx", "Man", "ManA", "ManN", "ManNAc", "Mur", "MurNAc",
+        "MurNGc", "Neu", "Neu5Ac", "Neu5Gc", "Oli", "Par", "Psi", "Qui", "QuiNAc", "Rib", "Sia", "Tag", "Tal", "TalA",
+        "TalN", "TalNAc", "Tyv", "Xyl",
+    ),
+    "L": (
+        "6dAlt", "6dAltNAc", "8eLeg", "Aci", "Alt", "AltA", "AltN", "AltNAc", "Api", "Ara", "Fuc", "FucNAc", "Ido",
+        "IdoA", "IdoN", "IdoNAc", "LDmanHep", "Pse", "Rha", "RhaNAc", "Sor",
+    ),
+}
 #: Spellings of substituents and acids, in the order in which they are replaced.
 SUBSTITUENTS = (
     ("[2S]", "2S"), ("[3S]", "3S"), ("[4S]", "4S"), ("[6S]", "6S"), ("[3S-6S]", "3S6S"), ("[3S,6S]", "3S6S"), ("[4S,6S]", "4S6S"), ("[2Me]", "2Me"), ("[2Me-3Me]", "2Me3Me"), ("[2Me,3Me]", "2Me3Me"),
@@ -214,7 +223,7 @@ def condensed_name(full: Column) -> Column:
 
     def component(part: Column, at: Column) -> Column:
         # a component's usual series decides which of both marks goes and which is spelled out
-        holds = lambda names: F.lit(False) if not names else F.greatest(*(part.contains(x) for x in names.split()))
+        holds = lambda names: F.greatest(*(part.contains(x) for x in names))
         d_series = F.replace(F.replace(part, F.lit("D"), F.lit("")), F.lit("L"), F.lit("L-"))
         l_series = F.replace(F.replace(part, F.lit("L"), F.lit("")), F.lit("D"), F.lit("D-"))
         out = F.when(holds(SERIES["D"]), d_series).when(holds(SERIES["L"]), l_series).otherwise(part)

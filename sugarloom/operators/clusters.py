@@ -26,13 +26,12 @@ def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> D
     the earlier centre). A molecule of k points or fewer has one cluster a point; with `radius` it stops
     once every point is that near, and without k it goes on until then.
 
-    The distance to the nearest centre is a column that each round lowers, so k rounds cost k passes; one
-    row a molecule is gathered in each.
+    The distance to the nearest centre is a column that each round lowers and stages, so k rounds cost k passes;
+    one row a molecule is gathered in each. Only molecules of k points or fewer are ranked.
     """
     if k is None and not radius:
         raise ValueError("without k a radius above 0 is needed")
     p = points.select("mol_id", "frame", *AXES)
-    order = W.partitionBy("mol_id").orderBy("frame")
     first = p.groupBy("mol_id").agg(F.min_by(F.struct(*AXES), "frame").alias("c"))
     at = lambda df: df.select("mol_id", *(F.col(f"c.{x}").alias("c" + x) for x in AXES))
     state = p.join(at(first), "mol_id").withColumn("d2", _gap("c")).withColumn("cluster", F.lit(0)).select("mol_id", "frame", *AXES, "d2", "cluster")
@@ -46,10 +45,13 @@ def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> D
         new = state.join(at(far), "mol_id", "left").withColumn("new", _gap("c"))
         closer = F.col("new") < F.col("d2")
         state = new.select("mol_id", "frame", *AXES, F.when(closer, F.col("new")).otherwise(F.col("d2")).alias("d2"), F.when(closer, F.lit(i)).otherwise(F.col("cluster")).alias("cluster"))
-        if i % 8 == 0:  # plans grow with the rounds, so they are cut
-            state = staged(state, "kcentre")
-    small = F.lit(False) if radius is not None else F.count("*").over(W.partitionBy("mol_id")) <= k
-    return state.select("mol_id", "frame", F.when(small, F.row_number().over(order) - 1).otherwise(F.col("cluster")).alias("cluster"))
+        state = staged(state, "kcentre")  # the next round reads it twice
+    out = state.select("mol_id", "frame", "cluster")
+    if radius is not None:
+        return out
+    few = p.groupBy("mol_id").agg(F.count("*").alias("n")).where(F.col("n") <= k).select("mol_id")
+    own = p.join(few, "mol_id", "left_semi").select("mol_id", "frame", (F.row_number().over(W.partitionBy("mol_id").orderBy("frame")) - 1).alias("own"))
+    return out.join(own, ["mol_id", "frame"], "left").select("mol_id", "frame", F.coalesce("own", "cluster").alias("cluster"))
 
 
 def nearest_centre(points: DataFrame, centres: DataFrame) -> DataFrame:

@@ -32,7 +32,10 @@ def levels_complete(levels: DataFrame, required: list[int]) -> DataFrame:
     return levels.groupBy("mol_id").agg((F.size(F.array_except(need, F.collect_set("level"))) == 0).alias("complete"))
 
 
-def capped_scan(rows: DataFrame, priority: Column, most: int) -> DataFrame:
-    """All rows if there are at most `most`, else those with priority: the broad scan's rule. The count is one aggregate."""
+def capped_scan(rows: DataFrame, priority: Column, most: int | None) -> DataFrame:
+    """All rows if there are at most `most`, else those with priority: the broad scan's rule. The count is one aggregate.
+    With most None every row is scanned."""
+    if most is None:
+        return rows
     n = rows.agg(F.count("*").alias("_n"))
     return rows.crossJoin(F.broadcast(n)).where((F.col("_n") <= most) | priority).drop("_n")

@@ -78,8 +78,8 @@ def landscape(frames: DataFrame, atoms: Sequence[int]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                xyz = np.stack(pdf["xyz"].to_numpy()).reshape(len(pdf), -1, 3).astype(np.float32)
-                d = np.sqrt(((xyz[:, pairs[:, 0]] - xyz[:, pairs[:, 1]]) ** 2).sum(2, dtype=np.float64)).astype(np.float32)
+                xyz = np.stack(pdf["xyz"].to_numpy()).reshape(len(pdf), -1, 3).astype(np.float64)
+                d = np.sqrt(((xyz[:, pairs[:, 0]] - xyz[:, pairs[:, 1]]) ** 2).sum(2)).astype(np.float32)
                 yield pd.DataFrame({"mol_id": pdf["mol_id"], "frame": pdf["frame"], "features": list(d)})
 
     kinds = {f.name: f.dataType.simpleString() for f in frames.schema.fields}
@@ -142,10 +142,8 @@ def superpose(coords: DataFrame, reference: DataFrame, anchors: DataFrame) -> Da
 
 
 def rotate_about(point: Vector, origin: Vector, axis: Vector, radians: Column) -> Vector:
-    """A point turned about a line (Rodrigues)."""
-    length = norm(axis)
-    k = tuple(F.when(length == 0, F.lit(0.0)).otherwise(x / length) for x in axis)
-    v = minus(point, origin)
+    """A point turned about a line through origin along a unit vector (Rodrigues)."""
+    k, v = axis, minus(point, origin)
     c, s = F.cos(radians), F.sin(radians)
     kv, kd = cross(k, v), dot(k, v)
     return tuple(o + a * c + b * s + n * kd * (1 - c) for o, a, b, n in zip(origin, v, kv, k, strict=True))
@@ -155,16 +153,19 @@ def set_torsion(frames: DataFrame, moving: Column, a: Column, b: Column, c: Colu
     """Frames with the atoms in the array `moving` turned about the bond b-c, so that the torsion is `target` degrees."""
     xyz = F.col("xyz")
     now = dihedral(*(atom(xyz, i) for i in (a, b, c, d)))
-    origin, axis = atom(xyz, c), minus(atom(xyz, c), atom(xyz, b))
-    turn = F.radians(target - now)
+    axis = minus(atom(xyz, c), atom(xyz, b))
+    length = norm(axis)
+    unit = [F.when(length == 0, F.lit(0.0)).otherwise(x / length) for x in axis]
+    # what all atoms share is worked out once a frame
+    turned = frames.withColumns({"_turn": F.radians(target - now), "_axis": F.array(*unit), "_origin": F.array(*(x.cast("double") for x in atom(xyz, c)))})
+    k, origin = (tuple(F.get(name, F.lit(i)) for i in range(3)) for name in ("_axis", "_origin"))
 
     def one(i: Column) -> Column:
         p = atom(xyz, i)
-        q = rotate_about(p, origin, axis, turn)
-        return F.array(*(F.when(F.array_contains(moving, i), y).otherwise(x) for x, y in zip(p, q, strict=True)))
+        return F.when(F.array_contains(moving, i), F.array(*rotate_about(p, origin, k, F.col("_turn")))).otherwise(F.array(*(x.cast("double") for x in p)))
 
     index = F.sequence(F.lit(0), (F.size(xyz) / 3).cast("int") - 1)
-    return frames.withColumn("xyz", F.flatten(F.transform(index, one)))
+    return turned.withColumn("xyz", F.flatten(F.transform(index, one))).drop("_turn", "_axis", "_origin")
 
 
 def perturbations(torsions: DataFrame, step: float, both_ways: bool = True) -> DataFrame:

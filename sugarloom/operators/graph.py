@@ -77,8 +77,8 @@ def linkages(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     phi is (ring oxygen O5, C1, O, C), psi (C1, O, C, next), next being the smallest oxygen of that carbon
     other than the linking one, else its smallest carbon. Hydrogens take no part.
     """
+    e = staged(both_ways(bonds), "graph")  # each step reads it
     h = atoms.where(heavy(F.col("element"))).select("mol_id", "atom_index", "name", "element", "res_id")
-    e = both_ways(bonds)
 
     def step(df: DataFrame, at: str, new: str) -> DataFrame:
         n = h.select("mol_id", F.col("atom_index").alias(new), *(F.col(c).alias(f"{new}_{c}") for c in ("name", "element", "res_id")))
@@ -96,7 +96,7 @@ def linkages(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
 def omegas(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     """(mol_id, a, b, c, d) of bonded C4-C5-C6-O6 within a residue."""
     named = lambda name, col: atoms.where(F.col("name") == name).select("mol_id", "res_id", F.col("atom_index").alias(col))
-    e = both_ways(bonds)
+    e = staged(both_ways(bonds), "graph")
     out = named("C4", "a")
     for last, name, col in (("a", "C5", "b"), ("b", "C6", "c"), ("c", "O6", "d")):
         out = out.join(named(name, col), ["mol_id", "res_id"]).join(e.select("mol_id", F.col("u").alias(last), F.col("v").alias(col)), ["mol_id", last, col])

@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 from sugarloom.operators.staging import staged
 
 EXTRA = 8
+#: Tasks that add up a molecule's matrices first.
+SALTS = 16
+#: Bytes of thin matrices that the driver holds, and sends out, at a time.
+WAVE_BYTES = 256 << 20
 
 
 def _partials(rows: DataFrame, make) -> dict:
-    """Of each molecule the sum of make(mol_id, block) over its blocks; blocks are summed in two steps, so that one
-    task gets the few sums of one salt, and the driver one thin matrix a molecule."""
+    """Of each molecule of a wave the sum of make(mol_id, block) over its blocks: by task, by molecule and salt, and by
+    molecule. Matrices are added as they come, so a task holds one a molecule, and the driver those of a wave."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict = {}
@@ -31,16 +35,18 @@ def _partials(rows: DataFrame, make) -> dict:
         if sums:
             yield pd.DataFrame({"mol_id": list(sums), "rows": [len(v) for v in sums.values()], "m": [v.ravel() for v in sums.values()]})
 
-    kind = rows.schema["mol_id"].dataType.simpleString()
-    found = rows.mapInPandas(part, f"mol_id {kind}, rows int, m array<double>")
-    total = found.groupBy("mol_id", "rows").agg(F.array_agg("m").alias("ms"))
-
-    def add(batches):
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
         for pdf in batches:
-            pdf["m"] = [np.sum(np.stack(list(ms)), axis=0) for ms in pdf["ms"]]
-            yield pdf[["mol_id", "rows", "m"]]
+            for mol, n, m in zip(pdf["mol_id"], pdf["rows"], pdf["m"], strict=True):
+                sums[mol] = (n, sums[mol][1] + m) if mol in sums else (n, np.array(m))
+        if sums:
+            yield pd.DataFrame({"mol_id": list(sums), "rows": [n for n, _ in sums.values()], "m": [m for _, m in sums.values()]})
 
-    out = total.mapInPandas(add, f"mol_id {kind}, rows int, m array<double>").collect()
+    schema = f"mol_id {rows.schema['mol_id'].dataType.simpleString()}, rows int, m array<double>"
+    found = rows.mapInPandas(part, schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    some = found.repartition("mol_id", "salt").select("mol_id", "rows", "m").mapInPandas(add, schema)
+    out = some.repartition("mol_id").mapInPandas(add, schema).collect()
     return {r["mol_id"]: np.array(r["m"]).reshape(r["rows"], -1) for r in out}
 
 
@@ -49,10 +55,25 @@ def pca(features: DataFrame, n: int, scale: bool = True, power: int = 2, seed: i
     component, evr).
 
     Features are centred and, if scale, divided by their deviation (ddof 1; 0 counts as 1). n is cut to the
-    rank. A component's sign is such that its largest loading is positive. The driver holds one thin matrix
-    a molecule (features x (n + EXTRA)), never rows.
+    rank. A component's sign is such that its largest loading is positive. Molecules go in waves, by a hash of
+    their id, whose thin matrices (features x (n + EXTRA) a molecule) take about WAVE_BYTES in all; so what the
+    driver holds and sends out doesn't grow with the number of molecules. Each wave reads its own rows.
     """
-    rows = staged(features.select("mol_id", "frame", "features"), "pca")
+    wide = features.groupBy("mol_id").agg(F.max(F.size("features")).alias("w")).agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
+    waves = -(-8 * wide * (n + EXTRA) // WAVE_BYTES) or 1
+    rows = features.select("mol_id", "frame", "features")
+    if waves == 1:
+        return _pca_of(staged(rows, "pca"), n, scale, power, seed)
+    rows = staged(rows.withColumn("wave", F.pmod(F.xxhash64("mol_id"), F.lit(waves)).cast("int")), "pca", "wave")
+    parts = [_pca_of(rows.where(F.col("wave") == i).drop("wave"), n, scale, power, seed) for i in range(waves)]
+    scores, model = parts[0]
+    for s, m in parts[1:]:
+        scores, model = scores.unionByName(s), model.unionByName(m)
+    return scores, model
+
+
+def _pca_of(rows: DataFrame, n: int, scale: bool, power: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """pca() of a wave of molecules."""
     moments = _partials(rows, lambda mol, x: np.vstack([np.full(x.shape[1], len(x)), x.sum(0), (x * x).sum(0)]))
     mean, sd, count = {}, {}, {}
     for mol, (m, s, q) in moments.items():

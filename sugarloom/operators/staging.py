@@ -8,14 +8,18 @@ import uuid
 from pyspark.sql import DataFrame
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, *by: str) -> DataFrame:
     """df written once to the shared folder of spark.checkpoint.dir and read back: its lineage ends there, and it
-    outlives its executors. Where the setting is unset, as in tests, a temporary folder takes its place."""
+    outlives its executors. by: columns whose values get a folder each. Where the setting is unset and Spark is
+    local, as in tests, a temporary folder takes its place; on a cluster that is an error."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

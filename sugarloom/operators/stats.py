@@ -49,11 +49,14 @@ def majority(pairs: DataFrame, key: str, label: str, keys: Sequence[str] = ("mol
 
 
 def standardised(points: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("mol_id",), sample: bool = False) -> DataFrame:
-    """Columns less their mean, over their deviation (of the population, or of the sample); a deviation of 0 is 1."""
-    w = W.partitionBy(*keys)
+    """Columns less their mean, over their deviation (of the population, or of the sample); a deviation of 0 is 1.
+
+    Means and deviations are one aggregation, a row a key, joined back."""
     sd = F.stddev_samp if sample else F.stddev_pop
-    scale = lambda c: F.when(F.coalesce(sd(c).over(w), F.lit(0.0)) == 0, 1.0).otherwise(sd(c).over(w))
-    return points.select(*(x for x in points.columns if x not in columns), *(((F.col(c) - F.avg(c).over(w)) / scale(c)).alias(c) for c in columns))
+    scale = lambda c: F.when(F.coalesce(sd(c), F.lit(0.0)) == 0, 1.0).otherwise(sd(c))
+    moments = points.groupBy(*keys).agg(*(F.avg(c).alias(f"_m_{c}") for c in columns), *(scale(c).alias(f"_s_{c}") for c in columns))
+    both = points.join(moments, list(keys))
+    return both.select(*(x for x in points.columns if x not in columns), *(((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in columns))
 
 
 def cumulative(values: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sugarloom.operators.staging import staged
+
 TRIPLE = "array<struct<s:string,p:string,o:string,o_kind:string,o_type:string>>"
 
 
@@ -85,8 +87,14 @@ def lines(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
     return triples.select(F.concat_ws(" ", full(F.col("s")), full(F.col("p")), o, F.lit(".")).alias("value"))
 
 
-def match(triples: DataFrame, patterns: Sequence[tuple[str, str, str]], optional: Sequence[tuple[str, str, str]] = ()) -> DataFrame:
-    """One column a variable (?name) for every way to meet all patterns; optional ones may stay null.
+def stored(triples: DataFrame) -> DataFrame:
+    """The triples written once with a folder for each predicate, so that a pattern reads its own only."""
+    return staged(triples, "triples", "p")
+
+
+def match(triples: DataFrame, patterns: Sequence[tuple[str, str, str]], optional: Sequence[tuple[str, str, str]] = (), filters: Sequence[Column] = ()) -> DataFrame:
+    """One column a variable (?name) for every way to meet all patterns and filters (conditions on variables); optional
+    patterns may stay null.
 
     Each pattern is a filtered projection of the triples, joined on the variables it shares; Catalyst orders
     the joins.
@@ -109,4 +117,6 @@ def match(triples: DataFrame, patterns: Sequence[tuple[str, str, str]], optional
         else:
             shared = [v[1:] for v in names if v[1:] in out.columns]
             out = out.join(one, shared, "left" if i >= len(patterns) else "inner")
+    for condition in filters:
+        out = out.where(condition)
     return out

@@ -100,9 +100,10 @@ def linkage_torsions(spark, d):
     "WITH "
     + BONDS
     + ATOMS.replace("node % 2 AS res_id", "0 AS res_id")
-    + """ SELECT a.mol_id, a.atom_index AS a, b.atom_index AS b, c.atom_index AS c, d.atom_index AS d FROM atoms a JOIN atoms b USING (mol_id, res_id) JOIN atoms c USING (mol_id, res_id) JOIN atoms d USING (mol_id, res_id)
- WHERE a.name = 'C4' AND b.name = 'C5' AND c.name = 'C6' AND d.name = 'O6' AND EXISTS (FROM e WHERE e.mol_id = a.mol_id AND u = a.atom_index AND v = b.atom_index)
- AND EXISTS (FROM e WHERE e.mol_id = a.mol_id AND u = b.atom_index AND v = c.atom_index) AND EXISTS (FROM e WHERE e.mol_id = a.mol_id AND u = c.atom_index AND v = d.atom_index)"""
+    + """,
+x AS (SELECT e.mol_id, u, v, p.name AS un, q.name AS vn FROM e JOIN atoms p ON p.mol_id = e.mol_id AND p.atom_index = u JOIN atoms q ON q.mol_id = e.mol_id AND q.atom_index = v)
+SELECT f.mol_id, f.u AS a, f.v AS b, g.v AS c, h.v AS d FROM x f JOIN x g ON g.mol_id = f.mol_id AND g.u = f.v JOIN x h ON h.mol_id = g.mol_id AND h.u = g.v
+WHERE f.un = 'C4' AND f.vn = 'C5' AND g.vn = 'C6' AND h.vn = 'O6'"""
 )
 def omega_torsions(spark, d):
     b = bonds(spark, d)

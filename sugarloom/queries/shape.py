@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import clusters_for_entropy, scott_bandwidth
 from sugarloom.operators import clusters, geometry, landscapes, neighbours, stats
+from sugarloom.operators.staging import staged
 
 TORSIONS = 6
 QUERIES: dict = {}
@@ -112,16 +113,16 @@ def circular_time_of_day(spark, d):
 
 
 @query(
-    "WITH a AS (SELECT vec_id % 5 AS mol_id, vec_id AS frame, i.i, j.j, embedding AS e FROM embeddings, range(6) i(i), range(6) j(j) WHERE i.i > j.j) SELECT mol_id, frame, i::INT AS i, j::INT AS j, round(sqrt("
+    "WITH a AS (SELECT vec_id % 5 AS mol_id, vec_id AS frame, i.i, j.j, embedding AS e FROM embeddings, range(21) i(i), range(21) j(j) WHERE i.i > j.j) SELECT mol_id, frame, i::INT AS i, j::INT AS j, round(sqrt("
     + " + ".join(f"pow({_v('i', k)} - {_v('j', k)}, 2)" for k in (1, 2, 3))
-    + "), 4) AS dist FROM a"
+    + ")::FLOAT::DOUBLE, 3) AS dist FROM a"
 )
 def landscape_pairs(spark, d):
-    """Distances of all pairs among six atoms, from the vector rows, in long form."""
-    out = geometry.landscape(frames(spark, d), range(6))
-    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in geometry.pair_list(list(range(6)))))
+    """Distances of all pairs of atoms, from the vector rows, in long form."""
+    out = geometry.landscape(frames(spark, d), range(21))
+    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in geometry.pair_list(list(range(21)))))
     long = out.select("mol_id", "frame", F.explode(F.arrays_zip(pairs.alias("p"), F.col("features").alias("v"))).alias("x"))
-    return long.select("mol_id", "frame", F.col("x.p.i").alias("i"), F.col("x.p.j").alias("j"), F.round(F.col("x.v").cast("double"), 4).alias("dist"))
+    return long.select("mol_id", "frame", F.col("x.p.i").alias("i"), F.col("x.p.j").alias("j"), F.round(F.col("x.v").cast("double"), 3).alias("dist"))
 
 
 @query(f"WITH src AS (SELECT *, embedding AS e FROM embeddings) SELECT vec_id % 5 AS mol_id, vec_id AS frame, round(sqrt({' + '.join(f'pow({_v("0", k)} - {_v("7", k)}, 2)' for k in (1, 2, 3))}), 6) AS dist FROM src")
@@ -273,12 +274,28 @@ def torsion_designs(spark, d):
     return _rounded(geometry.perturbations(base, 30.0), deg=3)
 
 
-@query(VALUES.replace("WITH src", "WITH src0 AS (SELECT 1), src") + "SELECT mol_id, frame, 60.0::DOUBLE AS deg FROM (SELECT DISTINCT mol_id, frame FROM tv)")
+@query(
+    VALUES.rstrip()
+    + """,
+o AS (SELECT mol_id, frame, radians(60.0 - raw) AS turn FROM (SELECT mol_id, frame, raw FROM ("""
+    + _dihedral_sql("ta", "ta+1", "ta+2", "ta+3").replace("SELECT *, degrees", "SELECT mol_id, frame, ta, degrees", 1)
+    + """) WHERE ta = 0)),
+k AS (SELECT o.*, e, i, e[7]::DOUBLE - e[4]::DOUBLE AS kx, e[8]::DOUBLE - e[5]::DOUBLE AS ky, e[9]::DOUBLE - e[6]::DOUBLE AS kz,
+  e[3*i+1]::DOUBLE - e[7]::DOUBLE AS vx, e[3*i+2]::DOUBLE - e[8]::DOUBLE AS vy, e[3*i+3]::DOUBLE - e[9]::DOUBLE AS vz
+  FROM o JOIN (SELECT vec_id AS frame, embedding AS e FROM embeddings) USING (frame), range(3, 21) r(i)),
+u AS (SELECT * REPLACE (kx / l AS kx, ky / l AS ky, kz / l AS kz) FROM (SELECT *, sqrt(kx*kx + ky*ky + kz*kz) AS l FROM k)),
+m AS (SELECT mol_id, frame, i, (kx*vx + ky*vy + kz*vz) * (1 - cos(turn)) AS d, cos(turn) AS c, sin(turn) AS s, * EXCLUDE (mol_id, frame, i) FROM u)
+SELECT mol_id, frame, 60.0::DOUBLE AS deg, round(sum(e[7] + vx*c + (ky*vz - kz*vy)*s + kx*d), 3) AS sx, round(sum(e[8] + vy*c + (kz*vx - kx*vz)*s + ky*d), 3) AS sy,
+  round(sum(e[9] + vz*c + (kx*vy - ky*vx)*s + kz*d), 3) AS sz, round(any_value(e[1] + e[4] + e[7]), 3) AS fixed FROM m GROUP BY ALL"""
+)
 def torsion_set(spark, d):
-    """Frames whose first torsion has been turned to 60 degrees, measured again."""
-    f = geometry.set_torsion(frames(spark, d), F.array(*(F.lit(i) for i in range(3, 21))), *(F.lit(i) for i in range(4)), F.lit(60.0))
+    """Frames whose first torsion has been turned to 60 degrees: the angle, the sums of what has moved, and what stays."""
+    f = staged(geometry.set_torsion(frames(spark, d), F.array(*(F.lit(i) for i in range(3, 21))), *(F.lit(i) for i in range(4)), F.lit(60.0)), "turned")
     xyz = F.col("xyz")
-    return f.select("mol_id", "frame", F.round(geometry.dihedral(*(geometry.atom(xyz, i) for i in range(4))), 3).alias("deg"))
+    at = lambda i: [v.cast("double") for v in geometry.atom(xyz, F.lit(i))]
+    sums = [F.round(sum((at(i)[k] for i in range(4, 21)), at(3)[k]), 3).alias(f"s{c}") for k, c in enumerate("xyz")]
+    fixed = F.round(at(0)[0] + at(1)[0] + at(2)[0], 3).alias("fixed")
+    return f.select("mol_id", "frame", F.round(geometry.dihedral(*(geometry.atom(xyz, F.lit(i)) for i in range(4))), 3).alias("deg"), *sums, fixed)
 
 
 @query(
@@ -327,8 +344,8 @@ def density_modes(spark, d):
 
 @query(None)
 def pca_scores(spark, d):
-    """Three principal components of the landscape of eight atoms, all molecules together."""
-    features = geometry.landscape(frames(spark, d), range(8))
+    """Three principal components of the landscape of all atoms, all molecules together."""
+    features = geometry.landscape(frames(spark, d), range(21))
     scores, _ = landscapes.pca(features, 3)
     return scores.select("mol_id", "frame", *(F.round(F.element_at("pc", i + 1), 4).alias(f"PC{i + 1}") for i in range(3)))
 
@@ -336,5 +353,5 @@ def pca_scores(spark, d):
 @query(None)
 def pca_variance(spark, d):
     """Shares of variance of the components, and their running sum."""
-    _, model = landscapes.pca(geometry.landscape(frames(spark, d), range(8)), 5)
+    _, model = landscapes.pca(geometry.landscape(frames(spark, d), range(21)), 5)
     return _rounded(stats.cumulative(model, ["mol_id"], "component", "evr", "cumulative"), evr=5, cumulative=5)

@@ -26,18 +26,18 @@ def query(sql: str | None = None):
 
 def coords(spark: SparkSession, d: str) -> DataFrame:
     """Atoms of all frames, with the labels of a structure file."""
-    long = shape.frames(spark, d).select("mol_id", "frame", "xyz", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("atom_index"))
+    long = shape.frames(spark, d).select("mol_id", "frame", "xyz", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("atom_index"))
     from sugarloom.operators.geometry import atom
 
     xyz = [v.alias(c) for v, c in zip(atom(F.col("xyz"), F.col("atom_index")), "xyz", strict=True)]
-    name = F.element_at(F.array(*map(F.lit, ("C1", "O5", "O4", "C4", "H1", "C6"))), F.col("atom_index") + 1)
+    name = F.element_at(F.array(*map(F.lit, ("C1", "O5", "O4", "C4", "H1", "C6"))), F.col("atom_index") % 6 + 1)
     return long.select("mol_id", "frame", "atom_index", (F.col("atom_index") + 1).alias("serial"), name.alias("name"), F.lit("0MA").alias("res_name"), F.lit("A").alias("chain_id"), (F.col("atom_index") % 2 + 1).cast("int").alias("res_id"), *xyz, F.substring(name, 1, 1).alias("element"))
 
 
 PARSED = (
-    "SELECT vec_id % 5 AS mol_id, vec_id AS frame, (a + 1)::INT AS serial, ['C1', 'O5', 'O4', 'C4', 'H1', 'C6'][a + 1] AS name, '0MA' AS res_name, (a % 2 + 1)::INT AS res_id, "
+    "SELECT vec_id % 5 AS mol_id, vec_id AS frame, (a + 1)::INT AS serial, ['C1', 'O5', 'O4', 'C4', 'H1', 'C6'][a % 6 + 1] AS name, '0MA' AS res_name, (a % 2 + 1)::INT AS res_id, "
     + ", ".join(f"round(embedding[3*a+{k}]::DOUBLE, 3) AS {c}" for k, c in enumerate("xyz", 1))
-    + ", ['C1', 'O5', 'O4', 'C4', 'H1', 'C6'][a + 1][1] AS element FROM embeddings, range(6) t(a)"
+    + ", ['C1', 'O5', 'O4', 'C4', 'H1', 'C6'][a % 6 + 1][1] AS element FROM embeddings, range(21) t(a)"
 )
 
 
@@ -107,7 +107,7 @@ def header_gate(spark, d):
 @query(None)
 def analysis_documents(spark, d):
     """The whole analysis of all molecules, as one document each."""
-    return analyse(shape.frames(spark, d).drop("cluster"), shape.torsions(spark), list(range(8)))["info"]
+    return analyse(shape.frames(spark, d).drop("cluster"), shape.torsions(spark), list(range(21)))["info"]
 
 
 @query(None)

@@ -130,21 +130,30 @@ def residue_composition(spark, d):
     return p.select("p_partkey", F.col("x.residue").alias("residue"), F.col("x.n").cast("long").alias("n"), F.array_position(parts, F.col("x.residue")).cast("int").alias("first"))
 
 
-def _has(*options: str) -> str:
-    return "(" + " OR ".join(f"contains(name, '{x}')" for x in options) + ")"
-
-
-_K = keywords
+#: The rules again, with their values written out.
 KEYWORDS = (
     PART
-    + f""", f AS (SELECT p_partkey, name, (name LIKE '%{_K.CORE}' OR suffix(name, '{_K.FUCOSYLATED_CORE}')) AS nl, (length(name) - length(replace(name, 'Man', ''))) // 3 AS man,
- {_has(*_K.CORES)} AS core, {_has(*_K.ARM_3)} AS a3, {_has(*_K.ARM_6)} AS a6, {_has(*_K.ARM_3_MORE)} AS m3, {_has(*_K.ARM_6_MORE)} AS m6, {_has(*_K.NOT_OLIGOMANNOSE)} AS ex,
- contains(CASE WHEN suffix(name, '{_K.FUCOSYLATED_CORE}') THEN replace(name, '[Fuc(a1-6)]GlcNAc', 'GlcNAc') ELSE name END, 'Fuc(') AS fuc, contains(name, 'GlcNAc(b1-4)Man') AND NOT contains(name, '{_K.CORE}') AS odd FROM p),
-g AS (SELECT *, man >= 3 AND NOT ex AND NOT fuc AND NOT odd AS oligo, core AND contains(name, 'GlcNAc(b1-2)Man') AND a3 AND a6 AS cx, core AND man > 3 AND a3 <> a6 AS hy, a3::INT + m3::INT AS n3, a6::INT + m6::INT AS n6 FROM f),
-t AS (SELECT p_partkey, unnest([CASE WHEN nl THEN 'N-Glycan' END, CASE WHEN nl AND contains(name, '{_K.FUCOSYLATED_CORE}') THEN 'Fucosylated N-Glycan' END, CASE WHEN nl AND oligo THEN 'Oligomannose' END,
- CASE WHEN nl AND NOT oligo AND cx THEN 'Complex N-Glycan' END, CASE WHEN nl AND NOT oligo AND cx AND n3 > 0 AND n6 > 0 AND n3 + n6 = 2 THEN 'Biantennary N-Glycan' WHEN nl AND NOT oligo AND cx AND n3 > 0 AND n6 > 0 AND n3 + n6 = 3 THEN 'Triantennary N-Glycan'
-  WHEN nl AND NOT oligo AND cx AND n3 > 0 AND n6 > 0 AND n3 + n6 >= 4 THEN 'Tetraantennary N-Glycan' END, CASE WHEN nl AND NOT oligo AND NOT cx AND hy THEN 'Hybrid N-Glycan' END,
- CASE WHEN {_has(*_K.O_LINKED)} OR suffix(name, 'GalNAc') THEN 'O-Glycan' END, CASE WHEN {_has(*_K.GAG)} OR {' OR '.join(f"(contains(name, '{a}') AND contains(name, '{b}'))" for a, b in _K.GAG_PAIRS)} THEN 'GAG' END]) AS keyword FROM g)
+    + """,
+f AS (SELECT p_partkey, name, (name LIKE '%Man(b1-4)GlcNAc(b1-4)GlcNAc' OR suffix(name, 'Man(b1-4)GlcNAc(b1-4)[Fuc(a1-6)]GlcNAc')) AS nl, (length(name) - length(replace(name, 'Man', ''))) // 3 AS man,
+  (contains(name, 'Man(b1-4)GlcNAc(b1-4)GlcNAc') OR contains(name, 'Man(b1-4)GlcNAc(b1-4)[Fuc(a1-6)]GlcNAc') OR contains(name, 'Man(b1-4)GlcNAc(b1-4)[Fuc(a1-3)]GlcNAc')) AS core,
+  (contains(name, 'GlcNAc(b1-2)Man(a1-3)') OR contains(name, 'GlcNAc(b1-2)]Man(a1-3)')) AS a3,
+  (contains(name, 'GlcNAc(b1-2)Man(a1-6)') OR contains(name, 'GlcNAc(b1-2)]Man(a1-6)')) AS a6,
+  (contains(name, 'GlcNAc(b1-4)Man(a1-3)') OR contains(name, 'GlcNAc(b1-4)[Man(a1-3)') OR contains(name, 'GlcNAc(b1-4)[GlcNAc(b1-2)]Man(a1-3)')) AS m3,
+  (contains(name, 'GlcNAc(b1-6)Man(a1-6)') OR contains(name, 'GlcNAc(b1-6)[Man(a1-6)') OR contains(name, 'GlcNAc(b1-6)[GlcNAc(b1-2)]Man(a1-6)')) AS m6,
+  (contains(name, 'GlcNAc(b1-2)Man') OR contains(name, 'Gal(') OR contains(name, 'Neu5Ac(') OR contains(name, 'Xyl(') OR contains(name, 'GlcNAc(b1-4)]Man') OR contains(name, 'GlcNAc(b1-6)[GlcNAc(b1-2)]Man') OR contains(name, 'GlcNAc(b1-4)[GlcNAc(b1-2)]Man')) AS ex,
+  contains(CASE WHEN suffix(name, 'Man(b1-4)GlcNAc(b1-4)[Fuc(a1-6)]GlcNAc') THEN replace(name, '[Fuc(a1-6)]GlcNAc', 'GlcNAc') ELSE name END, 'Fuc(') AS fuc,
+  contains(name, 'GlcNAc(b1-4)Man') AND NOT contains(name, 'Man(b1-4)GlcNAc(b1-4)GlcNAc') AS odd FROM p),
+g AS (SELECT *, man >= 3 AND NOT ex AND NOT fuc AND NOT odd AS oligo, core AND contains(name, 'GlcNAc(b1-2)Man') AND a3 AND a6 AS cx, core AND man > 3 AND a3 <> a6 AS hy,
+  a3::INT + m3::INT AS n3, a6::INT + m6::INT AS n6 FROM f),
+h AS (SELECT *, nl AND NOT oligo AND cx AS complex, CASE WHEN n3 > 0 AND n6 > 0 THEN n3 + n6 END AS arms FROM g),
+t AS (SELECT p_partkey, unnest([CASE WHEN nl THEN 'N-Glycan' END,
+  CASE WHEN nl AND contains(name, 'Man(b1-4)GlcNAc(b1-4)[Fuc(a1-6)]GlcNAc') THEN 'Fucosylated N-Glycan' END,
+  CASE WHEN nl AND oligo THEN 'Oligomannose' END,
+  CASE WHEN complex THEN 'Complex N-Glycan' END,
+  CASE WHEN complex AND arms = 2 THEN 'Biantennary N-Glycan' WHEN complex AND arms = 3 THEN 'Triantennary N-Glycan' WHEN complex AND arms >= 4 THEN 'Tetraantennary N-Glycan' END,
+  CASE WHEN nl AND NOT oligo AND NOT cx AND hy THEN 'Hybrid N-Glycan' END,
+  CASE WHEN (contains(name, 'Gal(b1-3)GalNAc') OR contains(name, 'GlcNAc(b1-6)[Gal(b1-3)]GalNAc') OR contains(name, 'GlcNAc(b1-3)GalNAc') OR contains(name, 'GlcNAc(b1-6)[GlcNAc(b1-3)]GalNAc')) OR suffix(name, 'GalNAc') THEN 'O-Glycan' END,
+  CASE WHEN (contains(name, 'GlcA(b1-3)Gal(b1-3)Gal(b1-4)Xyl') OR contains(name, 'IdoA')) OR contains(name, 'GlcA') AND contains(name, 'GlcNAc') OR contains(name, 'GlcA') AND contains(name, 'GalNAc') OR contains(name, 'GlcN') AND contains(name, 'GlcA') OR contains(name, 'GlcN') AND contains(name, 'IdoA') THEN 'GAG' END]) AS keyword FROM h)
 SELECT p_partkey, keyword FROM t WHERE keyword IS NOT NULL"""
 )
 
@@ -221,10 +230,18 @@ def sequence_variants(spark, d):
 SQL["sequence_variants"] = SQL["sequence_variants"].replace("u2122h_2*NCC/3=O", "u2122h_2*NCC")
 
 
-@query("SELECT p_partkey, residue, CASE WHEN regexp_full_match(residue, '\\w\\w\\w') THEN coalesce(map {" .replace("\\\\", "\\") + ", ".join(f"'{k}': '{v}'" for k, v in names.PDB_NAMES.items()) + "}[substr(residue, 2, 2)], residue) ELSE residue END AS renamed FROM (SELECT p_partkey, " + pick_sql(("0MA", "2MB", "4YB", "ROH", "0SA", "VB", "3VB", "0fA"), "p_partkey") + " AS residue FROM part)")
+RESIDUE_NAMES = ("0MA", "2MB", "4YB", "ROH", "0SA", "VB", "3VB", "0fA", "0LA")
+
+
+@query(
+    """SELECT p_partkey, ['0MA', '2MB', '4YB', 'ROH', '0SA', 'VB', '3VB', '0fA', '0LA'][p_partkey % 9 + 1] AS residue,
+  ['MAN', 'BMA', 'NAG', 'ROH', 'SIA', 'VB', 'NGA', 'FUC', 'GLA'][p_partkey % 9 + 1] AS pdb,
+  ['AMAN', 'BMAN', 'BGLC', 'ROH', 'ANE5', 'VB', 'BGAL', 'FUC', 'AGAL'][p_partkey % 9 + 1] AS charmm FROM part"""
+)
 def renamed_residues(spark, d):
-    r = pick(("0MA", "2MB", "4YB", "ROH", "0SA", "VB", "3VB", "0fA"), F.col("p_partkey"))
-    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", r.alias("residue"), names.renamed_residue(r, "PDB").alias("renamed"))
+    """Residues in both other schemes; what neither knows stays."""
+    r = pick(RESIDUE_NAMES, F.col("p_partkey"))
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", r.alias("residue"), names.renamed_residue(r, "PDB").alias("pdb"), names.renamed_residue(r, "CHARMM").alias("charmm"))
 
 
 @query(None)

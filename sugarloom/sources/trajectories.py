@@ -16,18 +16,20 @@ def models(spark: SparkSession, path: str) -> DataFrame:
     """(mol_id, frame, lines array<string>): the models of each file in file order.
 
     Records end at ENDMDL, so a large file is split like any text. What follows the last ENDMDL counts only
-    in a file that has none at all. mol_id is the file's name without its ending.
+    in a file that has none at all. mol_id is the file's name without its ending. No task gets more than a block.
     """
     raw = spark.read.option("lineSep", "ENDMDL").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
     atoms = F.filter(F.split("value", "\r?\n"), lambda x: x.startswith("ATOM  ") | x.startswith("HETATM"))
     rows = raw.withColumns({"lines": atoms, "opens": F.col("value").rlike(r"(^|\n)MODEL")}).where(F.size("lines") > 0).drop("value")
-    per_file = W.partitionBy("file")
-    n, some = F.count("*").over(per_file), F.bool_or("opens").over(per_file)
-    last = F.row_number().over(per_file.orderBy(F.desc("block"), F.desc("at"))) == 1
-    closed = raw.groupBy("file").agg(F.max(F.struct("block", "at", F.col("value").alias("tail"))).alias("m")).select("file", (~F.col("m.tail").rlike(r"\n(ATOM  |HETATM)|^(ATOM  |HETATM)")).alias("whole"))
-    rows = rows.withColumns({"n": n, "some": some, "last": last}).join(closed, "file")
-    rows = rows.where(~(F.col("last") & F.col("some") & ~F.col("whole")))
-    frame = F.row_number().over(per_file.orderBy("block", "at")) - 1
+    # whether a file is closed by ENDMDL, and what its last record is, from one small row a file
+    closed = raw.groupBy("file").agg(F.max(F.struct("block", "at", F.col("value").rlike(r"(^|\n)(ATOM  |HETATM)").alias("atoms"))).alias("m")).select("file", (~F.col("m.atoms")).alias("whole"))
+    last = rows.groupBy("file").agg(F.bool_or("opens").alias("some"), F.max(F.struct("block", "at")).alias("last")).join(closed, "file")
+    kept = rows.join(last, "file").where(~((F.struct("block", "at") == F.col("last")) & F.col("some") & ~F.col("whole"))).select("file", "block", "at", "lines")
+    # frames are numbered within a block of the file, and blocks by the sums of the counts before them
+    counts = kept.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    numbered = kept.withColumn("i", F.row_number().over(W.partitionBy("file", "block").orderBy("at")) - 1).join(counts.select("file", "block", before.alias("before")), ["file", "block"])
+    rows, frame = numbered, F.col("before") + F.col("i")
     name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.[^.]*$", "")
     return rows.select(F.call_function("url_decode", name).alias("mol_id"), frame.cast("long").alias("frame"), "lines")
 
