@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sugarloom.operators.staging import staged
+from sugarloom.operators.stats import tightness
 
 AXES = ("x", "y", "z")
 
@@ -101,17 +102,58 @@ def densest_member(points: DataFrame, labels: DataFrame, bandwidth: Column | Non
     return best
 
 
-def density_mode(points: DataFrame, labels: DataFrame, rounds: int = 20) -> DataFrame:
+def cross_validated_bandwidth(points: DataFrame, labels: DataFrame) -> DataFrame:
+    """(mol_id, cluster, h): the bandwidth of a Gaussian kernel with the highest log-likelihood of held-out members.
+
+    Candidates are even steps of [0.1, 1]: 5 with 2 folds for clusters under 10 members, 10 with 3 under 20, else 20
+    with at most 5, members // 5, folds. Folds are runs of members in frame order. Kernel sums are aggregations
+    over pairs within a cluster, a candidate's likelihood the sum of the logs of its members' sums.
+    """
+    p = points.join(labels, ["mol_id", "frame"]).select("mol_id", "cluster", "frame", *AXES)
+    n = p.groupBy("mol_id", "cluster").agg(F.count("*").alias("n")).where("n > 1")
+    folds = F.when(F.col("n") < 10, 2).when(F.col("n") < 20, 3).otherwise(F.least(F.lit(5), F.floor(F.col("n") / 5))).cast("int")
+    steps = F.when(F.col("n") < 10, 5).when(F.col("n") < 20, 10).otherwise(20)
+    placed = p.join(n, ["mol_id", "cluster"]).withColumn("place", F.row_number().over(W.partitionBy("mol_id", "cluster").orderBy("frame")) - 1)
+    # the first n % folds folds have one member more
+    size, more = F.floor(F.col("n") / folds), F.col("n") % folds
+    fold = F.when(F.col("place") < more * (size + 1), F.floor(F.col("place") / (size + 1))).otherwise(more + F.floor((F.col("place") - more * (size + 1)) / size))
+    rows = staged(placed.withColumn("fold", fold.cast("int")), "folds")
+    other = rows.select("mol_id", "cluster", F.col("fold").alias("fold2"), *(F.col(a).alias("o" + a) for a in AXES))
+    pairs = rows.join(other, ["mol_id", "cluster"]).where("fold <> fold2").withColumn("d2", _gap("o"))
+    tried = pairs.withColumn("h", F.explode(F.transform(F.sequence(F.lit(0), steps - 1), lambda i: 0.1 + 0.9 * i / (steps - 1))))
+    dim = len(AXES)
+    kernel = F.exp(-F.col("d2") / (2 * F.col("h") * F.col("h")))
+    each = tried.groupBy("mol_id", "cluster", "h", "frame").agg(F.sum(kernel).alias("s"), F.count("*").alias("m"))
+    log_density = F.log(F.greatest(F.col("s"), F.lit(1e-300))) - F.log("m") - dim * F.log("h") - dim / 2 * math.log(2 * math.pi)
+    total = each.groupBy("mol_id", "cluster", "h").agg(F.sum(log_density).alias("l"))
+    return total.groupBy("mol_id", "cluster").agg(F.max_by("h", F.struct("l", -F.col("h"))).alias("h"))
+
+
+def density_mode(points: DataFrame, labels: DataFrame, rounds: int = 20, bandwidths: DataFrame | None = None, large: int | None = None, sampled: bool = False) -> DataFrame:
     """(mol_id, cluster, frame): the member nearest to the mode that mean shift reaches from the cluster's mean.
 
-    Clusters of fewer than five members give their first frame. Each round is one sum over all members.
+    Clusters of fewer than five members give their first frame. bandwidths(mol_id, cluster, h), such as
+    cross_validated_bandwidth() gives, come first, Scott's rule elsewhere. Each round is one sum over all members;
+    with `sampled` the sums over clusters of more than `large` members (5000) are over a hash sample of
+    max(1000, min(10000, a tenth)) of them, the nearest member still being looked for among all.
     """
     p = staged(points.join(labels, ["mol_id", "frame"]).select("mol_id", "cluster", "frame", *AXES), "mode")
     sd = sum((F.coalesce(F.stddev_samp(a), F.lit(0.0)) for a in AXES[1:]), F.coalesce(F.stddev_samp("x"), F.lit(0.0))) / 3
-    at = p.groupBy("mol_id", "cluster").agg(*(F.avg(a).alias("c" + a) for a in AXES), F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9)).alias("h"))
+    scott = F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9))
+    sums = p
+    if sampled:
+        n = p.groupBy("mol_id", "cluster").agg(F.count("*").alias("n"))
+        share = F.greatest(F.lit(1000), F.least(F.lit(10_000), F.floor(F.col("n") / 10))) / F.col("n")
+        drawn = F.pmod(F.xxhash64(F.lit("mode"), "mol_id", "frame"), F.lit(1 << 20)) / (1 << 20)
+        sums = staged(p.join(n, ["mol_id", "cluster"]).where((F.col("n") <= (large or 5000)) | (drawn < share)).drop("n"), "mode")
+    at = sums.groupBy("mol_id", "cluster").agg(*(F.avg(a).alias("c" + a) for a in AXES), scott.alias("scott"))
+    h = F.col("scott")
+    if bandwidths is not None:
+        at, h = at.join(bandwidths, ["mol_id", "cluster"], "left"), F.coalesce("h", "scott")
+    at = at.select("mol_id", "cluster", *("c" + a for a in AXES), h.alias("h"))
     for i in range(rounds):
         w = F.exp(-_gap("c") / (2 * F.col("h") * F.col("h")))
-        moved = p.join(at, ["mol_id", "cluster"]).withColumn("w", w).groupBy("mol_id", "cluster", "h").agg(*((F.sum(F.col("w") * F.col(a)) / F.sum("w")).alias("c" + a) for a in AXES))
+        moved = sums.join(at, ["mol_id", "cluster"]).withColumn("w", w).groupBy("mol_id", "cluster", "h").agg(*((F.sum(F.col("w") * F.col(a)) / F.sum("w")).alias("c" + a) for a in AXES))
         at = staged(moved, "mode") if i % 5 == 4 else moved
     found = p.join(at, ["mol_id", "cluster"]).groupBy("mol_id", "cluster").agg(F.count("*").alias("n"), F.min("frame").alias("first"), F.min_by("frame", F.struct(_gap("c"), F.col("frame"))).alias("near"))
     return found.select("mol_id", "cluster", F.when(F.col("n") < 5, F.col("first")).otherwise(F.col("near")).alias("frame"))
@@ -147,15 +189,35 @@ def gaussian_mixture(points: DataFrame, k: int, rounds: int = 20, ridge: float =
     return resp.groupBy("mol_id", "frame").agg(F.max_by("cluster", F.struct("r", -F.col("cluster"))).alias("cluster"))
 
 
-def best_k(points: DataFrame, least: int = 3, most: int = 8, rounds: int = 10) -> DataFrame:
-    """(mol_id, k, silhouette): of each molecule the number of mixture components with the highest silhouette."""
+def silhouette_scan(points: DataFrame, least: int = 2, most: int = 8, rounds: int = 10) -> DataFrame:
+    """(mol_id, k, silhouette) of the mixtures of least to most components; null where all members have one label."""
     tried = None
     for k in range(least, most + 1):
-        one = silhouettes(points, gaussian_mixture(points, k, rounds)).withColumn("k", F.lit(k))
+        one = silhouettes(points, staged(gaussian_mixture(points, k, rounds), "scan")).withColumn("k", F.lit(k))
         tried = one if tried is None else tried.unionByName(one)
+    return staged(tried.select("mol_id", "k", "silhouette"), "scan")
+
+
+def best_k(points: DataFrame, least: int = 3, most: int = 8, rounds: int = 10) -> DataFrame:
+    """(mol_id, k, silhouette): of each molecule the number of mixture components with the highest silhouette."""
+    tried = silhouette_scan(points, least, most, rounds)
     return tried.groupBy("mol_id").agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("k"), F.max("silhouette").alias("silhouette"))
 
 
+def k_by_tightness(points: DataFrame, values: DataFrame, threshold: float = 20.0, most: int = 8, rounds: int = 10) -> DataFrame:
+    """(mol_id, k, tightness): of each molecule the fewest mixture components whose clusters' torsions spread by no more
+    than threshold degrees in the mean, else `most`. A molecule that has got there takes no part in later rounds."""
+    left, done = staged(points, "tight"), None
+    for k in range(1, most + 1):
+        found = staged(tightness(values.join(left.select("mol_id").distinct(), "mol_id", "left_semi"), gaussian_mixture(left, k, rounds)), "tight")
+        ready = found.where((F.col("tightness") <= threshold) | F.lit(k == most)).select("mol_id", F.lit(k).alias("k"), "tightness")
+        done = ready if done is None else done.unionByName(ready)
+        left = staged(left.join(ready, "mol_id", "left_anti"), "tight")
+        if left.isEmpty():
+            break
+    return done
+
+
 def membership_vector(members: DataFrame) -> DataFrame:
     """(mol_id, frame, cluster) for every frame from 0 to the last, -1 where a frame is in no cluster."""
     span = members.groupBy("mol_id").agg(F.max("frame").alias("last")).select("mol_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last").cast("long"))).alias("frame"))

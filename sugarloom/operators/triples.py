@@ -20,6 +20,11 @@ def uri(s: Column, p: str, o: Column | str) -> Column:
     return _one(s, p, F.lit(o) if isinstance(o, str) else o, "uri", F.lit(None).cast("string"))
 
 
+def linked(s: Column, p: str, node: Column) -> Column:
+    """A triple to a blank node."""
+    return _one(s, p, node, "bnode", F.lit(None).cast("string"))
+
+
 def literal(s: Column, p: str, value: Column, kind: str | None = None) -> Column:
     """A literal of the declared kind (string, integer, double, boolean), as string where it can't be cast; without a
     declared kind the narrowest that fits. Null and empty values give no triple."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.operators import holdings
+from sugarloom.operators import entry_triples, holdings
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -234,3 +234,50 @@ def baked(spark, d):
     for c in counts[1:]:
         all_ = all_.unionByName(c)
     return all_
+
+
+def graph_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of all parts with parts, motifs, termini and clusters of every kind; some lack the alpha form."""
+    k = F.col("p_partkey")
+    text = lambda x: x.cast("string")
+    form = lambda name: F.struct(
+        F.lit(name).alias("name"),
+        F.when(k % 3 > 0, F.concat(F.lit("G"), text(k))).alias("glytoucan"),
+        F.when(k % 2 == 0, F.concat(F.lit("W"), text(k))).alias("wurcs"),
+        F.concat(F.lit("I"), text(k)).alias("iupac"),
+        F.when(k % 5 == 0, F.lit("C1")).otherwise("").alias("smiles"),
+        F.col("p_retailprice").alias("mass"),
+        pick(("150", "none", None), k).alias("salt"),
+        F.when(k % 4 == 0, F.lit(300)).alias("temperature"),
+        F.array(F.struct(text(k % 7).alias("motif"), F.concat(F.lit("M"), text(k % 7)).alias("motif_label"))).alias("motifs"),
+        F.array(F.lit("Gal(b1-"), F.lit("")).alias("termini"),
+        F.create_map(F.lit("Gal"), F.col("p_size"), F.lit("Man"), F.lit(1)).alias("components"),
+        F.create_map(F.lit("Hex"), F.lit(2)).alias("composition"),
+        F.create_map(F.lit("Cluster 0"), F.lit(60.5), F.lit("Cluster 1"), F.lit(39.5)).alias("clusters"),
+    )
+    meta = F.struct(F.array(F.lit("Zed")).alias("common_names"), F.when(k % 2 == 0, "told").otherwise("").alias("description"), F.array(F.lit("N-Glycan"), F.col("p_type")).alias("keywords"))
+    return spark.read.parquet(f"{d}/part.parquet").select(k.alias("entry"), form("a").alias("archetype"), F.when(k % 4 > 0, form("b")).alias("alpha"), form("c").alias("beta"), meta.alias("search_meta"))
+
+
+@query(
+    """
+WITH f AS (SELECT p_partkey AS k, p_type, unnest(['archetype', 'alpha', 'beta']) AS form FROM part), v AS (SELECT * FROM f WHERE form <> 'alpha' OR k % 4 > 0),
+c AS (
+  SELECT 'onto:hasVariant' AS p, count(*) AS n FROM v UNION ALL SELECT 'onto:isAnomerOf', count(*) FROM v WHERE form <> 'archetype'
+  UNION ALL SELECT 'onto:hasAlphaAnomer', count(*) FROM v WHERE form = 'alpha' UNION ALL SELECT 'owl:sameAs', count(*) FROM v WHERE k % 3 > 0
+  UNION ALL SELECT 'rdfg:has_glycosequence', sum(1 + (k % 2 = 0)::INT + (k % 5 = 0)::INT)::BIGINT FROM v
+  UNION ALL SELECT 'onto:mass', count(*) FROM v UNION ALL SELECT 'onto:simulationSaltConcentration', count(*) FROM v WHERE k % 3 < 2
+  UNION ALL SELECT 'qudt:hasUnit', sum((k % 3 = 0)::INT + (k % 4 = 0)::INT)::BIGINT FROM v
+  UNION ALL SELECT 'rdfg:has_motif', count(*) FROM v UNION ALL SELECT 'rdfg:has_terminal_residue', count(*) FROM v
+  UNION ALL SELECT 'rdfg:has_cardinality', 2 * count(*) FROM v UNION ALL SELECT 'onto:hasCount', count(*) FROM v
+  UNION ALL SELECT 'onto:clusterPercentage', 2 * count(*) FROM v UNION ALL SELECT 'dcterms:subject', count(*) * 2 FROM part
+  UNION ALL SELECT 'dcterms:description', count(*) FROM part WHERE p_partkey % 2 = 0
+  UNION ALL SELECT 'skos:prefLabel', (SELECT count(*) FROM v) + (SELECT count(DISTINCT k % 7) FROM v) + 1 + 2 + 1 + (SELECT count(DISTINCT p_type) FROM part) + 1
+  UNION ALL SELECT 'rdfg:has_sequence', sum(1 + (k % 2 = 0)::INT + (k % 5 = 0)::INT)::BIGINT FROM v)
+SELECT p, n FROM c"""
+)
+def entry_graph(spark, d):
+    """How often each of these predicates stands in the triples of all entry documents."""
+    found = entry_triples.entry_triples(graph_documents(spark, d)).groupBy("p").agg(F.count("*").alias("n"))
+    kept = "onto:hasVariant onto:isAnomerOf onto:hasAlphaAnomer owl:sameAs rdfg:has_glycosequence onto:mass onto:simulationSaltConcentration qudt:hasUnit rdfg:has_motif rdfg:has_terminal_residue rdfg:has_cardinality onto:hasCount onto:clusterPercentage dcterms:subject dcterms:description skos:prefLabel rdfg:has_sequence"
+    return found.where(F.col("p").isin(*kept.split()))

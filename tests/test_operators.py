@@ -223,3 +223,38 @@ def test_inventory_and_sections(spark, tmp_path):
     atoms, bonds, lacking = trajectories.sections(spark, str(f))
     assert [tuple(a) for a in atoms.collect()] == [("m", 1, 0.5, 1.0, 2.0), ("m", 2, 1.0, 2.0, 3.0)]
     assert [tuple(b) for b in bonds.collect()] == [("m", 1, 2)] and lacking.count() == 0
+
+
+def test_bandwidths_and_tightness(spark):
+    """Held-out likelihoods against a plain version, and the fewest clusters that are tight enough."""
+    import math
+    import random
+
+    from sugarloom.operators import clusters
+
+    r = random.Random(3)
+    rows = [(m, f, *(r.gauss(3 * (f % 2), 0.3 + 0.2 * m) for _ in "xyz")) for m, n in ((0, 8), (1, 15), (2, 26)) for f in range(n)]
+    points = spark.createDataFrame(rows, "mol_id int, frame int, x double, y double, z double")
+    labels = points.select("mol_id", "frame", F.lit(0).alias("cluster"))
+    got = {x["mol_id"]: x["h"] for x in clusters.cross_validated_bandwidth(points, labels).collect()}
+    for m, folds, steps in ((0, 2, 5), (1, 3, 10), (2, 5, 20)):
+        own = [x[2:] for x in rows if x[0] == m]
+        n = len(own)
+        sizes = [n // folds + (i < n % folds) for i in range(folds)]
+        fold = [i for i, k in enumerate(sizes) for _ in range(k)]
+        best = None
+        for i in range(steps):
+            h = 0.1 + 0.9 * i / (steps - 1)
+            total = 0.0
+            for a, p in enumerate(own):
+                rest = [q for b, q in enumerate(own) if fold[b] != fold[a]]
+                s = sum(math.exp(-sum((u - v) ** 2 for u, v in zip(p, q)) / (2 * h * h)) for q in rest)
+                total += math.log(max(s, 1e-300) / len(rest)) - 3 * math.log(h) - 1.5 * math.log(2 * math.pi)
+            if best is None or total > best[0]:
+                best = (total, h)
+        assert abs(got[m] - best[1]) < 1e-9
+    values = points.select("mol_id", "frame", F.lit(0).alias("torsion_id"), F.when(F.col("frame") % 2 == 0, 10.0).otherwise(150.0).alias("deg"))
+    k = {x["mol_id"]: (x["k"], x["tightness"]) for x in clusters.k_by_tightness(points.where("mol_id < 2"), values, 20.0, 4, 5).collect()}
+    assert set(k) == {0, 1} and all(n == 2 and t < 1e-3 for n, t in k.values())
+    near = clusters.density_mode(points, labels, 5, clusters.cross_validated_bandwidth(points, labels))
+    assert near.count() == 3 and clusters.density_mode(points, labels, 5, large=10, sampled=True).count() == 3
