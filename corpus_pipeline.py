@@ -19,28 +19,44 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that pass the counts and the divergence from their language."""
+    """The documents that pass the counts and the divergence from their language.
+
+    Null and empty texts have no words and go; a null lang is a language of its own; rows of null or equal ids, and
+    repeated rows, are judged each; other columns than those of documents are left out. No rows give no rows.
+    """
     return quality(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the first row by doc_id, nulls last, and text; unlike texts of one id all stay."""
+    """Of each group of near duplicates the first row by doc_id, nulls last, and text; unlike texts of one id all stay.
+
+    Rows of equal id and text are one; texts without words are linked with nothing. No rows give no rows.
+    """
     return first_of_components(docs.select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no item of the benchmark."""
+    """The documents that hold no item of the benchmark, each row judged by its own text.
+
+    Null and empty texts stay, as do rows of null or repeated ids; either table may be empty.
+    """
     return clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by the name of its kind."""
+    """All documents, personal data replaced by the name of its kind; n_chars is that of the new text.
+
+    A null text stays null, with a null n_chars; every row stays, repeated ones too.
+    """
     found = find_pii(docs.select(*COLUMNS))
     return found.withColumn("text", F.col("redacted")).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long"))).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each document how many of its words the mix takes."""
+    """Of each document how many of its words the mix takes.
+
+    A null source is a source of its own; null texts have size 0; a row without doc_id is placed by its text.
+    """
     return mix(docs)
 
 

@@ -32,7 +32,7 @@ def word_count(col: Column | str) -> Column:
 
 def split_part(col: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo n: the split that held-out rows come from."""
-    return F.crc32(F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("string").cast("binary")) % n
+    return F.crc32(F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit("")).cast("binary")) % n
 
 
 def py_part(doc_id: object, n: int) -> int:

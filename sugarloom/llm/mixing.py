@@ -54,9 +54,12 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, seed
     taken sums to the whole part of each source's target: whole epochs of the source, then its documents
     in key order until the budget ends; the document at the cut gives its remaining words only. A null
     source is a source of its own, null and empty texts have size 0 and taken 0, repeated rows are rows
-    of their own. An empty table gives no rows. Other columns are ignored.
+    of their own. A row without doc_id gets its key from its text; rows of one key go by doc_id and size, and rows
+    alike in all of these are interchangeable. An empty table gives no rows. Other columns, whatever their
+    names, are not read. Sources are taken to be few: their sums, a row each, meet in one window.
     """
-    key = F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.col("text").cast("binary"))), F.lit(""))
+    key = F.md5(F.concat(F.lit(seed + "/"), ident).cast("binary"))
     sized = staged(docs.select("doc_id", "source", word_count("text").alias("size"), key.alias("key")), "mix")
     sized = sized.withColumns({"line": F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")), "range": F.substring("key", 1, digits)})
     ranges = sized.groupBy("line", "range").agg(F.first("source").alias("source"), F.sum("size").alias("words"))
@@ -81,7 +84,7 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix/' || doc_id) AS key
+         md5('mix/' || coalesce(doc_id::VARCHAR, 'text:' || md5(text), '')) AS key
   FROM documents),
 sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sizes),

@@ -201,7 +201,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000, parts:
     Labels are learned only from rows whose crc32(doc_id as text) mod `parts` isn't `held_out`, from at
     most `most` of them; a document's copies in `labels` count once, 1 if one of them is. Null and empty
     texts have no terms and get the score of the bias; repeated rows are scored each; without labels
-    every score is one half. n_terms is the number of the model's terms in the text.
+    every score is one half. A null doc_id stays null and is in the part that the empty text's crc32 gives; null labels
+    teach nothing; other columns, whatever their names, are not read. n_terms is the number of the model's
+    terms in the text, which is read whole.
     """
     spark = docs.sparkSession
     if model is None:

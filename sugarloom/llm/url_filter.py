@@ -75,7 +75,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     without takes its component's: allow if an alias is allowed by a rule, else block if one is blocked,
     else allow. A null url, or one without ://, has empty host and path, no aliases and is allowed; a
     null html has no links; equal urls are aliases; each row is judged once, repeated rows too. component
-    is the smallest alias key of the component.
+    is the smallest alias key of the component. A null page_id stays null; other columns, whatever their names,
+    are not read; an empty table gives no rows.
     """
     url, html = F.col("url"), F.col("html")
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), alias_key(url).alias("key"), link_targets(url, html).alias("links"))

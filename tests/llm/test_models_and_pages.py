@@ -269,3 +269,65 @@ def test_pipeline(spark, tmp_path):
     assert "<EMAIL>" in text and "@" not in text
     assert len(cp.STAGES) == 5 and decontaminate and mixing and pii
     assert sorted(map(tuple, cp.run(spark, str(tmp_path)).collect()), key=str) == sorted(map(tuple, steps[4]), key=str)
+
+
+def test_pipeline_against_plain_versions(spark, tmp_path):
+    """Each stage on what the one before kept: verdicts, components, edit distances and budgets by brute force."""
+    import corpus_pipeline as cp
+    from sugarloom.llm import decontaminate as dec
+    from tests.llm.helpers import components, jaccard, shingle_set
+    from tests.llm.test_text_operators import edits, plain_kept, plain_spans
+
+    r = random.Random(19)
+    item = prose(r, 25)
+    wrong = list(item)
+    wrong[7] = "#"
+    rows = corpus(seed=7, n=30)
+    rows += [(None, prose(r, 90), "en", "s1", 0), (3, prose(r, 80), "en", "s1", 0), (700, prose(r, 60) + "\n" + "".join(wrong), "en", None, 0), (701, prose(r, 60) + " 10.0.0.1 x@y.org", "en", "s1", 0), (None, None, None, None, None)]
+    spark.createDataFrame([(1, item), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame(spark, rows)
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    for number, (_, stage) in enumerate(cp.STAGES):
+        before = [tuple(x) for x in docs.collect()]
+        out = stage(spark, docs.withColumn("kept", docs.doc_id), str(tmp_path))
+        got = [tuple(x) for x in out.collect()]
+        if number == 0:
+            want = [x for x, kept in zip(before, plain_kept(before), strict=True) if kept]
+        elif number == 1:
+            sets = [shingle_set(x[1]) for x in before]
+            of = components(range(len(before)), lambda a, b: jaccard(sets[a], sets[b]))
+            groups = collections.defaultdict(list)
+            for i, root in of.items():
+                groups[root].append(before[i])
+            want = [min(v, key=key) for v in groups.values()]
+        elif number == 2:
+            p = dec.normalised(item)
+            want = [x for x in before if edits(p, dec.normalised(x[1])) > dec.errors_allowed(len(p), 0.08)]
+            assert 700 in {x[0] for x in before} - {x[0] for x in want}
+        elif number == 3:
+            assert sorted(x[0] or -1 for x in got) == sorted(x[0] or -1 for x in before)
+            text = {x[0]: x[1] for x in got}
+            for x in before:
+                assert not plain_spans(x[1] or "") or all(x[1][a:b] not in text[x[0]] for _, a, b in plain_spans(x[1]))
+            want = got
+        else:
+            taken = collections.Counter()
+            for x in got:
+                taken[x[1]] += x[5]
+            assert len(got) == len(before) and all(taken[x[1]] == int(x[4]) and x[5] <= 3 * x[2] for x in got)
+            break
+        assert sorted(map(key, got)) == sorted(map(key, want)) and out.columns == list(cp.COLUMNS)
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    empty = docs.limit(0)
+    for _, stage in cp.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_columns_that_clash_are_not_read(spark):
+    docs = spark.createDataFrame([(1, "an idiot text of words", 7, "x"), (None, None, 8, None)], "doc_id long, text string, score int, held_out string")
+    marks = spark.createDataFrame([(1, 1, 9), (None, None, 9)], "doc_id long, toxic int, text int")
+    assert {x["doc_id"] for x in tox.score_toxicity(docs, marks).collect()} == {1, None}
+    pages = spark.createDataFrame([(1, "http://a.net/es/1", "<p>One text that is long enough.</p>", "x", 1), (None, None, None, None, None)], "page_id long, url string, html string, verdict string, n_chars int")
+    assert {(x["page_id"], x["verdict"]) for x in uf.judge_urls(pages).collect()} == {(1, "block"), (None, "allow")}
+    assert uf.judge_urls(pages.limit(0)).count() == 0
+    assert {(x["page_id"], x["url"]) for x in hb.extract(pages).collect()} == {(1, "http://a.net/es/1"), (None, None)}
