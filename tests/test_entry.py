@@ -29,7 +29,7 @@ def test_every_sql_has_its_query():
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
 
 
-@pytest.mark.parametrize("name", ["torsion_stats", "silhouette", "glycosidic_classes", "name_keywords", "record_upsert", "coverage_tree", "search_texts", "pattern_parameters", "sequence_variants", "stage_gates"])
+@pytest.mark.parametrize("name", ["torsion_stats", "silhouette", "glycosidic_classes", "name_keywords", "record_upsert", "coverage_tree", "search_texts", "pattern_parameters", "sequence_variants", "stage_gates", "metadata_payload", "short_notations", "step_status", "entry_documents", "structure_issues", "torsion_all_levels", "cluster_lookups", "torsion_metadata", "entry_graph", "level_entropies"])
 def test_query_agrees_with_sql(spark, name):
     con = duckdb.connect()
     con.sql("SET timezone = 'UTC'")
