@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +16,44 @@ def merged_maps(old: Column, new: Column) -> Column:
     return F.map_zip_with(old, new, lambda k, a, b: F.array_distinct(F.concat(F.coalesce(a, empty), F.coalesce(b, empty))))
 
 
+def _deep(old, new):
+    """new over old: objects key by key, lists joined without repeats, anything else replaced."""
+    if isinstance(old, dict) and isinstance(new, dict):
+        return {**old, **{k: _deep(old[k], v) if k in old else v for k, v in new.items()}}
+    if isinstance(old, list) and isinstance(new, list):
+        kept: dict[str, object] = {}
+        for x in [*old, *new]:
+            kept.setdefault(json.dumps(x, sort_keys=True), x)
+        return list(kept.values())
+    return new
+
+
+def merged_json(rows: DataFrame, old: str, new: str, out: str) -> DataFrame:
+    """rows with the deep merge of two columns of JSON texts; a text that is null or no JSON leaves the other as it is."""
+
+    def read(text):
+        try:
+            return json.loads(text) if text else None
+        except ValueError:
+            return None
+
+    def one(a, b):
+        a, b = read(a), read(b)
+        merged = b if a is None else a if b is None else _deep(a, b)
+        return None if merged is None else json.dumps(merged, separators=(",", ":"), ensure_ascii=False)
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            yield pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=object)
+
+    return rows.withColumn(out, F.pandas_udf(run, "string")(F.col(old), F.col(new)))
+
+
+def files_by_molecule(files: DataFrame, last: str = "output/info.json") -> DataFrame:
+    """files(mol_id, path) to (mol_id, files, complete): the distinct files of each molecule, and whether `last` is there."""
+    return files.groupBy("mol_id").agg(F.array_sort(F.collect_set("path")).alias("files"), F.bool_or(F.col("path") == last).alias("complete"))
+
+
 def union_sorted(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a, b))
 

@@ -86,6 +86,15 @@ def landscape(frames: DataFrame, atoms: Sequence[int]) -> DataFrame:
     return frames.select("mol_id", "frame", "xyz").mapInPandas(run, f"mol_id {kinds['mol_id']}, frame {kinds['frame']}, features array<float>")
 
 
+def selected_atoms(atoms: DataFrame, method: str, most: int = 300, seed: int = 0) -> DataFrame:
+    """The atoms that a landscape is made of: noH_fast takes up to `most` heavy atoms by a seeded hash, noH all heavy ones,
+    all every one; in atom order."""
+    if method not in ("noH_fast", "noH", "all"):
+        raise ValueError(f"unknown method {method}")
+    kept = atoms if method == "all" else atoms.where(heavy(F.col("element")))
+    return sample_atoms(kept, most, F.xxhash64(F.lit(seed), "mol_id", "atom_index")) if method == "noH_fast" else kept
+
+
 def sample_atoms(atoms: DataFrame, most: int, key: Column) -> DataFrame:
     """Of each molecule up to `most` atoms, those with the smallest key (a hash), in atom order."""
     from pyspark.sql import Window as W

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import harmonic_gap, unit_ball
 from sugarloom.operators.staging import staged
+from sugarloom.operators.stats import standardised
 
 
 def kth_distances(points: DataFrame, k: int, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", point: str = "frame") -> DataFrame:
@@ -60,3 +61,27 @@ def knn_entropy(points: DataFrame, k: int = 5, columns: Sequence[str] = ("x", "y
     r = kth_distances(points, k, columns, key, point)
     g = r.groupBy(key).agg(F.count("*").alias("n"), F.avg(F.log(F.when(F.col("r") == 0, 1e-12).otherwise(F.col("r")))).alias("m"))
     return g.select(key, "n", (harmonic_gap(F.col("n"), F.lit(k).cast("long")) + F.log(F.lit(unit_ball(d))) + d * F.col("m")).alias("entropy"))
+
+
+BOLTZMANN = 1.380649e-23
+
+
+def entropy_details(points: DataFrame, k: int = 5, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", point: str = "frame", standardise: bool = False, temperature: float | None = None) -> DataFrame:
+    """(key, n, k, dim, entropy, mean_r, s_joule_per_k, kbt_h_joule) of each key of more than k points; kbt_h_joule is null
+    without a temperature. Centring changes no distance, so there is no setting for it; standardise divides by the
+    deviation (ddof 1; 0 counts as 1). Keys of k points or fewer are in too_few()."""
+    if k < 1 or not columns:
+        raise ValueError("k and the number of columns are at least 1")
+    used = standardised(points, columns, (key,), sample=True) if standardise else points
+    r = kth_distances(used, k, columns, key, point)
+    safe = F.when(F.col("r") == 0, 1e-12).otherwise(F.col("r"))
+    g = r.groupBy(key).agg(F.count("*").alias("n"), F.avg(F.log(safe)).alias("m"), F.avg(safe).alias("mean_r"))
+    h = harmonic_gap(F.col("n"), F.lit(k).cast("long")) + F.log(F.lit(unit_ball(len(columns)))) + len(columns) * F.col("m")
+    out = g.select(key, "n", F.lit(k).alias("k"), F.lit(len(columns)).alias("dim"), h.alias("entropy"), "mean_r")
+    joule = F.col("entropy") * BOLTZMANN
+    return out.withColumns({"s_joule_per_k": joule, "kbt_h_joule": joule * F.lit(temperature).cast("double")})
+
+
+def too_few(points: DataFrame, k: int = 5, key: str = "mol_id") -> DataFrame:
+    """(key, n) of the keys whose entropy can't be told: k points or fewer."""
+    return points.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") <= k)

@@ -119,8 +119,44 @@ def coverage_tree(report: DataFrame, entry: str, path: str) -> DataFrame:
     return rows.groupBy(entry, "node").agg(F.when(F.bool_or("m"), "MISSING").otherwise("OK").alias("status"))
 
 
-def verdict(missing: Column, invalid: Column, extra: Column) -> Column:
-    return F.when((missing > 0) | (invalid > 0), F.when(missing > 3, "FAILED").otherwise("WARNING")).when(extra > 0, "WARNING").otherwise("COMPLETE")
+def verdict(steps_ok: Column, static_ok: Column, n_missing: Column, metadata_ok: Column) -> Column:
+    """FAILED unless all required steps and the static output are ok and no required file is missing; then COMPLETE if the
+    metadata step says it is ok, WARNING if it failed or says nothing."""
+    whole = F.coalesce(steps_ok, F.lit(False)) & F.coalesce(static_ok, F.lit(False)) & (F.coalesce(n_missing, F.lit(0)) == 0)
+    return F.when(~whole, "FAILED").when(F.coalesce(metadata_ok, F.lit(False)), "COMPLETE").otherwise("WARNING")
+
+
+def run_issues(inputs_ok: Column, failed_steps: Column, static_ok: Column, has_output: Column, missing: Column, errors: Column, steps_ok: Column, metadata_ok: Column) -> Column:
+    """The issues of a run in their order, each once: inputs, steps, static output, missing files (arrays of names), other
+    errors (those that say missing are told already), and the metadata step."""
+    one = lambda when, text: F.when(when, F.array(F.lit(text))).otherwise(F.array().cast("array<string>"))
+    each = lambda prefix, names: F.transform(names, lambda x: F.concat(F.lit(prefix), x))
+    no = lambda x: ~F.coalesce(x, F.lit(False))
+    silent = metadata_ok.isNull() & F.coalesce(steps_ok, F.lit(False)) & F.coalesce(static_ok, F.lit(False))
+    return F.array_distinct(
+        F.concat(
+            one(no(inputs_ok), "[MISSING] input files not found in the data directory"),
+            each("[MISSING] step incomplete: ", failed_steps),
+            one(no(static_ok), "[MISSING] static step incomplete"),
+            one(no(has_output), "[MISSING] static output directory not found"),
+            each("[MISSING] ", missing),
+            each("[WARN] ", F.filter(errors, lambda x: ~x.startswith("missing "))),
+            one(F.coalesce(~metadata_ok, F.lit(False)), "[WARN] metadata step failed"),
+            one(silent, "[WARN] metadata step did not report a final status"),
+        )
+    )
+
+
+def static_complete(entries: DataFrame, issues: DataFrame, mode: str) -> DataFrame:
+    """entries(id, name, accession, sequence) with `complete`: full asks for a name and no row in issues(id); simple for an
+    id, and an accession or a sequence."""
+    if mode == "full":
+        bad = issues.select("id").distinct().withColumn("_bad", F.lit(True))
+        return entries.join(bad, "id", "left").withColumn("complete", clean_null(F.col("name")).isNotNull() & F.col("_bad").isNull()).drop("_bad")
+    if mode != "simple":
+        raise ValueError(f"unknown mode {mode}")
+    has = lambda c: clean_null(F.col(c).cast("string")).isNotNull()
+    return entries.withColumn("complete", has("id") & (has("accession") | has("sequence")))
 
 
 def step_rates(status: DataFrame) -> DataFrame:

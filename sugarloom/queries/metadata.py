@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sugarloom.functions import names
 from sugarloom.functions.columns import percent, two_formats
 from sugarloom.operators import documents, records
 
@@ -77,10 +78,63 @@ def level_completeness(spark, d):
     return documents.levels_complete(t(spark, d, "orders").select(F.col("o_custkey").alias("mol_id"), (F.col("o_orderkey") % 5).cast("int").alias("level")), [1, 2, 3])
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 6 > 0 OR c_custkey % 4 = 3 THEN CASE WHEN c_custkey % 6 > 3 THEN 'FAILED' ELSE 'WARNING' END WHEN c_custkey % 5 > 3 THEN 'WARNING' ELSE 'COMPLETE' END AS verdict FROM customer")
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 = 0 THEN 'FAILED' WHEN c_custkey % 7 < 4 THEN 'COMPLETE' ELSE 'WARNING' END AS verdict,
+  array_to_string(list_filter([
+    CASE WHEN c_custkey % 2 = 0 THEN '[MISSING] step incomplete: info' END,
+    CASE WHEN c_custkey % 3 = 0 THEN '[MISSING] static step incomplete' END,
+    CASE WHEN c_custkey % 5 = 0 THEN '[MISSING] data.json' END,
+    CASE WHEN c_custkey % 4 = 1 THEN '[WARN] odd file' END,
+    CASE WHEN c_custkey % 7 = 4 THEN '[WARN] metadata step failed' END,
+    CASE WHEN c_custkey % 7 > 4 AND c_custkey % 2 > 0 AND c_custkey % 3 > 0 THEN '[WARN] metadata step did not report a final status' END], lambda x: x IS NOT NULL), '|') AS issues
+FROM customer""")
 def verdicts(spark, d):
+    """The verdict on each run, and its issues in order."""
+    k = F.col("c_custkey")
+    listed = lambda when, *names: F.when(when, F.array(*map(F.lit, names))).otherwise(F.array().cast("array<string>"))
+    steps, static, told = k % 2 > 0, k % 3 > 0, F.when(k % 7 < 4, True).when(k % 7 == 4, False)
+    missing = listed(k % 5 == 0, "data.json")
+    issues = records.run_issues(F.lit(True), listed(~steps, "info"), static, F.lit(True), missing, listed(k % 4 == 1, "missing x", "odd file", "odd file"), steps, told)
+    return t(spark, d, "customer").select("c_custkey", records.verdict(steps, static, F.size(missing), told).alias("verdict"), F.array_join(issues, "|").alias("issues"))
+
+
+@query("""
+SELECT c_custkey AS id, c_custkey % 4 > 0 AND c_custkey % 3 > 0 AS whole, c_custkey % 2 = 0 OR c_custkey % 5 = 0 AS known FROM customer""")
+def static_states(spark, d):
+    """Whether each entry is complete, by both rules."""
     k = F.col("c_custkey")
-    return t(spark, d, "customer").select("c_custkey", records.verdict(k % 6, F.floor((k % 4) / 3), F.floor((k % 5) / 4)).alias("verdict"))
+    e = t(spark, d, "customer").select(k.alias("id"), F.when(k % 4 > 0, F.col("c_name")).otherwise("null").alias("name"), F.when(k % 2 == 0, "G1").alias("accession"), F.when(k % 5 == 0, "W").otherwise("").alias("sequence"))
+    issues = e.where("id % 3 = 0").select("id", F.lit("missing_data_json").alias("issue"))
+    full = records.static_complete(e, issues.unionByName(issues), "full").select("id", F.col("complete").alias("whole"))
+    return full.join(records.static_complete(e, issues, "simple").select("id", F.col("complete").alias("known")), "id")
+
+
+@query("SELECT c_custkey, to_json({'a': c_custkey, 'b': {'x': 1, 'y': [1, 2, 3], 'z': 'new'}, 'c': [1], 'd': c_name}) AS doc FROM customer")
+def merged_documents(spark, d):
+    """Documents merged to any depth: objects key by key, lists without repeats, other values from the new one."""
+    old = F.concat(F.lit('{"a": 0, "b": {"x": 1, "y": [1, 2], "z": {"q": 1}}, "c": 5, "d": '), F.to_json(F.struct("c_name")).substr(F.lit(11), F.length("c_name") + 2), F.lit("}"))
+    new = F.concat(F.lit('{"a": '), F.col("c_custkey").cast("string"), F.lit(', "b": {"y": [2, 3], "z": "new"}, "c": [1]}'))
+    return documents.merged_json(t(spark, d, "customer").select("c_custkey", old.alias("old"), new.alias("new")), "old", "new", "doc").select("c_custkey", "doc")
+
+
+@query("SELECT 'C' || o_custkey AS mol_id, count(DISTINCT o_orderpriority) AS n, bool_or(o_orderpriority = '5-LOW') AS complete FROM orders GROUP BY 1")
+def molecule_files(spark, d):
+    """How many files each molecule has, and whether the one that ends a run is there."""
+    files = t(spark, d, "orders").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("mol_id"), F.when(F.col("o_orderpriority") == "5-LOW", "output/info.json").otherwise(F.col("o_orderpriority")).alias("path"))
+    return documents.files_by_molecule(files).select("mol_id", F.size("files").alias("n"), "complete")
+
+
+@query("SELECT p_partkey, lower(replace(replace(p_name, ' ', '_'), '-', '_')) AS keyword, 'Gal_b1_' || p_size || '_' AS terminus, 'x_y_z' || p_size AS sequence, 'Cluster_' || p_size AS cluster FROM part")
+def safe_labels(spark, d):
+    """The four kinds of label that stand in names of nodes."""
+    n = F.col("p_size").cast("string")
+    return t(spark, d, "part").select(
+        "p_partkey",
+        names.keyword_label(F.col("p_name")).alias("keyword"),
+        names.terminus_label(F.concat(F.lit("Gal(b1-"), n, F.lit(")"))).alias("terminus"),
+        names.sequence_label(F.concat(F.lit("X (y)/z"), n)).alias("sequence"),
+        names.cluster_label(F.concat(F.lit("Cluster "), n)).alias("cluster"),
+    )
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created FROM events WHERE event_id % 3 <> 2 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 3 = 2")

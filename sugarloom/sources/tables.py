@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import clean_null, two_formats
@@ -40,6 +40,27 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return out.select(*(v.alias(n) for n, v in values.items()))
 
 
+def first_submissions(rows: DataFrame) -> DataFrame:
+    """Of the submissions with a time those of each name that come first: by time, then entry_id."""
+    at = F.row_number().over(Window.partitionBy("glycam_name").orderBy("created", "entry_id"))
+    return rows.where("created is not null and glycam_name is not null").withColumn("_at", at).where("_at = 1").drop("_at")
+
+
+def submission_records(rows: DataFrame) -> DataFrame:
+    """inventory() as records to be inserted: rows without a name fall out, texts are never null, and state and origin are
+    those of migrated rows."""
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    names = [c for c in rows.columns if c not in NUMBERS and c not in ("created", "glycam_name")]
+    fixed = [F.lit("manual").alias("source_type"), F.lit("inbucket").alias("status"), F.lit("uploaded").alias("upload_status")]
+    created = F.concat("created", F.lit(".000Z")).alias("created")
+    return rows.where("glycam_name is not null").select("glycam_name", *map(text, names), *(c for c in NUMBERS if c in rows.columns), created, *fixed)
+
+
+def write_lines(df: DataFrame, column: str, path: str) -> None:
+    """One text a line, in as many files as Spark makes."""
+    df.select(F.col(column).cast("string").alias("value")).where("value is not null").write.mode("overwrite").text(path)
+
+
 def documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """(entry_id, columns of schema): one JSON document in each entry's folder; unreadable ones are left out."""
     rows = spark.read.schema(f"{schema}, _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").json(path)

@@ -258,3 +258,38 @@ def test_bandwidths_and_tightness(spark):
     assert set(k) == {0, 1} and all(n == 2 and t < 1e-3 for n, t in k.values())
     near = clusters.density_mode(points, labels, 5, clusters.cross_validated_bandwidth(points, labels))
     assert near.count() == 3 and clusters.density_mode(points, labels, 5, large=10, sampled=True).count() == 3
+
+
+def test_documents_submissions_and_names(spark, tmp_path):
+    from sugarloom.sources import tables, trajectories
+
+    (tmp_path / "e1").mkdir()
+    (tmp_path / "e2").mkdir()
+    (tmp_path / "e1" / "data.json").write_text('{"a": 1, "b": {"c": "x"}}')
+    (tmp_path / "e2" / "data.json").write_text('{"a": ')
+    assert [tuple(x) for x in tables.documents(spark, f"{tmp_path}/*/data.json", "a int, b struct<c: string>").select("entry_id", "a", "b.c").collect()] == [("e1", 1, "x")]
+    rows = spark.createDataFrame([("1", "N", "2024-01-02 00:00:00", 1.0), ("2", "N", "2024-01-01 00:00:00", None), ("3", "N", None, 2.0), ("4", None, "2024-01-01 00:00:00", None)], "entry_id string, glycam_name string, created string, length double")
+    assert [x["entry_id"] for x in tables.first_submissions(rows).collect()] == ["2"]
+    made = {x["entry_id"]: x for x in tables.submission_records(rows).collect()}
+    assert set(made) == {"1", "2", "3"} and made["1"]["created"] == "2024-01-02 00:00:00.000Z" and made["3"]["created"] is None and made["2"]["status"] == "inbucket"
+    tables.write_lines(rows, "glycam_name", f"{tmp_path}/lines")
+    assert spark.read.text(f"{tmp_path}/lines").count() == 3
+    assert trajectories.escaped("/a[b]/{c}") == "/a\\[b\\]/\\{c\\}"
+    one = spark.range(1)
+    assert one.select(names.without_series(F.lit("D-Gal-L-Fuc"))).first()[0] == "Gal-Fuc"
+    assert tuple(one.select(names.anomer_variants(F.lit("Gal"), F.lit("DGalp"), F.lit("1"))).first()[0]) == ("Gal(a1-", "Gal(b1-", "DGalpa1-OH", "DGalpb1-OH")
+    with pytest.raises(ValueError):
+        geometry.selected_atoms(one, "some")
+
+
+def test_entropy_details_and_best_k(spark):
+    r = random.Random(2)
+    rows = [(0, f, *(r.gauss(8 * (f % 3), 0.4) for _ in "xyz")) for f in range(45)] + [(1, f, 0.0, 0.0, float(f)) for f in range(3)]
+    points = spark.createDataFrame(rows, "mol_id int, frame int, x double, y double, z double")
+    plain = neighbours.knn_entropy(points).first()["entropy"]
+    got = neighbours.entropy_details(points, temperature=300.0).collect()
+    assert len(got) == 1 and abs(got[0]["entropy"] - plain) < 1e-9 and abs(got[0]["kbt_h_joule"] - plain * neighbours.BOLTZMANN * 300) < 1e-30
+    assert [x["mol_id"] for x in neighbours.too_few(points).collect()] == [1]
+    assert abs(neighbours.entropy_details(points, standardise=True).first()["entropy"] - plain) > 1
+    best = clusters.best_k(points.where("mol_id = 0"), 2, 4, 6).first()
+    assert best["k"] == 3 and best["silhouette"] > 0.7
