@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sugarloom.functions.columns import percent
 from sugarloom.operators import clusters, geometry, landscapes, neighbours, stats
 from sugarloom.operators.staging import staged
 
@@ -30,3 +31,38 @@ def info(members: DataFrame, reps: DataFrame, torsion_stats: DataFrame, entropy:
     listed = F.array_sort(F.collect_list(F.struct("cluster", "n", "pct", "representative", F.to_json("torsions").alias("torsions"))))
     doc = c.groupBy("mol_id").agg(listed.alias("clusters")).join(entropy.select("mol_id", "entropy"), "mol_id", "left")
     return doc.select("mol_id", F.to_json(F.struct(F.lit(3).alias("schema_version"), "entropy", "clusters")).alias("info"))
+
+
+def info_documents(summary: DataFrame, torsion_stats: DataFrame, variance: DataFrame, torsions: DataFrame, entropy: DataFrame) -> DataFrame:
+    """(mol_id, info): the whole document of each molecule, of any number of levels.
+
+    summary(mol_id, level, cluster, n, pct, representative), torsion_stats(mol_id, level, cluster, torsion_id, and its
+    figures), variance(mol_id, component, evr), torsions(mol_id, torsion_id, canonical_name, family, subtype,
+    common_name), entropy(mol_id, entropy). A block without rows is null.
+    """
+    figures = [c for c in torsion_stats.columns if c not in ("mol_id", "level", "cluster", "torsion_id")]
+    by_key = lambda a, b: F.when(a.key < b.key, -1).when(a.key > b.key, 1).otherwise(0)
+    # of one cluster's torsions, one level's clusters, one molecule's levels
+    own = torsion_stats.groupBy("mol_id", "level", "cluster").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("torsion_id").cast("string").alias("key"), F.struct(*figures).alias("value"))), by_key))).alias("torsions"))
+    clusters_ = summary.join(own, ["mol_id", "level", "cluster"], "left").select("mol_id", "level", F.struct(F.col("cluster").alias("cluster_id"), F.col("n").alias("size"), F.col("pct").alias("cluster_size_pct"), "representative", "torsions").alias("c"))
+    levels = clusters_.groupBy("mol_id", "level").agg(F.array_sort(F.collect_list("c")).alias("clusters"))
+    levels = levels.groupBy("mol_id").agg(F.array_sort(F.collect_list(F.struct("level", F.size("clusters").alias("n_clusters"), "clusters"))).alias("levels"))
+    shares = variance.groupBy("mol_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("component", "evr"))), lambda x: x.evr).alias("evr"))
+    running = F.transform("evr", lambda _, i: F.aggregate(F.slice("evr", 1, i + 1), F.lit(0.0), lambda a, x: a + x))
+    pca = shares.select("mol_id", F.struct(F.col("evr").alias("explained_variance_ratio"), running.alias("cumulative_variance"), F.size("evr").alias("n_components")).alias("pca"))
+    meta = F.array_sort(F.collect_list(F.struct(F.col("torsion_id").alias("index"), "canonical_name", "family", "subtype", "common_name")))
+    told = torsions.groupBy("mol_id").agg(meta.alias("metadata"))
+    is_linked = lambda x: x.family == "glycosidic"
+    count = lambda name: F.map_from_entries(F.transform(F.array_sort(F.array_distinct(F.transform("metadata", lambda x: x[name]))), lambda v: F.struct(v, F.size(F.filter("metadata", lambda x: x[name] == v)))))
+    told = told.select("mol_id", F.struct(F.size("metadata").alias("count"), F.size(F.filter("metadata", is_linked)).alias("glycosidic"), F.size(F.filter("metadata", lambda x: ~is_linked(x))).alias("non_glycosidic"), F.struct(count("family").alias("by_family"), count("subtype").alias("by_subtype")).alias("family_summary"), "metadata").alias("torsions"))
+    out = levels.join(pca, "mol_id", "left").join(told, "mol_id", "left").join(entropy.select("mol_id", "entropy"), "mol_id", "left")
+    return out.select("mol_id", F.to_json(F.struct(F.lit(3).alias("schema_version"), F.col("entropy").alias("entropy_nats"), "pca", "levels", "torsions")).alias("info"))
+
+
+def level_rows(documents: DataFrame) -> DataFrame:
+    """info documents (mol_id, info) back to rows (mol_id, level, cluster, name, share), shares rounded as they are shown."""
+    kind = "array<struct<level: int, clusters: array<struct<cluster_id: int, cluster_size_pct: double>>>>"
+    levels = documents.select("mol_id", F.explode(F.from_json(F.get_json_object("info", "$.levels"), kind)).alias("l"))
+    each = levels.select("mol_id", F.col("l.level").alias("level"), F.explode("l.clusters").alias("c"))
+    share = percent(F.col("c.cluster_size_pct"), F.col("level"))
+    return each.select("mol_id", "level", F.col("c.cluster_id").alias("cluster"), F.concat(F.lit("Cluster "), F.col("c.cluster_id").cast("string")).alias("name"), share.alias("share"))

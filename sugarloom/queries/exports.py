@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.operators import exports
+from sugarloom.operators import exports, stats
+from sugarloom.plans import analysis
 from sugarloom.queries import shape
 
 QUERIES: dict = {}
@@ -199,3 +200,45 @@ SELECT mol_id, level, round(avg(e), 6) AS entropy FROM h GROUP BY ALL"""
 def level_entropies(spark, d):
     """The mean over a level's clusters of their points' entropy."""
     return exports.level_entropy(shape.points(spark, d).drop("cluster"), memberships(spark, d)).withColumn("entropy", F.round("entropy", 6))
+
+
+def info(spark: SparkSession, d: str) -> DataFrame:
+    m, own = memberships(spark, d), summary(spark, d)
+    values = shape.values(spark, d).drop("cluster").join(m, ["mol_id", "frame"])
+    figures = stats.circular(values, ["mol_id", "level", "cluster", "torsion_id"])
+    sizes = m.groupBy("mol_id", "level", "cluster").agg(F.count("*").alias("n"))
+    variance = shape.points(spark, d).groupBy("mol_id").agg(F.count("*").alias("n")).select("mol_id", F.explode(F.array(F.lit(0.5), F.lit(0.25), F.lit(0.125))).alias("evr")).withColumn("component", F.when(F.col("evr") == 0.5, 1).when(F.col("evr") == 0.25, 2).otherwise(3))
+    meta = sizes.select("mol_id").distinct().select("mol_id", F.explode(F.array(*(F.struct(F.lit(i).alias("torsion_id"), F.lit(f"n{i}").alias("canonical_name"), F.lit("glycosidic" if i < 2 else "residue_local").alias("family"), F.lit("phi" if i == 0 else "psi" if i == 1 else "bond").alias("subtype"), F.lit(None).cast("string").alias("common_name")) for i in range(shape.TORSIONS)))).alias("x")).select("mol_id", "x.*")
+    entropy = sizes.groupBy("mol_id").agg(F.sum("n").cast("double").alias("entropy"))
+    return analysis.info_documents(own.withColumnRenamed("frame", "representative").join(sizes, ["mol_id", "level", "cluster"]), figures, variance, meta, entropy)
+
+
+@query(
+    "WITH "
+    + M_SQL.strip()
+    + """
+SELECT mol_id, 3 AS version, count(DISTINCT level) AS levels, count(*) FILTER (level = 2) AS second, (sum(n) FILTER (level = 1))::BIGINT AS members, 0.875::DOUBLE AS variance,
+  2 AS glycosidic, 4 AS bonds, sum(n)::DOUBLE AS entropy FROM su JOIN ms USING (mol_id, level, cluster) GROUP BY mol_id"""
+)
+def info_documents(spark, d):
+    """What stands in the document of each molecule: levels, variance, torsion families and entropy."""
+    get = lambda path, kind: F.get_json_object("info", path).cast(kind)
+    parsed = F.from_json(F.get_json_object("info", "$.levels"), "array<struct<level: int, n_clusters: long, clusters: array<struct<size: long, torsions: string>>>>")
+    at = lambda level: F.get(F.filter(parsed, lambda x: x.level == level), F.lit(0))
+    return info(spark, d).select(
+        "mol_id",
+        get("$.schema_version", "int").alias("version"),
+        F.json_array_length(F.get_json_object("info", "$.levels")).cast("long").alias("levels"),
+        at(2)["n_clusters"].alias("second"),
+        F.aggregate(F.filter(at(1)["clusters"], lambda x: x.torsions.isNotNull()), F.lit(0).cast("long"), lambda a, x: a + x["size"]).alias("members"),
+        get("$.pca.cumulative_variance[2]", "double").alias("variance"),
+        get("$.torsions.glycosidic", "int").alias("glycosidic"),
+        get("$.torsions.family_summary.by_subtype.bond", "int").alias("bonds"),
+        get("$.entropy_nats", "double").alias("entropy"),
+    )
+
+
+@query("WITH " + M_SQL.strip() + " SELECT mol_id, level, cluster, 'Cluster ' || cluster AS name, CASE WHEN level = 1 THEN round(pct, 2) ELSE round(pct, 4) END AS share FROM su")
+def level_rows(spark, d):
+    """The shares of all clusters, read back from the documents."""
+    return analysis.level_rows(info(spark, d))
