@@ -22,6 +22,17 @@ def _gap(prefix: str) -> Column:
     return sum(((F.col(c) - F.col(prefix + c)) * (F.col(c) - F.col(prefix + c)) for c in AXES[1:]), (F.col("x") - F.col(prefix + "x")) * (F.col("x") - F.col(prefix + "x")))
 
 
+def _pairs(left: DataFrame, right: DataFrame, keys: list[str], one: str, other: str, block: int = 4096) -> DataFrame:
+    """Every row of left with every row of right of the same keys. A key of many rows is dealt over pairs of blocks of
+    about `block` rows, so no task gets all pairs of a molecule."""
+    n = left.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_n"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+    place = lambda c: F.pmod(F.xxhash64(c), F.col("_n")).cast("int")
+    a = left.join(n, keys).withColumn("_a", place(one)).withColumn("_b", every).drop("_n")
+    b = right.join(n, keys).withColumn("_b", place(other)).withColumn("_a", every).drop("_n")
+    return a.join(b, [*keys, "_a", "_b"]).drop("_a", "_b")
+
+
 def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> DataFrame:
     """(mol_id, frame, cluster): farthest-point centres from the smallest frame on, each point to its nearest (ties to
     the earlier centre). A molecule of k points or fewer has one cluster a point; with `radius` it stops
@@ -65,12 +76,12 @@ def nearest_centre(points: DataFrame, centres: DataFrame) -> DataFrame:
 def silhouettes(points: DataFrame, labels: DataFrame) -> DataFrame:
     """(mol_id, silhouette): the exact mean over points; null where a molecule has one cluster.
 
-    Distances are summed by (point, cluster) as they are made, so no list of a point's distances is kept.
+    Distances are summed by (point, cluster) as they are made, in blocks of points against blocks.
     A point alone in its cluster counts 0.
     """
     p = points.join(labels, ["mol_id", "frame"]).select("mol_id", "frame", "cluster", *AXES)
     other = p.select("mol_id", F.col("frame").alias("frame2"), F.col("cluster").alias("cluster2"), *(F.col(a).alias("o" + a) for a in AXES))
-    pairs = p.join(other, "mol_id").where("frame <> frame2")
+    pairs = _pairs(p, other, ["mol_id"], "frame", "frame2").where("frame <> frame2")
     mean = pairs.groupBy("mol_id", "frame", "cluster", "cluster2").agg(F.avg(F.sqrt(_gap("o"))).alias("d"))
     own = F.max(F.when(F.col("cluster") == F.col("cluster2"), F.col("d"))).alias("a")
     out = F.min(F.when(F.col("cluster") != F.col("cluster2"), F.col("d"))).alias("b")
@@ -96,7 +107,7 @@ def densest_member(points: DataFrame, labels: DataFrame, bandwidth: Column | Non
     sd = sum((F.coalesce(F.stddev_samp(a), F.lit(0.0)) for a in AXES[1:]), F.coalesce(F.stddev_samp("x"), F.lit(0.0))) / 3
     h = p.groupBy("mol_id", "cluster").agg((bandwidth if bandwidth is not None else F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9))).alias("h"))
     other = p.select("mol_id", "cluster", F.col("frame").alias("frame2"), *(F.col(a).alias("o" + a) for a in AXES))
-    pairs = p.join(other, ["mol_id", "cluster"]).join(h, ["mol_id", "cluster"])
+    pairs = _pairs(p, other, ["mol_id", "cluster"], "frame", "frame2").join(h, ["mol_id", "cluster"])
     density = pairs.groupBy("mol_id", "cluster", "frame").agg(F.sum(F.exp(-_gap("o") / (2 * F.col("h") * F.col("h")))).alias("density"))
     best = density.groupBy("mol_id", "cluster").agg(F.max_by("frame", F.struct("density", -F.col("frame"))).alias("frame"), F.max("density").alias("density"))
     return best
@@ -118,8 +129,8 @@ def cross_validated_bandwidth(points: DataFrame, labels: DataFrame) -> DataFrame
     size, more = F.floor(F.col("n") / folds), F.col("n") % folds
     fold = F.when(F.col("place") < more * (size + 1), F.floor(F.col("place") / (size + 1))).otherwise(more + F.floor((F.col("place") - more * (size + 1)) / size))
     rows = staged(placed.withColumn("fold", fold.cast("int")), "folds")
-    other = rows.select("mol_id", "cluster", F.col("fold").alias("fold2"), *(F.col(a).alias("o" + a) for a in AXES))
-    pairs = rows.join(other, ["mol_id", "cluster"]).where("fold <> fold2").withColumn("d2", _gap("o"))
+    other = rows.select("mol_id", "cluster", F.col("frame").alias("frame2"), F.col("fold").alias("fold2"), *(F.col(a).alias("o" + a) for a in AXES))
+    pairs = _pairs(rows, other, ["mol_id", "cluster"], "frame", "frame2").where("fold <> fold2").withColumn("d2", _gap("o"))
     tried = pairs.withColumn("h", F.explode(F.transform(F.sequence(F.lit(0), steps - 1), lambda i: 0.1 + 0.9 * i / (steps - 1))))
     dim = len(AXES)
     kernel = F.exp(-F.col("d2") / (2 * F.col("h") * F.col("h")))
