@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -12,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sugarloom.operators.staging import drop_stage, new_path, staged  # noqa: F401
+
 #: Words are runs of anything but ASCII space and the controls TAB to CR.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,41 +39,7 @@ def py_part(doc_id: object, n: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % n
 
 
-# -- durable intermediate tables ------------------------------------------------------------------
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset and Spark is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write df once and read it back: cuts lineage, survives lost executors, is computed one time only."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stage_path = path
-    return out
-
-
-def drop_stage(df: DataFrame | None) -> None:
-    """Remove a stage that nothing reads any more."""
-    path = getattr(df, "stage_path", None)
-    if path:
-        jvm, hadoop = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(hadoop).delete(where, True)
+# -- tasks and batches ----------------------------------------------------------------------------
 
 
 def release(spark: SparkSession) -> None:

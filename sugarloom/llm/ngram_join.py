@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import ngram_hashes, release, sliced, staged, table, texts, words_of
+from sugarloom.llm.common import drop_stage, ngram_hashes, release, sliced, staged, table, texts, words_of
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.setjoin import group_links, heads_of, pack, prefix_length
 
@@ -211,8 +211,9 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
 
     # a row of each class, whatever ids its documents have
     sets = staged(docs.select("text").mapInArrow(packed, "member long, members binary").join(members, "member", "left_semi").dropDuplicates(["member"]), "sets")
-    links = group_links(groups, sets, num, den)
-    parts = connected_components(links)
+    parts = connected_components(group_links(groups, sets, num, den))
+    for done in (groups, sets):
+        drop_stage(done)
     return rows, classes.join(parts.select(F.col("node").alias("cls"), "component"), "cls", "left")
 
 

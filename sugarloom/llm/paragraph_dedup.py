@@ -19,15 +19,16 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import mix64, ngram_hashes, release, sliced, staged, table
+from sugarloom.llm.common import drop_stage, mix64, ngram_hashes, release, sliced, staged, table
 from sugarloom.llm.components import connected_components
 from sugarloom.llm.ngram_join import _bloom_hits, id_filter, per_group
 from sugarloom.llm.setjoin import group_links, heads_of, pack
 
 #: Bits of a shingle's hash within a set; two of n shingles share them with a chance of n * n / 2**45.
 BITS = 44
-#: The similarity at which at most a tenth of the pieces are missed; more of less alike ones are, equal ones never.
-PIECE_SIMILARITY = 0.9
+#: Hundredths of similarity at which pieces link, and at most a tenth of them are missed; equal ones never are. Pieces
+#: are small sets, of which less alike ones mean little: lines link from the wanted similarity on.
+PIECE_SIMILARITY = 90
 #: Paragraphs that are hashed at once.
 CHUNK = 1 << 16
 _SPACE = np.zeros(256, bool)
@@ -158,8 +159,8 @@ class Units:
         own = key & np.uint64((1 << BITS) - 1)
         starts = np.cumsum(sizes) - sizes
         sums, mixed = np.add.reduceat(mix64(own + np.uint64(1)), starts), np.bitwise_xor.reduceat(mix64(own + np.uint64(1 << 50)), starts)
-        kind = self.is_line[lo:hi].astype(np.uint64)
-        return own, sizes, mix64(sums ^ mix64(mixed + (sizes.astype(np.uint64) << np.uint64(1)) + kind)).view(np.int64)
+        kind = self.is_line[lo:hi].astype(np.uint64)  # the last bit, so that a piece and a line are never one class
+        return own, sizes, (mix64(sums ^ mix64(mixed + sizes.astype(np.uint64))) & ~np.uint64(1) | kind).view(np.int64)
 
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.starts[i] : self.starts[i] + self.sizes[i]]
@@ -171,8 +172,7 @@ UNITS = "doc_id long, row long, line boolean, at long, n_words long, start long,
 def _scan(k: int, reach: int, passage_words: int, similarity: float):
     def run(batches):
         known: set[int] = set()
-        # pieces are small sets, of which many share a shingle by chance: bands for those that are nearly equal
-        banders = [Bander(*tune_bands(max(similarity, PIECE_SIMILARITY), 0.1, 6)), Bander(*tune_bands(similarity))]
+        banders = [Bander(*tune_bands(max(similarity, PIECE_SIMILARITY / 100), 0.1, 6)), Bander(*tune_bands(similarity))]
         for batch in sliced(batches):
             words = Words(batch.column("text").to_pylist())
             u = Units(words, k, reach, passage_words)
@@ -271,7 +271,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
     words or more that another document has as well.
 
     Such a passage is a run of paragraphs that touch, each alike to one of another document (Jaccard of k-word
-    shingles num/den or more, directly or over others): with a line of passage_words words among them, or
+    shingles num/den or more for lines, PIECE_SIMILARITY for pieces, directly or over others): with a line of passage_words words among them, or
     holding, with the unmatched pieces around it, passage_words words that stand in another document word
     for word. reach sets the size of pieces: more than `reach` words each, 2 * reach + 1 in the mean; a verbatim
     passage of passage_words words holds some of them whole.
@@ -286,9 +286,10 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
     units = staged(docs.mapInArrow(_scan(k, reach, passage_words, num / den), UNITS), "paragraphs")
-    groups = heads_of(units.select(F.explode("bands").alias("token"), F.col("size").alias("n"), "cls"), num, den)
+    alike = {False: (max(num * 100 // den, PIECE_SIMILARITY), 100), True: (num, den)}
+    groups = {line: heads_of(units.where(F.col("line") == line).select(F.explode("bands").alias("token"), F.col("size").alias("n"), "cls"), *alike[line]) for line in alike}
     release(spark)
-    members = groups.select("member").distinct()
+    members = groups[False].select("member").union(groups[True].select("member")).distinct()
     bloom = spark.sparkContext.broadcast(id_filter(members.select(F.col("member").alias("doc_id"))))
 
     def packed(batches):
@@ -310,7 +311,10 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["member", "members"])
 
     sets = staged(docs.select("text").mapInArrow(packed, "member long, members binary").join(members, "member", "left_semi").dropDuplicates(["member"]), "sets")
-    parts = connected_components(group_links(groups, sets, num, den))
+    links = {line: group_links(groups[line], sets, *alike[line]) for line in alike}
+    parts = connected_components(links[False].union(links[True]))
+    for done in (*groups.values(), sets):
+        drop_stage(done)
     found = _matched(units, parts).withColumn("to", F.col("at") + F.col("n_words"))
     best = F.max(F.struct("n_words", "cluster", "n_members", (F.col("row") != F.col("keeper")).alias("removed"))).alias("best")
     places = [F.min("at").alias("at"), F.max("to").alias("to"), F.min("start").alias("start"), F.max("end").alias("end")]
@@ -318,6 +322,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
     # the words around a passage can put one more break within `reach` words of its begin, or of its last three words
     joined = joined.withColumn("lo", F.greatest(F.lit(0), F.col("at") - F.col("left") - reach)).withColumn("hi", F.col("to") + F.col("right") + reach + 2)
     joined = staged(joined.where(F.col("whole") | (F.col("hi") - F.col("lo") >= passage_words)), "stretches")
+    drop_stage(units)
     open_ = joined.where("not whole").select("doc_id", "row", "lo", "hi")
     windows = _settled(docs, open_, passage_words).alias("w").join(joined.where("not whole").select("doc_id", "row", "lo", "best").alias("j"), F.col("w.doc_id").eqNullSafe(F.col("j.doc_id")) & (F.col("w.row") == F.col("j.row")) & (F.col("w.lo") == F.col("j.lo")))
     columns = ["doc_id", "row", "at", "to", "start", "end", "best"]

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sugarloom.llm.common import staged
+from sugarloom.llm.common import drop_stage, staged
 
 _PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
@@ -282,7 +282,9 @@ def heads_of(entries: DataFrame, num: int, den: int, more: int = 0) -> DataFrame
     able = found.groupBy("member", "n").agg(F.sum("tokens").alias("tokens")).where(F.col("tokens") >= shared_at_least(F.col("n"), num, den, more)).select("member")
     kept = found.join(able, "member", "left_semi").select("head", "member", "n")
     several = kept.groupBy("head").agg(F.count("*").alias("k")).where("k > 1").select("head")
-    return staged(kept.join(several, "head", "left_semi"), "groups")
+    out = staged(kept.join(several, "head", "left_semi"), "groups")
+    drop_stage(found)
+    return out
 
 
 def _own_prefixes(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
