@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sugarloom.llm.byte_bpe import op13_byte_bpe
 from sugarloom.llm.decontaminate import op4_decontaminate
 from sugarloom.llm.html_blocks import op10_html_blocks
 from sugarloom.llm.lm_scoring import op1_lm_scoring
@@ -13,5 +14,5 @@ from sugarloom.llm.quality import op8_quality
 from sugarloom.llm.toxicity import op5_toxicity
 from sugarloom.llm.url_filter import op6_url_filter
 
-QUERIES = {"op1_lm_scoring": op1_lm_scoring, "op2_ngram_join": op2_ngram_join, "op3_paragraph_dedup": op3_paragraph_dedup, "op4_decontaminate": op4_decontaminate, "op5_toxicity": op5_toxicity, "op6_url_filter": op6_url_filter, "op7_pii": op7_pii, "op8_quality": op8_quality, "op9_mixing": op9_mixing, "op10_html_blocks": op10_html_blocks}
+QUERIES = {"op1_lm_scoring": op1_lm_scoring, "op2_ngram_join": op2_ngram_join, "op3_paragraph_dedup": op3_paragraph_dedup, "op4_decontaminate": op4_decontaminate, "op5_toxicity": op5_toxicity, "op6_url_filter": op6_url_filter, "op7_pii": op7_pii, "op8_quality": op8_quality, "op9_mixing": op9_mixing, "op10_html_blocks": op10_html_blocks, "op13_byte_bpe": op13_byte_bpe}
 ORACLE_SQL = {"op9_mixing": OP9_SQL}
