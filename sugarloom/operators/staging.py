@@ -36,6 +36,19 @@ def staged(df: DataFrame, label: str, *by: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, label: str, by: list[str]) -> DataFrame:
+    """df as staged() has it, its rows dealt over as many buckets as there are shuffle partitions: groupings and joins
+    on these columns read it without another shuffle."""
+    spark = df.sparkSession
+    path, tasks = new_path(spark, label), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = df.repartition(tasks, *by)  # so each bucket is one file
+    dealt.write.bucketBy(tasks, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    out.stage_path = path
+    return out
+
+
 def drop_stage(df: DataFrame | None) -> None:
     """Remove a stage that nothing reads any more."""
     path = getattr(df, "stage_path", None)

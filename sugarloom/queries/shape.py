@@ -7,6 +7,7 @@ vectors are dealt to five molecules by id, and a vector's label is its cluster.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import clusters_for_entropy, scott_bandwidth
@@ -350,6 +351,48 @@ def pca_scores(spark, d):
     return scores.select("mol_id", "frame", *(F.round(F.element_at("pc", i + 1), 4).alias(f"PC{i + 1}") for i in range(3)))
 
 
+LANDSCAPE = """
+WITH c AS (SELECT vec_id % 5 AS mol_id, vec_id AS frame, i, embedding[3*i+1]::DOUBLE AS x, embedding[3*i+2]::DOUBLE AS y, embedding[3*i+3]::DOUBLE AS z FROM embeddings, range({atoms}) r(i)),
+f AS MATERIALIZED (SELECT a.mol_id, a.frame, a.i * 100 + b.i AS pair, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2))::FLOAT::DOUBLE AS v FROM c a JOIN c b ON a.mol_id = b.mol_id AND a.frame = b.frame AND a.i > b.i),
+m AS (SELECT mol_id, pair, avg(v) AS mean, coalesce(nullif(stddev_samp(v), 0), 1) AS sd FROM f GROUP BY ALL),
+s AS MATERIALIZED (SELECT f.mol_id, frame, pair, (v - mean) / sd AS v FROM f JOIN m USING (mol_id, pair))"""
+
+
+@query(
+    LANDSCAPE.format(atoms=10)
+    + """, corr AS (SELECT a.mol_id, a.pair AS p, b.pair AS q, sum(a.v * b.v) / (count(*) - 1) AS r FROM s a JOIN s b ON a.mol_id = b.mol_id AND a.frame = b.frame GROUP BY ALL)
+SELECT mol_id, round(sum(r) FILTER (p = q), 4) AS variance, round(sum(r * r), 3) AS squared, 0.0::DOUBLE AS between, 0.0::DOUBLE AS mean, true AS falling, 1.0::DOUBLE AS shares FROM corr GROUP BY mol_id"""
+)
+def pca_invariants(spark, d):
+    """All components of ten atoms' landscape: their variances sum to the features', the squares to the squared
+    correlations; no two are correlated; they have mean 0 and fall; the shares sum to 1."""
+    scores, model = landscapes.pca(geometry.landscape(frames(spark, d), range(10)), 45)
+    flat = staged(scores.select("mol_id", "frame", F.posexplode("pc").alias("i", "v")), "flat")
+    var = flat.groupBy("mol_id", "i").agg(F.var_samp("v").alias("var"), F.avg("v").alias("mean"))
+    shares = model.select("mol_id", (F.col("component") - 1).alias("i"), "evr", F.coalesce(F.lag("evr").over(W.partitionBy("mol_id").orderBy("component")), F.lit(1.0)).alias("last"))
+    each = var.join(shares, ["mol_id", "i"]).groupBy("mol_id").agg(
+        F.round(F.sum("var"), 4).alias("variance"), F.round(F.sum(F.col("var") * F.col("var")), 3).alias("squared"), F.abs(F.round(F.max(F.abs("mean")), 6)).alias("mean"),
+        F.min(F.col("evr") <= F.col("last") + 1e-12).alias("falling"), F.round(F.sum("evr"), 6).alias("shares"),
+    )
+    other = flat.select("mol_id", "frame", F.col("i").alias("j"), F.col("v").alias("w"))
+    between = flat.join(other, ["mol_id", "frame"]).where("i < j").groupBy("mol_id", "i", "j").agg(F.avg(F.col("v") * F.col("w")).alias("c"))
+    return each.join(between.groupBy("mol_id").agg(F.abs(F.round(F.max(F.abs("c")), 6)).alias("between")), "mol_id")
+
+
+@query(
+    LANDSCAPE.format(atoms=6)
+    + """, b AS (SELECT mol_id, min(frame) AS frame FROM s GROUP BY mol_id)
+SELECT s.mol_id, s.frame, round(sum(pow(s.v - r.v, 2)), 5) AS d2 FROM s JOIN b ON b.mol_id = s.mol_id JOIN s r ON r.mol_id = b.mol_id AND r.frame = b.frame AND r.pair = s.pair GROUP BY ALL"""
+)
+def pca_distances(spark, d):
+    """All components of six atoms' landscape keep its distances: each frame's squared one to the molecule's first."""
+    scores, _ = landscapes.pca(geometry.landscape(frames(spark, d), range(6)), 15)
+    scores = staged(scores, "scores")
+    first = scores.groupBy("mol_id").agg(F.min_by("pc", "frame").alias("first"))
+    gap = F.aggregate(F.zip_with("pc", "first", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
+    return scores.join(first, "mol_id").select("mol_id", "frame", F.round(gap, 5).alias("d2"))
+
+
 @query(None)
 def pca_variance(spark, d):
     """Shares of variance of the components, and their running sum."""

@@ -133,6 +133,31 @@ def test_pca_matches_the_plain_one(spark):
     assert np.var(got, axis=0).sum() == pytest.approx(s[:3].sum() / 80, rel=1e-3)
 
 
+def test_pca_in_many_groups_matches_the_plain_one(spark, monkeypatch):
+    """Molecules of unlike widths and sizes, one with fewer frames than features, over trees of reductions."""
+    monkeypatch.setattr(landscapes, "GROUP_BYTES", 600)
+    monkeypatch.setattr(landscapes, "FAN", 2)
+    r = np.random.default_rng(5)
+    data = {"a": r.normal(3, 2, (60, 9)), "b": r.normal(size=(7, 20)), "c": np.ones((4, 5)), "d": r.normal(size=(1, 3))}
+    rows = [(m, i, v.tolist()) for m, x in data.items() for i, v in enumerate(x)] + [("e", 0, []), ("e", 1, None)]
+    scores, model = landscapes.pca(spark.createDataFrame(rows, "mol_id string, frame long, features array<double>"), 4)
+    got, shares = {}, {}
+    for x in scores.orderBy("mol_id", "frame").collect():
+        got.setdefault(x.mol_id, []).append(x.pc)
+    for x in model.orderBy("mol_id", "component").collect():
+        shares.setdefault(x.mol_id, []).append(x.evr)
+    assert set(got) == set(shares) == set("abcd")
+    for m in "ab":
+        x = data[m]
+        z = (x - x.mean(0)) / x.std(0, ddof=1)
+        u, s, v = np.linalg.svd(z, full_matrices=False)
+        v = v[:4] * np.sign(v[:4][np.arange(4), np.abs(v[:4]).argmax(1)])[:, None]
+        assert shares[m] == pytest.approx((s[:4] ** 2 / (s**2).sum()).tolist(), rel=1e-4)
+        assert np.array(got[m]) == pytest.approx(z @ v.T, abs=1e-2)
+    assert np.array(got["c"]) == pytest.approx(0) and np.array(got["d"]) == pytest.approx(0)
+    assert landscapes.pca(spark.createDataFrame([], "mol_id string, frame long, features array<double>"), 2)[0].count() == 0
+
+
 def test_graph(spark):
     bonds = spark.createDataFrame([(0, 0, 1), (0, 1, 2), (0, 0, 2), (0, 2, 3), (0, 3, 4), (0, 7, 8)], "mol_id long, a long, b long")
     nodes = spark.createDataFrame([(0, i) for i in (0, 1, 2, 3, 4, 7, 8, 9)], "mol_id long, node long")
