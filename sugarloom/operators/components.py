@@ -3,43 +3,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sugarloom.operators.staging import drop_stage, staged
 
 
-def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
-    """edges(a, b) of any orderable type to (node, component): the smallest node of each component.
+def connected_components(edges: DataFrame, label: str = "cc", keys: Sequence[str] = ()) -> DataFrame:
+    """edges(keys, a, b) of any orderable type to (keys, node, component): the smallest node of each component.
 
-    Nodes of no edge are not in the result; loops and repeated edges do no harm; no edges give no rows.
-    Each round is one aggregation a node (with map-side combine) and one join on it, staged on shared
-    storage; the driver sees a row count and a sum only. Rounds grow with the logarithm of the
+    keys: columns of graphs that are apart, such as a molecule. Nodes of no edge are not in the result; loops and repeated
+    edges do no harm; no edges give no rows. Each round is one aggregation a node (with map-side combine) and one join on
+    it, staged on shared storage; the driver sees a row count and a sum only. Rounds grow with the logarithm of the
     component's size.
     """
-    now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
-    before = _print_of(now)
+    at = [*keys, "u"]
+    pairs = lambda df, u, v: df.select(*keys, u.alias("u"), v.alias("v"))
+    now = staged(pairs(edges.where("a <> b"), F.greatest("a", "b"), F.least("a", "b")).distinct(), label)
+    before = _print_of(now, at)
     while before[0]:
         # few edges are written by few tasks, whatever the number of shuffle partitions
         tasks = max(12, before[0] // 100_000)
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        both = now.select(*at, "v").union(pairs(now, F.col("v"), F.col("u")))
+        least = both.groupBy(*at).agg(F.min("v").alias("m")).select(*at, F.least("u", "m").alias("m"))
         # large star: every higher neighbour to the lowest one
-        large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks), label)
+        large = staged(pairs(both.where("v > u").join(least, at), F.col("v"), F.col("m")).distinct().coalesce(tasks), label)
         drop_stage(now)
         # small star: every lower neighbour, and the node itself, to the lowest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(joined.union(low.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks), label)
+        low = large.groupBy(*at).agg(F.min("v").alias("m"))
+        joined = pairs(large.join(low, at).where("v <> m"), F.col("v"), F.col("m"))
+        now = staged(joined.union(pairs(low, F.col("u"), F.col("m"))).distinct().coalesce(tasks), label)
         drop_stage(large)
-        after = _print_of(now)
+        after = _print_of(now, at)
         if after == before:
             break
         before = after
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+    return now.select(*keys, F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(*keys, "v", "v").distinct())
 
 
-def _print_of(edges: DataFrame) -> tuple:
+def _print_of(edges: DataFrame, at: Sequence[str]) -> tuple:
     """Row count and hash sums: equal for equal sets."""
-    h = F.xxhash64("u", "v")
+    h = F.xxhash64(*at, "v")
     return tuple(edges.agg(F.count("*"), F.sum(F.shiftright(h, 20)), F.bit_xor(h)).first())

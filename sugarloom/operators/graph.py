@@ -1,16 +1,20 @@
 """Graphs of bonds: components, ring bonds, cut sides, linkages, for all molecules at once.
 
-bonds are rows (mol_id, a, b) with a < b; atoms rows (mol_id, atom_index, name, element, res_id). Loops end
-when a round changes nothing; rounds follow a molecule's diameter, rows its bonds.
+bonds are rows (mol_id, a, b) with a < b; atoms rows (mol_id, atom_index, name, element, res_id). Rounds of loops
+grow with the logarithm of a molecule's atoms, rows with its bonds.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sugarloom.operators.components import connected_components
 from sugarloom.operators.geometry import heavy
-from sugarloom.operators.staging import staged
+from sugarloom.operators.staging import drop_stage, staged
 
 KEYS = ["mol_id"]
 
@@ -27,44 +31,147 @@ def both_ways(bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 
 def components(nodes: DataFrame, bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """nodes(keys, node), bonds(keys, a, b) to (keys, node, component): the smallest node that can be reached.
+    """nodes(keys, node), bonds(keys, a, b) to (keys, node, component): the smallest node that can be reached, by stars
+    (see connected_components()); nodes of no bond are components of their own."""
+    found = connected_components(bonds.select(*keys, "a", "b"), "graph", keys).withColumnRenamed("component", "least")
+    return nodes.select(*keys, "node").distinct().join(found, [*keys, "node"], "left").select(*keys, "node", F.coalesce("least", "node").alias("component"))
+
+
+def _jumped(ends: DataFrame) -> DataFrame:
+    """Each (mol_id, c, to) led on to where its `to` leads."""
+    on = ends.select("mol_id", F.col("c").alias("to"), F.col("to").alias("end"))
+    return ends.join(on, ["mol_id", "to"], "left").select("mol_id", "c", F.coalesce("end", "to").alias("to"))
+
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so the
-    rounds grow with the logarithm of the diameter; every round is staged, and only a count is read.
+def spanning_forest(bonds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """bonds(mol_id, a, b) to the bonds of a spanning tree of every component, and (mol_id, node, root) of all nodes.
+
+    Boruvka's rounds: every group of nodes that has bonds to others takes the one that comes first by hash, and hooks on to
+    the group at its end; of two groups that take the same bond the smaller stays. So no cycle arises, at least half of the
+    groups are gone, and rounds grow with the logarithm of the nodes; each reads one bond of any two groups.
     """
-    edges = staged(both_ways(bonds, keys), "graph")
-    now = staged(nodes.select(*keys, "node", F.col("node").alias("component")).distinct(), "graph")
-    while True:
-        near = edges.join(now.select(*keys, F.col("node").alias("v"), "component"), [*keys, "v"]).groupBy(*keys, "u").agg(F.min("component").alias("least"))
-        new = now.join(near.withColumnRenamed("u", "node"), [*keys, "node"], "left").select(*keys, "node", F.col("component").alias("old"), F.least("component", "least").alias("component"))
-        jump = new.select(*keys, F.col("node").alias("component"), F.col("component").alias("further"))
-        new = staged(new.join(jump, [*keys, "component"], "left").select(*keys, "node", "old", F.least("component", "further").alias("component")), "graph")
-        if not new.where("old <> component").limit(1).count():
-            return new.select(*keys, "node", "component")
-        now = new.select(*keys, "node", "component")
+    order = F.xxhash64(F.least("u", "v"), F.greatest("u", "v"))
+    edges = staged(both_ways(bonds).distinct().select("mol_id", F.col("u").alias("c"), F.col("v").alias("to"), order.alias("h"), "u", "v"), "edges")
+    root = staged(edges.select("mol_id", F.col("c").alias("node")).distinct(), "nodes").withColumn("root", F.col("node"))
+    trees, hooks = [], []
+    while edges.limit(1).count():
+        best = F.min(F.struct("h", F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "to"))
+        taken = staged(edges.groupBy("mol_id", "c").agg(best.alias("e")).select("mol_id", "c", "e.*"), "hooks")
+        trees.append(taken.select("mol_id", "a", "b").distinct())
+        back = taken.select("mol_id", F.col("c").alias("to"), F.col("to").alias("c"), F.lit(True).alias("mutual"))
+        hook = taken.join(back, ["mol_id", "c", "to"], "left").where("mutual IS NULL OR c > to").select("mol_id", "c", "to")
+        ends = staged(_jumped(_jumped(hook)), "hooks")
+        hooks += [taken, ends]
+        # groups that hook on to groups that hook on: to the end of the chain, which doubles what it skips
+        while ends.join(ends.select("mol_id", F.col("c").alias("to")), ["mol_id", "to"], "left_semi").limit(1).count():
+            ends = staged(_jumped(_jumped(ends)), "hooks")
+            hooks.append(ends)
+        new = edges
+        for side in ("c", "to"):
+            moved = ends.select("mol_id", F.col("c").alias(side), F.col("to").alias("end"))
+            new = new.join(moved, ["mol_id", side], "left").withColumn(side, F.coalesce("end", side)).drop("end")
+        new = staged(new.where("c <> to").groupBy("mol_id", "c", "to").agg(F.min(F.struct("h", "u", "v")).alias("e")).select("mol_id", "c", "to", "e.*"), "edges")
+        drop_stage(edges)
+        edges = new
+        last = ends.select("mol_id", F.col("c").alias("root"), F.col("to").alias("end"))
+        root = root.join(last, ["mol_id", "root"], "left").select("mol_id", "node", F.coalesce("end", "root").alias("root"))
+    tree = reduce(DataFrame.union, trees) if trees else bonds.select("mol_id", "a", "b").limit(0)
+    out = staged(tree, "forest"), staged(root, "roots")
+    for x in (edges, *hooks):
+        drop_stage(x)
+    return out
+
+
+def rooted(bonds: DataFrame) -> DataFrame:
+    """bonds(mol_id, a, b) to (mol_id, node, root, parent, begin, end, n, total, open) of all nodes.
+
+    A tour walks every tree of a spanning forest along each bond twice, from each arc to the next neighbour's at its end;
+    an arc's place, and all sums to the tour's end, come from doubling what each arc skips, so rounds grow with the
+    logarithm of the nodes. begin and end are the places of the arcs into and out of a node: those of the nodes below it
+    lie between. n and total count and sum the nodes below it, itself included. open: bonds outside the tree lead from
+    there to other nodes, so the bond to the parent is in a ring: the exclusive or of two random 64-bit labels of these
+    bonds over the nodes below is not 0 (of m nodes one is taken wrongly with odds of m / 2**128).
+    """
+    tree, roots = spanning_forest(bonds)
+    loose = bonds.select("mol_id", "a", "b").distinct().join(tree, ["mol_id", "a", "b"], "left_anti")
+    ends = loose.select("mol_id", F.explode(F.array("a", "b")).alias("u"), *(F.xxhash64(F.lit(i), "mol_id", "a", "b").alias(f"x{i}") for i in (1, 2)))
+    labels = ends.groupBy("mol_id", "u").agg(F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
+    around = W.partitionBy("mol_id", "u").orderBy("v")
+    arcs = both_ways(tree).join(roots.withColumnRenamed("node", "u"), ["mol_id", "u"])
+    arcs = arcs.select("*", F.lead("v").over(around).alias("next"), F.min("v").over(W.partitionBy("mol_id", "u")).alias("first"))
+    # the arc v -> u goes on to u's next neighbour; at the root's last one the tour ends. A node counts at its first arc.
+    goes = F.coalesce("next", F.when(F.col("u") != F.col("root"), F.col("first")))
+    onward = arcs.select("mol_id", F.col("v").alias("from"), F.col("u").alias("at"), goes.alias("go"))
+    own = arcs.where(F.col("v") == F.col("first")).join(labels, ["mol_id", "u"], "left")
+    zero = F.lit(0).cast("long")
+    own = own.select("mol_id", "u", "v", F.coalesce("x1", zero).alias("x1"), F.coalesce("x2", zero).alias("x2"), F.lit(1).cast("long").alias("n"), F.col("u").cast("long").alias("total"))
+    sums = ("x1", "x2", "n", "total")
+    add = lambda a, b, c: a.bitwiseXOR(b) if c in ("x1", "x2") else a + b
+    walk = onward.select("mol_id", F.col("from").alias("u"), F.col("at").alias("v"), F.col("at").alias("nu"), F.col("go").alias("nv")).join(own, ["mol_id", "u", "v"], "left")
+    walk = walk.select("mol_id", "u", "v", F.when(F.col("nv").isNotNull(), F.col("nu")).alias("nu"), "nv", F.lit(1).cast("long").alias("d"), *(F.coalesce(c, zero).alias(c) for c in sums), *(F.coalesce(c, zero).alias("own_" + c) for c in sums))
+
+    def skipped(walk: DataFrame) -> DataFrame:
+        on = walk.select("mol_id", F.col("u").alias("nu"), F.col("v").alias("nv"), F.col("nu").alias("ou"), F.col("nv").alias("ov"), F.col("d").alias("od"), *(F.col(c).alias("o_" + c) for c in sums))
+        return walk.join(on, ["mol_id", "nu", "nv"], "left").select(
+            "mol_id", "u", "v", F.col("ou").alias("nu"), F.col("ov").alias("nv"), (F.col("d") + F.coalesce("od", zero)).alias("d"),
+            *(add(F.col(c), F.coalesce("o_" + c, zero), c).alias(c) for c in sums), *("own_" + c for c in sums),
+        )
+
+    walk = staged(walk, "tour")
+    while walk.where("nv IS NOT NULL").limit(1).count():
+        new = staged(skipped(skipped(walk)), "tour")
+        drop_stage(walk)
+        walk = new
+    later = [add(F.col(c), F.col("own_" + c), c) if c in ("x1", "x2") else F.col(c) - F.col("own_" + c) for c in sums]
+    into = walk.select("mol_id", F.col("u").alias("parent"), F.col("v").alias("node"), F.col("d").alias("into"), *(x.alias("in_" + c) for x, c in zip(later, sums, strict=True)))
+    out = walk.select("mol_id", F.col("v").alias("parent"), F.col("u").alias("node"), F.col("d").alias("out"), *(x.alias("out_" + c) for x, c in zip(later, sums, strict=True)))
+    both = into.join(out, ["mol_id", "parent", "node"]).where(F.col("into") > F.col("out"))
+    below = both.select(
+        "mol_id", "node", "parent", (-F.col("into")).alias("begin"), (-F.col("out")).alias("end"), (F.col("in_n") - F.col("out_n")).alias("n"), (F.col("in_total") - F.col("out_total")).alias("total"),
+        ((F.col("in_x1") != F.col("out_x1")) | (F.col("in_x2") != F.col("out_x2"))).alias("open"),
+    )
+    whole = roots.groupBy("mol_id", "root").agg(F.count("*").alias("all_n"), F.sum(F.col("node").cast("long")).alias("all_total"))
+    nodes = roots.join(below, ["mol_id", "node"], "left").join(whole.withColumnRenamed("root", "node"), ["mol_id", "node"], "left")
+    done = nodes.select("mol_id", "node", "root", "parent", F.coalesce("begin", F.lit(-(2**62))).alias("begin"), F.coalesce("end", F.lit(2**62)).alias("end"), F.coalesce("n", "all_n").alias("n"), F.coalesce("total", "all_total").alias("total"), F.coalesce("open", F.lit(False)).alias("open"))
+    done = staged(done, "rooted")
+    for x in (walk, tree, roots):
+        drop_stage(x)
+    return done
+
+
+def _sides(tree: DataFrame, cuts: DataFrame) -> DataFrame:
+    """cuts(mol_id, cut, x, y, ...) with the nodes at their ends: root, and of the end that hangs below the other, if their
+    bond is no ring's, begin, end, n and total; inside: it is x's side that lies below."""
+    below = tree.where("parent IS NOT NULL AND NOT open").select("mol_id", "node", "parent", "begin", "end", "n", "total")
+    down = below.withColumnsRenamed({"node": "y", "parent": "x", **{c: "y_" + c for c in ("begin", "end", "n", "total")}})
+    up = below.withColumnsRenamed({"node": "x", "parent": "y", **{c: "x_" + c for c in ("begin", "end", "n", "total")}})
+    found = cuts.select("mol_id", "cut", "x", "y").join(down, ["mol_id", "x", "y"], "left").join(up, ["mol_id", "x", "y"], "left").join(tree.select("mol_id", F.col("node").alias("x"), "root"), ["mol_id", "x"], "left")
+    return found.select("mol_id", "cut", "x", "y", "root", F.col("x_begin").isNotNull().alias("inside"), *(F.coalesce("x_" + c, "y_" + c).alias(c) for c in ("begin", "end", "n", "total")))
+
+
+def cut_totals(bonds: DataFrame, cuts: DataFrame) -> DataFrame:
+    """bonds(mol_id, a, b), cuts(mol_id, cut, x, y) of bonds x-y: (mol_id, cut, x, y, n, total), the number and the sum of
+    the nodes that hang on x once the bond is taken out. Rows grow with the bonds, no side is set out."""
+    tree = rooted(bonds)
+    whole = tree.where("parent IS NULL").select("mol_id", "root", F.col("n").alias("all_n"), F.col("total").alias("all_total"))
+    sides = _sides(tree, cuts).join(whole, ["mol_id", "root"])
+    part = lambda c: F.when(F.col("inside"), F.col(c)).otherwise(F.col("all_" + c) - F.coalesce(c, F.lit(0)))
+    return sides.select("mol_id", "cut", "x", "y", part("n").alias("n"), part("total").alias("total"))
 
 
 def cut_side(bonds: DataFrame, cuts: DataFrame) -> DataFrame:
-    """bonds(mol_id, a, b), cuts(mol_id, cut, x, y): (mol_id, cut, node) of all nodes that hang on x once the bond x-y
-    is taken out. The frontier joins the bonds once a round; only new nodes go on."""
-    edges = staged(both_ways(bonds), "graph")
-    front = cuts.select("mol_id", "cut", "x", "y", F.col("x").alias("node"))
-    seen = staged(front, "graph")
-    front = seen
-    while True:
-        step = front.withColumnRenamed("node", "u").join(edges, ["mol_id", "u"])
-        step = step.where(~((F.col("u") == F.col("x")) & (F.col("v") == F.col("y"))) & ~((F.col("u") == F.col("y")) & (F.col("v") == F.col("x"))))
-        front = staged(step.select("mol_id", "cut", "x", "y", F.col("v").alias("node")).distinct().join(seen, ["mol_id", "cut", "node"], "left_anti").select("mol_id", "cut", "x", "y", "node"), "graph")
-        if not front.limit(1).count():
-            return seen.select("mol_id", "cut", "x", "y", "node")
-        seen = seen.union(front)
+    """bonds(mol_id, a, b), cuts(mol_id, cut, x, y): (mol_id, cut, x, y, node) of all nodes that hang on x once the bond
+    x-y is taken out: an interval of the tour, or all but that, or in a ring the whole component."""
+    tree = rooted(bonds)
+    places = tree.select("mol_id", "root", "node", F.col("begin").alias("at"))
+    below = F.coalesce((F.col("at") >= F.col("begin")) & (F.col("at") <= F.col("end")), F.lit(False))
+    return _sides(tree, cuts).join(places, ["mol_id", "root"]).where(below == F.col("inside")).select("mol_id", "cut", "x", "y", "node")
 
 
 def ring_bonds(bonds: DataFrame) -> DataFrame:
-    """(mol_id, a, b) of the bonds in a cycle: both ends still meet with the bond taken out."""
-    cuts = bonds.select("mol_id", F.struct("a", "b").alias("cut"), F.col("a").alias("x"), F.col("b").alias("y"))
-    side = cut_side(bonds, cuts)
-    return side.where(F.col("node") == F.col("y")).select("mol_id", F.col("cut.a").alias("a"), F.col("cut.b").alias("b"))
+    """(mol_id, a, b) of the bonds in a cycle: those outside the spanning tree, and those of it that others lead past."""
+    single = rooted(bonds).where("parent IS NOT NULL AND NOT open").select("mol_id", F.least("node", "parent").alias("a"), F.greatest("node", "parent").alias("b"))
+    return bonds.select("mol_id", "a", "b").distinct().join(single, ["mol_id", "a", "b"], "left_anti")
 
 
 def degrees(bonds: DataFrame) -> DataFrame:

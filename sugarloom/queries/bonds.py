@@ -69,7 +69,15 @@ def cut_sides(spark, d):
     """How many atoms hang on the first atom of each bond once it is cut, and the sum of their numbers."""
     b = bonds(spark, d)
     cuts = b.select("mol_id", F.struct("a", "b").alias("cut"), F.col("a").alias("x"), F.col("b").alias("y"))
-    return graph.cut_side(b, cuts).groupBy("mol_id", "x", "y").agg(F.count("*").alias("n"), F.sum("node").alias("total"))
+    return graph.cut_totals(b, cuts).drop("cut")
+
+
+@query(SIDE + " SELECT mol_id, x, y, node FROM r WHERE x = 3")
+def cut_members(spark, d):
+    """The atoms that hang on atom 3 once one of its bonds is cut."""
+    b = bonds(spark, d)
+    cuts = b.where("a = 3").select("mol_id", F.struct("a", "b").alias("cut"), F.col("a").alias("x"), F.col("b").alias("y"))
+    return graph.cut_side(b, cuts).drop("cut")
 
 
 @query(SIDE + " SELECT mol_id, x AS a, y AS b FROM r WHERE node = y")

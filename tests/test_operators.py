@@ -168,6 +168,39 @@ def test_graph(spark):
     assert {x["component"] for x in whole.collect()} == {0}
 
 
+def test_rings_and_sides_of_random_graphs(spark):
+    """A chain, trees with some bonds more, and a dense one, against walks with the bond taken out."""
+    r = np.random.default_rng(8)
+    graphs = {0: {(i, i + 1) for i in range(70)}, 1: {(int(r.integers(0, i)), i) for i in range(1, 40)} | {(3, 30), (10, 39)}, 2: {tuple(sorted(map(int, r.integers(0, 12, 2)))) for _ in range(30)}, 3: {(5, 9)}}
+    bonds = [(m, a, b) for m, es in graphs.items() for a, b in es if a != b]
+    near: dict = {}
+    for m, a, b in bonds:
+        near.setdefault((m, a), set()).add(b)
+        near.setdefault((m, b), set()).add(a)
+
+    def side(m, x, y):
+        seen, go = {x}, [x]
+        while go:
+            u = go.pop()
+            for v in near[m, u] - seen:
+                if (u, v) not in ((x, y), (y, x)):
+                    seen.add(v)
+                    go.append(v)
+        return seen
+
+    df = spark.createDataFrame(bonds, "mol_id long, a long, b long")
+    assert {tuple(x) for x in graph.ring_bonds(df).collect()} == {(m, a, b) for m, a, b in bonds if b in side(m, a, b)}
+    cuts = [(m, i, *((a, b) if i % 2 else (b, a))) for i, (m, a, b) in enumerate(bonds)]
+    asked = spark.createDataFrame(cuts, "mol_id long, cut long, x long, y long")
+    want = {(m, c): side(m, x, y) for m, c, x, y in cuts}
+    got: dict = {}
+    for x in graph.cut_side(df, asked).collect():
+        got.setdefault((x.mol_id, x.cut), set()).add(x.node)
+    assert got == want
+    assert {(x.mol_id, x.cut): (x.n, x.total) for x in graph.cut_totals(df, asked).collect()} == {k: (len(v), sum(v)) for k, v in want.items()}
+    assert graph.ring_bonds(df.limit(0)).count() == 0
+
+
 def test_torsion_names(spark):
     cases = {"O5_1-C1_1-O3_2-C3_2": "1_2_phi", "C3_2-O3_2-C1_1-O5_1": "1_2_phi", "C1_1-O3_2-C3_2-C2_2": None, "C1_1-O3_1-C3_2-C2_2": "1_2_psi", "O3_2-C6_3-C5_3-O5_3": "2_3_omega", "A-B-C-D": None, "x": None}
     df = spark.createDataFrame([(k,) for k in cases], "n string").select("n", names.glycosidic_class(F.col("n")).alias("c"))
