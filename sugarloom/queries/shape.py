@@ -319,7 +319,24 @@ def anomer_flip(spark, d):
     return _rounded(geometry.flip_anomer(coords), x=4, y=4, z=4)
 
 
-@query(None)
+FITS_SQL = """
+WITH c AS (SELECT vec_id % 5 AS mol_id, vec_id AS frame, i, embedding[3*i+1]::DOUBLE AS x, embedding[3*i+2]::DOUBLE AS y, embedding[3*i+3]::DOUBLE AS z FROM embeddings, range(10) r(i)),
+b AS (SELECT mol_id, min(frame) AS first FROM c GROUP BY mol_id),
+j AS (SELECT c.*, r.x AS rx, r.y AS ry, r.z AS rz FROM c JOIN b ON b.mol_id = c.mol_id JOIN c r ON r.mol_id = c.mol_id AND r.frame = first AND r.i = c.i),
+s AS (SELECT mol_id, frame, sqrt(avg(pow(x-rx,2) + pow(y-ry,2) + pow(z-rz,2))) AS before, (9 * (var_samp(x) + var_samp(y) + var_samp(z) + var_samp(rx) + var_samp(ry) + var_samp(rz))) AS g,
+  10 * covar_pop(x, rx) AS xx, 10 * covar_pop(x, ry) AS xy, 10 * covar_pop(x, rz) AS xz, 10 * covar_pop(y, rx) AS yx, 10 * covar_pop(y, ry) AS yy, 10 * covar_pop(y, rz) AS yz,
+  10 * covar_pop(z, rx) AS zx, 10 * covar_pop(z, ry) AS zy, 10 * covar_pop(z, rz) AS zz FROM j GROUP BY mol_id, frame),
+h AS (  -- the singular values of the 3 x 3 covariances are the roots of the eigenvalues of its square
+  SELECT *, xx*(yy*zz - yz*zy) - xy*(yx*zz - yz*zx) + xz*(yx*zy - yy*zx) AS det, xx*xx + xy*xy + xz*xz AS a, yx*yx + yy*yy + yz*yz AS d, zx*zx + zy*zy + zz*zz AS f,
+    xx*yx + xy*yy + xz*yz AS b, xx*zx + xy*zy + xz*zz AS c, yx*zx + yy*zy + yz*zz AS e FROM s),
+t AS (SELECT *, (a + d + f) / 3 AS m, sqrt((pow(a - (a+d+f)/3, 2) + pow(d - (a+d+f)/3, 2) + pow(f - (a+d+f)/3, 2) + 2*(b*b + c*c + e*e)) / 6) AS p FROM h),
+u AS (SELECT *, acos(greatest(-1, least(1, ((a-m)*((d-m)*(f-m) - e*e) - b*(b*(f-m) - e*c) + c*(b*e - (d-m)*c)) / (2 * p*p*p)))) / 3 AS phi FROM t),
+v AS (SELECT *, m + 2*p*cos(phi) AS l1, m + 2*p*cos(phi + 2*pi()/3) AS l3 FROM u),
+w AS (SELECT *, sqrt(l1) + sqrt(greatest(0, 3*m - l1 - l3)) + sign(det) * sqrt(greatest(0, l3)) AS top FROM v)
+SELECT mol_id, frame, round(before, 5) AS before, round(sqrt(greatest(0, g - 2 * top) / 10), 5) AS after FROM w WHERE g > 1e-9 AND before > 0"""
+
+
+@query(FITS_SQL)
 def superposition(spark, d):
     """Root mean square distance to each molecule's first frame, before and after superposition on ten atoms."""
     long = frames(spark, d).select("mol_id", "frame", "xyz", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("atom_index"))
@@ -328,8 +345,20 @@ def superposition(spark, d):
     anchors = ref.where("atom_index < 10").select("mol_id", "atom_index")
     r = ref.select("mol_id", "atom_index", *(F.col(c).alias("r" + c) for c in "xyz"))
     gap = F.sqrt(F.avg(F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2) + F.pow(F.col("z") - F.col("rz"), 2)))
-    rms = lambda df, name: df.where("atom_index < 10").join(r, ["mol_id", "atom_index"]).groupBy("mol_id", "frame").agg(F.round(gap, 6).alias(name))
-    return rms(coords, "before").join(rms(geometry.superpose(coords, ref, anchors), "after"), ["mol_id", "frame"])
+    rms = lambda df, name: df.where("atom_index < 10").join(r, ["mol_id", "atom_index"]).groupBy("mol_id", "frame").agg(F.round(gap, 5).alias(name))
+    return rms(coords, "before").where("before > 0").join(rms(geometry.superpose(coords, ref, anchors), "after"), ["mol_id", "frame"])
+
+
+@query(FITS_SQL)
+def superposition_fits(spark, d):
+    """The same from the fits themselves, without moving an atom."""
+    long = frames(spark, d).select("mol_id", "frame", "xyz", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("atom_index"))
+    coords = long.select("mol_id", "frame", "atom_index", *(v.alias(c) for v, c in zip(geometry.atom(F.col("xyz"), F.col("atom_index")), "xyz", strict=True)))
+    ref = coords.join(coords.groupBy("mol_id").agg(F.min("frame").alias("frame")), ["mol_id", "frame"], "left_semi").drop("frame")
+    gap = F.sqrt(F.avg(F.pow(F.col("x") - F.col("rx"), 2) + F.pow(F.col("y") - F.col("ry"), 2) + F.pow(F.col("z") - F.col("rz"), 2)))
+    before = coords.join(ref.select("mol_id", "atom_index", *(F.col(c).alias("r" + c) for c in "xyz")), ["mol_id", "atom_index"]).groupBy("mol_id", "frame").agg(F.round(gap, 5).alias("before"))
+    found = geometry.fits(coords, ref, ref.select("mol_id", "atom_index")).select("mol_id", "frame", F.round("rmsd", 5).alias("after"))
+    return before.where("before > 0").join(found, ["mol_id", "frame"])
 
 
 @query(None)

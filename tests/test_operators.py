@@ -121,6 +121,28 @@ def test_superposition_never_worsens(spark):
     assert np.array([(x["x"], x["y"], x["z"]) for x in few]) == pytest.approx(turned)
 
 
+def test_fits_of_odd_anchors(spark):
+    """Mirror images, planes, lines, one point, equal frames and far ones: no worse than by singular values, no reflection."""
+    r = np.random.default_rng(9)
+    base = r.normal(size=(6, 3))
+    refs = {0: base, 1: base * [1, 1, 0], 2: base[:, :1] * [[1.0, 2.0, -1.0]], 3: np.zeros((6, 3)) + [4, 5, 6], 4: base * 1e3 + 1e5}
+    frames = {0: base, 1: base * [1, 1, -1], 2: r.normal(size=(6, 3)), 3: base[:, :1] * [[0.3, 0.0, 1.0]], 4: base * 1e3, 5: np.zeros((6, 3)), 6: -base}
+    coords = spark.createDataFrame([(m, f, i, *map(float, p)) for m in refs for f, x in frames.items() for i, p in enumerate(x)], "mol_id long, frame long, atom_index int, x double, y double, z double")
+    ref = spark.createDataFrame([(m, i, *map(float, p)) for m, x in refs.items() for i, p in enumerate(x)], "mol_id long, atom_index int, x double, y double, z double")
+    found = geometry.fits(coords, ref, ref.select("mol_id", "atom_index")).collect()
+    assert len(found) == len(refs) * len(frames)
+    for x in found:
+        p, q = frames[x.frame], refs[x.mol_id]
+        pc, qc = p - p.mean(0), q - q.mean(0)
+        u, s, vt = np.linalg.svd(pc.T @ qc)
+        best = np.sqrt(max(0, (pc**2).sum() + (qc**2).sum() - 2 * (s[0] + s[1] + np.sign(np.linalg.det(u @ vt)) * s[2])) / 6)
+        turn = np.array([[x[f"r{i}{j}"] for j in range(3)] for i in range(3)])
+        scale = 1e-4 * (1 + np.sqrt((pc**2).sum() + (qc**2).sum()))
+        assert turn @ turn.T == pytest.approx(np.eye(3), abs=1e-6) and np.linalg.det(turn) == pytest.approx(1, abs=1e-6)
+        assert x.rmsd == pytest.approx(best, abs=scale)
+        assert np.sqrt(((pc @ turn - qc) ** 2).sum() / 6) == pytest.approx(best, abs=scale)
+
+
 def test_pca_matches_the_plain_one(spark):
     r = np.random.default_rng(4)
     x = r.normal(size=(80, 12)) @ np.diag([9, 6, 4] + [0.5] * 9)
