@@ -45,25 +45,72 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return F.greatest(*fits, *[F.lit(None)] * (2 - len(fits)))
 
 
+def resolved(path: Column) -> Column:
+    """A path without its . and .. segments; .. stops at the root."""
+    kept = F.aggregate(
+        F.split(path, "/"), F.array().cast("array<string>"),
+        lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1))).when(x == ".", done).otherwise(F.concat(done, F.array(x))),
+    )
+    return F.when(path.contains("/."), F.concat(F.array_join(kept, "/"), F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))).otherwise(path)
+
+
 def alias_key(url: Column) -> Column:
-    """What two spellings of one address share: no scheme, fragment, tracking parameters or trailing slash."""
+    """What two spellings of one address share: no scheme, fragment, tracking parameters, dot segments or trailing slash."""
     query = F.coalesce(F.regexp_extract(url, r"://[^?#]*\?([^#]*)", 1), F.lit(""))
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda x: (x != "") & ~x.rlike("^(utm_[a-z]+|ref)=")))
-    key = F.concat(host_of(url), F.regexp_replace(path_of(url), "/+$", ""), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    key = F.concat(host_of(url), F.regexp_replace(resolved(path_of(url)), "/+$", ""), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
     return F.when(F.instr(url, "://") > 0, key)
 
 
+def decoded(text: Column) -> Column:
+    """Character references of an attribute's value decoded once: numbers, and the names that markup needs."""
+    out = text
+    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'")):
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(sign))
+    number = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+
+    def numbered(done: Column, ref: Column) -> Column:
+        digits = F.regexp_replace(ref, "[&#;xX]", "")
+        code = F.when(ref.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when((code == 38) | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), done).otherwise(F.replace(done, ref, sign))
+
+    some = F.aggregate(F.array_distinct(F.regexp_extract_all(out, F.lit(number), F.lit(0))), out, numbered)
+    return F.when(text.contains("&"), F.regexp_replace(F.when(out.contains("&#"), some).otherwise(out), "&(?:amp|#38|#[xX]26);", "&")).otherwise(text)
+
+
+#: A value after its name and an equals sign: in either quotes, or up to white space.
+_VALUE = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute of a tag, empty without one."""
+    return F.concat(*(F.regexp_extract(tag, rf"(?is)[\s\"'/]{name}{_VALUE}", i) for i in (1, 2, 3)))
+
+
 def link_targets(url: Column, html: Column) -> Column:
-    """The urls that a page redirects to or names as its canonical one, made absolute."""
-    tag = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link\b[^>]*\brel\s*=\s*[\"']?canonical\b|meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>"), F.lit(0))
-    aim = F.transform(tag, lambda t: F.trim(F.regexp_extract(t, r"(?is)(?:\bhref\s*=\s*[\"']?|\burl\s*=\s*'?)([^\"'\s>]+)", 1)))
-    scheme = F.regexp_extract(url, r"^(.*?)://", 1)
+    """The urls that a page redirects to or names as its canonical one, made absolute.
+
+    Of link tags those whose rel, a list of words in any order and case, holds canonical; of meta tags those whose
+    http-equiv is refresh. Character references are decoded; addresses are resolved against the page's.
+    """
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
+    canonical = lambda t: t.rlike("(?i)^<link") & F.array_contains(F.split(ascii_lower(decoded(_attribute(t, "rel"))), r"\s+"), "canonical")
+    refresh = lambda t: t.rlike("(?i)^<meta") & (ascii_lower(F.trim(_attribute(t, "http-equiv"))) == "refresh")
+    used = F.filter(tags, lambda t: canonical(t) | refresh(t))
+    aim = F.transform(
+        used,
+        lambda t: F.trim(decoded(F.when(t.rlike("(?i)^<link"), _attribute(t, "href")).otherwise(F.regexp_extract(decoded(_attribute(t, "content")), r"(?is)^[^;,]*[;,]\s*url\s*=\s*['\"]?([^'\"\s>]+)", 1)))),
+    )
+    scheme, path = F.regexp_extract(url, r"^(.*?)://", 1), path_of(url)
+    root = F.concat(scheme, F.lit("://"), host_of(url))
     absolute = F.transform(
         aim,
         lambda x: F.when(x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), x)
         .when(x.startswith("//"), F.concat(scheme, F.lit(":"), x))
-        .when(x.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), x))
-        .when(x != "", F.concat(scheme, F.lit("://"), host_of(url), F.regexp_replace(path_of(url), r"[^/]*$", ""), x)),
+        .when(x.startswith("/"), F.concat(root, x))
+        .when(x.startswith("?"), F.concat(root, path, x))
+        .when(~x.startswith("#") & (x != "") & ~x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(root, F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", "")), x)),
     )
     return F.when(html.rlike("(?i)canonical|http-equiv"), F.filter(absolute, lambda x: x.isNotNull() & (F.instr(x, "://") > 0)))
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sugarloom.llm import html_blocks as hb
 from sugarloom.llm import toxicity as tox
@@ -153,6 +154,31 @@ def test_urls(spark):
     assert uf.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_links_as_pages_spell_them(spark):
+    """References, dot segments, lists of rel words, quotes, attribute orders; what is no link is none."""
+    base = "http://c.org/d/e/page?q=1"
+    cases = [
+        ('<link rel="canonical" href="http://example.com/en/z?p=1&amp;q=2">', ["http://example.com/en/z?p=1&q=2"]),
+        ("<link rel='foo  CANONICAL' href='../../q'>", ["http://c.org/d/e/../../q"]),
+        ('<LINK HREF=/a/./b REL=canonical>', ["http://c.org/a/./b"]),
+        ('<link data-href="no" rel="canonical" href="&#x68;ttp://x.org/&#252;&lt;&quot;&#38;lt;">', ['http://x.org/ü<"&lt;']),
+        ('<link rel="canonical-not" href="/a"><link rel="icon" href="/b"><link href="/canonical">', []),
+        ('<link rel="canonical" href="?x=2"><link rel="canonical" href="#top"><link rel="canonical" href="mailto:a@b"><link rel=canonical href="">', ["http://c.org/d/e/page?x=2"]),
+        ("<meta http-equiv=\"refresh\" content=\"0; URL='//y.org/1'\">", ["http://y.org/1"]),
+        ('<meta content="5;url=f&amp;g" http-equiv=Refresh>', ["http://c.org/d/e/f&g"]),
+        ('<meta name="refresh" content="0; url=/z">canonical', []),
+    ]
+    rows = spark.createDataFrame([(i, base, h) for i, (h, _) in enumerate(cases)], "i long, url string, html string")
+    got = {x.i: x.links for x in rows.select("i", uf.link_targets(F.col("url"), F.col("html")).alias("links")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+    keys = {"http://a.b/c/../d": "a.b/d", "http://a.b/../x/": "a.b/x", "http://a.b/c/./d/..": "a.b/c", "http://a.b/.x/..y": "a.b/.x/..y", "http://a.b": "a.b"}
+    found = spark.createDataFrame([(k,) for k in keys], "url string").select("url", uf.alias_key(F.col("url")).alias("key"))
+    assert {x.url: x.key for x in found.collect()} == keys
+    pages = [(1, "http://c.org/one", cases[0][0]), (2, "http://c.org/d/e/two", "<link rel='foo canonical' href='../../q'>"), (3, "http://c.org/q", '<link rel="canonical" href="http://x.net/fr/../es/1">'), (4, "http://x.net/es/1", ""), (5, "http://example.com/en/z?p=1&q=2", "")]
+    out = {x.page_id: x.verdict for x in uf.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block"}
+
+
 def page(r, i, articles=True):
     main = "article" if articles else "section"
     body = "".join(f"<p>{prose(r, r.randint(3, 40))}" + ("</p>" if r.random() < 0.8 else "") for _ in range(r.randint(1, 6)))
