@@ -147,7 +147,7 @@ class SemiCRF:
     """Log-linear over (label, feature) of segments and label pairs; weights are a plain dictionary."""
 
     def __init__(self, weights: dict[tuple, float] | None = None):
-        self.w = defaultdict(float, weights or {})
+        self.w = dict(weights or {})  # read with get(): features of texts must not gather here
 
     def _segments(self, text: str, atoms: list[tuple[int, int]]) -> list[list[tuple[int, list[str] | None]]]:
         """Of each end: its segments as (begin, features); outside is one atom long and has none."""
@@ -163,17 +163,17 @@ class SemiCRF:
 
     def _score(self, label: str, features: list[str] | None, length: int = 1) -> float:
         if features is None:
-            return self.w["O", "atom"]
-        return sum(self.w[label, f] for f in features)
+            return self.w.get(("O", "atom"), 0.0)
+        return sum(self.w.get((label, f), 0.0) for f in features)
 
     def decode(self, text: str, atoms: list[tuple[int, int]], segments=None) -> tuple[list[tuple[str, int, int]], float]:
         """The best segmentation: spans of the kinds, by Viterbi over (end, last label is outside)."""
         segments = segments or self._segments(text, atoms)
-        n = len(atoms)
+        n, turn = len(atoms), self.w.get(("after", "segment"), 0.0)
         best, back = [[0.0, -math.inf]] + [[-math.inf, -math.inf] for _ in range(n)], [[None, None] for _ in range(n + 1)]
         for j in range(1, n + 1):
             for i, f in segments[j - 1]:
-                was = 0 if best[i][0] >= best[i][1] + self.w["after", "segment"] else 1
+                was = 0 if best[i][0] >= best[i][1] + turn else 1
                 if f is None:
                     options = [("O", self._score("O", None))]
                 else:
@@ -181,7 +181,7 @@ class SemiCRF:
                 for k, s in options:
                     to = 0 if k == "O" else 1
                     # a segment may not touch the one before it
-                    value, came = (best[i][was] + (self.w["after", "segment"] if was else 0.0) + s, was) if to == 0 else (best[i][0] + s, 0)
+                    value, came = (best[i][was] + (turn if was else 0.0) + s, was) if to == 0 else (best[i][0] + s, 0)
                     if value > best[j][to]:
                         best[j][to], back[j][to] = value, (i, k, came)
         at, now, spans = n, 0 if best[n][0] >= best[n][1] else 1, []
@@ -198,7 +198,7 @@ class SemiCRF:
         f, b = np.full((n + 1, 2), -np.inf), np.full((n + 1, 2), -np.inf)
         f[0, 0] = 0.0
         scored = [[(i, None if x is None else [self._score(k, x) for k in KINDS]) for i, x in own] for own in segments]
-        out, turn = self._score("O", None), self.w["after", "segment"]
+        out, turn = self._score("O", None), self.w.get(("after", "segment"), 0.0)
         for j in range(1, n + 1):
             for i, s in scored[j - 1]:
                 if s is None:
@@ -237,12 +237,13 @@ class SemiCRF:
                 g["O", "atom"] += len(atoms) - inside
                 turns = sum(1 for _, _, y in marks if y < len(atoms))
                 g["after", "segment"] += turns
-                gold_score += (len(atoms) - inside) * self.w["O", "atom"] + turns * self.w["after", "segment"]
+                out, turn = self.w.get(("O", "atom"), 0.0), self.w.get(("after", "segment"), 0.0)
+                gold_score += (len(atoms) - inside) * out + turns * turn
                 for j, own in enumerate(segments, 1):
                     for (i, x), (_, s) in zip(own, scored[j - 1], strict=True):
                         if x is None:
-                            p0 = math.exp(min(0.0, f[i, 0] + self.w["O", "atom"] + b[j, 0] - z))
-                            p1 = math.exp(min(0.0, f[i, 1] + self.w["after", "segment"] + self.w["O", "atom"] + b[j, 0] - z))
+                            p0 = math.exp(min(0.0, f[i, 0] + out + b[j, 0] - z))
+                            p1 = math.exp(min(0.0, f[i, 1] + turn + out + b[j, 0] - z))
                             g["O", "atom"] -= p0 + p1
                             g["after", "segment"] -= p1
                             continue
@@ -256,9 +257,9 @@ class SemiCRF:
                                 for feature in x:
                                     g[k, feature] += step
                 for key, v in g.items():
-                    v -= decay * self.w[key]
+                    v -= decay * self.w.get(key, 0.0)
                     squares[key] += v * v
-                    self.w[key] += rate * v / (1e-6 + math.sqrt(squares[key]))
+                    self.w[key] = self.w.get(key, 0.0) + rate * v / (1e-6 + math.sqrt(squares[key]))
                 total.append(gold_score - z)
             means.append(float(np.mean(total)) if total else 0.0)
         return means
@@ -345,12 +346,19 @@ def all_spans(text: str | None, model: SemiCRF, base: list[tuple[str, int, int]]
     """The fixed patterns' spans and those that the model adds beside them."""
     out = list(base)
     if text:
+        ordered, at, near = sorted((s, e) for _, s, e in base), 0, []
         for a, b in stretches(text):
-            if any(s <= a and b <= e for _, s, e in base):
+            # stretches and spans go forward together: near are the spans that reach into this stretch
+            near = [x for x in near if x[1] > a]
+            while at < len(ordered) and ordered[at][0] < b:
+                if ordered[at][1] > a:
+                    near.append(ordered[at])
+                at += 1
+            if any(s <= a and b <= e for s, e in near):
                 continue
             # what the fixed patterns leave free, of which spans may lie in one another
             free = a
-            for x, y in [*sorted((s, e) for _, s, e in base if s < b and a < e), (b, b)]:
+            for x, y in [*near, (b, b)]:
                 if x - free >= 7:
                     out += model.decode(text, atoms_of(text, free, x))[0]
                 free = max(free, y)
