@@ -21,7 +21,9 @@ p_{k-1}(w | c'), with t(c) the number of different words after c, down to add-on
 from __future__ import annotations
 
 import json
+import mmap
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -131,12 +133,18 @@ def _write(folder: str, level: int, bucket: int, arrays: dict[str, np.ndarray])
     return path, json.dumps(layout)
 
 
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+#: Segments of a level that a process keeps mapped: those used last, fewer where each holds a handle.
+MAPPED = 1024 if _UNTRACKED else 64
+
+
 class Segment:
     """Contexts lo to hi of a level: the code of their children, pointers, probabilities and weights."""
 
     def __init__(self, row: dict):
         self.lo, self.hi, self.first, self.n, self.width = row["lo"], row["hi"], row["first"], row["n"], max(1, row["width"])
-        raw = np.memmap(row["path"], np.uint8, "r")
+        with open(row["path"], "rb") as f:  # the map itself holds no handle where Python can do without
+            raw = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED), np.uint8)
         get = {k: raw[a : a + np.dtype(d).itemsize * n].view(d) for k, (a, d, n) in json.loads(row["layout"]).items()}
         part = lambda p: {k: get[p + k] for k in ("meta", "low", "upper", "ones")}
         self.keys = EliasFano(part("k_"))
@@ -145,11 +153,20 @@ class Segment:
 
 
 class Level:
-    """All segments of a level in context order."""
+    """All segments of a level in context order, mapped when they are first asked for; MAPPED of them stay mapped."""
 
     def __init__(self, rows: list[dict]):
-        self.segments = [Segment(r) for r in sorted(rows, key=lambda r: r["lo"])]
-        self.los = np.array([s.lo for s in self.segments], np.uint64)
+        self.rows = sorted(rows, key=lambda r: r["lo"])
+        self.los = np.array([r["lo"] for r in self.rows], np.uint64)
+        self.firsts = np.array([r["first"] for r in self.rows], np.int64)
+        self.mapped: dict[int, Segment] = {}
+
+    def segment(self, i: int) -> Segment:
+        found = self.mapped.pop(i, None) or Segment(self.rows[i])
+        self.mapped[i] = found  # the last one used is the last in the dictionary
+        if len(self.mapped) > MAPPED:
+            del self.mapped[next(iter(self.mapped))]
+        return found
 
     def _routed(self, context: np.ndarray) -> Iterator[tuple[Segment, np.ndarray]]:
         """Of ascending contexts the run that each segment has; contexts without children can be in none."""
@@ -159,7 +176,7 @@ class Level:
         edges = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
         for a, b in zip(edges, np.append(edges[1:], len(which)), strict=True):
             if which[a] >= 0:
-                own = self.segments[which[a]]
+                own = self.segment(int(which[a]))
                 yield own, slice(a, a + int(np.searchsorted(context[a:b], np.uint64(own.hi))))
 
     def find(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
@@ -191,12 +208,14 @@ class Level:
 
     def value(self, place: np.ndarray, name: str) -> np.ndarray:
         """The stored array `name` at ascending places."""
-        firsts = np.array([s.first for s in self.segments])
-        which = np.searchsorted(firsts, place, "right") - 1
         out = np.zeros(len(place), np.int64)
-        for i in np.unique(which):
-            s, at = self.segments[i], which == i
-            out[at] = getattr(s, name)[place[at] - s.first]
+        if not len(place):
+            return out
+        which = np.searchsorted(self.firsts, place, "right") - 1
+        edges = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+        for a, b in zip(edges, np.append(edges[1:], len(which)), strict=True):
+            s = self.segment(int(which[a]))
+            out[a:b] = getattr(s, name)[place[a:b] - s.first]
         return out
 
 
