@@ -57,6 +57,7 @@ def _scan(k: int):
         known: set[int] = set()
         for batch in batches:
             ids, classes, sizes = [], [], []
+            kind = batch.column("doc_id").type
             for doc_id, text in texts([batch], "doc_id", "text"):
                 h = shingles(text, k)
                 c = class_id(h) if len(h) else None
@@ -75,7 +76,7 @@ def _scan(k: int):
             part = counts[at << SLICE_BITS : (at + 1) << SLICE_BITS]
             if part.any():
                 raw = packer.compress(part.tobytes())
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(1, pa.int64()), "cls": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()), "slice": pa.array([at], pa.int32()), "counts": pa.array([raw], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(1, kind), "cls": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()), "slice": pa.array([at], pa.int32()), "counts": pa.array([raw], pa.binary())})
 
     return run
 
@@ -160,8 +161,8 @@ def _named(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Data
     """(doc_id, cls, n) of each row, cls null without words, and (cls, doc_id, n_copies, component) of each class: its
     smallest doc_id and the class that its component goes by, null if it has no links."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = staged(docs.mapInArrow(_scan(k), "doc_id long, cls long, n long, slice int, counts binary"), "shingles")
+    docs = docs.select("doc_id", "text")
+    scanned = staged(docs.mapInArrow(_scan(k), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, cls long, n long, slice int, counts binary"), "shingles")
     rows = scanned.where("slice is null").select("doc_id", "cls", "n")
     ranks = spark.sparkContext.broadcast(frequency_ranks(scanned.where("slice is not null").select("slice", "counts")))
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"))
@@ -239,7 +240,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100)
     is the smallest doc_id reachable. A document without words is linked with nothing and has
     component_id doc_id and n_copies 1; n_copies counts the rows with the document's own set. Repeated
     rows are kept; a null doc_id counts as larger than any other, links as all do, and a component of rows
-    without doc_id has a null component_id. An empty table gives no rows.
+    without doc_id has a null component_id. doc_id may be of any orderable type. An empty table gives no rows.
     """
     rows, named = _named(docs, k, num, den)
     of_class = with_least(named).select("cls", F.col("least").alias("component_id"), "n_copies")
@@ -262,7 +263,7 @@ def first_of_components(docs: DataFrame, k: int = 5, num: int = 75, den: int = 1
     rows = docs.mapInArrow(classed, f"{schema}, cls long")
     # a component's first class is one that holds its smallest id, so only rows of that id can be its first
     of_class = with_least(named).where(F.col("doc_id").eqNullSafe(F.col("least"))).select("cls", "component", "least")
-    near = rows.join(of_class, "cls").where(F.col("doc_id").cast("long").eqNullSafe(F.col("least")))
+    near = rows.join(of_class, "cls").where(F.col("doc_id").eqNullSafe(F.col("least")))
     order = F.struct("text", *(c for c in docs.columns if c != "text"))
     # min is combined in each task before the rows are dealt
     first = near.groupBy("component").agg(F.min(order).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))

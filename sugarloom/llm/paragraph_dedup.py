@@ -166,7 +166,7 @@ class Units:
         return self.hashes[self.starts[i] : self.starts[i] + self.sizes[i]]
 
 
-UNITS = "doc_id long, row long, line boolean, at long, n_words long, start long, end long, left long, right long, cls long, size int, bands array<long>"
+UNITS = "doc_id {kind}, row long, line boolean, at long, n_words long, start long, end long, left long, right long, cls long, size int, bands array<long>"
 
 
 def _scan(k: int, reach: int, passage_words: int, similarity: float):
@@ -261,7 +261,7 @@ def _settled(docs: DataFrame, open_: DataFrame, passage_words: int) -> DataFrame
 
     spans = open_.groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # of one document
     texts_ = docs.mapInArrow(_kept(bloom, "row"), docs.schema).dropDuplicates(["doc_id", "row"]).alias("d").join(spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.row") == F.col("s.row")))
-    found = staged(texts_.select("d.doc_id", "d.row", "text", "spans").mapInArrow(windows, "doc_id long, row long, lo long, at long, to long, start long, end long, h long"), "windows")
+    found = staged(texts_.select("d.doc_id", "d.row", "text", "spans").mapInArrow(windows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, lo long, at long, to long, start long, end long, h long"), "windows")
     several = found.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("h")
     return found.join(several, "h", "left_semi").drop("h")
 
@@ -278,14 +278,14 @@ def repeated_passages(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100
 
     start and end are code points, cluster and n_members those of its longest paragraph, removed is false in the
     cluster's first document by doc_id (nulls last). What repeats within its own document only is no
-    finding. Rows of one doc_id and text are one document; rows of a null doc_id are told apart by their text. Null,
+    finding. doc_id may be of any orderable type. Rows of one doc_id and text are one document; rows of a null doc_id are told apart by their text. Null,
     empty and shorter texts have no passages, an empty table gives no rows, other columns are not read.
     """
     if passage_words < k + 4 * reach:
         raise ValueError("a passage needs room for some pieces")
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    units = staged(docs.mapInArrow(_scan(k, reach, passage_words, num / den), UNITS), "paragraphs")
+    docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    units = staged(docs.mapInArrow(_scan(k, reach, passage_words, num / den), UNITS.format(kind=docs.schema["doc_id"].dataType.simpleString())), "paragraphs")
     alike = {False: (max(num * 100 // den, PIECE_SIMILARITY), 100), True: (num, den)}
     groups = {line: heads_of(units.where(F.col("line") == line).select(F.explode("bands").alias("token"), F.col("size").alias("n"), "cls"), *alike[line]) for line in alike}
     release(spark)

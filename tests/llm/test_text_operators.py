@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import collections
 import math
+import os
 import random
 import zlib
 
@@ -114,6 +115,48 @@ def test_lm_scoring_without_rows(docs):
     assert lm.score_texts(docs.limit(0)).count() == 0
 
 
+def test_lm_levels_of_many_segments_hold_few_handles(docs, monkeypatch):
+    """400 segments with 40 handles to spare, all kept where a map holds none, and 16 kept."""
+    resource = pytest.importorskip("resource")
+    manifests, _, _ = lm.train(docs, parts=1, held_out=9)
+    row = manifests[0][0]
+    rows = [{**row, "lo": row["lo"] + (i << 33), "hi": row["hi"] + (i << 33), "first": row["first"] + i * row["n"]} for i in range(400)]
+    one = lm.Segment(row)
+    name = "values" if one.values is not None else "counts"
+    values = np.asarray(getattr(one, name))
+    before, used = resource.getrlimit(resource.RLIMIT_NOFILE), len(os.listdir("/proc/self/fd"))
+    resource.setrlimit(resource.RLIMIT_NOFILE, (used + 40, before[1]))
+    try:
+        for mapped in (lm.MAPPED if lm._UNTRACKED else 16, 16):
+            monkeypatch.setattr(lm, "MAPPED", mapped)
+            level = lm.Level(rows)
+            places = np.arange(0, 400 * row["n"], max(1, row["n"] // 3))
+            assert (level.value(places, name) == values[places % row["n"]]).all()
+            assert len(level.mapped) == min(mapped, 400)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, before)
+
+
+def test_weights_of_spans_stay_as_they_are():
+    r = random.Random(2)
+    model = pii.SemiCRF({("phone", "bias"): 0.4, ("O", "atom"): 0.1})
+    for _ in range(2000):
+        text = "".join(r.choice("0123456789 +-()@.ab") for _ in range(40))
+        pii.all_spans(text, model, pii.base_spans(text))
+    assert len(model.w) == 2
+
+
+def test_ids_of_text(docs, rows):
+    """Ids that are no numbers give the same groups and passages as numbers that sort alike."""
+    named = docs.withColumn("doc_id", F.when(F.col("doc_id").isNotNull(), F.format_string("a%06d", "doc_id")))
+    plain = {(f"a{x.doc_id:06d}", x.n_shingles, f"a{x.component_id:06d}") for x in ngram_join.near_duplicates(docs).collect()}
+    assert {(x.doc_id, x.n_shingles, x.component_id) for x in ngram_join.near_duplicates(named).collect()} == plain
+    first = {(f"a{x.doc_id:06d}", x.text) for x in ngram_join.first_of_components(docs).collect()}
+    assert {(x.doc_id, x.text) for x in ngram_join.first_of_components(named).collect()} == first
+    spans = lambda df, name: {(name(x.doc_id), x.start, x.end, x.removed) for x in paragraph_dedup.repeated_passages(df).collect()}
+    assert spans(named, str) == spans(docs, lambda i: f"a{i:06d}") != set()
+
+
 def test_lm_probabilities_sum_to_one(docs):
     manifests, total, _ = lm.train(docs, parts=1, held_out=9)
     trie = lm.Trie(manifests, total)
