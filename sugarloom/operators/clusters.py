@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sugarloom.operators.staging import staged
+from sugarloom.operators.staging import drop_stage, staged
 from sugarloom.operators.stats import tightness
 
 AXES = ("x", "y", "z")
@@ -33,32 +35,59 @@ def _pairs(left: DataFrame, right: DataFrame, keys: list[str], one: str, other:
     return a.join(b, [*keys, "_a", "_b"]).drop("_a", "_b")
 
 
+#: Centres that are found before the points are written anew with their distances.
+PENDING = 16
+
+
+def _with_pending(state: DataFrame, near: DataFrame | None) -> DataFrame:
+    """state(mol_id, frame, x, y, z, d2, cluster) with the pending centres that can be near a cluster's members taken in."""
+    if near is None:
+        return state
+    gap = lambda c: sum(((F.col(a) - c["c" + a]) * (F.col(a) - c["c" + a]) for a in AXES[1:]), (F.col("x") - c["cx"]) * (F.col("x") - c["cx"]))
+    best = F.array_min(F.transform("near", lambda c: F.struct(gap(c).alias("d2"), c["cluster"].alias("cluster"))))
+    rows = state.join(near, ["mol_id", "cluster"], "left").withColumn("best", best)
+    closer = F.coalesce(F.col("best.d2") < F.col("d2"), F.lit(False))
+    return rows.select("mol_id", "frame", *AXES, F.when(closer, F.col("best.d2")).otherwise(F.col("d2")).alias("d2"), F.when(closer, F.col("best.cluster")).otherwise(F.col("cluster")).alias("cluster"))
+
+
 def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> DataFrame:
     """(mol_id, frame, cluster): farthest-point centres from the smallest frame on, each point to its nearest (ties to
     the earlier centre). A molecule of k points or fewer has one cluster a point; with `radius` it stops
     once every point is that near, and without k it goes on until then.
 
-    The distance to the nearest centre is a column that each round lowers and stages, so k rounds cost k passes;
-    one row a molecule is gathered in each. Only molecules of k points or fewer are ranked.
+    A round is one aggregation that gathers one row a molecule. Points are written with their distances once in PENDING
+    rounds, the copy before dropped; centres found since are held against those clusters only whose centre is within
+    twice their radius, as by the triangle inequality no member of another can be nearer to them.
     """
     if k is None and not radius:
         raise ValueError("without k a radius above 0 is needed")
     p = points.select("mol_id", "frame", *AXES)
-    first = p.groupBy("mol_id").agg(F.min_by(F.struct(*AXES), "frame").alias("c"))
-    at = lambda df: df.select("mol_id", *(F.col(f"c.{x}").alias("c" + x) for x in AXES))
-    state = p.join(at(first), "mol_id").withColumn("d2", _gap("c")).withColumn("cluster", F.lit(0)).select("mol_id", "frame", *AXES, "d2", "cluster")
+    coordinates = [F.col(f"c.{x}").alias("c" + x) for x in AXES]
+    first = p.groupBy("mol_id").agg(F.min_by(F.struct(*AXES), "frame").alias("c")).select("mol_id", *coordinates)
+    centres = [staged(first.withColumn("cluster", F.lit(0)), "far")]
+    start = p.join(first, "mol_id").withColumn("d2", _gap("c")).withColumn("cluster", F.lit(0))
+    state = staged(start.select("mol_id", "frame", *AXES, "d2", "cluster"), "kcentre")
+    pending: list[DataFrame] = []
+    clusters_, near = None, None
     for i in itertools.count(1) if k is None else range(1, k):
-        far = (state if k is not None else state.where(~F.isnan("d2"))).groupBy("mol_id").agg(F.max_by(F.struct(*AXES), F.struct("d2", -F.col("frame"))).alias("c"), F.max("d2").alias("most"))
-        far = far.where(F.col("most") > (0.0 if radius is None else radius * radius))
-        if k is None:
-            far = staged(far, "far")
-            if far.isEmpty():
-                break
-        new = state.join(at(far), "mol_id", "left").withColumn("new", _gap("c"))
-        closer = F.col("new") < F.col("d2")
-        state = new.select("mol_id", "frame", *AXES, F.when(closer, F.col("new")).otherwise(F.col("d2")).alias("d2"), F.when(closer, F.lit(i)).otherwise(F.col("cluster")).alias("cluster"))
-        state = staged(state, "kcentre")  # the next round reads it twice
-    out = state.select("mol_id", "frame", "cluster")
+        view = _with_pending(state, near)
+        far = (view if k is not None else view.where(~F.isnan("d2"))).groupBy("mol_id").agg(F.max_by(F.struct(*AXES), F.struct("d2", -F.col("frame"))).alias("c"), F.max("d2").alias("most"))
+        far = staged(far.where(F.col("most") > (0.0 if radius is None else radius * radius)).select("mol_id", *coordinates, F.lit(i).alias("cluster")), "far")
+        if far.isEmpty():
+            break
+        centres.append(far)
+        pending.append(far)
+        if len(pending) == PENDING:
+            now = staged(_with_pending(state, _near(clusters_ or _radii(state, centres[:-PENDING]), pending)), "kcentre")
+            drop_stage(state)
+            drop_stage(clusters_)
+            state, pending, clusters_, near = now, [], None, None
+        else:
+            clusters_ = clusters_ or _radii(state, centres[:-1])
+            near = _near(clusters_, pending)
+    out = staged(_with_pending(state, near).select("mol_id", "frame", "cluster"), "kcentre")
+    for x in (state, clusters_, *centres):
+        drop_stage(x)
     if radius is not None:
         return out
     few = p.groupBy("mol_id").agg(F.count("*").alias("n")).where(F.col("n") <= k).select("mol_id")
@@ -66,6 +95,20 @@ def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> D
     return out.join(own, ["mol_id", "frame"], "left").select("mol_id", "frame", F.coalesce("own", "cluster").alias("cluster"))
 
 
+def _radii(state: DataFrame, centres: list[DataFrame]) -> DataFrame:
+    """(mol_id, of, x, y, z, r2) of each cluster with members: its centre and the largest squared distance from it."""
+    r2 = state.groupBy("mol_id", "cluster").agg(F.max("d2").alias("r2"))
+    at = reduce(DataFrame.unionByName, centres)
+    return staged(r2.join(at, ["mol_id", "cluster"]).select("mol_id", F.col("cluster").alias("of"), *(F.col("c" + a).alias(a) for a in AXES), "r2"), "radii")
+
+
+def _near(clusters_: DataFrame, pending: list[DataFrame]) -> DataFrame:
+    """(mol_id, cluster, near): of each cluster the pending centres, PENDING at most, that can be nearer to some member."""
+    new = reduce(DataFrame.unionByName, pending)
+    pairs = clusters_.join(new, "mol_id").where(_gap("c") < 4 * F.col("r2") * (1 + 1e-9))
+    return pairs.groupBy("mol_id", F.col("of").alias("cluster")).agg(F.collect_list(F.struct("cluster", *("c" + a for a in AXES))).alias("near"))
+
+
 def nearest_centre(points: DataFrame, centres: DataFrame) -> DataFrame:
     """centres(mol_id, centre, x, y, z): (mol_id, frame, centre, d2) of each point's nearest, ties to the lowest."""
     c = centres.select("mol_id", "centre", *(F.col(a).alias("c" + a) for a in AXES))
@@ -97,47 +140,107 @@ def nearest_to_centroid(points: DataFrame, labels: DataFrame) -> DataFrame:
     return p.join(mean, ["mol_id", "cluster"]).groupBy("mol_id", "cluster").agg(F.min_by("frame", F.struct(_gap("c"), F.col("frame"))).alias("frame"))
 
 
+#: Clusters of up to so many members are summed pair by pair; of larger ones most members are left out by bounds first.
+DIRECT = 1000
+
+
+def _cells(p: DataFrame, level: int) -> DataFrame:
+    """The members' cells of 2**level a side: (mol_id, cluster, cell, h, n) and their bounds."""
+    bounds = [f(a).alias(g + a) for a in AXES for f, g in ((F.min, "lo"), (F.max, "hi"))]
+    return p.withColumn("cell", _cell(level)).groupBy("mol_id", "cluster", "cell").agg(F.count("*").alias("n"), F.first("h").alias("h"), *bounds)
+
+
+def _cell(level: int) -> Column:
+    return F.array(*(F.floor((F.col(a) - F.col(a + "0")) * (2**level) / F.col("span")).cast("int") for a in AXES))
+
+
+def _candidates(p: DataFrame, levels: Sequence[int] = (3, 4, 5, 6)) -> DataFrame:
+    """The members of p(mol_id, cluster, frame, x, y, z, h, x0, y0, z0, span) that can have the highest kernel sum.
+
+    Cells against cells: what a cell's members can reach at most, every other cell at its nearest, and reach at least,
+    all at their farthest. Cells that can't reach what another surely has are left out, and the rest are cut in eight.
+    """
+    keys = ["mol_id", "cluster"]
+    kept = None
+    for level in levels:
+        cells = staged(_cells(p, level), "cells")
+        asked = cells
+        if kept is not None:
+            above = F.transform("cell", lambda x: F.floor(x / 2).cast("int"))
+            asked = cells.withColumn("above", above).join(kept.select(*keys, F.col("cell").alias("above")), [*keys, "above"], "left_semi").drop("above")
+        sources = cells.select(*keys, F.col("cell").alias("cell2"), F.col("n").alias("m"), *(F.col(g + a).alias("s" + g + a) for a in AXES for g in ("lo", "hi")))
+        pairs = _pairs(asked, sources, keys, "cell", "cell2")
+        nearest = [F.greatest(F.lit(0.0), F.col("lo" + a) - F.col("shi" + a), F.col("slo" + a) - F.col("hi" + a)) for a in AXES]
+        farthest = [F.greatest(F.col("hi" + a) - F.col("slo" + a), F.col("shi" + a) - F.col("lo" + a)) for a in AXES]
+        weight = lambda gaps: F.sum(F.col("m") * F.exp(-sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) / (2 * F.col("h") * F.col("h"))))
+        reach = staged(pairs.groupBy(*keys, "cell").agg(weight(nearest).alias("most"), weight(farthest).alias("least"), F.first("n").alias("n")), "reach")
+        sure = reach.groupBy(*keys).agg(F.max("least").alias("sure"))
+        now = staged(reach.join(sure, keys).where(F.col("most") >= F.col("sure") * (1 - 1e-9)).select(*keys, "cell", "n"), "kept")
+        for x in (cells, reach, kept):
+            drop_stage(x)
+        kept = now
+        left = kept.agg(F.coalesce(F.sum("n"), F.lit(0)), F.countDistinct(*keys)).first()
+        if left[0] <= 200 * left[1]:
+            break
+    return p.withColumn("cell", _cell(level)).join(kept.drop("n"), [*keys, "cell"], "left_semi").drop("cell")
+
+
 def densest_member(points: DataFrame, labels: DataFrame, bandwidth: Column | None = None) -> DataFrame:
     """(mol_id, cluster, frame, density): the member where a Gaussian kernel sum over the cluster is highest.
 
-    bandwidth: by default Scott's, times the mean deviation of the axes. Kernel sums are one aggregation
-    over pairs within a cluster.
+    bandwidth: by default Scott's, times the mean deviation of the axes. Sums are exact. In clusters of more than DIRECT
+    members only those are summed that bounds over a grid of cells don't rule out; so pairs grow with the cells and
+    with the members near the mode, not with the square of the members.
     """
+    keys = ["mol_id", "cluster"]
     p = points.join(labels, ["mol_id", "frame"])
     sd = sum((F.coalesce(F.stddev_samp(a), F.lit(0.0)) for a in AXES[1:]), F.coalesce(F.stddev_samp("x"), F.lit(0.0))) / 3
-    h = p.groupBy("mol_id", "cluster").agg((bandwidth if bandwidth is not None else F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9))).alias("h"))
-    other = p.select("mol_id", "cluster", F.col("frame").alias("frame2"), *(F.col(a).alias("o" + a) for a in AXES))
-    pairs = _pairs(p, other, ["mol_id", "cluster"], "frame", "frame2").join(h, ["mol_id", "cluster"])
-    density = pairs.groupBy("mol_id", "cluster", "frame").agg(F.sum(F.exp(-_gap("o") / (2 * F.col("h") * F.col("h")))).alias("density"))
-    best = density.groupBy("mol_id", "cluster").agg(F.max_by("frame", F.struct("density", -F.col("frame"))).alias("frame"), F.max("density").alias("density"))
-    return best
-
-
-def cross_validated_bandwidth(points: DataFrame, labels: DataFrame) -> DataFrame:
-    """(mol_id, cluster, h): the bandwidth of a Gaussian kernel with the highest log-likelihood of held-out members.
+    h = bandwidth if bandwidth is not None else F.greatest(F.pow(F.count("*").cast("double"), F.lit(-1 / 7)) * sd, F.lit(1e-9))
+    span = F.greatest(*(F.max(a) - F.min(a) for a in AXES), F.lit(1e-9)) * (1 + 1e-9)
+    about = p.groupBy(*keys).agg(h.alias("h"), F.count("*").alias("size"), span.alias("span"), *(F.min(a).alias(a + "0") for a in AXES))
+    p = staged(p.select(*keys, "frame", *AXES).join(about, keys), "members")
+    asked = p.where(F.col("size") <= DIRECT)
+    large = p.where(F.col("size") > DIRECT)
+    if large.limit(1).count():
+        asked = asked.unionByName(_candidates(large))
+    other = p.select(*keys, F.col("frame").alias("frame2"), *(F.col(a).alias("o" + a) for a in AXES))
+    pairs = _pairs(asked, other, keys, "frame", "frame2")
+    density = pairs.groupBy(*keys, "frame").agg(F.sum(F.exp(-_gap("o") / (2 * F.col("h") * F.col("h")))).alias("density"))
+    best = density.groupBy(*keys).agg(F.max_by("frame", F.struct("density", -F.col("frame"))).alias("frame"), F.max("density").alias("density"))
+    out = staged(best, "densest")
+    drop_stage(p)
+    return out
+
+
+def cross_validated_bandwidth(points: DataFrame, labels: DataFrame, most: int = 5000) -> DataFrame:
+    """(mol_id, cluster, h): the bandwidth of a Gaussian kernel with the highest log-likelihood of held-out members, for
+    clusters of two to `most` members; larger ones take Scott's rule, as density_mode() does without a row.
 
     Candidates are even steps of [0.1, 1]: 5 with 2 folds for clusters under 10 members, 10 with 3 under 20, else 20
-    with at most 5, members // 5, folds. Folds are runs of members in frame order. Kernel sums are aggregations
-    over pairs within a cluster, a candidate's likelihood the sum of the logs of its members' sums.
+    with at most 5, members // 5, folds. Folds are runs of members in frame order. Each pair of members is made once, and
+    a member's sums for all candidates are columns of one aggregation.
     """
     p = points.join(labels, ["mol_id", "frame"]).select("mol_id", "cluster", "frame", *AXES)
-    n = p.groupBy("mol_id", "cluster").agg(F.count("*").alias("n")).where("n > 1")
+    n = p.groupBy("mol_id", "cluster").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= most))
     folds = F.when(F.col("n") < 10, 2).when(F.col("n") < 20, 3).otherwise(F.least(F.lit(5), F.floor(F.col("n") / 5))).cast("int")
     steps = F.when(F.col("n") < 10, 5).when(F.col("n") < 20, 10).otherwise(20)
     placed = p.join(n, ["mol_id", "cluster"]).withColumn("place", F.row_number().over(W.partitionBy("mol_id", "cluster").orderBy("frame")) - 1)
     # the first n % folds folds have one member more
     size, more = F.floor(F.col("n") / folds), F.col("n") % folds
     fold = F.when(F.col("place") < more * (size + 1), F.floor(F.col("place") / (size + 1))).otherwise(more + F.floor((F.col("place") - more * (size + 1)) / size))
-    rows = staged(placed.withColumn("fold", fold.cast("int")), "folds")
+    rows = staged(placed.select("mol_id", "cluster", "frame", *AXES, fold.cast("int").alias("fold"), steps.alias("steps")), "folds")
     other = rows.select("mol_id", "cluster", F.col("frame").alias("frame2"), F.col("fold").alias("fold2"), *(F.col(a).alias("o" + a) for a in AXES))
     pairs = _pairs(rows, other, ["mol_id", "cluster"], "frame", "frame2").where("fold <> fold2").withColumn("d2", _gap("o"))
-    tried = pairs.withColumn("h", F.explode(F.transform(F.sequence(F.lit(0), steps - 1), lambda i: 0.1 + 0.9 * i / (steps - 1))))
+    width = lambda i: 0.1 + 0.9 * F.lit(i) / (F.col("steps") - 1)
+    sums = [F.sum(F.when(F.col("steps") > i, F.exp(-F.col("d2") / (2 * width(i) * width(i))))).alias(f"s{i}") for i in range(20)]
+    each = pairs.groupBy("mol_id", "cluster", "frame").agg(F.first("steps").alias("steps"), F.count("*").alias("m"), *sums)
     dim = len(AXES)
-    kernel = F.exp(-F.col("d2") / (2 * F.col("h") * F.col("h")))
-    each = tried.groupBy("mol_id", "cluster", "h", "frame").agg(F.sum(kernel).alias("s"), F.count("*").alias("m"))
-    log_density = F.log(F.greatest(F.col("s"), F.lit(1e-300))) - F.log("m") - dim * F.log("h") - dim / 2 * math.log(2 * math.pi)
-    total = each.groupBy("mol_id", "cluster", "h").agg(F.sum(log_density).alias("l"))
-    return total.groupBy("mol_id", "cluster").agg(F.max_by("h", F.struct("l", -F.col("h"))).alias("h"))
+    log_density = lambda i: F.log(F.greatest(F.col(f"s{i}"), F.lit(1e-300))) - F.log("m") - dim * F.log(width(i)) - dim / 2 * math.log(2 * math.pi)
+    total = each.groupBy("mol_id", "cluster").agg(F.first("steps").alias("steps"), *(F.sum(F.when(F.col("steps") > i, log_density(i))).alias(f"l{i}") for i in range(20)))
+    tried = F.filter(F.array(*(F.struct(F.col(f"l{i}").alias("l"), (-width(i)).alias("h")) for i in range(20))), lambda x: x["l"].isNotNull())
+    out = staged(total.select("mol_id", "cluster", (-F.array_max(tried)["h"]).alias("h")), "bandwidths")
+    drop_stage(rows)
+    return out
 
 
 def density_mode(points: DataFrame, labels: DataFrame, rounds: int = 20, bandwidths: DataFrame | None = None, large: int | None = None, sampled: bool = False) -> DataFrame:

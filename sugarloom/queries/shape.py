@@ -366,12 +366,40 @@ def mixture_clusters(spark, d):
     return clusters.gaussian_mixture(points(spark, d).drop("cluster"), 5, rounds=8).groupBy("mol_id", "cluster").agg(F.count("*").alias("n"))
 
 
-@query(None)
+def _modes_sql(rounds: int) -> str:
+    """Mean shift from each cluster's mean with Scott's bandwidth, its rounds unrolled."""
+    out = POINTS + """, m0 AS MATERIALIZED (SELECT mol_id, cluster, count(*) AS n, min(frame) AS first, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz,
+  greatest(pow(count(*), -1/7.0) * (coalesce(stddev_samp(x), 0) + coalesce(stddev_samp(y), 0) + coalesce(stddev_samp(z), 0)) / 3, 1e-9) AS h FROM p GROUP BY ALL)"""
+    for i in range(rounds):
+        out += f""", m{i + 1} AS MATERIALIZED (SELECT mol_id, cluster, n, first, sum(w*x) / sum(w) AS cx, sum(w*y) / sum(w) AS cy, sum(w*z) / sum(w) AS cz, h
+  FROM (SELECT p.*, n, first, h, exp(-(pow(x-cx,2) + pow(y-cy,2) + pow(z-cz,2)) / (2*h*h)) AS w FROM p JOIN m{i} USING (mol_id, cluster)) GROUP BY mol_id, cluster, n, first, h)"""
+    return out + f" SELECT mol_id, cluster, CASE WHEN n < 5 THEN first ELSE arg_min(frame, (pow(x-cx,2) + pow(y-cy,2) + pow(z-cz,2), frame)) END AS frame FROM p JOIN m{rounds} USING (mol_id, cluster) GROUP BY mol_id, cluster, n, first"
+
+
+@query(_modes_sql(10))
 def density_modes(spark, d):
     p = points(spark, d)
     return clusters.density_mode(p.drop("cluster"), p.select("mol_id", "frame", "cluster"), rounds=10)
 
 
+@query(
+    POINTS
+    + """, g AS (SELECT mol_id, cluster, frame, 5 * x AS x, 5 * y AS y, 5 * z AS z FROM p),
+n AS (SELECT mol_id, cluster, count(*) AS n, CASE WHEN count(*) < 10 THEN 2 WHEN count(*) < 20 THEN 3 ELSE least(5, count(*) // 5) END AS f, CASE WHEN count(*) < 10 THEN 5 WHEN count(*) < 20 THEN 10 ELSE 20 END AS s FROM g GROUP BY ALL HAVING count(*) > 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY mol_id, cluster ORDER BY frame) - 1 AS i FROM g JOIN n USING (mol_id, cluster)),
+k AS MATERIALIZED (SELECT *, CASE WHEN i < (n % f) * (n // f + 1) THEN i // (n // f + 1) ELSE n % f + (i - (n % f) * (n // f + 1)) // (n // f) END AS fold FROM o),
+d AS (SELECT a.mol_id, a.cluster, a.frame, a.s, pow(a.x-b.x,2) + pow(a.y-b.y,2) + pow(a.z-b.z,2) AS d2 FROM k a JOIN k b ON a.mol_id = b.mol_id AND a.cluster = b.cluster AND a.fold <> b.fold),
+t AS (SELECT *, 0.1 + 0.9 * unnest(range(0, s)) / (s - 1) AS h FROM d),
+e AS (SELECT mol_id, cluster, frame, h, ln(greatest(sum(exp(-d2 / (2*h*h))), 1e-300)) - ln(count(*)) - 3 * ln(h) - 1.5 * ln(2 * pi()) AS l FROM t GROUP BY mol_id, cluster, frame, h),
+l AS (SELECT mol_id, cluster, h, sum(l) AS l FROM e GROUP BY ALL)
+SELECT mol_id, cluster, round(arg_max(h, (l, -h)), 6) AS h FROM l GROUP BY ALL"""
+)
+def held_out_bandwidths(spark, d):
+    """The bandwidth that tells held-out members best, the points spread out so that candidates differ."""
+    p = points(spark, d).withColumns({a: 5 * F.col(a) for a in "xyz"})
+    return _rounded(clusters.cross_validated_bandwidth(p.drop("cluster"), p.select("mol_id", "frame", "cluster")), h=6)
+
+
 @query(None)
 def pca_scores(spark, d):
     """Three principal components of the landscape of all atoms, all molecules together."""

@@ -107,6 +107,38 @@ def test_mixture_finds_three_blobs(spark):
     assert len(reps) == 3 and all(own[x["frame"]] == x["cluster"] for x in reps)
 
 
+def test_densest_members_of_large_clusters_are_exact(spark, monkeypatch):
+    """Bounds rule out members only that can't be the densest: lumps of unlike size, a line, one point many times."""
+    monkeypatch.setattr(clusters, "DIRECT", 20)
+    r = np.random.default_rng(12)
+    shapes = {0: np.vstack([r.normal(0, 1, (250, 3)), r.normal(4, 0.2, (120, 3))]), 1: np.outer(r.normal(size=200), [1, 2, 0]), 2: np.zeros((60, 3)), 3: r.uniform(-1, 1, (150, 3)), 4: r.normal(size=(12, 3))}
+    rows = [(7, i, c, *map(float, x)) for c, xs in shapes.items() for i, x in enumerate(xs, 1000 * c)]
+    df = spark.createDataFrame(rows, "mol_id long, frame long, cluster int, x double, y double, z double")
+    got = {x.cluster: (x.frame, x.density) for x in clusters.densest_member(df.drop("cluster"), df.select("mol_id", "frame", "cluster")).collect()}
+    for c, xs in shapes.items():
+        h = max(len(xs) ** (-1 / 7) * xs.std(0, ddof=1).mean(), 1e-9)
+        sums = np.exp(-((xs[:, None] - xs[None]) ** 2).sum(2) / (2 * h * h)).sum(1)
+        assert got[c][1] == pytest.approx(sums.max()) and sums[got[c][0] - 1000 * c] == pytest.approx(sums.max()), c
+
+
+def test_centres_over_pending_rounds(spark, monkeypatch):
+    """Centres held back over several rounds, and clusters left out by their radius, give the plain result."""
+    monkeypatch.setattr(clusters, "PENDING", 3)
+    r = np.random.default_rng(13)
+    data = {0: r.normal(size=(90, 3)), 1: np.repeat(r.normal(size=(5, 3)), 8, axis=0), 2: r.normal(size=(4, 3))}
+    df = spark.createDataFrame([(m, i, *map(float, x)) for m, xs in data.items() for i, x in enumerate(xs)], "mol_id long, frame long, x double, y double, z double")
+    want = {}
+    for m, xs in data.items():
+        d, own = ((xs - xs[0]) ** 2).sum(1), np.zeros(len(xs), int)
+        for k in range(1, 11):
+            if d.max() <= 0:
+                break
+            new = ((xs - xs[d.argmax()]) ** 2).sum(1)
+            own[new < d], d = k, np.minimum(new, d)
+        want |= {(m, i): int(c) for i, c in enumerate(range(len(xs)) if len(xs) <= 11 else own)}
+    assert {(x.mol_id, x.frame): x.cluster for x in clusters.k_centre(df, 11).collect()} == want
+
+
 def test_superposition_never_worsens(spark):
     r = np.random.default_rng(3)
     ref = r.normal(size=(8, 3))
