@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sugarloom.operators.staging import staged
+from sugarloom.operators.staging import new_path
 
 TRIPLE = "array<struct<s:string,p:string,o:string,o_kind:string,o_type:string>>"
 
@@ -72,10 +72,10 @@ def sequence(s: Column, value: Column, label: str, form: str) -> list[Column]:
     return [F.when(there, x) for x in (uri(s, "onto:sequence", node), uri(node, "rdf:type", "onto:Sequence"), literal(node, "onto:text", value, "string"), uri(node, "onto:form", form))]
 
 
-def emit(rows: DataFrame, triples: Sequence[Column]) -> DataFrame:
-    """All triples of all rows; repeats collapse."""
+def emit(rows: DataFrame, triples: Sequence[Column], repeats: bool = False) -> DataFrame:
+    """All triples of all rows; repeats collapse, unless what follows takes care of them."""
     out = rows.select(F.explode(F.filter(F.array(*triples), lambda x: x.isNotNull())).alias("t")).select("t.*")
-    return out.distinct()
+    return out if repeats else out.distinct()
 
 
 def lines(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
@@ -92,19 +92,55 @@ def lines(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
     return triples.select(F.concat_ws(" ", full(F.col("s")), full(F.col("p")), o, F.lit(".")).alias("value"))
 
 
-def stored(triples: DataFrame) -> DataFrame:
-    """The triples written once with a folder for each predicate, so that a pattern reads its own only."""
-    return staged(triples, "triples", "p")
-
-
-def match(triples: DataFrame, patterns: Sequence[tuple[str, str, str]], optional: Sequence[tuple[str, str, str]] = (), filters: Sequence[Column] = ()) -> DataFrame:
+class Store:
+    """Triples written once: a folder for each predicate, within it the subjects dealt over as many sorted buckets as there
+    are shuffle partitions. A pattern reads its predicate only, patterns about one subject are joined without a shuffle,
+    and what the predicates hold, a row each, tells which pattern to begin with."""
+
+    def __init__(self, triples: DataFrame):
+        spark = triples.sparkSession
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = new_path(spark, "triples")
+        self.name = path.rsplit("/", 1)[1].replace("-", "_")
+        # equal triples have one subject, so they collapse where the buckets are dealt
+        dealt = triples.repartition(tasks, "s").distinct()
+        dealt.write.partitionBy("p").bucketBy(tasks, "s").sortBy("s").option("path", path).saveAsTable(self.name)
+        self.triples = spark.table(self.name)
+        about = self.triples.groupBy("p").agg(F.count("*").alias("n"), F.approx_count_distinct("s").alias("subjects"), F.approx_count_distinct("o").alias("objects"))
+        self.about = {r["p"]: (r["n"], r["subjects"], r["objects"]) for r in about.collect()}
+
+    def rows(self, pattern: tuple[str, str, str]) -> float:
+        """About how many triples meet a pattern by itself."""
+        s, p, o = pattern
+        n, subjects, objects = self.about.get(p, (0, 1, 1)) if not p.startswith("?") else tuple(map(sum, zip(*self.about.values(), strict=True))) or (0, 1, 1)
+        return n / (1 if s.startswith("?") else max(1, subjects)) / (1 if o.startswith("?") else max(1, objects))
+
+    def ordered(self, patterns: Sequence[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+        """The patterns from the one with the fewest triples on, each next one sharing a variable with those before
+        where there is such a one, one about a subject already named first."""
+        left, out, known = list(patterns), [], set()
+        while left:
+            best = min(left, key=lambda x: (bool(known) and not known & _variables(x), bool(known) and x[0] not in known, self.rows(x), left.index(x)))
+            left.remove(best)
+            out.append(best)
+            known |= _variables(best)
+        return out
+
+
+def _variables(pattern: tuple[str, str, str]) -> set[str]:
+    return {x for x in pattern if x.startswith("?")}
+
+
+def match(triples: DataFrame | Store, patterns: Sequence[tuple[str, str, str]], optional: Sequence[tuple[str, str, str]] = (), filters: Sequence[Column] = ()) -> DataFrame:
     """One column a variable (?name) for every way to meet all patterns and filters (conditions on variables); optional
     patterns may stay null.
 
-    Each pattern is a filtered projection of the triples, joined on the variables it shares; Catalyst orders
-    the joins.
+    Each pattern is a filtered projection of the triples, joined on the variables it shares: in a store's order, of other
+    triples in the given one. No pattern gives no column.
     """
     out = None
+    if isinstance(triples, Store):
+        patterns, triples = triples.ordered(patterns), triples.triples
     for i, pattern in enumerate([*patterns, *optional]):
         one = triples
         for col, term in zip("spo", pattern, strict=True):

@@ -153,17 +153,24 @@ def total_length(spark, d):
     return o.agg(F.count("*").alias("entries"), F.round(F.sum(v), 2).alias("total"), F.count(v).alias("counted"), (F.count("*") - F.count(v)).alias("invalid"))
 
 
-def store(spark: SparkSession, d: str) -> DataFrame:
-    """The triples, by predicate on shared storage: a pattern joins its own predicates only."""
-    return triples.stored(entry_triples(spark, d))
+_STORES: dict[tuple[str, str], triples.Store] = {}
 
 
-def entry_triples(spark: SparkSession, d: str) -> DataFrame:
+def store(spark: SparkSession, d: str) -> triples.Store:
+    """The store of a folder's triples, built by the first query of a session that asks for it."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORES:
+        _STORES[key] = triples.Store(entry_triples(spark, d, repeats=True))
+    return _STORES[key]
+
+
+def entry_triples(spark: SparkSession, d: str, repeats: bool = False) -> DataFrame:
     c, n, o = (t(spark, d, x) for x in ("customer", "nation", "orders"))
     e = F.concat(F.lit("entry:"), F.col("c_custkey").cast("string"))
     entries = triples.emit(
         c.join(n, F.col("c_nationkey") == F.col("n_nationkey")),
         [triples.uri(e, "rdf:type", "onto:Entry"), triples.literal(e, "onto:id", F.col("c_custkey").cast("string"), "string"), triples.literal(e, "rdfs:label", F.col("c_name")), triples.literal(e, "dcterms:description", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))), triples.uri(e, "dcterms:subject", F.concat(F.lit("keyword/"), F.lower("n_name")))],
+        repeats,
     )
     v = F.concat(F.lit("entry:"), F.col("o_custkey").cast("string"), F.lit("/"), F.col("o_orderkey").cast("string"))
     own = F.concat(F.lit("entry:"), F.col("o_custkey").cast("string"))
@@ -178,6 +185,7 @@ def entry_triples(spark: SparkSession, d: str) -> DataFrame:
             *triples.counted(v, "onto:component", F.lower("o_orderstatus"), F.col("o_orderkey") % 5 + 1, "residue"),
             *triples.sequence(v, F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")), "short", "onto:short"),
         ],
+        repeats,
     )
     return entries.union(variants)
 
@@ -196,8 +204,9 @@ def pattern_lookup(spark, d):
 
 @query("SELECT 'entry:' || o_custkey AS entry, 'entry:' || o_custkey || '/' || o_orderkey AS variant, floor(o_totalprice)::BIGINT AS mass FROM orders WHERE floor(o_totalprice) BETWEEN 1000 AND 90000")
 def pattern_range(spark, d):
-    found = triples.match(store(spark, d), [("?entry", "onto:variant", "?variant"), ("?variant", "onto:mass", "?mass")])
-    return found.withColumn("mass", F.col("mass").cast("long")).where("mass between 1000 and 90000")
+    mass = F.col("mass").cast("long")
+    found = triples.match(store(spark, d), [("?entry", "onto:variant", "?variant"), ("?variant", "onto:mass", "?mass")], filters=[mass.between(1000, 90000)])
+    return found.select("entry", "variant", mass.alias("mass"))
 
 
 @query("SELECT 'entry:' || o_custkey AS entry, 'entry:' || o_custkey || '/' || o_orderkey AS variant, (o_orderkey % 5 + 1)::VARCHAR AS count FROM orders WHERE o_orderstatus = 'F'")

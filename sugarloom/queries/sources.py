@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sugarloom.operators import clusters, stats
+from sugarloom.operators.staging import new_path, staged
 from sugarloom.plans.analysis import analyse
 from sugarloom.queries import shape
 from sugarloom.sources import tables, trajectories
@@ -50,6 +51,40 @@ def structure_lines(spark, d):
     return p.select("mol_id", "frame", *(f"p.{c}" for c in ("serial", "name", "res_name", "res_id", "x", "y", "z", "element")))
 
 
+READ_BACK = f"""WITH a AS ({PARSED}), f AS (SELECT mol_id, frame AS vec_id, row_number() OVER (PARTITION BY mol_id ORDER BY frame) - 1 AS frame FROM (SELECT DISTINCT mol_id, frame FROM a))
+SELECT 'm' || a.mol_id || ' [2S]' AS mol_id, f.frame, (a.serial - 1)::INT AS atom_index, a.serial, a.name, a.element, a.res_name, a.res_id, 'A' AS chain_id, round(a.x, 3) + 0.0::DOUBLE AS x, round(a.y, 3) + 0.0::DOUBLE AS y, round(a.z, 3) + 0.0::DOUBLE AS z
+FROM a JOIN f ON f.mol_id = a.mol_id AND f.vec_id = a.frame"""
+
+
+def _files(spark, d) -> str:
+    """A structure file for each molecule, its name with brackets and a blank, its models in frame order."""
+    text = trajectories.model_text(coords(spark, d))
+    folder = new_path(spark, "structures")
+    named = text.select(F.concat(F.lit("m"), F.col("mol_id").cast("string"), F.lit(" [2S]")).alias("mol_id"), "frame", "text")
+    trajectories.write_models(named, folder)
+    return folder
+
+
+@query(READ_BACK)
+def structure_files(spark, d):
+    """Frames written as structure files, read back, kept as hashed Parquet and read again: topology and coordinates."""
+    read = staged(trajectories.models(spark, f"{trajectories.escaped(_files(spark, d))}/*/*", folders=True), "models")
+    folder = new_path(spark, "molecules")
+    tables.write_by_molecule(trajectories.frames(read), folder)
+    xyz = tables.read_molecules(spark, folder)
+    atoms = trajectories.topology(read)
+    at = lambda k: F.round(F.element_at("xyz", 3 * F.col("atom_index") + k).cast("double"), 3)
+    return xyz.join(atoms, "mol_id").select("mol_id", "frame", "atom_index", "serial", "name", "element", "res_name", "res_id", "chain_id", *(at(k).alias(c) for k, c in enumerate("xyz", 1)))
+
+
+@query("WITH f AS (SELECT vec_id % 5 AS mol_id, row_number() OVER (PARTITION BY vec_id % 5 ORDER BY vec_id) - 1 AS frame FROM embeddings) SELECT 'm' || mol_id || ' [2S]' AS mol_id, frame, (21 - frame % 3)::INT AS n, 21::INT AS expected FROM f WHERE frame % 3 <> 0")
+def uneven_frames(spark, d):
+    """Frames that lost atoms on the way into a file, found against the first one's topology."""
+    read = trajectories.models(spark, f"{trajectories.escaped(_files(spark, d))}/*/*", folders=True)
+    kept = read.withColumn("lines", F.slice("lines", 1, (F.size("lines") - F.col("frame") % 3).cast("int")))
+    return trajectories.uneven(kept)
+
+
 @query(f"SELECT mol_id, count(*) AS n, sum(round(x * 1000)::BIGINT)::BIGINT AS sx FROM ({PARSED}) WHERE element <> 'H' GROUP BY mol_id")
 def heavy_atoms(spark, d):
     from sugarloom.operators.geometry import heavy

@@ -12,8 +12,16 @@ def escaped(path: str) -> str:
     return "".join("\\" + c if c in "[]{}" else c for c in path)
 
 
-def models(spark: SparkSession, path: str) -> DataFrame:
-    """(mol_id, frame, lines array<string>): the models of each file in file order.
+def _plain(name: Column, times: int) -> Column:
+    """A name as it stood before it became part of an address."""
+    for _ in range(times):
+        name = F.call_function("url_decode", F.replace(name, F.lit("+"), F.lit("%2B")))
+    return name
+
+
+def models(spark: SparkSession, path: str, folders: bool = False) -> DataFrame:
+    """(mol_id, frame, lines array<string>): the models of each file in file order; with folders those of all files in a
+    molecule's folder, as write_models() names it, in the order of the files' names.
 
     Records end at ENDMDL, so a large file is split like any text. What follows the last ENDMDL counts only
     in a file that has none at all. mol_id is the file's name without its ending. No task gets more than a block.
@@ -27,11 +35,22 @@ def models(spark: SparkSession, path: str) -> DataFrame:
     kept = rows.join(last, "file").where(~((F.struct("block", "at") == F.col("last")) & F.col("some") & ~F.col("whole"))).select("file", "block", "at", "lines")
     # frames are numbered within a block of the file, and blocks by the sums of the counts before them
     counts = kept.groupBy("file", "block").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    folder = F.regexp_extract("file", r"/mol_id=([^/]*)/[^/]*$", 1)
+    order = W.partitionBy(folder if folders else F.col("file")).orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(order), F.lit(0))
     numbered = kept.withColumn("i", F.row_number().over(W.partitionBy("file", "block").orderBy("at")) - 1).join(counts.select("file", "block", before.alias("before")), ["file", "block"])
     rows, frame = numbered, F.col("before") + F.col("i")
-    name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.[^.]*$", "")
-    return rows.select(F.call_function("url_decode", name).alias("mol_id"), frame.cast("long").alias("frame"), "lines")
+    # a folder's name is escaped as such, and again in the file's address
+    name = _plain(folder, 2) if folders else _plain(F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.[^.]*$", ""), 1)
+    return rows.select(name.alias("mol_id"), frame.cast("long").alias("frame"), "lines")
+
+
+def write_models(text: DataFrame, folder: str) -> None:
+    """text(mol_id, frame, text) of model_text() as files below folder, in a folder for each molecule. A range of frames is
+    a task's and its file's, so a long trajectory is written by many tasks and models(folders=True) reads it in order."""
+    rows = text.select(F.col("mol_id").cast("string").alias("mol_id"), "frame", F.regexp_replace("text", "\n$", "").alias("value"))
+    ranged = rows.repartitionByRange("mol_id", "frame").sortWithinPartitions("mol_id", "frame")
+    ranged.select("mol_id", "value").write.partitionBy("mol_id").text(folder)
 
 
 def parsed(line: Column) -> Column:

@@ -288,6 +288,29 @@ def test_plans_and_gates(spark):
     assert gates[2, "b"] == "failed" and gates[3, "a"] == "failed" and gates[1, "b"] == "ok"
 
 
+def test_store_of_triples(spark):
+    """A store gives what the triples themselves give, in whatever order; patterns about one subject shuffle nothing."""
+    r = np.random.default_rng(3)
+    rows = [(f"s{a}", f"p{b}", f"s{c}" if c % 2 else f"v{c}", "uri", None) for a, b, c in zip(r.integers(0, 30, 600), r.integers(0, 4, 600), r.integers(0, 30, 600), strict=True)]
+    df = spark.createDataFrame([*rows, *rows[:50]], "s string, p string, o string, o_kind string, o_type string")
+    store = triples.Store(df)
+    plain = df.distinct()
+    assert store.triples.count() == plain.count() and set(store.about) == {"p0", "p1", "p2", "p3"}
+    for patterns, optional in (([("?a", "p0", "?b"), ("?a", "p1", "?c")], []), ([("?a", "p0", "?b"), ("?b", "p1", "?c"), ("?c", "p2", "v4")], []), ([("s3", "?p", "?o")], []), ([("?a", "p9", "?b")], []), ([("?a", "p2", "?a")], []), ([("?a", "p0", "v2")], [("?a", "p3", "?d")])):
+        got, want = triples.match(store, patterns, optional), triples.match(plain, patterns, optional)
+        columns = sorted(want.columns)
+        assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect())), patterns
+    assert store.ordered([("?a", "p0", "?b"), ("?x", "p1", "?y"), ("?b", "p2", "v4")])[0] == ("?b", "p2", "v4")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = triples.match(store, [("?a", "p0", "?b"), ("?a", "p1", "?c"), ("?a", "p2", "?d")])
+        plan = star._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and "PartitionFilters: [isnotnull(p" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_literals_take_the_type_that_fits(spark):
     df = spark.createDataFrame([("1",), ("2.5",), ("x",), ("true",), ("",), (None,)], "v string")
     got = [(x["t"]["o"], x["t"]["o_type"]) if x["t"] else None for x in df.select(triples.literal(F.lit("s"), "p", F.col("v")).alias("t")).collect()]
