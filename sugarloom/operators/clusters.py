@@ -50,10 +50,11 @@ def _with_pending(state: DataFrame, near: DataFrame | None) -> DataFrame:
     return rows.select("mol_id", "frame", *AXES, F.when(closer, F.col("best.d2")).otherwise(F.col("d2")).alias("d2"), F.when(closer, F.col("best.cluster")).otherwise(F.col("cluster")).alias("cluster"))
 
 
-def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> DataFrame:
+def k_centre(points: DataFrame, k: int | DataFrame | None, radius: float | None = None) -> DataFrame:
     """(mol_id, frame, cluster): farthest-point centres from the smallest frame on, each point to its nearest (ties to
-    the earlier centre). A molecule of k points or fewer has one cluster a point; with `radius` it stops
-    once every point is that near, and without k it goes on until then.
+    the earlier centre). k is one for all or (mol_id, k). A molecule of k points or fewer has one cluster a point; with
+    `radius` it stops once every point is that near, and without k it goes on until then. Molecules without a k are left
+    out.
 
     A round is one aggregation that gathers one row a molecule. Points are written with their distances once in PENDING
     rounds, the copy before dropped; centres found since are held against those clusters only whose centre is within
@@ -61,7 +62,19 @@ def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> D
     """
     if k is None and not radius:
         raise ValueError("without k a radius above 0 is needed")
-    p = points.select("mol_id", "frame", *AXES)
+    p, few, wanted = points.select("mol_id", "frame", *AXES), None, None
+    if k is not None and radius is None:
+        n = p.groupBy("mol_id").agg(F.count("*").alias("n"))
+        wanted = staged((n.join(k.select("mol_id", "k"), "mol_id") if isinstance(k, DataFrame) else n.withColumn("k", F.lit(k))).where("k IS NOT NULL"), "wanted")
+        few = wanted.where(F.col("n") <= F.col("k")).select("mol_id")
+        wanted = wanted.where(F.col("n") > F.col("k")).select("mol_id", "k")
+        own = p.join(few, "mol_id", "left_semi").select("mol_id", "frame", (F.row_number().over(W.partitionBy("mol_id").orderBy("frame")) - 1).alias("cluster"))
+        k = wanted.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]
+        if not k:
+            return own
+        p = p.join(wanted, "mol_id", "left_semi")
+    elif isinstance(k, DataFrame):
+        raise ValueError("with a radius k is one for all")
     coordinates = [F.col(f"c.{x}").alias("c" + x) for x in AXES]
     first = p.groupBy("mol_id").agg(F.min_by(F.struct(*AXES), "frame").alias("c")).select("mol_id", *coordinates)
     centres = [staged(first.withColumn("cluster", F.lit(0)), "far")]
@@ -72,6 +85,7 @@ def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> D
     for i in itertools.count(1) if k is None else range(1, k):
         view = _with_pending(state, near)
         far = (view if k is not None else view.where(~F.isnan("d2"))).groupBy("mol_id").agg(F.max_by(F.struct(*AXES), F.struct("d2", -F.col("frame"))).alias("c"), F.max("d2").alias("most"))
+        far = far if wanted is None else far.join(wanted.where(F.col("k") > i), "mol_id", "left_semi")
         far = staged(far.where(F.col("most") > (0.0 if radius is None else radius * radius)).select("mol_id", *coordinates, F.lit(i).alias("cluster")), "far")
         if far.isEmpty():
             break
@@ -88,11 +102,7 @@ def k_centre(points: DataFrame, k: int | None, radius: float | None = None) -> D
     out = staged(_with_pending(state, near).select("mol_id", "frame", "cluster"), "kcentre")
     for x in (state, clusters_, *centres):
         drop_stage(x)
-    if radius is not None:
-        return out
-    few = p.groupBy("mol_id").agg(F.count("*").alias("n")).where(F.col("n") <= k).select("mol_id")
-    own = p.join(few, "mol_id", "left_semi").select("mol_id", "frame", (F.row_number().over(W.partitionBy("mol_id").orderBy("frame")) - 1).alias("own"))
-    return out.join(own, ["mol_id", "frame"], "left").select("mol_id", "frame", F.coalesce("own", "cluster").alias("cluster"))
+    return out if few is None else out.unionByName(own)
 
 
 def _radii(state: DataFrame, centres: list[DataFrame]) -> DataFrame:

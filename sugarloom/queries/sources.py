@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sugarloom.operators import clusters, stats
 from sugarloom.operators.staging import new_path, staged
-from sugarloom.plans.analysis import analyse
+from sugarloom.plans.analysis import analyse, outcome
+from sugarloom.plans.analysis import run as analysis_run
 from sugarloom.queries import shape
 from sugarloom.sources import tables, trajectories
 
@@ -145,6 +146,36 @@ def analysis_documents(spark, d):
     return analyse(shape.frames(spark, d).drop("cluster"), shape.torsions(spark), list(range(21)))["info"]
 
 
+def _run(spark, d):
+    """A run over the frames of the five molecules, three of them at fault: 1 has a frame that lost an atom, 2 a coordinate
+    that is no number, 3 torsions of atoms that it has not; and one of few frames."""
+    f = shape.frames(spark, d).drop("cluster")
+    few = f.where("mol_id = 0 and frame < 20").withColumn("mol_id", F.lit(9).cast("long"))
+    first = F.col("frame") < 5
+    xyz = F.when(first & (F.col("mol_id") == 1), F.slice("xyz", 1, 60)).when(first & (F.col("mol_id") == 2), F.transform("xyz", lambda x, i: F.when(i == 7, float("nan")).otherwise(x).cast("float"))).otherwise(F.col("xyz"))
+    t = shape.torsions(spark)
+    t = t.union(t.where("mol_id = 0").withColumn("mol_id", F.lit(9).cast("long"))).withColumn("d", F.when(F.col("mol_id") == 3, F.col("d") + 9).otherwise(F.col("d")))
+    return analysis_run(f.withColumn("xyz", xyz).union(few), t, list(range(8)), k=3)
+
+
+@query(
+    """SELECT * FROM (VALUES (0::BIGINT, 'complete', NULL, NULL), (1, 'failed', 'store', 'frames have unlike numbers of atoms'), (2, 'failed', 'store', 'a coordinate is no number'),
+  (3, 'failed', 'torsions', 'a torsion names an atom that is not there'), (4, 'complete', NULL, NULL), (9, 'failed', 'entropy', 'too few frames for the neighbours of a point')) v(mol_id, outcome, step, error)
+WHERE mol_id = 9 OR mol_id IN (SELECT vec_id % 5 FROM embeddings)"""
+)
+def run_outcomes(spark, d):
+    """Molecules at fault fail with the step and the reason, the others are complete."""
+    return outcome(_run(spark, d)["status"])
+
+
+@query("SELECT vec_id % 5 AS mol_id, 3 AS level, count(*) AS clusters, count(*) AS frames FROM embeddings WHERE vec_id % 5 IN (0, 4) GROUP BY 1 UNION ALL SELECT vec_id % 5, 1, 3, count(*) FROM embeddings WHERE vec_id % 5 IN (0, 4) GROUP BY 1 UNION ALL SELECT vec_id % 5, 2, 5, count(*) FROM embeddings WHERE vec_id % 5 IN (0, 4) GROUP BY 1")
+def run_levels(spark, d):
+    """How many clusters and frames each level of each document has; up to 512 frames level 3 has one each, and level 2
+    has what the entropy asks for, 5 to 128, told as 5."""
+    found = _run(spark, d)["info"].select("mol_id", F.explode(F.from_json(F.get_json_object("info", "$.levels"), "array<struct<level: int, n_clusters: int, clusters: array<struct<size: int>>>>")).alias("l"))
+    return found.select("mol_id", "l.level", F.when((F.col("l.level") == 2) & F.col("l.n_clusters").between(5, 128), 5).otherwise(F.col("l.n_clusters")).cast("long").alias("clusters"), F.aggregate("l.clusters", F.lit(0).cast("long"), lambda a, x: a + x["size"]).alias("frames"))
+
+
 @query(None)
 def covered_clusters(spark, d):
     """Centres placed until every point lies within a radius, and how many each molecule took."""
