@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sugarloom.operators.staging import drop_stage, staged
+from sugarloom.operators.staging import bucketed, drop_stage, staged
 from sugarloom.operators.stats import tightness
 
 AXES = ("x", "y", "z")
@@ -283,34 +283,84 @@ def density_mode(points: DataFrame, labels: DataFrame, rounds: int = 20, bandwid
     return found.select("mol_id", "cluster", F.when(F.col("n") < 5, F.col("first")).otherwise(F.col("near")).alias("frame"))
 
 
-def gaussian_mixture(points: DataFrame, k: int, rounds: int = 20, ridge: float = 1e-6) -> DataFrame:
-    """(mol_id, frame, cluster): expectation maximisation with full covariances for all molecules together.
+_SQUARES = [(a, b) for i, a in enumerate(AXES) for b in AXES[i:]]
+#: Points of one salt of a molecule.
+MIXED = 100_000
+
+
+def _maximised(sums: DataFrame, k: int, ridge: float) -> DataFrame:
+    """(mol_id, n, l, s0, sx0, sxx0, ...) to (mol_id, n, l, parts): of each component its log weight, mean, the inverse of its
+    covariances in closed form, and what it adds to a log density; null for a component that nothing is left of."""
+    names = ["".join(x) for x in _SQUARES]
+    sums_ = F.array(*(F.struct(F.col(f"s{j}").alias("w"), *(F.col(f"s{c}{j}").alias(c) for c in (*AXES, *names))) for j in range(k)))
+    # step by step within the array, so that no expression stands in another many times over
+    some = lambda s: F.when(s["w"] > 1e-9, s["w"])
+    mean = lambda s: F.struct(s["w"].alias("w"), *((s[a] / some(s)).alias("m" + a) for a in AXES), *((s[c] / some(s)).alias(c) for c in names))
+    spread = lambda s: F.struct(s["w"].alias("w"), *(s["m" + a].alias("m" + a) for a in AXES), *((s[a + b] - s["m" + a] * s["m" + b] + (ridge if a == b else 0.0)).alias(a + b) for a, b in _SQUARES))
+
+    def cofactors(s: Column) -> Column:
+        xx, xy, xz, yy, yz, zz = (s[c] for c in names)
+        inverse = {"ixx": yy * zz - yz * yz, "ixy": xz * yz - xy * zz, "ixz": xy * yz - xz * yy, "iyy": xx * zz - xz * xz, "iyz": xy * xz - xx * yz, "izz": xx * yy - xy * xy}
+        det = F.greatest(xx * inverse["ixx"] + xy * inverse["ixy"] + xz * inverse["ixz"], F.lit(1e-30))
+        return F.struct(s["w"].alias("w"), *(s["m" + a].alias("m" + a) for a in AXES), det.alias("det"), *(v.alias(c) for c, v in inverse.items()))
+
+    def part(s: Column) -> Column:
+        c = F.log(some(s) / F.col("n")) - 0.5 * (F.log(s["det"]) + 3 * math.log(2 * math.pi))
+        return F.when(s["w"] > 1e-9, F.struct(c.alias("c"), *(s["m" + a].alias("m" + a) for a in AXES), *((s[i] / s["det"]).alias(i) for i in ("ixx", "ixy", "ixz", "iyy", "iyz", "izz"))))
+
+    parts = sums_
+    for f in (mean, spread, cofactors, part):
+        parts = F.transform(parts, f)
+    return sums.select("mol_id", "n", "l", parts.alias("parts"))
+
+
+def _log_density(p: Column) -> Column:
+    dx, dy, dz = (F.col(a) - p["m" + a] for a in AXES)
+    q = dx * dx * p["ixx"] + dy * dy * p["iyy"] + dz * dz * p["izz"] + 2 * (dx * dy * p["ixy"] + dx * dz * p["ixz"] + dy * dz * p["iyz"])
+    return F.coalesce(p["c"] - 0.5 * q, F.lit(-1e300))
 
-    It starts from k_centre. The E-step is column arithmetic (a 3 x 3 inverse in closed form) over one
-    row of parameters a molecule and component; the M-step is one aggregation of sums.
+
+def mixture(points: DataFrame, k: int, rounds: int = 20, ridge: float = 1e-6, start: DataFrame | None = None, tolerance: float = 1e-9) -> tuple[DataFrame, DataFrame]:
+    """points(mol_id, frame, x, y, z) to members (mol_id, frame, cluster) and fits (mol_id, n, l): expectation maximisation
+    with full covariances for all molecules together, and the log-likelihood of the last parameters but one.
+
+    It starts from start(mol_id, frame, cluster), clusters from 0 to k - 1, or from k_centre. Points are dealt over buckets
+    by molecule and salt once; a round joins each molecule's parameters, one row with an array of components, to them
+    in place, makes a point's responsibilities an array in its row, and sums them in one aggregation combined in
+    each task. It ends when no molecule's likelihood grows by more than `tolerance` of itself, or after `rounds`.
     """
-    p = staged(points.select("mol_id", "frame", *AXES), "em")
-    resp = k_centre(p, k).select("mol_id", "frame", "cluster", F.lit(1.0).alias("r"))
-    pairs = [(a, b) for i, a in enumerate(AXES) for b in AXES[i:]]
-    n = p.groupBy("mol_id").agg(F.count("*").alias("total"))
-    for i in range(rounds):
-        r = p.join(resp, ["mol_id", "frame"])
-        sums = [F.sum("r").alias("n"), *(F.sum(F.col("r") * F.col(a)).alias("s" + a) for a in AXES), *(F.sum(F.col("r") * F.col(a) * F.col(b)).alias(f"s{a}{b}") for a, b in pairs)]
-        m = r.groupBy("mol_id", "cluster").agg(*sums).where("n > 1e-9").join(n, "mol_id")
-        cov = {(a, b): F.col(f"s{a}{b}") / F.col("n") - F.col("s" + a) * F.col("s" + b) / (F.col("n") * F.col("n")) + (ridge if a == b else 0.0) for a, b in pairs}
-        xx, xy, xz, yy, yz, zz = (cov[x] for x in pairs)
-        det = xx * (yy * zz - yz * yz) - xy * (xy * zz - yz * xz) + xz * (xy * yz - yy * xz)
-        inv = {"ixx": yy * zz - yz * yz, "ixy": xz * yz - xy * zz, "ixz": xy * yz - xz * yy, "iyy": xx * zz - xz * xz, "iyz": xy * xz - xx * yz, "izz": xx * yy - xy * xy}
-        m = staged(m.select("mol_id", "cluster", (F.log(F.col("n") / F.col("total"))).alias("logw"), *((F.col("s" + a) / F.col("n")).alias("m" + a) for a in AXES), F.greatest(det, F.lit(1e-30)).alias("det"), *((v / F.greatest(det, F.lit(1e-30))).alias(name) for name, v in inv.items())), "em")
-        dx, dy, dz = (F.col(a) - F.col("m" + a) for a in AXES)
-        q = dx * dx * F.col("ixx") + dy * dy * F.col("iyy") + dz * dz * F.col("izz") + 2 * (dx * dy * F.col("ixy") + dx * dz * F.col("ixz") + dy * dz * F.col("iyz"))
-        e = p.join(m, "mol_id").select("mol_id", "frame", "cluster", (F.col("logw") - 0.5 * (q + F.log("det") + 3 * math.log(2 * math.pi))).alias("l"))
-        top = F.max("l").over(W.partitionBy("mol_id", "frame"))
-        e = e.withColumn("u", F.exp(F.col("l") - top))
-        resp = e.withColumn("r", F.col("u") / F.sum("u").over(W.partitionBy("mol_id", "frame"))).select("mol_id", "frame", "cluster", "r")
-        if i < rounds - 1:
-            resp = resp.where("r > 1e-12")
-    return resp.groupBy("mol_id", "frame").agg(F.max_by("cluster", F.struct("r", -F.col("cluster"))).alias("cluster"))
+    labels = start if start is not None else k_centre(points, k)
+    n = points.groupBy("mol_id").agg(F.ceil(F.count("*") / MIXED).cast("int").alias("salts"))
+    salts = staged(n, "salts")
+    rows = points.join(labels.select("mol_id", "frame", "cluster"), ["mol_id", "frame"]).join(salts, "mol_id")
+    p = bucketed(rows.select("mol_id", F.pmod(F.xxhash64("frame"), F.col("salts")).cast("int").alias("salt"), "frame", *AXES, "cluster"), "mixture", ["mol_id", "salt"])
+    each = lambda model: p.join(model.join(salts, "mol_id").select("mol_id", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "parts"), ["mol_id", "salt"])
+
+    def summed(shares: DataFrame, r: list[Column], l: Column) -> DataFrame:
+        cols = [F.count("*").alias("n"), F.sum(l).alias("l")]
+        for j in range(k):
+            cols += [F.sum(r[j]).alias(f"s{j}"), *(F.sum(r[j] * F.col(a)).alias(f"s{a}{j}") for a in AXES), *(F.sum(r[j] * F.col(a) * F.col(b)).alias(f"s{a}{b}{j}") for a, b in _SQUARES)]
+        return shares.groupBy("mol_id").agg(*cols)
+
+    model = staged(_maximised(summed(p, [(F.col("cluster") == j).cast("double") for j in range(k)], F.lit(0.0)), k, ridge), "model")
+    for i in range(1, rounds):
+        e = each(model).withColumn("d", F.transform("parts", _log_density)).withColumn("top", F.array_max("d"))
+        e = e.withColumn("u", F.transform("d", lambda x: F.exp(x - F.col("top")))).withColumn("total", F.aggregate("u", F.lit(0.0), lambda a, x: a + x))
+        now = staged(_maximised(summed(e, [F.col("u")[j] / F.col("total") for j in range(k)], F.col("top") + F.log("total")), k, ridge), "model")
+        before = model.select("mol_id", F.col("l").alias("before"))
+        grown = i < 2 or tolerance <= 0 or now.join(before, "mol_id").where(F.col("l") - F.col("before") > tolerance * F.abs("l")).limit(1).count()
+        drop_stage(model)
+        model = now
+        if not grown:
+            break
+    d = F.transform("parts", _log_density)
+    own = each(model).select("mol_id", "frame", (F.array_position(d, F.array_max(d)) - 1).cast("int").alias("cluster"))
+    return own, model.select("mol_id", "n", "l")
+
+
+def gaussian_mixture(points: DataFrame, k: int, rounds: int = 20, ridge: float = 1e-6) -> DataFrame:
+    """(mol_id, frame, cluster) of mixture(): each point's likeliest component, ties to the lowest."""
+    return mixture(points, k, rounds, ridge)[0]
 
 
 def silhouette_scan(points: DataFrame, least: int = 2, most: int = 8, rounds: int = 10) -> DataFrame:

@@ -361,6 +361,33 @@ def superposition_fits(spark, d):
     return before.where("before > 0").join(found, ["mol_id", "frame"])
 
 
+def _mixture_sql(k: int, rounds: int) -> str:
+    """Rounds of expectation maximisation from given labels, unrolled: g are responsibilities, m parameters."""
+    names = [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]
+    out = POINTS + f", t AS (SELECT mol_id, count(*) AS total FROM p GROUP BY mol_id), g0 AS MATERIALIZED (SELECT p.* EXCLUDE (cluster), cluster % {k} AS j, 1.0::DOUBLE AS r, 0.0::DOUBLE AS l FROM p)"
+    for i in range(rounds):
+        cov = ", ".join(f"sum(r*{a}*{b}) / sum(r) - (sum(r*{a}) / sum(r)) * (sum(r*{b}) / sum(r)){' + 1e-6' if a == b else ''} AS {a}{b}" for a, b in names)
+        out += f""", m{i} AS MATERIALIZED (SELECT *, greatest(xx*(yy*zz - yz*yz) - xy*(xy*zz - yz*xz) + xz*(xy*yz - yy*xz), 1e-30) AS det FROM (
+  SELECT mol_id, j, sum(r) AS w, sum(r*x) / sum(r) AS mx, sum(r*y) / sum(r) AS my, sum(r*z) / sum(r) AS mz, {cov} FROM g{i} GROUP BY mol_id, j) WHERE w > 1e-9)
+, d{i} AS (SELECT p.mol_id, frame, x, y, z, j, ln(w / total) - 0.5 * (ln(det) + 3 * ln(2 * pi()) + ((x-mx)*(x-mx)*(yy*zz - yz*yz) + (y-my)*(y-my)*(xx*zz - xz*xz) + (z-mz)*(z-mz)*(xx*yy - xy*xy)
+  + 2 * ((x-mx)*(y-my)*(xz*yz - xy*zz) + (x-mx)*(z-mz)*(xy*yz - xz*yy) + (y-my)*(z-mz)*(xy*xz - xx*yz))) / det) AS d FROM p JOIN m{i} USING (mol_id) JOIN t USING (mol_id))
+, g{i + 1} AS MATERIALIZED (SELECT mol_id, frame, x, y, z, j, exp(d - top) / sum(exp(d - top)) OVER (PARTITION BY mol_id, frame) AS r, top + ln(sum(exp(d - top)) OVER (PARTITION BY mol_id, frame)) AS l, d
+  FROM (SELECT *, max(d) OVER (PARTITION BY mol_id, frame) AS top FROM d{i}))"""
+    own = f"(SELECT mol_id, frame, arg_max(j, (d, -j)) AS j FROM g{rounds} GROUP BY mol_id, frame)"
+    like = f"(SELECT mol_id, sum(l) AS l FROM (SELECT mol_id, frame, any_value(l) AS l FROM g{rounds - 1} GROUP BY mol_id, frame) GROUP BY mol_id)"
+    return out + f" SELECT mol_id, j::INT AS cluster, count(*) AS n, round(any_value(f.l), 4) AS likelihood FROM {own} o JOIN {like} f USING (mol_id) GROUP BY mol_id, j"
+
+
+@query(_mixture_sql(3, 5))
+def mixture_fit(spark, d):
+    """Five rounds of a mixture of three from given labels: sizes of the components and the likelihood."""
+    p = points(spark, d)
+    start = p.select("mol_id", "frame", (F.col("cluster") % 3).alias("cluster"))
+    members, fits = clusters.mixture(p.drop("cluster"), 3, 5, start=start, tolerance=0.0)
+    n = members.groupBy("mol_id", "cluster").agg(F.count("*").alias("n"))
+    return n.join(fits.select("mol_id", F.round("l", 4).alias("likelihood")), "mol_id")
+
+
 @query(None)
 def mixture_clusters(spark, d):
     return clusters.gaussian_mixture(points(spark, d).drop("cluster"), 5, rounds=8).groupBy("mol_id", "cluster").agg(F.count("*").alias("n"))

@@ -139,6 +139,23 @@ def test_centres_over_pending_rounds(spark, monkeypatch):
     assert {(x.mol_id, x.frame): x.cluster for x in clusters.k_centre(df, 11).collect()} == want
 
 
+def test_mixture_grows_likelier_and_bears_empty_components(spark):
+    """A molecule of three points repeated, one with fewer points than components, and one start that leaves one empty."""
+    r = np.random.default_rng(14)
+    data = {0: r.normal(size=(60, 3)), 1: np.repeat(r.normal(size=(3, 3)), 10, axis=0), 2: r.normal(size=(2, 3))}
+    df = spark.createDataFrame([(m, i, *map(float, x)) for m, xs in data.items() for i, x in enumerate(xs)], "mol_id long, frame long, x double, y double, z double")
+    start = df.select("mol_id", "frame", F.lit(1).alias("cluster")).withColumn("cluster", F.when(F.col("frame") % 2 == 0, 1).otherwise(3).cast("int"))
+    last = None
+    for rounds in (2, 5, 9):
+        members, fits = clusters.mixture(df, 4, rounds, start=start)
+        now = {x.mol_id: x.l for x in fits.collect()}
+        assert last is None or all(now[m] >= last[m] - 1e-6 for m in now)
+        last = now
+    got = members.collect()
+    assert len(got) == 92 and {x.cluster for x in got} <= {1, 3}
+    assert clusters.gaussian_mixture(df.limit(0), 3).count() == 0
+
+
 def test_superposition_never_worsens(spark):
     r = np.random.default_rng(3)
     ref = r.normal(size=(8, 3))
