@@ -236,6 +236,16 @@ def catalogue(found: DataFrame, order: Column) -> DataFrame:
     return rows.groupBy("mol_id", "key").agg(F.min_by(F.struct("method", *"abcd"), F.struct(order.alias("o"), *"abcd")).alias("t")).select("mol_id", "t.*")
 
 
+def full_catalogue(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
+    """(mol_id, method, a, b, c, d) of all torsions of all molecules: phi and psi of linkages, omega, and those about other
+    bonds that turn, whose centre neither of the first has; of a torsion found twice the first method's stays."""
+    linked = linkages(atoms, bonds).select("mol_id", F.col("kind").alias("method"), *"abcd")
+    named = staged(linked.union(omegas(atoms, bonds).select("mol_id", F.lit("omega"), *"abcd")), "named")
+    other = rotatable(bonds, atoms, named.select("mol_id", "b", "c").distinct())
+    order = F.array_position(F.array(*map(F.lit, ("phi", "psi", "omega", "other"))), F.col("method"))
+    return catalogue(named.union(other.select("mol_id", F.lit("other").alias("method"), *"abcd")), order)
+
+
 def stitch(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     """bonds with the closest pairs across components added until each molecule is one: atoms need x, y, z.
 

@@ -102,22 +102,24 @@ def branch_key(name: str | None) -> str | None:
     """A condensed name with its branches in sorted order: equal for equal structures, however branches are written."""
     if not name:
         return None
-    root: list = ["", []]
-    at, held = root, []
+    # parts and their parents in the order of their making, so every part comes after the one that it hangs on
+    parts, parents, at, held = [""], [0], 0, []
     for part in reversed(_PART.findall(name)):
         if part == "]":
             held.append(at)
         elif part == "[":
             at = held.pop() if held else at
         else:
-            node: list = [part, []]
-            at[1].append(node)
-            at = node
-
-    def spelled(node: list) -> str:
-        return node[0] + "{" + ",".join(sorted(map(spelled, node[1]))) + "}"
-
-    return spelled(root)
+            parts.append(part)
+            parents.append(at)
+            at = len(parts) - 1
+    below: list[list[str]] = [[] for _ in parts]
+    for i in range(len(parts) - 1, -1, -1):
+        spelled = parts[i] + "{" + ",".join(sorted(below[i])) + "}"
+        below[i].clear()
+        if i:
+            below[parents[i]].append(spelled)
+    return spelled
 
 
 def with_branch_key(rows: DataFrame, name: str, out: str) -> DataFrame:

@@ -148,6 +148,34 @@ def torsion_catalogue(spark, d):
     return graph.catalogue(t.union(back), F.col("method"))
 
 
+@query(
+    SIDE
+    + ATOMS.replace("node % 2 AS res_id", "node // 8 % 2 AS res_id")
+    + """, h AS (SELECT * FROM atoms WHERE element <> 'H'),
+c1 AS (SELECT mol_id, atom_index AS c1, res_id AS r1 FROM h WHERE name = 'C1'),
+rg AS (SELECT c1.mol_id, c1, min(h.atom_index) AS o5 FROM c1 JOIN e ON e.mol_id = c1.mol_id AND e.u = c1 JOIN h ON h.mol_id = e.mol_id AND h.atom_index = e.v WHERE h.name = 'O5' AND h.res_id = r1 GROUP BY ALL),
+lk AS (SELECT c1.mol_id, c1, o.atom_index AS o, c.atom_index AS c FROM c1 JOIN e e1 ON e1.mol_id = c1.mol_id AND e1.u = c1 JOIN h o ON o.mol_id = e1.mol_id AND o.atom_index = e1.v
+  JOIN e e2 ON e2.mol_id = o.mol_id AND e2.u = o.atom_index JOIN h c ON c.mol_id = e2.mol_id AND c.atom_index = e2.v
+  WHERE o.element = 'O' AND o.name <> 'O5' AND c.element = 'C' AND c.atom_index <> c1 AND c.res_id <> r1),
+nx AS (SELECT lk.mol_id, c1, o, c, n.atom_index AS n FROM lk JOIN e ON e.mol_id = lk.mol_id AND e.u = c JOIN h n ON n.mol_id = e.mol_id AND n.atom_index = e.v WHERE n.atom_index <> o AND n.element IN ('O', 'C')
+  QUALIFY row_number() OVER (PARTITION BY lk.mol_id, c1, o, c ORDER BY n.element <> 'O', n.atom_index) = 1),
+xs AS (SELECT e.mol_id, u, v, p.name AS un, q.name AS vn FROM e JOIN atoms p ON p.mol_id = e.mol_id AND p.atom_index = u JOIN atoms q ON q.mol_id = e.mol_id AND q.atom_index = v WHERE p.res_id = q.res_id),
+nm AS (SELECT mol_id, 1 AS o, 'phi' AS method, o5 AS a, c1 AS b, o AS c, c AS d FROM lk JOIN rg USING (mol_id, c1) UNION SELECT mol_id, 2, 'psi', c1, o, c, n FROM nx
+  UNION SELECT f.mol_id, 3, 'omega', f.u, f.v, g.v, k.v FROM xs f JOIN xs g ON g.mol_id = f.mol_id AND g.u = f.v JOIN xs k ON k.mol_id = g.mol_id AND k.u = g.v WHERE f.un = 'C4' AND f.vn = 'C5' AND g.vn = 'C6' AND k.vn = 'O6'),
+ring AS (SELECT mol_id, x, y FROM r WHERE node = y), deg AS (SELECT mol_id, u, count(*) AS k FROM e GROUP BY ALL),
+ct AS (SELECT DISTINCT mol_id, least(b, c) AS a, greatest(b, c) AS b FROM nm),
+op AS (SELECT b.* FROM b ANTI JOIN ring ON ring.mol_id = b.mol_id AND x = a AND y = b ANTI JOIN ct ON ct.mol_id = b.mol_id AND ct.a = b.a AND ct.b = b.b JOIN deg p ON p.mol_id = b.mol_id AND p.u = b.a AND p.k > 1 JOIN deg q ON q.mol_id = b.mol_id AND q.u = b.b AND q.k > 1),
+s AS (SELECT op.*, e.v FROM op JOIN e ON e.mol_id = op.mol_id AND e.u = op.a AND e.v <> op.b JOIN atoms t ON t.mol_id = e.mol_id AND t.atom_index = e.v QUALIFY row_number() OVER (PARTITION BY op.mol_id, a, b ORDER BY t.element <> 'O', e.v) = 1),
+t AS (SELECT op.*, e.v FROM op JOIN e ON e.mol_id = op.mol_id AND e.u = op.b AND e.v <> op.a JOIN atoms t ON t.mol_id = e.mol_id AND t.atom_index = e.v QUALIFY row_number() OVER (PARTITION BY op.mol_id, a, b ORDER BY t.element <> 'O', e.v) = 1),
+al AS (SELECT * FROM nm UNION ALL SELECT s.mol_id, 4, 'other', s.v, s.a, s.b, t.v FROM s JOIN t ON s.mol_id = t.mol_id AND s.a = t.a AND s.b = t.b)
+SELECT mol_id, method, a, b, c, d FROM al WHERE len(list_distinct([a, b, c, d])) = 4 QUALIFY row_number() OVER (PARTITION BY mol_id, least([a, b, c, d], [d, c, b, a]) ORDER BY o, a, b, c, d) = 1"""
+)
+def full_torsion_catalogue(spark, d):
+    """phi, psi, omega and other torsions of all molecules in one catalogue, residues being blocks of eight atoms."""
+    b = bonds(spark, d)
+    return graph.full_catalogue(atoms(b).withColumn("res_id", F.floor(F.col("atom_index") / 8) % 2), b)
+
+
 @query(None)
 def stitched_components(spark, d):
     """Components of each molecule before and after its closest pairs have been bonded."""

@@ -285,6 +285,14 @@ def test_condensed_names(spark):
         assert x["c"] == cases[x["n"]]
 
 
+def test_branch_keys_of_long_chains_and_branches():
+    from sugarloom.operators.metadata import branch_key
+
+    assert branch_key("A(a1-2)[B(b1-3)]C") == branch_key("B(b1-3)[A(a1-2)]C") != branch_key("A(a1-2)B(b1-3)C")
+    assert branch_key("C") == "{C{}}" and branch_key("") is None and branch_key(None) is None
+    assert branch_key("Glc(b1-4)" * 3000 + "Glc").count("{") == 3002
+
+
 def test_lists_fold_by_case_only(spark):
     df = spark.createDataFrame([(["Ab1", " ab1 ", "", None, "ab10", "AB10", "c"],)], "v array<string>")
     assert df.select(columns.normal_list(F.col("v")).alias("v")).first()["v"] == ["Ab1", "ab10", "c"]
