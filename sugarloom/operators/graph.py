@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sugarloom.operators.components import connected_components
 from sugarloom.operators.geometry import heavy
+from sugarloom.operators.neighbours import nearest_across
 from sugarloom.operators.staging import drop_stage, staged
 
 KEYS = ["mol_id"]
@@ -247,21 +248,27 @@ def full_catalogue(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
 
 
 def stitch(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
-    """bonds with the closest pairs across components added until each molecule is one: atoms need x, y, z.
+    """bonds (mol_id, a, b) with the closest pairs across components added until each molecule is one: atoms need x, y, z.
 
-    Rounds as Boruvka's: every component adds its nearest pair to another, so rounds grow with the
-    logarithm of the components; pairs are of one molecule's atoms only.
+    Rounds as Boruvka's: every component adds its nearest pair to another (see neighbours.nearest_across), so rounds grow
+    with the logarithm of the components, and the pairs are those that adding the closest pair of all, one after the
+    other, gives; of equal distances the least pair goes first. After the first round components are merged as nodes of
+    a small graph, and molecules that are one drop out. Atoms with a missing or non-finite coordinate are in no pair: a
+    component of such atoms only stays apart.
     """
-    now = bonds
-    nodes = atoms.select("mol_id", F.col("atom_index").alias("node"))
-    place = atoms.select("mol_id", F.col("atom_index").alias("node"), "x", "y", "z")
+    nodes = atoms.select("mol_id", F.col("atom_index").alias("node"), "x", "y", "z")
+    keys = ["mol_id", "component"]
+    several = lambda df: df.join(df.groupBy("mol_id").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("mol_id"), "mol_id", "left_semi")
+    apart = staged(several(nodes.join(components(nodes.select("mol_id", "node"), bonds), ["mol_id", "node"])), "graph")
+    out = bonds.select("mol_id", "a", "b").distinct()
     while True:
-        c = components(nodes, now)
-        split = c.groupBy("mol_id").agg(F.countDistinct("component").alias("n")).where("n > 1")
-        if not split.limit(1).count():
-            return now
-        p = place.join(c, ["mol_id", "node"]).join(split, "mol_id", "left_semi")
-        q = p.select("mol_id", F.col("node").alias("other"), F.col("component").alias("oc"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"))
-        d2 = F.pow(F.col("x") - F.col("ox"), 2) + F.pow(F.col("y") - F.col("oy"), 2) + F.pow(F.col("z") - F.col("oz"), 2)
-        pair = p.join(q, "mol_id").where("component <> oc").groupBy("mol_id", "component").agg(F.min(F.struct(d2.alias("d2"), F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))).alias("m"))
-        now = staged(now.select("mol_id", "a", "b").union(pair.select("mol_id", "m.a", "m.b")).distinct(), "graph")
+        near = nearest_across(apart)
+        if not near.limit(1).count():
+            return out
+        out = out.union(near.select("mol_id", "a", "b").distinct())
+        merged = connected_components(near.select("mol_id", F.col("component").alias("a"), F.col("other_group").alias("b")), "graph", ["mol_id"])
+        merged = merged.select("mol_id", F.col("node").alias("component"), F.col("component").alias("into"))
+        joined = apart.join(merged, keys, "left").withColumn("component", F.coalesce("into", "component")).drop("into")
+        rest = staged(several(joined), "graph")
+        drop_stage(apart)
+        apart = rest

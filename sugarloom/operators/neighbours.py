@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import harmonic_gap, unit_ball
-from sugarloom.operators.staging import staged
+from sugarloom.operators.staging import drop_stage, staged
 from sugarloom.operators.stats import standardised
 
 
+def touching(d: int) -> Column:
+    """The offsets of a cell and all cells that touch it in d dimensions, as an array of arrays."""
+    out = F.array(F.array().cast("array<long>"))
+    for _ in range(d):
+        out = F.flatten(F.transform(out, lambda o: F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda x: F.concat(o, F.array(x.cast("long"))))))
+    return out
+
+
 def kth_distances(points: DataFrame, k: int, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", point: str = "frame") -> DataFrame:
     """points(key, point, columns) to (key, point, r): the distance to the k-th nearest other point of the key.
 
@@ -30,10 +38,7 @@ def kth_distances(points: DataFrame, k: int, columns: Sequence[str] = ("x", "y",
     width = F.greatest(F.pow(F.greatest(volume, F.lit(1e-30)) * (2 * k) / F.col("n"), F.lit(1.0 / d)), widest / 1e6)
     base = staged(points.join(bounds.select(key, *(f"{c}_lo" for c in columns), width.alias("w"), widest.alias("widest")), key), "knn")
     left, done, round_ = base.select(key, point), None, 0
-    # cells of 26 neighbours in three dimensions: offsets of a query's cell
-    offsets = F.array(F.array().cast("array<long>"))
-    for _ in range(d):
-        offsets = F.flatten(F.transform(offsets, lambda o: F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda x: F.concat(o, F.array(x.cast("long"))))))
+    offsets = touching(d)
     while True:
         scale = float(2**round_)
         cell = F.array(*(F.floor((F.col(c) - F.col(f"{c}_lo")) / (F.col("w") * scale)) for c in columns))
@@ -54,6 +59,57 @@ def kth_distances(points: DataFrame, k: int, columns: Sequence[str] = ("x", "y",
         round_ += 1
 
 
+def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", group: str = "component", point: str = "node") -> DataFrame:
+    """points(key, group, point, columns) to (key, group, other_group, d2, a, b): of every group the nearest pair of one
+    of its points and one of another group's of the key, a < b being the points; of equal distances the least (a, b).
+
+    A point meets points of its own and the touching cells only, and cells around which there is one group drop out before
+    their points are read, so the inside of a large group costs nothing. A group whose pair is no longer than the cells
+    are wide is done; the others go on with cells twice as wide, until these span the key. The join is by key and cell: a
+    key of any size is in many tasks. Points with a missing or non-finite coordinate are in no pair, and a group that is
+    alone in its key has no row.
+    """
+    d = len(columns)
+    finite = F.lit(True)
+    for c in columns:
+        finite = finite & F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False))  # of NaN this is false
+    seen = points.where(finite).select(key, group, point, *(F.col(c).cast("double").alias(c) for c in columns))
+    bounds = seen.groupBy(key).agg(F.count("*").alias("n"), F.min(group).alias("g0"), F.max(group).alias("g1"), *(F.min(c).alias(f"{c}_lo") for c in columns), *(F.max(c).alias(f"{c}_hi") for c in columns)).where("g0 <> g1")
+    # as wide as evenly dealt points are apart, be they in a body, in a plane or on a line
+    spans = F.array_sort(F.array(*(F.col(f"{c}_hi") - F.col(f"{c}_lo") for c in columns)))
+    widest, apart, size = F.element_at(spans, -1), [], F.lit(1.0)
+    for i in range(1, d + 1):
+        size = size * F.element_at(spans, -i)
+        apart.append(F.pow(size / F.col("n"), F.lit(1.0 / i)))
+    bounds = bounds.select(key, *(f"{c}_lo" for c in columns), F.greatest(*apart, F.lit(1e-12)).alias("w"), widest.alias("widest"))
+    base = staged(seen.join(bounds, key), "across")
+    left, scale, at = staged(base.select(key, group).distinct(), "across"), 1.0, [key, "cell"]
+    done = None
+    while left.limit(1).count():
+        celled = base.withColumn("cell", F.array(*(F.floor((F.col(c) - F.col(f"{c}_lo")) / (F.col("w") * scale)) for c in columns)))
+        held = celled.groupBy(*at).agg(F.min(group).alias("g0"), F.max(group).alias("g1")).withColumnRenamed("cell", "near")
+        asked = celled.join(left, [key, group], "left_semi")
+        around = asked.select(*at, group).distinct().withColumn("near", F.explode(F.transform(touching(d), lambda o: F.zip_with(F.col("cell"), o, lambda a, b: a + b))))
+        around = around.join(held, [key, "near"]).where((F.col("g0") != F.col(group)) | (F.col("g1") != F.col(group))).drop("g0", "g1")
+        others = celled.select(F.col(key), F.col("cell").alias("near"), F.col(group).alias("other_group"), F.col(point).alias("other"), *(F.col(c).alias("o" + c) for c in columns))
+        met = asked.join(around, [*at, group]).join(others, [key, "near"]).where(F.col(group) != F.col("other_group"))
+        gaps = [F.col(c) - F.col("o" + c) for c in columns]
+        d2 = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
+        best = met.groupBy(key, group).agg(F.min(F.struct(d2.alias("d2"), F.least(point, "other").alias("a"), F.greatest(point, "other").alias("b"), "other_group")).alias("m"), F.first("w").alias("w"), F.first("widest").alias("widest"))
+        whole = F.col("widest") <= F.col("w") * scale
+        # a hair less than the width, so that rounding at the edge of a cell loses no pair
+        found = staged(best.where(whole | (F.sqrt("m.d2") <= F.col("w") * (scale * (1 - 1e-9)))).select(key, group, "m.other_group", "m.d2", "m.a", "m.b"), "across")
+        done = found if done is None else done.union(found)
+        rest = staged(left.join(found, [key, group], "left_anti"), "across")
+        drop_stage(left)
+        left, scale = rest, scale * 2
+    drop_stage(left)
+    if done is None:
+        return base.select(key, group, F.col(group).alias("other_group"), F.lit(0.0).alias("d2"), F.col(point).alias("a"), F.col(point).alias("b"))
+    drop_stage(base)
+    return done
+
+
 def knn_entropy(points: DataFrame, k: int = 5, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", point: str = "frame") -> DataFrame:
     """(key, n, entropy) by Kozachenko and Leonenko: psi(n) - psi(k) + ln V + d times the mean of ln r; a distance of 0
     counts as 1e-12."""

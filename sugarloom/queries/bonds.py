@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.operators import graph
+from sugarloom.operators import graph, neighbours
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -184,3 +184,48 @@ def stitched_components(spark, d):
     n = nodes(b)
     count = lambda df, name: graph.components(n, df).groupBy("mol_id").agg(F.countDistinct("component").alias(name))
     return count(b, "before").join(count(graph.stitch(at, b), "after"), "mol_id")
+
+
+def order_bonds(spark: SparkSession, d: str) -> DataFrame:
+    """An order as a molecule: its parts modulo 40 and suppliers modulo 10 as atoms, mostly in several components."""
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    return li.select(F.col("l_orderkey").alias("mol_id"), (F.col("l_partkey") % 40).alias("a"), (40 + F.col("l_suppkey") % 10).alias("b")).distinct()
+
+
+def placed(b: DataFrame) -> DataFrame:
+    """Atoms with whole numbers as coordinates, so that distances are exact."""
+    n = F.col("atom_index")
+    at = nodes(b).select("mol_id", F.col("node").alias("atom_index"))
+    return at.withColumns({"x": (n * 37 % 101).cast("double"), "y": (n * 59 % 103).cast("double"), "z": (n * n % 97).cast("double")})
+
+
+ACROSS = (
+    "WITH RECURSIVE "
+    + BONDS.replace("l_orderkey // 16", "l_orderkey")
+    + """, r AS (SELECT mol_id, node AS s, node AS t FROM n UNION SELECT r.mol_id, s, v FROM r JOIN e ON e.mol_id = r.mol_id AND e.u = r.t),
+p AS (SELECT mol_id, s AS node, min(t) AS component, s * 37 % 101 AS x, s * 59 % 103 AS y, s * s % 97 AS z FROM r GROUP BY mol_id, s),
+pr AS (SELECT p.mol_id, p.component, q.component AS other_group, (p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2 AS d2, least(p.node, q.node) AS a, greatest(p.node, q.node) AS b
+  FROM p JOIN p q ON q.mol_id = p.mol_id AND q.component <> p.component)"""
+)
+
+
+@query(ACROSS + " SELECT mol_id, component, other_group, d2::DOUBLE AS d2, a, b FROM pr QUALIFY row_number() OVER (PARTITION BY mol_id, component ORDER BY d2, a, b) = 1")
+def nearest_components(spark, d):
+    """The closest pair of atoms from each component of an order to another one."""
+    b = order_bonds(spark, d)
+    at = placed(b)
+    parts = graph.components(nodes(b), b)
+    return neighbours.nearest_across(at.withColumnRenamed("atom_index", "node").join(parts, ["mol_id", "node"]))
+
+
+@query(
+    ACROSS
+    + """, k AS (SELECT *, row_number() OVER (PARTITION BY mol_id ORDER BY d2, a, b) AS o FROM pr WHERE component < other_group QUALIFY row_number() OVER (PARTITION BY mol_id, component, other_group ORDER BY d2, a, b) = 1),
+w AS (SELECT mol_id, o, component AS at FROM k UNION SELECT w.mol_id, w.o, CASE WHEN k.component = w.at THEN k.other_group ELSE k.component END FROM w JOIN k ON k.mol_id = w.mol_id AND k.o < w.o AND (k.component = w.at OR k.other_group = w.at))
+SELECT mol_id, a, b FROM b UNION SELECT mol_id, a, b FROM k ANTI JOIN w ON w.mol_id = k.mol_id AND w.o = k.o AND w.at = k.other_group"""
+)
+def stitched_bonds(spark, d):
+    """Bonds of each order, and those that join its components: of the pairs across, one whose ends shorter pairs do not
+    already join."""
+    b = order_bonds(spark, d)
+    return graph.stitch(placed(b), b)

@@ -239,6 +239,47 @@ def test_graph(spark):
     assert {x["component"] for x in whole.collect()} == {0}
 
 
+def test_nearest_across_and_stitching(spark):
+    """Clumps far apart, points in a plane, on a line and on one spot, lone groups, missing places, against all pairs."""
+    r = np.random.default_rng(4)
+    rows = []
+    for m, n in (("clumps", 90), ("plane", 60), ("line", 40), ("spot", 12), ("lone", 5), ("holes", 8)):
+        for i in range(n):
+            x, y, z = (float(v) for v in r.integers(0, 30, 3))
+            g = i % 6
+            if m == "clumps":
+                x, y, z = x * 0.01 + 1000.0 * (g % 2), y * 0.01, z * 0.01 + 7.0 * (g // 2) ** 2
+            elif m == "plane":
+                z = 1.5
+            elif m == "line":
+                y = z = 0.0
+            elif m == "spot":
+                x = y = z = 2.0
+            elif m == "lone":
+                g = 0
+            elif m == "holes" and g in (1, 2):
+                x = float("nan") if g == 1 else None
+            rows.append((m, i, g, x, y, z))
+    points = spark.createDataFrame(rows, "mol_id string, node long, component long, x double, y double, z double")
+    want = {}
+    for m, i, g, *p in rows:
+        for k, j, h, *q in rows:
+            if m == k and g != h and all(v is not None and v == v for v in p + q):
+                d2 = sum((u - v) ** 2 for u, v in zip(p, q, strict=True))
+                want[m, g] = min(want.get((m, g), (np.inf,)), (d2, min(i, j), max(i, j), h))
+    got = {(x.mol_id, x.component): (x.d2, x.a, x.b, x.other_group) for x in neighbours.nearest_across(points).collect()}
+    assert got.keys() == want.keys() and all(got[k][1:] == want[k][1:] and got[k][0] == pytest.approx(want[k][0], abs=1e-9) for k in want)
+    assert neighbours.nearest_across(points.where("false")).count() == 0
+
+    atoms = points.withColumnRenamed("node", "atom_index").drop("component")
+    own = points.alias("p").join(points.alias("q"), ["mol_id", "component"]).where("p.node < q.node and q.node - p.node = 6").select("mol_id", F.col("p.node").alias("a"), F.col("q.node").alias("b"))
+    whole = graph.stitch(atoms, own)
+    left = {x.mol_id: x.n for x in graph.components(points, whole).groupBy("mol_id").agg(F.countDistinct("component").alias("n")).collect()}
+    # the atoms without a place stay apart; in 'lone' nothing was bonded at first
+    assert left == {"clumps": 1, "plane": 1, "line": 1, "spot": 1, "lone": 1, "holes": 3}
+    assert whole.count() == own.count() + 5 * 4 + 4 + 3
+
+
 def test_rings_and_sides_of_random_graphs(spark):
     """A chain, trees with some bonds more, and a dense one, against walks with the bond taken out."""
     r = np.random.default_rng(8)
