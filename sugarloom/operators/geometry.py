@@ -230,10 +230,10 @@ def perturbations(torsions: DataFrame, step: float, both_ways: bool = True) -> D
     return out.select("mol_id", "varied", "change", "torsion_id", F.when(F.col("varied") == F.col("torsion_id"), F.col("deg") + F.col("change")).otherwise(F.col("deg")).alias("deg"))
 
 
-def flip_anomer(coords: DataFrame, default_co: float = 1.43, default_ch: float = 1.09) -> DataFrame:
-    """coords(mol_id, frame, atom_name, x, y, z) with the directions C1-O1 and C1-H1 swapped, bond lengths kept and
-    the hydroxyl hydrogen carried along; frames without C1, O1 or H1 stay."""
-    named = {n: [F.max(F.when(F.col("atom_name") == n, F.col(c))).alias(f"{n}_{c}") for c in "xyz"] for n in ("C1", "O1", "H1")}
+def _flipped(coords: DataFrame, role: Column, needed: tuple[str, ...], default_co: float, default_ch: float) -> DataFrame:
+    """coords with x, y, z after the flip of the atoms whose role is C1, O1, H1 or HO1, and `_done`, whether their frame had
+    all of the needed ones."""
+    named = {n: [F.max(F.when(role == n, F.col(c))).alias(f"{n}_{c}") for c in "xyz"] for n in ("C1", "O1", "H1", "HO1")}
     four = coords.groupBy("mol_id", "frame").agg(*(x for cols in named.values() for x in cols))
     at = {n: tuple(F.col(f"{n}_{c}") for c in "xyz") for n in named}
     co, ch = minus(at["O1"], at["C1"]), minus(at["H1"], at["C1"])
@@ -241,13 +241,33 @@ def flip_anomer(coords: DataFrame, default_co: float = 1.43, default_ch: float =
     ko, kh = F.when(lo > 0, lo).otherwise(default_co), F.when(lh > 0, lh).otherwise(default_ch)
     new_o = tuple(o + x / F.when(lh > 0, lh).otherwise(1.0) * ko for o, x in zip(at["C1"], ch, strict=True))
     new_h = tuple(o + x / F.when(lo > 0, lo).otherwise(1.0) * kh for o, x in zip(at["C1"], co, strict=True))
-    moves = four.select("mol_id", "frame", *(v.alias(f"o_{c}") for v, c in zip(new_o, "xyz", strict=True)), *(v.alias(f"h_{c}") for v, c in zip(new_h, "xyz", strict=True)), *(F.col(f"O1_{c}") for c in "xyz"))
+    done = F.lit(True)
+    for n in needed:
+        done = done & F.col(f"{n}_x").isNotNull()
+    moves = four.select("mol_id", "frame", done.alias("_done"), *(v.alias(f"o_{c}") for v, c in zip(new_o, "xyz", strict=True)), *(v.alias(f"h_{c}") for v, c in zip(new_h, "xyz", strict=True)), *(F.col(f"O1_{c}") for c in "xyz"))
     out = coords.join(moves, ["mol_id", "frame"])
-    known = F.col("o_x").isNotNull() & F.col("h_x").isNotNull()
     pick = lambda c: (
-        F.when(known & (F.col("atom_name") == "O1"), F.col(f"o_{c}"))
-        .when(known & (F.col("atom_name") == "H1"), F.col(f"h_{c}"))
-        .when(known & (F.col("atom_name") == "HO1"), F.col(c) + F.col(f"o_{c}") - F.col(f"O1_{c}"))
+        F.when(F.col("_done") & (role == "O1"), F.col(f"o_{c}"))
+        .when(F.col("_done") & (role == "H1"), F.col(f"h_{c}"))
+        .when(F.col("_done") & (role == "HO1"), F.col(c) + F.col(f"o_{c}") - F.col(f"O1_{c}"))
         .otherwise(F.col(c))
     )
-    return out.select("mol_id", "frame", "atom_name", *(pick(c).alias(c) for c in "xyz"))
+    return out.select(*(c for c in coords.columns if c not in tuple("xyz")), *(pick(c).alias(c) for c in "xyz"), "_done")
+
+
+def flip_anomer(coords: DataFrame, default_co: float = 1.43, default_ch: float = 1.09) -> DataFrame:
+    """coords(mol_id, frame, atom_name, x, y, z) with the directions C1-O1 and C1-H1 swapped, bond lengths kept and
+    the hydroxyl hydrogen carried along; frames without C1, O1 or H1 stay."""
+    return _flipped(coords, F.col("atom_name"), ("C1", "O1", "H1"), default_co, default_ch).select("mol_id", "frame", "atom_name", "x", "y", "z")
+
+
+def flip_residue(coords: DataFrame, cap: int = 1, ring: int = 2, default_co: float = 1.43, default_ch: float = 1.09) -> DataFrame:
+    """coords(mol_id, frame, res_id, res_name, atom_name, x, y, z, more) with the anomer of the residue `ring` flipped: its
+    C1 and H1 against O1 and HO1 of the residue `cap`, and the last letter of its name, A or B, turned into the other.
+    A frame that lacks one of the four atoms stays as it is, its name too; other last letters stay."""
+    role = F.when(((F.col("res_id") == ring) & F.col("atom_name").isin("C1", "H1")) | ((F.col("res_id") == cap) & F.col("atom_name").isin("O1", "HO1")), F.col("atom_name"))
+    out = _flipped(coords, F.coalesce(role, F.lit("")), ("C1", "O1", "H1", "HO1"), default_co, default_ch)
+    last = F.substring("res_name", -1, 1)
+    other = F.concat(F.expr("left(res_name, length(res_name) - 1)"), F.when(last == "A", "B").otherwise("A"))
+    name = F.when(F.col("_done") & (F.col("res_id") == ring) & last.isin("A", "B"), other).otherwise(F.col("res_name"))
+    return out.withColumn("res_name", name).select(*coords.columns)

@@ -37,6 +37,19 @@ def upsert(old: DataFrame, new: DataFrame, key: str, action: str = "action") ->
     return both.select(key, *(F.coalesce("_" + c, c).alias(c) for c in columns), said.alias(action))
 
 
+def upsert_entries(old: DataFrame, new: DataFrame, key: str, fields: Sequence[str], lists: Sequence[str], text: str = "search_text") -> DataFrame:
+    """upsert() of entries: list columns of new come as normal lists, rows whose key is blank are left out, and the search
+    text is built anew from the merged row wherever new has a row; the others keep theirs."""
+    keyed = new.where(clean_null(F.col(key).cast("string")).isNotNull())
+    normal = keyed.withColumns({c: normal_list(F.col(c)) for c in lists if c in new.columns})
+    for c in old.columns:
+        if c not in normal.columns:
+            normal = normal.withColumn(c, F.lit(None).cast(old.schema[c].dataType))
+    merged = upsert(old, normal, key)
+    built = search_text([F.col(c).cast("string") for c in fields], [F.col(c) for c in lists])
+    return merged.withColumn(text, F.when(F.col("action") == "kept", F.col(text)).otherwise(built))
+
+
 def patch(records: DataFrame, changes: DataFrame, id_key: str, name_key: str, columns: Sequence[str]) -> DataFrame:
     """records with columns of changes found by id, else by name; no match changes nothing. Of a key's changes the least
     row by those columns counts, whole."""
@@ -183,8 +196,9 @@ def gated_stages(status: DataFrame, stages: Sequence[str]) -> DataFrame:
 
 
 def search_text(fields: Sequence[Column], lists: Sequence[Column]) -> Column:
-    """Fields and lists as lines, of which the first spelling stays."""
-    return F.array_join(normal_list(F.concat(F.array(*fields), *(normal_list(x) for x in lists))), "\n")
+    """Fields and lists as lines, of which the first spelling stays; missing ones give no line."""
+    none = F.array().cast("array<string>")
+    return F.array_join(normal_list(F.concat(F.array(*fields), *(F.coalesce(x, none) for x in lists))), "\n")
 
 
 def canonical_name(*options: Column) -> Column:

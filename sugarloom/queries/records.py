@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.operators import records, stats, triples
+from sugarloom.operators import folders, records, stats, triples
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -125,6 +125,64 @@ def refresh_merge(spark, d):
     return records.first_writer([local, remote], "id")
 
 
+ENTRIES = """WITH c AS (SELECT c_custkey AS k, c_name AS name, 'G' || c_custkey AS id, CASE WHEN c_custkey % 5 > 0 THEN 'A' || c_custkey END AS accession FROM customer),
+rec AS (SELECT * FROM c WHERE k % 2 = 0), fo AS (SELECT 'static/' || id AS folder, id FROM c WHERE k % 3 > 0), lo AS (SELECT name, 'local/' || id AS folder FROM c WHERE k % 4 = 0),
+doc AS (SELECT 'static/' || id AS folder, CASE WHEN k % 7 = 0 THEN lower(name) ELSE name END AS name, k % 10 > 0 AS complete FROM c WHERE k % 3 > 0),
+one AS (SELECT rec.name, folder, 1 AS turn FROM rec JOIN fo USING (id) WHERE accession IS NOT NULL UNION ALL SELECT name, folder, 2 FROM lo),
+first AS (SELECT name, folder, CASE turn WHEN 1 THEN 'record' ELSE 'local' END AS rule FROM one QUALIFY row_number() OVER (PARTITION BY name ORDER BY turn, folder) = 1),
+ix AS (SELECT * FROM first UNION ALL SELECT name, min(folder), 'document' FROM doc WHERE complete AND folder NOT IN (SELECT folder FROM first) AND name NOT IN (SELECT name FROM first) GROUP BY name)"""
+
+
+def _entries(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """records, folders, local copies and documents made of the customers."""
+    k = F.col("c_custkey")
+    c = t(spark, d, "customer").select(k.alias("k"), F.col("c_name").alias("name"), F.concat(F.lit("G"), k).alias("id"), F.when(k % 5 > 0, F.concat(F.lit("A"), k)).alias("accession"))
+    at = lambda where: F.concat(F.lit(where), "id").alias("folder")
+    there = c.where("k % 3 > 0")
+    name = F.when(F.col("k") % 7 == 0, F.lower("name")).otherwise(F.col("name"))
+    return c.where("k % 2 = 0").drop("k"), there.select(at("static/"), "id"), c.where("k % 4 = 0").select("name", at("local/")), there.select(at("static/"), name.alias("name"), (F.col("k") % 10 > 0).alias("complete"))
+
+
+@query(ENTRIES + " SELECT name, folder, rule FROM ix")
+def folder_index(spark, d):
+    """Folders of entries by records, then local copies, then documents of folders that are still free."""
+    recs, there, local, docs = _entries(spark, d)
+    return folders.folder_index(recs, there, local, docs)
+
+
+@query(
+    ENTRIES
+    + """, s1 AS (SELECT rec.name, min(doc.folder) AS folder FROM rec JOIN fo USING (id) JOIN doc ON doc.folder = fo.folder AND doc.name = rec.name AND complete GROUP BY rec.name),
+s2 AS (SELECT name, min(folder) AS folder FROM doc GROUP BY name), s3 AS (SELECT lower(name) AS low, min(folder) AS folder FROM doc GROUP BY 1)
+SELECT c.name, coalesce(ix.folder, s1.folder, s2.folder, s3.folder) AS folder,
+CASE WHEN ix.name IS NOT NULL THEN ix.rule WHEN s1.name IS NOT NULL THEN 'id' WHEN s2.name IS NOT NULL THEN 'exact' WHEN s3.low IS NOT NULL THEN 'caseless' END AS rule
+FROM c LEFT JOIN ix ON ix.name = c.name LEFT JOIN s1 ON s1.name = c.name LEFT JOIN s2 ON s2.name = c.name LEFT JOIN s3 ON s3.low = lower(c.name)"""
+)
+def found_folders(spark, d):
+    """The folder of every entry and the rule that found it."""
+    recs, there, local, docs = _entries(spark, d)
+    index = folders.folder_index(recs, there, local, docs)
+    return folders.find_folders(t(spark, d, "customer").select(F.col("c_name").alias("name")), index, recs, there, docs)
+
+
+@query(
+    """WITH o AS (SELECT c_custkey, c_name AS name, c_mktsegment AS note, [c_mktsegment, lower(c_mktsegment)] AS aliases, 'old text' AS search_text FROM customer WHERE c_custkey % 3 > 0),
+n AS (SELECT c_custkey, CASE WHEN c_custkey % 4 > 0 THEN 'new-' || c_name END AS name, [c_name, c_mktsegment] AS aliases FROM customer WHERE c_custkey % 2 = 0),
+m AS (SELECT coalesce(o.c_custkey, n.c_custkey) AS k, coalesce(n.name, o.name) AS name, note, CASE WHEN n.c_custkey IS NULL THEN o.aliases ELSE n.aliases END AS aliases, o.search_text AS t, CASE WHEN n.c_custkey IS NULL THEN 'kept' WHEN o.c_custkey IS NULL THEN 'created' ELSE 'updated' END AS action FROM o FULL JOIN n USING (c_custkey)),
+x AS (SELECT k, unnest(l) AS v, generate_subscripts(l, 1) AS pos FROM (SELECT k, [y FOR y IN [name, note] || aliases IF y IS NOT NULL] AS l FROM m)),
+s AS (SELECT k, string_agg(v, chr(10) ORDER BY pos) AS built FROM (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY k, lower(v) ORDER BY pos) = 1) GROUP BY k)
+SELECT k AS c_custkey, name, note, array_to_string(aliases, ',') AS aliases, CASE WHEN action = 'kept' THEN t ELSE built END AS search_text, action FROM m JOIN s USING (k)"""
+)
+def entry_upsert(spark, d):
+    """Entries overridden by new ones, and the search text built anew from the merged rows."""
+    c = t(spark, d, "customer")
+    old = c.where("c_custkey % 3 > 0").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("note"), F.array("c_mktsegment", F.lower("c_mktsegment")).alias("aliases"), F.lit("old text").alias("search_text"))
+    name = F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("new-"), "c_name"))
+    new = c.where("c_custkey % 2 = 0").select("c_custkey", name.alias("name"), F.array("c_name", "c_mktsegment", F.lower("c_name")).alias("aliases"))
+    out = records.upsert_entries(old, new, "c_custkey", ["name", "note"], ["aliases"])
+    return out.withColumn("aliases", F.array_join("aliases", ","))
+
+
 @query("SELECT c_custkey, string_agg(v, chr(10) ORDER BY pos) AS search_text FROM (SELECT c_custkey, v, pos FROM (SELECT c_custkey, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM (SELECT c_custkey, [c_name, c_mktsegment, lower(c_mktsegment), n_name, upper(n_name), r_name] AS x FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)) QUALIFY row_number() OVER (PARTITION BY c_custkey, lower(v) ORDER BY pos) = 1) GROUP BY c_custkey")
 def search_texts(spark, d):
     c = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -319,6 +319,30 @@ def anomer_flip(spark, d):
     return _rounded(geometry.flip_anomer(coords), x=4, y=4, z=4)
 
 
+@query(
+    """WITH a AS (SELECT vec_id % 5 AS mol_id, vec_id AS frame, embedding AS e, vec_id % 11 <> 0 AS whole FROM embeddings),
+n AS (SELECT *, sqrt(pow(e[4]-e[1]::DOUBLE,2)+pow(e[5]-e[2]::DOUBLE,2)+pow(e[6]-e[3]::DOUBLE,2)) AS lo, sqrt(pow(e[7]-e[1]::DOUBLE,2)+pow(e[8]-e[2]::DOUBLE,2)+pow(e[9]-e[3]::DOUBLE,2)) AS lh FROM a),
+s AS (SELECT *, ['4YA', '4YB', 'LFU'][frame % 3 + 1] AS old, CASE WHEN whole THEN ['4YB', '4YA', 'LFU'][frame % 3 + 1] ELSE ['4YA', '4YB', 'LFU'][frame % 3 + 1] END AS new FROM n)
+SELECT mol_id, frame, 2 AS res_id, new AS res_name, 'C1' AS atom_name, """
+    + ", ".join(f"round(e[{k}]::DOUBLE, 4) AS {x}" for k, x in enumerate("xyz", 1))
+    + " FROM s UNION ALL SELECT mol_id, frame, 1, 'ROH', 'O1', "
+    + ", ".join(f"round(CASE WHEN whole THEN e[{k}]::DOUBLE + (e[{k + 6}]::DOUBLE - e[{k}]::DOUBLE) / lh * lo ELSE e[{k + 3}]::DOUBLE END, 4)" for k in (1, 2, 3))
+    + " FROM s UNION ALL SELECT mol_id, frame, 2, new, 'H1', "
+    + ", ".join(f"round(CASE WHEN whole THEN e[{k}]::DOUBLE + (e[{k + 3}]::DOUBLE - e[{k}]::DOUBLE) / lo * lh ELSE e[{k + 6}]::DOUBLE END, 4)" for k in (1, 2, 3))
+    + " FROM s UNION ALL SELECT mol_id, frame, 1, 'ROH', 'HO1', "
+    + ", ".join(f"round(e[{k + 9}]::DOUBLE + e[{k}]::DOUBLE + (e[{k + 6}]::DOUBLE - e[{k}]::DOUBLE) / lh * lo - e[{k + 3}]::DOUBLE, 4)" for k in (1, 2, 3))
+    + " FROM s WHERE whole"
+)
+def anomer_residues(spark, d):
+    """The anomer flip over two residues: atoms moved and the residue's last letter turned, frames without HO1 left."""
+    names = F.array(*(F.lit(x) for x in ("C1", "O1", "H1", "HO1")))
+    long = frames(spark, d).select("mol_id", "frame", "xyz", F.posexplode(names).alias("i", "atom_name"))
+    res = F.when(F.col("atom_name").isin("C1", "H1"), 2).otherwise(1)
+    kind = F.element_at(F.array(F.lit("4YA"), F.lit("4YB"), F.lit("LFU")), (F.col("frame") % 3 + 1).cast("int"))
+    coords = long.select("mol_id", "frame", res.alias("res_id"), F.when(res == 2, kind).otherwise("ROH").alias("res_name"), "atom_name", *(v.alias(c) for c, v in zip("xyz", geometry.atom(F.col("xyz"), F.col("i")), strict=True)))
+    return _rounded(geometry.flip_residue(coords.where("atom_name <> 'HO1' or frame % 11 <> 0")), x=4, y=4, z=4)
+
+
 FITS_SQL = """
 WITH c AS (SELECT vec_id % 5 AS mol_id, vec_id AS frame, i, embedding[3*i+1]::DOUBLE AS x, embedding[3*i+2]::DOUBLE AS y, embedding[3*i+3]::DOUBLE AS z FROM embeddings, range(10) r(i)),
 b AS (SELECT mol_id, min(frame) AS first FROM c GROUP BY mol_id),

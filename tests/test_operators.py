@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sugarloom.functions import columns, names
-from sugarloom.operators import clusters, geometry, graph, landscapes, neighbours, records, stats, triples
+from sugarloom.operators import clusters, folders, geometry, graph, landscapes, neighbours, records, stats, triples
 
 
 def points(spark, n=120, seed=1, mols=2):
@@ -494,3 +494,23 @@ def test_entropy_details_and_best_k(spark):
     assert abs(neighbours.entropy_details(points, standardise=True).first()["entropy"] - plain) > 1
     best = clusters.best_k(points.where("mol_id = 0"), 2, 4, 6).first()
     assert best["k"] == 3 and best["silhouette"] > 0.7
+
+
+def test_folders_and_entries_with_gaps(spark):
+    recs = spark.createDataFrame([("a", "G1", "X"), ("a", "G0", "X"), ("b", "G2", None), (" ", "G3", "X"), (None, "G3", "X"), ("c", None, "X"), ("e", "G9", "null")], "name string, id string, accession string")
+    there = spark.createDataFrame([(f"s/G{i}", f"G{i}") for i in (0, 1, 2, 3, 9)] + [("s/G4", "G4"), ("s/G4", "G4")], "folder string, id string")
+    local = spark.createDataFrame([("a", "l/a"), ("c", "l/c2"), ("c", "l/c1"), ("d", None)], "name string, folder string")
+    docs = spark.createDataFrame([("s/G0", "z", True), ("s/G2", "b", True), ("s/G3", "D", False), ("s/G4", None, True), ("s/G7", "f", True), ("s/G9", "e", False)], "folder string, name string, complete boolean")
+    index = folders.folder_index(recs, there, local, docs)
+    assert {tuple(x) for x in index.collect()} == {("a", "s/G0", "record"), ("c", "l/c1", "local"), ("b", "s/G2", "document")}
+    wanted = spark.createDataFrame([("a",), ("b",), ("d",), ("e",), ("q",), (None,), ("a",)], "name string")
+    found = {x.name: (x.folder, x.rule) for x in folders.find_folders(wanted, index, recs, there, docs).collect()}
+    assert found == {"a": ("s/G0", "record"), "b": ("s/G2", "document"), "d": ("s/G3", "caseless"), "e": ("s/G9", "exact"), "q": (None, None)}
+    assert folders.folder_index(*(x.where("false") for x in (recs, there, local, docs))).count() == 0
+
+    old = spark.createDataFrame([("1", "one", ["x"], "kept text"), ("2", "two", None, None)], "id string, name string, aliases array<string>, search_text string")
+    new = spark.createDataFrame([("2", None, ["B", " b ", ""]), ("3", "three", None), (" ", "blank", None), (None, "none", None)], "id string, name string, aliases array<string>")
+    got = {x.id: (x.name, x.aliases, x.search_text, x.action) for x in records.upsert_entries(old, new, "id", ["name"], ["aliases"]).collect()}
+    assert got["1"] == ("one", ["x"], "kept text", "kept")
+    assert got["2"] == ("two", ["B"], "two\nB", "updated")
+    assert got["3"][0] == "three" and got["3"][2] == "three" and got["3"][3] == "created" and set(got) == {"1", "2", "3"}
