@@ -514,3 +514,51 @@ def test_folders_and_entries_with_gaps(spark):
     assert got["1"] == ("one", ["x"], "kept text", "kept")
     assert got["2"] == ("two", ["B"], "two\nB", "updated")
     assert got["3"][0] == "three" and got["3"][2] == "three" and got["3"][3] == "created" and set(got) == {"1", "2", "3"}
+
+
+def test_followed_trajectories(spark, tmp_path):
+    """State over three runs: models in parts, a part that comes again under another name, a gap, files that are whole at
+    once, against the angles of all models."""
+    from sugarloom.streaming import ingest as streams
+
+    r = np.random.default_rng(6)
+    xyz = {m: np.round(r.normal(size=(9, 5, 3)) * 3, 3) for m in ("m1", "m2", "m3")}
+
+    def put(folder: str, mol: str, models: list[int]) -> None:
+        lines = []
+        for k in models:
+            lines.append(f"MODEL     {k:4d}")
+            lines += [f"ATOM  {i + 1:5d}  C{i}  GLC A   1    {x:8.3f}{y:8.3f}{z:8.3f}  1.00  0.00           C  " for i, (x, y, z) in enumerate(xyz[mol][k - 1])]
+            lines.append("ENDMDL")
+        where = tmp_path / "in" / folder
+        where.mkdir(parents=True, exist_ok=True)
+        (where / f"{mol}.pdb").write_text("\n".join(lines) + "\n")
+
+    def run() -> dict:
+        q = streams.follow(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out"), str(tmp_path / "cp"), [(0, 1, 2, 3), (1, 2, 3, 4), (2, 3, 4, 7)], expected=9)
+        q.awaitTermination()
+        return {x.mol_id: x for x in streams.progress(spark, str(tmp_path / "out")).collect()}
+
+    put("one", "m1", [1, 2, 3])
+    put("one", "m2", list(range(1, 10)))
+    first = run()
+    assert (first["m1"].status, first["m1"].n_models, first["m2"].status) == ("partial", 3, "complete")
+    put("two", "m1", [2, 3, 6, 7])
+    put("two", "m3", [4])
+    second = run()
+    assert (second["m1"].n_models, second["m1"].n_gaps, second["m1"].last_model, second["m3"].first_model) == (5, 1, 7, 4)
+    put("three", "m1", [9, 8, 5, 4, 1])
+    third = run()
+    assert (third["m1"].status, third["m1"].n_models, third["m1"].n_gaps, third["m3"].status) == ("complete", 9, 0, "partial")
+    assert third["m1"].angle_n == [9, 9, 0] and third["m1"].mean_deg[2] is None
+
+    def angle(p: np.ndarray) -> float:
+        b1, b2, b3 = p[1] - p[0], p[2] - p[1], p[3] - p[2]
+        n1, n2 = np.cross(b1, b2), np.cross(b2, b3)
+        return math.atan2(np.dot(np.cross(n1, n2), b2 / np.linalg.norm(b2)), np.dot(n1, n2))
+
+    for t in (0, 1):
+        z = np.mean([np.exp(1j * angle(m[t : t + 4])) for m in xyz["m1"]])
+        assert np.exp(1j * math.radians(third["m1"].mean_deg[t])) == pytest.approx(z / abs(z), abs=1e-9) and third["m1"].resultant[t] == pytest.approx(abs(z))
+    again = run()
+    assert again == third
