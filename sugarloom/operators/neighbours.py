@@ -59,14 +59,14 @@ def kth_distances(points: DataFrame, k: int, columns: Sequence[str] = ("x", "y",
         round_ += 1
 
 
-def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", group: str = "component", point: str = "node") -> DataFrame:
+def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", group: str = "component", point: str = "node", few: int = 64) -> DataFrame:
     """points(key, group, point, columns) to (key, group, other_group, d2, a, b): of every group the nearest pair of one
     of its points and one of another group's of the key, a < b being the points; of equal distances the least (a, b).
 
     A point meets points of its own and the touching cells only, and cells around which there is one group drop out before
     their points are read, so the inside of a large group costs nothing. A group whose pair is no longer than the cells
     are wide is done; the others go on with cells twice as wide, until these span the key. The join is by key and cell: a
-    key of any size is in many tasks. Points with a missing or non-finite coordinate are in no pair, and a group that is
+    key of any size is in many tasks. A key of at most `few` points is one cell from the start. Points with a missing or non-finite coordinate are in no pair, and a group that is
     alone in its key has no row.
     """
     d = len(columns)
@@ -81,7 +81,7 @@ def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"),
     for i in range(1, d + 1):
         size = size * F.element_at(spans, -i)
         apart.append(F.pow(size / F.col("n"), F.lit(1.0 / i)))
-    bounds = bounds.select(key, *(f"{c}_lo" for c in columns), F.greatest(*apart, F.lit(1e-12)).alias("w"), widest.alias("widest"))
+    bounds = bounds.select(key, *(f"{c}_lo" for c in columns), F.when(F.col("n") <= few, widest * 1.001 + 1e-12).otherwise(F.greatest(*apart, F.lit(1e-12))).alias("w"), widest.alias("widest"))
     base = staged(seen.join(bounds, key), "across")
     left, scale, at = staged(base.select(key, group).distinct(), "across"), 1.0, [key, "cell"]
     done = None
@@ -89,14 +89,15 @@ def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"),
         celled = base.withColumn("cell", F.array(*(F.floor((F.col(c) - F.col(f"{c}_lo")) / (F.col("w") * scale)) for c in columns)))
         held = celled.groupBy(*at).agg(F.min(group).alias("g0"), F.max(group).alias("g1")).withColumnRenamed("cell", "near")
         asked = celled.join(left, [key, group], "left_semi")
-        around = asked.select(*at, group).distinct().withColumn("near", F.explode(F.transform(touching(d), lambda o: F.zip_with(F.col("cell"), o, lambda a, b: a + b))))
-        around = around.join(held, [key, "near"]).where((F.col("g0") != F.col(group)) | (F.col("g1") != F.col(group))).drop("g0", "g1")
+        whole = F.col("widest") < F.col("w") * scale  # one cell has all points
+        alone = F.array(F.array(*[F.lit(0).cast("long")] * d))
+        around = asked.select(*at, group, whole.alias("whole")).distinct().withColumn("near", F.explode(F.transform(F.when(F.col("whole"), alone).otherwise(touching(d)), lambda o: F.zip_with(F.col("cell"), o, lambda a, b: a + b))))
+        around = around.join(held, [key, "near"]).where((F.col("g0") != F.col(group)) | (F.col("g1") != F.col(group))).drop("g0", "g1", "whole")
         others = celled.select(F.col(key), F.col("cell").alias("near"), F.col(group).alias("other_group"), F.col(point).alias("other"), *(F.col(c).alias("o" + c) for c in columns))
         met = asked.join(around, [*at, group]).join(others, [key, "near"]).where(F.col(group) != F.col("other_group"))
         gaps = [F.col(c) - F.col("o" + c) for c in columns]
         d2 = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
         best = met.groupBy(key, group).agg(F.min(F.struct(d2.alias("d2"), F.least(point, "other").alias("a"), F.greatest(point, "other").alias("b"), "other_group")).alias("m"), F.first("w").alias("w"), F.first("widest").alias("widest"))
-        whole = F.col("widest") <= F.col("w") * scale
         # a hair less than the width, so that rounding at the edge of a cell loses no pair
         found = staged(best.where(whole | (F.sqrt("m.d2") <= F.col("w") * (scale * (1 - 1e-9)))).select(key, group, "m.other_group", "m.d2", "m.a", "m.b"), "across")
         done = found if done is None else done.union(found)

@@ -267,8 +267,9 @@ def test_nearest_across_and_stitching(spark):
             if m == k and g != h and all(v is not None and v == v for v in p + q):
                 d2 = sum((u - v) ** 2 for u, v in zip(p, q, strict=True))
                 want[m, g] = min(want.get((m, g), (np.inf,)), (d2, min(i, j), max(i, j), h))
-    got = {(x.mol_id, x.component): (x.d2, x.a, x.b, x.other_group) for x in neighbours.nearest_across(points).collect()}
-    assert got.keys() == want.keys() and all(got[k][1:] == want[k][1:] and got[k][0] == pytest.approx(want[k][0], abs=1e-9) for k in want)
+    for few in (0, 64):
+        got = {(x.mol_id, x.component): (x.d2, x.a, x.b, x.other_group) for x in neighbours.nearest_across(points, few=few).collect()}
+        assert got.keys() == want.keys() and all(got[k][1:] == want[k][1:] and got[k][0] == pytest.approx(want[k][0], abs=1e-9) for k in want)
     assert neighbours.nearest_across(points.where("false")).count() == 0
 
     atoms = points.withColumnRenamed("node", "atom_index").drop("component")
