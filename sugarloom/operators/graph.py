@@ -1,7 +1,8 @@
 """Graphs of bonds: components, ring bonds, cut sides, linkages, for all molecules at once.
 
-bonds are rows (mol_id, a, b) with a < b; atoms rows (mol_id, atom_index, name, element, res_id). Rounds of loops
-grow with the logarithm of a molecule's atoms, rows with its bonds.
+bonds are rows (mol_id, a, b) with a < b; atoms rows (mol_id, atom_index, name, element, res_id). Molecules of few bonds
+are dealt to tasks once and handled there (see molecules); of others, rounds of loops grow with the logarithm of a
+molecule's atoms, rows with its bonds. A bond that is there twice does no harm.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sugarloom.operators import molecules
 from sugarloom.operators.components import connected_components
 from sugarloom.operators.geometry import heavy
 from sugarloom.operators.neighbours import nearest_across
@@ -28,16 +30,43 @@ def normal_bonds(bonds: DataFrame, atoms: DataFrame) -> DataFrame:
 
 
 def both_ways(bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    return bonds.select(*keys, F.col("a").alias("u"), F.col("b").alias("v")).union(bonds.select(*keys, F.col("b").alias("u"), F.col("a").alias("v")))
+    """Every bond from either end; bonds are read once."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
+    return bonds.select(*keys, ends.alias("e")).select(*keys, "e.*")
 
 
 def components(nodes: DataFrame, bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """nodes(keys, node), bonds(keys, a, b) to (keys, node, component): the smallest node that can be reached, by stars
-    (see connected_components()); nodes of no bond are components of their own."""
-    found = connected_components(bonds.select(*keys, "a", "b"), "graph", keys).withColumnRenamed("component", "least")
+    """nodes(keys, node), bonds(keys, a, b) to (keys, node, component): the smallest node that can be reached; nodes of no
+    bond are components of their own. Large graphs go by stars (see connected_components())."""
+    found = linked(bonds, keys).withColumnRenamed("component", "least")
     return nodes.select(*keys, "node").distinct().join(found, [*keys, "node"], "left").select(*keys, "node", F.coalesce("least", "node").alias("component"))
 
 
+def linked(bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """bonds(keys, a, b) to (keys, node, component) of the nodes of all bonds."""
+    small, large, tasks = molecules.parted(_whole(bonds, keys), keys, "ab")
+    out = []
+    if small is not None:
+        out.append(_typed(molecules.by_molecule(small, keys, tasks, molecules.component_rows, "node: long, component: long"), bonds, "node", "component"))
+    if large is not None:
+        out.append(connected_components(large, "graph", keys))
+    return reduce(DataFrame.union, out)
+
+
+def _whole(bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """No loops, and no bonds of missing ends or keys."""
+    there = F.col("a") != F.col("b")
+    for k in keys:
+        there = there & F.col(k).isNotNull()
+    return bonds.select(*keys, "a", "b").where(there)
+
+
+def _typed(df: DataFrame, bonds: DataFrame, *names: str) -> DataFrame:
+    """df with columns of nodes as bonds have them."""
+    kind = bonds.schema["a"].dataType
+    return df.withColumns({c: F.col(c).cast(kind) for c in names})
+
+
 def _jumped(ends: DataFrame) -> DataFrame:
     """Each (mol_id, c, to) led on to where its `to` leads."""
     on = ends.select("mol_id", F.col("c").alias("to"), F.col("to").alias("end"))
@@ -140,39 +169,63 @@ def rooted(bonds: DataFrame) -> DataFrame:
     return done
 
 
-def _sides(tree: DataFrame, cuts: DataFrame) -> DataFrame:
-    """cuts(mol_id, cut, x, y, ...) with the nodes at their ends: root, and of the end that hangs below the other, if their
-    bond is no ring's, begin, end, n and total; inside: it is x's side that lies below."""
-    below = tree.where("parent IS NOT NULL AND NOT open").select("mol_id", "node", "parent", "begin", "end", "n", "total")
-    down = below.withColumnsRenamed({"node": "y", "parent": "x", **{c: "y_" + c for c in ("begin", "end", "n", "total")}})
-    up = below.withColumnsRenamed({"node": "x", "parent": "y", **{c: "x_" + c for c in ("begin", "end", "n", "total")}})
-    found = cuts.select("mol_id", "cut", "x", "y").join(down, ["mol_id", "x", "y"], "left").join(up, ["mol_id", "x", "y"], "left").join(tree.select("mol_id", F.col("node").alias("x"), "root"), ["mol_id", "x"], "left")
-    return found.select("mol_id", "cut", "x", "y", "root", F.col("x_begin").isNotNull().alias("inside"), *(F.coalesce("x_" + c, "y_" + c).alias(c) for c in ("begin", "end", "n", "total")))
+def forest_bonds(bonds: DataFrame, large: DataFrame | None = None) -> DataFrame:
+    """bonds(mol_id, a, b) to (mol_id, a, b, root, low, begin, end, n, total, all_n, all_total, a_degree, b_degree) of every
+    bond: low is the end that hangs below the other, in a ring null as are begin and end, the places below it, and n and
+    total, number and sum of the nodes there; all_n and all_total are those of the whole component.
+    large: rooted() of the molecules of many bonds, where it is there already."""
+    small, rest, tasks = molecules.parted(_whole(bonds), KEYS, "ab")
+    out, names = [], ("root", "low", "begin", "end", "n", "total", "all_n", "all_total", "a_degree", "b_degree")
+    if small is not None:
+        rows = molecules.by_molecule(small, KEYS, tasks, molecules.bond_rows, "a: long, b: long, " + ", ".join(f"{c}: long" for c in names))
+        out.append(_typed(rows, bonds, "a", "b", "root", "low"))
+    if rest is not None:
+        tree = rooted(rest) if large is None else large
+        below = tree.where("parent IS NOT NULL AND NOT open").select("mol_id", F.least("node", "parent").alias("a"), F.greatest("node", "parent").alias("b"), F.col("node").alias("low"), "begin", "end", "n", "total")
+        whole = tree.where("parent IS NULL").select("mol_id", "root", F.col("n").alias("all_n"), F.col("total").alias("all_total"))
+        rows = rest.distinct().join(below, ["mol_id", "a", "b"], "left").join(tree.select("mol_id", F.col("node").alias("a"), "root"), ["mol_id", "a"]).join(whole, ["mol_id", "root"])
+        for end in "ab":
+            rows = rows.join(degrees(rest.distinct()).select("mol_id", F.col("node").alias(end), F.col("degree").alias(f"{end}_degree")), ["mol_id", end])
+        out.append(rows.select("mol_id", "a", "b", *names))
+    return reduce(DataFrame.union, out)
+
+
+def _places(bonds: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(mol_id, root, node, at) of every node, and rooted() of the molecules of many bonds."""
+    small, rest, tasks = molecules.parted(_whole(bonds), KEYS, "ab")
+    out, tree = [], None
+    if small is not None:
+        out.append(_typed(molecules.by_molecule(small, KEYS, tasks, molecules.place_rows, "root: long, node: long, at: long"), bonds, "root", "node"))
+    if rest is not None:
+        tree = rooted(rest)
+        out.append(tree.select("mol_id", "root", "node", F.col("begin").alias("at")))
+    return reduce(DataFrame.union, out), tree
+
+
+def _sides(forest: DataFrame, cuts: DataFrame) -> DataFrame:
+    """cuts(mol_id, cut, x, y, ...) with what forest_bonds() has of their bonds; inside: it is x's side that lies below."""
+    found = cuts.select("mol_id", "cut", "x", "y", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).join(forest, ["mol_id", "a", "b"])
+    return found.withColumn("inside", F.coalesce(F.col("low") == F.col("x"), F.lit(False)))
 
 
 def cut_totals(bonds: DataFrame, cuts: DataFrame) -> DataFrame:
     """bonds(mol_id, a, b), cuts(mol_id, cut, x, y) of bonds x-y: (mol_id, cut, x, y, n, total), the number and the sum of
     the nodes that hang on x once the bond is taken out. Rows grow with the bonds, no side is set out."""
-    tree = rooted(bonds)
-    whole = tree.where("parent IS NULL").select("mol_id", "root", F.col("n").alias("all_n"), F.col("total").alias("all_total"))
-    sides = _sides(tree, cuts).join(whole, ["mol_id", "root"])
     part = lambda c: F.when(F.col("inside"), F.col(c)).otherwise(F.col("all_" + c) - F.coalesce(c, F.lit(0)))
-    return sides.select("mol_id", "cut", "x", "y", part("n").alias("n"), part("total").alias("total"))
+    return _sides(forest_bonds(bonds), cuts).select("mol_id", "cut", "x", "y", part("n").alias("n"), part("total").alias("total"))
 
 
 def cut_side(bonds: DataFrame, cuts: DataFrame) -> DataFrame:
     """bonds(mol_id, a, b), cuts(mol_id, cut, x, y): (mol_id, cut, x, y, node) of all nodes that hang on x once the bond
     x-y is taken out: an interval of the tour, or all but that, or in a ring the whole component."""
-    tree = rooted(bonds)
-    places = tree.select("mol_id", "root", "node", F.col("begin").alias("at"))
+    places, large = _places(bonds)
     below = F.coalesce((F.col("at") >= F.col("begin")) & (F.col("at") <= F.col("end")), F.lit(False))
-    return _sides(tree, cuts).join(places, ["mol_id", "root"]).where(below == F.col("inside")).select("mol_id", "cut", "x", "y", "node")
+    return _sides(forest_bonds(bonds, large), cuts).join(places, ["mol_id", "root"]).where(below == F.col("inside")).select("mol_id", "cut", "x", "y", "node")
 
 
 def ring_bonds(bonds: DataFrame) -> DataFrame:
     """(mol_id, a, b) of the bonds in a cycle: those outside the spanning tree, and those of it that others lead past."""
-    single = rooted(bonds).where("parent IS NOT NULL AND NOT open").select("mol_id", F.least("node", "parent").alias("a"), F.greatest("node", "parent").alias("b"))
-    return bonds.select("mol_id", "a", "b").distinct().join(single, ["mol_id", "a", "b"], "left_anti")
+    return forest_bonds(bonds).where("low IS NULL").select("mol_id", "a", "b")
 
 
 def degrees(bonds: DataFrame) -> DataFrame:
@@ -214,19 +267,15 @@ def omegas(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
 def rotatable(bonds: DataFrame, atoms: DataFrame, taken: DataFrame) -> DataFrame:
     """(mol_id, a, b, c, d) about bonds b-c in no ring, both of whose ends have further bonds, and that are no centre of
     `taken` (mol_id, b, c); the outer atoms are the smallest, oxygens first."""
-    ring = ring_bonds(bonds)
-    d = degrees(bonds).where("degree > 1")
-    open_ = bonds.join(ring, ["mol_id", "a", "b"], "left_anti")
-    for end in "ab":
-        open_ = open_.join(d.select("mol_id", F.col("node").alias(end)), ["mol_id", end], "left_semi")
+    open_ = forest_bonds(bonds).where("low IS NOT NULL AND a_degree > 1 AND b_degree > 1").select("mol_id", "a", "b")
     centres = taken.select("mol_id", F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b"))
-    open_ = open_.select("mol_id", "a", "b").join(centres, ["mol_id", "a", "b"], "left_anti")
+    open_ = open_.join(centres, ["mol_id", "a", "b"], "left_anti")
     element = atoms.select("mol_id", F.col("atom_index").alias("v"), (F.col("element") != "O").alias("late"))
-    near = both_ways(bonds).join(element, ["mol_id", "v"])
-    for end, other, name in (("a", "b", "first"), ("b", "a", "last")):
-        side = open_.select("mol_id", "a", "b").join(near.withColumnRenamed("u", end), ["mol_id", end]).where(F.col("v") != F.col(other))
-        open_ = open_.join(side.groupBy("mol_id", "a", "b").agg(F.min(F.struct("late", "v")).alias(name)), ["mol_id", "a", "b"])
-    return open_.select("mol_id", F.col("first.v").alias("a"), F.col("a").alias("b"), F.col("b").alias("c"), F.col("last.v").alias("d"))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("other")), F.struct(F.col("b").alias("u"), F.col("a").alias("other"))))
+    side = open_.select("mol_id", "a", "b", ends.alias("e")).select("mol_id", "a", "b", "e.*").join(both_ways(bonds), ["mol_id", "u"]).where("v <> other").join(element, ["mol_id", "v"])
+    outer = lambda end, name: F.min(F.when(F.col("u") == F.col(end), F.struct("late", "v"))).alias(name)
+    found = side.groupBy("mol_id", "a", "b").agg(outer("a", "first"), outer("b", "last")).where("first IS NOT NULL AND last IS NOT NULL")
+    return found.select("mol_id", F.col("first.v").alias("a"), F.col("a").alias("b"), F.col("b").alias("c"), F.col("last.v").alias("d"))
 
 
 def catalogue(found: DataFrame, order: Column) -> DataFrame:

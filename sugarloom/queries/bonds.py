@@ -25,13 +25,18 @@ def query(sql: str | None = None):
     return add
 
 
-def bonds(spark: SparkSession, d: str) -> DataFrame:
+def read_bonds(spark: SparkSession, d: str) -> DataFrame:
+    """As they are read, some of them repeated."""
     li = spark.read.parquet(f"{d}/lineitem.parquet")
-    return li.select(F.floor(F.col("l_orderkey") / 16).alias("mol_id"), (F.col("l_partkey") % 40).alias("a"), (40 + F.col("l_suppkey") % 10).alias("b")).distinct()
+    return li.select(F.floor(F.col("l_orderkey") / 16).alias("mol_id"), (F.col("l_partkey") % 40).alias("a"), (40 + F.col("l_suppkey") % 10).alias("b"))
+
+
+def bonds(spark: SparkSession, d: str) -> DataFrame:
+    return read_bonds(spark, d).distinct()
 
 
 def nodes(b: DataFrame) -> DataFrame:
-    return b.select("mol_id", F.col("a").alias("node")).union(b.select("mol_id", "b")).distinct()
+    return b.select("mol_id", F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
 def atoms(b: DataFrame) -> DataFrame:
@@ -48,7 +53,7 @@ ATOMS = ", atoms AS (SELECT mol_id, node AS atom_index, ['" + "','".join(NAMES)
 
 @query("WITH RECURSIVE " + BONDS + ", r AS (SELECT mol_id, node AS s, node AS t FROM n UNION SELECT r.mol_id, s, v FROM r JOIN e ON e.mol_id = r.mol_id AND e.u = r.t) SELECT mol_id, s AS node, min(t) AS component FROM r GROUP BY ALL")
 def bond_components(spark, d):
-    b = bonds(spark, d)
+    b = read_bonds(spark, d)
     return graph.components(nodes(b), b)
 
 
@@ -69,7 +74,7 @@ def cut_sides(spark, d):
     """How many atoms hang on the first atom of each bond once it is cut, and the sum of their numbers."""
     b = bonds(spark, d)
     cuts = b.select("mol_id", F.struct("a", "b").alias("cut"), F.col("a").alias("x"), F.col("b").alias("y"))
-    return graph.cut_totals(b, cuts).drop("cut")
+    return graph.cut_totals(read_bonds(spark, d), cuts).drop("cut")
 
 
 @query(SIDE + " SELECT mol_id, x, y, node FROM r WHERE x = 3")
@@ -77,12 +82,12 @@ def cut_members(spark, d):
     """The atoms that hang on atom 3 once one of its bonds is cut."""
     b = bonds(spark, d)
     cuts = b.where("a = 3").select("mol_id", F.struct("a", "b").alias("cut"), F.col("a").alias("x"), F.col("b").alias("y"))
-    return graph.cut_side(b, cuts).drop("cut")
+    return graph.cut_side(read_bonds(spark, d), cuts).drop("cut")
 
 
 @query(SIDE + " SELECT mol_id, x AS a, y AS b FROM r WHERE node = y")
 def ring_bonds(spark, d):
-    return graph.ring_bonds(bonds(spark, d))
+    return graph.ring_bonds(read_bonds(spark, d))
 
 
 @query(
@@ -128,7 +133,7 @@ t AS (SELECT o.*, e.v, t.element <> 'O' AS late FROM o JOIN e ON e.mol_id = o.mo
 SELECT s.mol_id, s.v AS a, s.a AS b, s.b AS c, t.v AS d FROM s JOIN t ON s.mol_id = t.mol_id AND s.a = t.a AND s.b = t.b"""
 )
 def rotatable_bonds(spark, d):
-    b = bonds(spark, d)
+    b = read_bonds(spark, d)
     return graph.rotatable(b, atoms(b), spark.createDataFrame([], "mol_id long, b long, c long"))
 
 
@@ -179,7 +184,7 @@ def full_torsion_catalogue(spark, d):
 @query(None)
 def stitched_components(spark, d):
     """Components of each molecule before and after its closest pairs have been bonded."""
-    b = bonds(spark, d)
+    b = read_bonds(spark, d)
     at = atoms(b).withColumns({"x": F.sin("atom_index"), "y": F.cos(F.col("atom_index") * 2.0), "z": F.col("atom_index") * 0.01})
     n = nodes(b)
     count = lambda df, name: graph.components(n, df).groupBy("mol_id").agg(F.countDistinct("component").alias(name))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sugarloom.functions import columns, names
-from sugarloom.operators import clusters, folders, geometry, graph, landscapes, neighbours, records, stats, triples
+from sugarloom.operators import clusters, folders, geometry, graph, landscapes, molecules, neighbours, records, stats, triples
 
 
 def points(spark, n=120, seed=1, mols=2):
@@ -314,6 +314,44 @@ def test_rings_and_sides_of_random_graphs(spark):
     assert graph.ring_bonds(df.limit(0)).count() == 0
 
 
+def test_molecules_of_few_and_of_many_bonds_give_the_same(spark, monkeypatch):
+    """Trees with some bonds more, some bonds repeated: all within tasks, and large ones by joins."""
+    r = np.random.default_rng(5)
+    rows = []
+    for m in range(8):
+        n = int(r.integers(2, 16))
+        rows += [(m, int(r.integers(0, i)), i) for i in range(1, n) if r.random() < 0.95] + [(m, *sorted(map(int, r.choice(n, 2, replace=False)))) for _ in range(int(r.integers(0, 4)))]
+    bonds = spark.createDataFrame(rows + rows[:50], "mol_id long, a long, b long")
+    atoms = bonds.select("mol_id", F.explode(F.array("a", "b")).alias("atom_index")).distinct().withColumn("element", F.when(F.col("atom_index") % 3 == 0, "O").otherwise("C"))
+    cuts = bonds.distinct().select("mol_id", F.struct("a", "b").alias("cut"), F.col("b").alias("x"), F.col("a").alias("y"))
+    nodes = atoms.select("mol_id", F.col("atom_index").alias("node"))
+
+    def found():
+        out = graph.rotatable(bonds, atoms, spark.createDataFrame([], "mol_id long, b long, c long")), graph.components(nodes, bonds), graph.cut_side(bonds, cuts)
+        return [sorted(map(tuple, x.collect())) for x in out]
+
+    whole = found()
+    monkeypatch.setattr(molecules, "FEW", 9)
+    assert found() == whole and all(whole)
+
+
+def test_few_jobs_for_many_small_molecules(spark):
+    """Small molecules take no rounds of joins, whatever their shape."""
+    bonds = spark.range(400).select(F.floor(F.col("id") / 20).alias("mol_id"), (F.col("id") % 20).alias("a"), (F.col("id") % 20 + 1).alias("b")).where("a <> 9")
+    atoms = bonds.select("mol_id", F.explode(F.array("a", "b")).alias("atom_index")).distinct()
+    atoms = atoms.withColumns({"element": F.lit("C"), "x": F.col("atom_index") * 1.0, "y": F.lit(0.0), "z": F.lit(0.0)})
+    context = spark.sparkContext
+    for name, make in {
+        "rings": lambda: graph.ring_bonds(bonds), "rotatable": lambda: graph.rotatable(bonds, atoms, spark.createDataFrame([], "mol_id long, b long, c long")),
+        "components": lambda: graph.components(atoms.withColumnRenamed("atom_index", "node"), bonds),
+    }.items():
+        context.setJobGroup(name, name)
+        n = len(make().collect())
+        assert n == {"rings": 0, "rotatable": 20 * 15, "components": 20 * 21}[name], (name, n)
+        assert len(context.statusTracker().getJobIdsForGroup(name)) <= 16, name
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_torsion_names(spark):
     cases = {"O5_1-C1_1-O3_2-C3_2": "1_2_phi", "C3_2-O3_2-C1_1-O5_1": "1_2_phi", "C1_1-O3_2-C3_2-C2_2": None, "C1_1-O3_1-C3_2-C2_2": "1_2_psi", "O3_2-C6_3-C5_3-O5_3": "2_3_omega", "A-B-C-D": None, "x": None}
     df = spark.createDataFrame([(k,) for k in cases], "n string").select("n", names.glycosidic_class(F.col("n")).alias("c"))
