@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sugarloom.operators import molecules
 from sugarloom.operators.components import connected_components
 from sugarloom.operators.geometry import heavy
-from sugarloom.operators.neighbours import nearest_across
+from sugarloom.operators.neighbours import finite, nearest_across
 from sugarloom.operators.staging import drop_stage, staged
 
 KEYS = ["mol_id"]
@@ -296,20 +296,32 @@ def full_catalogue(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     return catalogue(named.union(other.select("mol_id", F.lit("other").alias("method"), *"abcd")), order)
 
 
-def stitch(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
+def stitch(atoms: DataFrame, bonds: DataFrame, few: int = 256) -> DataFrame:
     """bonds (mol_id, a, b) with the closest pairs across components added until each molecule is one: atoms need x, y, z.
 
     Rounds as Boruvka's: every component adds its nearest pair to another (see neighbours.nearest_across), so rounds grow
     with the logarithm of the components, and the pairs are those that adding the closest pair of all, one after the
     other, gives; of equal distances the least pair goes first. After the first round components are merged as nodes of
     a small graph, and molecules that are one drop out. Atoms with a missing or non-finite coordinate are in no pair: a
-    component of such atoms only stays apart.
+    component of such atoms only stays apart. Molecules of at most `few` atoms and
+    bonds are dealt to tasks once and all is done there.
     """
-    nodes = atoms.select("mol_id", F.col("atom_index").alias("node"), "x", "y", "z")
+    axes = ["x", "y", "z"]
     keys = ["mol_id", "component"]
     several = lambda df: df.join(df.groupBy("mol_id").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("mol_id"), "mol_id", "left_semi")
-    apart = staged(several(nodes.join(components(nodes.select("mol_id", "node"), bonds), ["mol_id", "node"])), "graph")
     out = bonds.select("mol_id", "a", "b").distinct()
+    # an atom is a row whose ends are the atom
+    kind, zero = bonds.schema["a"].dataType, F.lit(0.0)
+    own = finite(atoms, axes).where("mol_id IS NOT NULL").select("mol_id", F.col("atom_index").cast(kind).alias("a"), F.col("atom_index").cast(kind).alias("b"), F.lit(True).alias("atom"), *(F.col(x).cast("double").alias(x) for x in axes))
+    rows = _whole(bonds).select("*", F.lit(False).alias("atom"), *(zero.alias(x) for x in axes)).union(own)
+    small, large, tasks = molecules.parted(rows, KEYS, "ab", few)
+    if small is not None:
+        pairs = molecules.by_molecule(small, KEYS, tasks, molecules.stitch_rows(axes), "a: long, b: long", molecules.CHUNK_ROWS // 2)
+        out = out.union(_typed(pairs, bonds, "a", "b"))
+    if large is None:
+        return out
+    nodes, bonds = large.where("atom").select("mol_id", F.col("a").alias("node"), *axes), large.where("NOT atom").select("mol_id", "a", "b")
+    apart = staged(several(nodes.join(components(nodes, bonds), ["mol_id", "node"])), "graph")
     while True:
         near = nearest_across(apart)
         if not near.limit(1).count():

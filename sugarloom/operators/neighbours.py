@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import harmonic_gap, unit_ball
+from sugarloom.operators import molecules
 from sugarloom.operators.staging import drop_stage, staged
 from sugarloom.operators.stats import standardised
 
@@ -66,14 +68,35 @@ def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"),
     A point meets points of its own and the touching cells only, and cells around which there is one group drop out before
     their points are read, so the inside of a large group costs nothing. A group whose pair is no longer than the cells
     are wide is done; the others go on with cells twice as wide, until these span the key. The join is by key and cell: a
-    key of any size is in many tasks. A key of at most `few` points is one cell from the start. Points with a missing or non-finite coordinate are in no pair, and a group that is
+    key of any size is in many tasks. Keys of at most `few` points are dealt to tasks once and all their pairs are held
+    against each other there. Points with a missing or non-finite coordinate are in no pair, and a group that is
     alone in its key has no row.
     """
-    d = len(columns)
-    finite = F.lit(True)
+    seen = finite(points, columns).where(F.col(key).isNotNull()).select(key, group, point, *(F.col(c).cast("double").alias(c) for c in columns))
+    seen = staged(seen, "across")
+    small, large, tasks = molecules.parted(seen, [key], [group, point], few)
+    out = []
+    if small is not None:
+        small = small.withColumnsRenamed({group: "g", point: "p"})
+        types, kinds = dict(seen.dtypes), {"other_group": group, "a": point, "b": point, group: group}
+        rows = molecules.by_molecule(small, [key], tasks, molecules.nearest_rows(columns), f"{group}: long, other_group: long, d2: double, a: long, b: long", molecules.CHUNK_ROWS // 4)
+        out.append(rows.withColumns({c: F.col(c).cast(types[k]) for c, k in kinds.items()}))
+    if large is not None:
+        out.append(_nearest_by_cells(large, columns, key, group, point))
+    return reduce(DataFrame.union, out)
+
+
+def finite(points: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Points whose coordinates are all there and finite."""
+    fine = F.lit(True)
     for c in columns:
-        finite = finite & F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False))  # of NaN this is false
-    seen = points.where(finite).select(key, group, point, *(F.col(c).cast("double").alias(c) for c in columns))
+        fine = fine & F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False))  # of NaN this is false
+    return points.where(fine)
+
+
+def _nearest_by_cells(seen: DataFrame, columns: Sequence[str], key: str, group: str, point: str) -> DataFrame:
+    """nearest_across() of finite points of keys of any size."""
+    d = len(columns)
     bounds = seen.groupBy(key).agg(F.count("*").alias("n"), F.min(group).alias("g0"), F.max(group).alias("g1"), *(F.min(c).alias(f"{c}_lo") for c in columns), *(F.max(c).alias(f"{c}_hi") for c in columns)).where("g0 <> g1")
     # as wide as evenly dealt points are apart, be they in a body, in a plane or on a line
     spans = F.array_sort(F.array(*(F.col(f"{c}_hi") - F.col(f"{c}_lo") for c in columns)))
@@ -81,7 +104,7 @@ def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"),
     for i in range(1, d + 1):
         size = size * F.element_at(spans, -i)
         apart.append(F.pow(size / F.col("n"), F.lit(1.0 / i)))
-    bounds = bounds.select(key, *(f"{c}_lo" for c in columns), F.when(F.col("n") <= few, widest * 1.001 + 1e-12).otherwise(F.greatest(*apart, F.lit(1e-12))).alias("w"), widest.alias("widest"))
+    bounds = bounds.select(key, *(f"{c}_lo" for c in columns), F.greatest(*apart, F.lit(1e-12)).alias("w"), widest.alias("widest"))
     base = staged(seen.join(bounds, key), "across")
     left, scale, at = staged(base.select(key, group).distinct(), "across"), 1.0, [key, "cell"]
     done = None

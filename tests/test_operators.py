@@ -343,11 +343,11 @@ def test_few_jobs_for_many_small_molecules(spark):
     context = spark.sparkContext
     for name, make in {
         "rings": lambda: graph.ring_bonds(bonds), "rotatable": lambda: graph.rotatable(bonds, atoms, spark.createDataFrame([], "mol_id long, b long, c long")),
-        "components": lambda: graph.components(atoms.withColumnRenamed("atom_index", "node"), bonds),
+        "components": lambda: graph.components(atoms.withColumnRenamed("atom_index", "node"), bonds), "stitch": lambda: graph.stitch(atoms, bonds),
     }.items():
         context.setJobGroup(name, name)
         n = len(make().collect())
-        assert n == {"rings": 0, "rotatable": 20 * 15, "components": 20 * 21}[name], (name, n)
+        assert n == {"rings": 0, "rotatable": 20 * 15, "components": 20 * 21, "stitch": 20 * 20}[name], (name, n)
         assert len(context.statusTracker().getJobIdsForGroup(name)) <= 16, name
     context.setLocalProperty("spark.jobGroup.id", None)
 
