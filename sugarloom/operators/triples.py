@@ -6,7 +6,7 @@ onto:mass; a prefix map turns them into addresses where they are written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +40,20 @@ def literal(s: Column, p: str, value: Column, kind: str | None = None) -> Column
         whole = text.try_cast("long").isNotNull() & text.rlike("^-?[0-9]+$")
         t = F.when(text.isin("true", "false"), "boolean").when(whole, "integer").when(as_double.isNotNull(), "double").otherwise("string")
         o = text
-    return F.when(text.isNotNull() & (text != ""), _one(s, p, o, "literal", t))
+    return _where(text.isNotNull() & (text != ""), _one(s, p, o, "literal", t))
 
 
 def _one(s: Column, p: str, o: Column, kind: str, o_type: Column) -> Column:
-    return F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), o_type.alias("o_type"))
+    out = F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), o_type.alias("o_type"))
+    out.predicate = p
+    return out
+
+
+def _where(condition: Column, triple: Column) -> Column:
+    """The triple where the condition holds; which predicate it has stays known."""
+    out = F.when(condition, triple)
+    out.predicate = vars(triple).get("predicate")
+    return out
 
 
 def blank(*parts: Column) -> Column:
@@ -57,7 +66,7 @@ def quantity(s: Column, p: str, value: Column, unit: str, kind: str) -> list[Col
     node = blank(s, F.lit(p))
     there = value.isNotNull() & (value.cast("string") != "")
     rows = [_one(s, p, node, "bnode", F.lit(None).cast("string")), uri(node, "rdf:type", "qudt:Quantity"), uri(node, "rdf:type", kind), literal(node, "qudt:numericValue", value, "double"), uri(node, "qudt:hasUnit", unit)]
-    return [F.when(there, x) for x in rows]
+    return [_where(there, x) for x in rows]
 
 
 def counted(s: Column, p: str, name: Column, n: Column, part: str) -> list[Column]:
@@ -69,12 +78,19 @@ def counted(s: Column, p: str, name: Column, n: Column, part: str) -> list[Colum
 def sequence(s: Column, value: Column, label: str, form: str) -> list[Column]:
     node = F.concat(s, F.lit("/sequence/" + label))
     there = value.isNotNull() & (value != "")
-    return [F.when(there, x) for x in (uri(s, "onto:sequence", node), uri(node, "rdf:type", "onto:Sequence"), literal(node, "onto:text", value, "string"), uri(node, "onto:form", form))]
+    return [_where(there, x) for x in (uri(s, "onto:sequence", node), uri(node, "rdf:type", "onto:Sequence"), literal(node, "onto:text", value, "string"), uri(node, "onto:form", form))]
 
 
-def emit(rows: DataFrame, triples: Sequence[Column], repeats: bool = False) -> DataFrame:
-    """All triples of all rows; repeats collapse, unless what follows takes care of them."""
+def emit(rows: DataFrame, triples: Sequence[Column], repeats: bool = False, only: Collection[str] | None = None) -> DataFrame:
+    """All triples of all rows; repeats collapse, unless what follows takes care of them. only: no triples of predicates
+    that are not among these are made."""
+    if only is not None:
+        triples = [x for x in triples if vars(x).get("predicate") is None or x.predicate in only]
+        if not triples:
+            return rows.sparkSession.createDataFrame([], TRIPLE[len("array<struct<") : -2].replace(":", " "))
     out = rows.select(F.explode(F.filter(F.array(*triples), lambda x: x.isNotNull())).alias("t")).select("t.*")
+    if only is not None:
+        out = out.where(F.col("p").isin(*only))
     return out if repeats else out.distinct()
 
 
@@ -131,6 +147,12 @@ def _variables(pattern: tuple[str, str, str]) -> set[str]:
     return {x for x in pattern if x.startswith("?")}
 
 
+def predicates(*patterns: tuple[str, str, str]) -> set[str] | None:
+    """The predicates that patterns ask for; None: any."""
+    named = {p for _, p, _ in patterns}
+    return None if any(p.startswith("?") for p in named) else named
+
+
 def match(triples: DataFrame | Store, patterns: Sequence[tuple[str, str, str]], optional: Sequence[tuple[str, str, str]] = (), filters: Sequence[Column] = ()) -> DataFrame:
     """One column a variable (?name) for every way to meet all patterns and filters (conditions on variables); optional
     patterns may stay null.

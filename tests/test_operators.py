@@ -335,6 +335,18 @@ def test_molecules_of_few_and_of_many_bonds_give_the_same(spark, monkeypatch):
     assert found() == whole and all(whole)
 
 
+def test_triples_of_other_predicates_are_not_made(spark):
+    """A predicate that no pattern asks for is left out of the plan, with what its value costs."""
+    df = spark.range(6).withColumn("k", F.concat(F.lit("e:"), F.col("id").cast("string")))
+    wrong = F.raise_error(F.lit("made")).cast("string")
+    every = [triples.uri(F.col("k"), "a:next", F.lit("e:0")), triples.literal(F.col("k"), "a:n", F.col("id")), triples.literal(F.col("k"), "a:bad", wrong), *triples.quantity(F.col("k"), "a:t", F.when(F.col("id") > 2, F.col("id")), "u:K", "a:T")]
+    patterns = [("?e", "a:next", "?to"), ("?e", "a:n", "?n"), ("?e", "a:t", "?q"), ("?q", "qudt:numericValue", "?v")]
+    made = triples.emit(df, every, True, triples.predicates(*patterns))
+    assert {(x.e, x.n, x.v) for x in triples.match(triples.Store(made), patterns).collect()} == {(f"e:{i}", str(i), f"{i}.0") for i in (3, 4, 5)}
+    assert triples.emit(df, every, True, {"a:none"}).count() == 0
+    assert triples.predicates(("?s", "?p", "?o")) is None
+
+
 def test_few_jobs_for_many_small_molecules(spark):
     """Small molecules take no rounds of joins, whatever their shape."""
     bonds = spark.range(400).select(F.floor(F.col("id") / 20).alias("mol_id"), (F.col("id") % 20).alias("a"), (F.col("id") % 20 + 1).alias("b")).where("a <> 9")
