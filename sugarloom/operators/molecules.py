@@ -261,3 +261,25 @@ def stitch_rows(axes: Sequence[str]) -> Callable:
         return m[i[took]], [a[took], b[took]]
 
     return f
+
+
+def centre_rows(m: np.ndarray, c: dict) -> tuple:
+    """frame and cluster of points of many molecules: farthest-point centres, the molecule's k of them at most, from the
+    smallest frame on; ties go to the earlier centre, and to the smaller frame."""
+    order = np.lexsort((c["frame"], m))
+    frame, k = c["frame"][order], c["k"][order]
+    x, y, z = (c[a][order] for a in "xyz")
+    cluster = np.zeros(len(m), np.int32)
+    bounds = np.append(np.flatnonzero(_changes([m[order]])), len(m))
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        xs, ys, zs, own = x[lo:hi], y[lo:hi], z[lo:hi], cluster[lo:hi]
+        gap = lambda i: (xs - xs[i]) * (xs - xs[i]) + (ys - ys[i]) * (ys - ys[i]) + (zs - zs[i]) * (zs - zs[i])
+        d2 = gap(0)
+        for i in range(1, int(k[lo])):
+            far = int(np.argmax(d2))  # what is no number counts as farthest, as in Spark
+            if d2[far] <= 0:
+                break
+            new = gap(far)
+            closer = new < d2
+            d2[closer], own[closer] = new[closer], i
+    return m[order], [frame, cluster]

@@ -347,6 +347,31 @@ def test_triples_of_other_predicates_are_not_made(spark):
     assert triples.predicates(("?s", "?p", "?o")) is None
 
 
+def test_many_centres_take_few_jobs(spark):
+    """Against a plain loop, with ties and more centres than different points."""
+    r = np.random.default_rng(3)
+    rows = [(m, i, *map(float, r.integers(0, 4 + 5 * (m < 2), 3))) for m in range(3) for i in range(90)]
+    points = spark.createDataFrame(rows, "mol_id long, frame long, x double, y double, z double")
+    wanted = {0: 7, 1: 60, 2: 80}
+    k = spark.createDataFrame(list(wanted.items()), "mol_id long, k int")
+    spark.sparkContext.setJobGroup("centres", "centres")
+    got = {(x.mol_id, x.frame): x.cluster for x in clusters.k_centre(points, k).collect()}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("centres")) <= 16
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = {}
+    for m, n in wanted.items():
+        at = [x[2:] for x in rows if x[0] == m]
+        gap = lambda i, j, at=at: sum((p - q) ** 2 for p, q in zip(at[i], at[j], strict=True))
+        centres = [0]
+        while len(centres) < n:
+            far = max(range(90), key=lambda i: (min(gap(i, c) for c in centres), -i))
+            if min(gap(far, c) for c in centres) == 0:
+                break
+            centres.append(far)
+        want |= {(m, i): min(range(len(centres)), key=lambda j, i=i: (gap(i, centres[j]), j)) for i in range(90)}
+    assert got == want
+
+
 def test_few_jobs_for_many_small_molecules(spark):
     """Small molecules take no rounds of joins, whatever their shape."""
     bonds = spark.range(400).select(F.floor(F.col("id") / 20).alias("mol_id"), (F.col("id") % 20).alias("a"), (F.col("id") % 20 + 1).alias("b")).where("a <> 9")
