@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sugarloom.functions import names
+from sugarloom.operators import molecules
 from sugarloom.operators.clusters import membership_vector
 from sugarloom.operators.neighbours import knn_entropy
 
@@ -148,13 +149,20 @@ def level_entropy(points: DataFrame, memberships: DataFrame, k: int = 5) -> Data
 
 # -- torsions and structure text ------------------------------------------------------------------------------
 
+#: Atoms a task that torsions are joined with.
+ATOM_ROWS = 200_000
+
 
 def annotated(torsions: DataFrame, atoms: DataFrame) -> DataFrame:
     """torsions(mol_id, torsion_id, a, b, c, d, original_name or null), atoms(mol_id, atom_index, name, res_id, res_name) to
-    the metadata of each torsion: names, family, subtype, atoms and residues, and those of the central bond."""
+    the metadata of each torsion: names, family, subtype, atoms and residues, and those of the central bond.
+
+    Atoms are dealt by molecule and atom once, for all four joins, and torsions go where the atoms are: what a task sorts
+    is ATOM_ROWS atoms at most in the mean, and a molecule of any size is in many tasks."""
     out = torsions.withColumn("original", F.col("original_name") if "original_name" in torsions.columns else F.lit(None).cast("string"))
+    placed = molecules.dealt(atoms, ["mol_id", "atom_index"], ATOM_ROWS)
     for x in "abcd":
-        one = atoms.select("mol_id", F.col("atom_index").alias(x), F.struct("name", F.col("res_id").cast("int").alias("res_id"), "res_name").alias(f"_{x}"))
+        one = placed.select("mol_id", F.col("atom_index").alias(x), F.struct("name", F.col("res_id").cast("int").alias("res_id"), "res_name").alias(f"_{x}"))
         out = out.join(one, ["mol_id", x])
     own, ids, residues = ([F.col(f"_{x}.{f}") for x in "abcd"] for f in ("name", "res_id", "res_name"))
     original = F.coalesce("original", F.concat_ws("-", *(F.concat_ws("_", n, r.cast("string")) for n, r in zip(own, ids, strict=True))))

@@ -37,6 +37,14 @@ def parted(rows: DataFrame, keys: Sequence[str], numbers: Sequence[str], few: in
     return rows.join(large, list(keys), "left_anti"), rows.join(large, list(keys), "left_semi"), tasks
 
 
+def dealt(rows: DataFrame, keys: Sequence[str], per_task: int) -> DataFrame:
+    """rows dealt by keys over as many tasks as there are shuffle partitions, and over more where these would get more than
+    `per_task` rows each. One count tells. A file of few bytes is one task's, however many rows are made of it, and rows
+    that compress well would be put together again to partitions of many: a number that is given stays."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(tasks, -(-rows.count() // per_task)), *keys)
+
+
 def by_molecule(rows: DataFrame, keys: Sequence[str], tasks: int, f: Callable, schema: str, chunk: int = CHUNK_ROWS) -> DataFrame:
     """What f gives for whole molecules. f(m, columns) gets numpy columns of many molecules at once, m being the number of
     each row's molecule in the keys' order, and returns (m of each new row, new columns as schema has them); keys come first."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sugarloom.operators import exports, stats
+from sugarloom.operators import exports, molecules, stats
 from sugarloom.plans import analysis
 from sugarloom.queries import shape
 
@@ -137,7 +137,8 @@ FROM customer, range(4) r(t)"""
 )
 def torsion_metadata(spark, d):
     """The metadata of each torsion of each molecule, assembled from its atoms."""
-    c = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("mol_id"))
+    # twelve rows are made of each: dealt first, as they are few bytes
+    c = molecules.dealt(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("mol_id")), ["mol_id"], 20_000)
     listed = F.array(*(F.struct(F.lit(i).alias("atom_index"), F.lit(n).alias("name"), F.lit(r).alias("res_id"), F.lit("MAN").alias("res_name")) for i, (n, r) in enumerate(ATOMS)))
     atoms = c.select("mol_id", F.explode(listed).alias("x")).select("mol_id", "x.*")
     each = F.array(*(F.struct(F.lit(i).alias("torsion_id"), *(F.lit(v).alias(x) for x, v in zip("abcd", t, strict=True))) for i, t in enumerate(TORSIONS)))

@@ -638,3 +638,14 @@ def test_followed_trajectories(spark, tmp_path):
         assert np.exp(1j * math.radians(third["m1"].mean_deg[t])) == pytest.approx(z / abs(z), abs=1e-9) and third["m1"].resultant[t] == pytest.approx(abs(z))
     again = run()
     assert again == third
+
+
+def test_annotated_is_dealt_over_tasks_by_its_rows(spark, monkeypatch):
+    from sugarloom.operators import exports
+
+    monkeypatch.setattr(exports, "ATOM_ROWS", 50)
+    atoms = spark.range(0, 100, 1, 1).selectExpr("id AS mol_id", "explode(sequence(0, 7)) AS atom_index").selectExpr("*", "'C' || atom_index AS name", "1 AS res_id", "'MAN' AS res_name")
+    torsions = spark.range(0, 100, 1, 1).selectExpr("id AS mol_id", "0 AS torsion_id", "0 AS a", "1 AS b", "2 AS c", "3 AS d")
+    out = exports.annotated(torsions, atoms)
+    assert out.rdd.getNumPartitions() == 16  # 800 atoms from one partition
+    assert {(x["n"], x["m"]) for x in out.groupBy("original_name").agg(F.count("*").alias("n"), F.countDistinct("mol_id").alias("m")).collect()} == {(100, 100)}
