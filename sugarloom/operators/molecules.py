@@ -245,6 +245,75 @@ def nearest_rows(axes: Sequence[str]) -> Callable:
     return f
 
 
+#: Distances that are held at once.
+PAIRS = 1_000_000
+
+
+def _kth(q: np.ndarray, own: np.ndarray | None, p: np.ndarray, copies: np.ndarray, k: int) -> np.ndarray:
+    """The k least squared distances, ascending, of each of the points q to the points p, of which there are so many copies;
+    what is missing is infinite. own: q are p, and each has so many others on its own spot."""
+    out = np.full((len(q), k), np.inf)
+    single, step = bool((copies == 1).all()), max(1, PAIRS // max(1, len(p)))
+    for lo in range(0, len(q), step):
+        part = q[lo : lo + step]
+        d2 = None
+        for x, y in zip(part.T, p.T, strict=True):
+            gap = x[:, None] - y
+            d2 = gap * gap if d2 is None else d2 + gap * gap
+        n = np.arange(len(part))
+        if own is not None:
+            d2[n, lo + n] = np.inf
+        most = min(k, len(p))
+        if single:
+            least = np.partition(d2, most - 1, axis=1)[:, :most] if most < len(p) else d2
+            out[lo : lo + step, :most] = np.sort(least, axis=1)
+            continue
+        at = np.argpartition(d2, most - 1, axis=1)[:, :most]
+        at = np.take_along_axis(at, np.argsort(np.take_along_axis(d2, at, 1), axis=1), 1)
+        least, times = np.take_along_axis(d2, at, 1), copies[at]
+        if own is not None:
+            least, times = np.column_stack([np.zeros(len(part)), least]), np.column_stack([own[lo : lo + step], times])
+        least, upto = np.column_stack([least, np.full(len(part), np.inf)]), np.cumsum(times, axis=1)
+        for j in range(k):
+            out[lo + n, j] = least[n, (upto <= j).sum(axis=1)]
+    return out
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    n, k = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * k, k), pa.int32()), pa.array(values.ravel()))
+
+
+def _blocks(m: np.ndarray) -> list[slice]:
+    bounds = np.append(np.flatnonzero(_changes([m])), len(m))
+    return [slice(lo, hi) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def kth_rows(axes: Sequence[str], k: int) -> Callable:
+    """Of every position the k least squared distances to other points of its block: coordinates, _reach and the list."""
+
+    def f(m: np.ndarray, c: dict) -> tuple:
+        p, copies = np.column_stack([c[x] for x in axes]), c["_copies"]
+        best = np.concatenate([_kth(p[b], copies[b] - 1, p[b], copies[b], k) for b in _blocks(m)])
+        return m, [*(c[x] for x in axes), c["_reach"], _lists(best)]
+
+    return f
+
+
+def kth_asked_rows(axes: Sequence[str], k: int) -> Callable:
+    """The same of the rows that ask, which are in other blocks, to the points of the block."""
+
+    def f(m: np.ndarray, c: dict) -> tuple:
+        p, copies, asks, best = np.column_stack([c[x] for x in axes]), c["_copies"], c["_asks"].astype(bool), [np.empty((0, k))]
+        for b in _blocks(m):
+            ask, there = asks[b], ~asks[b]
+            if ask.any():
+                best.append(_kth(p[b][ask], None, p[b][there], copies[b][there], k))
+        return m[asks], [*(c[x][asks] for x in axes), np.zeros(int(asks.sum())), _lists(np.concatenate(best))]
+
+    return f
+
+
 def stitch_rows(axes: Sequence[str]) -> Callable:
     """The pairs a, b that make each molecule of bonds and atoms one: every component takes its nearest pair to another, until
     one is left."""

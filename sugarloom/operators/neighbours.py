@@ -1,4 +1,4 @@
-"""Exact nearest neighbours and entropy of points in a few dimensions, by a grid that widens."""
+"""Exact nearest neighbours and entropy of points in a few dimensions, by blocks cut at quantiles and by a grid that widens."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sugarloom.functions.columns import harmonic_gap, unit_ball
@@ -23,42 +22,95 @@ def touching(d: int) -> Column:
     return out
 
 
+#: Positions of a block, all of whose pairs are made within a task; and positions a task.
+BLOCK, TASK_POSITIONS = 1024, 50_000
+#: Parts that a block is cut into at once, at most.
+SLICES = 8
+
+
 def kth_distances(points: DataFrame, k: int, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", point: str = "frame") -> DataFrame:
     """points(key, point, columns) to (key, point, r): the distance to the k-th nearest other point of the key.
 
-    Cells are as wide as a ball that would hold some k points at even density. A point whose k-th distance
-    within its own and the touching cells is at most the width is done; the others go on with cells twice
-    as wide, until the width spans the key's points. Keys of k points or fewer have no rows.
+    Equal points are one position with a number of copies. A key's positions are cut at quantiles of their widest axis, again
+    and again, into blocks of at most BLOCK, so blocks are small where points are dense. Each block is one group of a task, which
+    finds the k nearest within it; what other blocks can have nearer, as the boxes around them tell, is looked for there, a row
+    for each such block, and the lists are merged. So pairs grow with the points times BLOCK, however they are spread, and no
+    pair leaves its task. Keys of k points or fewer have no rows. A point with a missing coordinate has a null r, one with
+    another that is not finite NaN, and no point is near to them.
     """
-    d = len(columns)
-    bounds = points.groupBy(key).agg(F.count("*").alias("n"), *(F.min(c).alias(f"{c}_lo") for c in columns), *(F.max(c).alias(f"{c}_hi") for c in columns)).where(F.col("n") > k)
-    spans = [F.col(f"{c}_hi") - F.col(f"{c}_lo") for c in columns]
-    volume = spans[0]
-    for s in spans[1:]:
-        volume = volume * s
-    widest = F.greatest(*spans, F.lit(1e-9))
-    width = F.greatest(F.pow(F.greatest(volume, F.lit(1e-30)) * (2 * k) / F.col("n"), F.lit(1.0 / d)), widest / 1e6)
-    base = staged(points.join(bounds.select(key, *(f"{c}_lo" for c in columns), width.alias("w"), widest.alias("widest")), key), "knn")
-    left, done, round_ = base.select(key, point), None, 0
-    offsets = touching(d)
+    most = max(BLOCK, 2 * (k + 1))
+    own = points.where(F.col(key).isNotNull()).select(key, point, *(F.col(c).cast("double").alias(c) for c in columns))
+    some = own.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > k).select(key)
+    own = own.join(some, key, "left_semi")
+    positions = staged(finite(own, columns).groupBy(key, *columns).agg(F.least(F.count("*"), F.lit(k + 1)).alias("_copies")), "positions")
+    dealt, tree = _blocks(positions, columns, key, most)
+    spark = points.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (tree[0].agg(F.sum("n")).first()[0] or 0) // TASK_POSITIONS)
+    at, schema = [key, *columns], ", ".join([*(f"{c}: double" for c in columns), "_reach: double", "_best: array<double>"])
+    found = staged(molecules.by_molecule(dealt, [key, "_node"], tasks, molecules.kth_rows(columns, k), schema), "knn")
+    best = found.select(*at, "_best")
+    asked = _asked(found.select(*at, F.col("_node").alias("_own"), F.least(F.element_at("_best", k), "_reach").alias("_r2")), tree, columns, key, most)
+    if asked is not None:
+        rows = dealt.select(*at, "_node", "_copies", F.lit(False).alias("_asks")).unionByName(asked.select(*at, "_node", F.lit(0).cast("long").alias("_copies"), F.lit(True).alias("_asks")))
+        best = best.union(molecules.by_molecule(rows, [key, "_node"], tasks, molecules.kth_asked_rows(columns, k), schema).select(*at, "_best"))
+        best = best.groupBy(*at).agg(F.array_sort(F.flatten(F.collect_list("_best"))).alias("_best"))  # k of each block asked
+    r = staged(best.select(*at, F.sqrt(F.element_at("_best", k)).alias("r")), "knn")
+    there = F.lit(True)
+    for c in columns:
+        there = there & F.col(c).isNotNull()
+    return own.join(r, at, "left").select(key, point, F.coalesce("r", F.when(there, float("nan"))).alias("r"))
+
+
+def _box(columns: Sequence[str]) -> list[Column]:
+    return [f(c).alias(g + c) for c in columns for f, g in ((F.min, "_lo"), (F.max, "_hi"))]
+
+
+def _squares(gaps: Sequence[Column]) -> Column:
+    return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
+
+
+def _blocks(positions: DataFrame, columns: Sequence[str], key: str, most: int) -> tuple[DataFrame, list[DataFrame]]:
+    """positions(key, columns, _copies), each once, with _node, the block of at most `most` that it is in, and _reach, a squared
+    length within which there are as many others as there can be in a block; and of each depth the nodes' sizes and boxes.
+
+    A node's children are SLICES * node on. Cuts are quantiles; a value that is several of them, or the largest, gets a slice
+    of its own, so every cut parts something."""
+    rest, parts, tree = positions.withColumn("_node", F.lit(1).cast("long")).withColumn("_reach", F.lit(float("inf"))), [], []
     while True:
-        scale = float(2**round_)
-        cell = F.array(*(F.floor((F.col(c) - F.col(f"{c}_lo")) / (F.col("w") * scale)) for c in columns))
-        celled = base.withColumn("cell", cell)
-        queries = celled.join(left, [key, point], "left_semi") if round_ else celled
-        around = queries.withColumn("near", F.explode(F.transform(offsets, lambda o: F.zip_with(F.col("cell"), o, lambda a, b: a + b))))
-        targets = celled.select(F.col(key), F.col("cell").alias("near"), F.col(point).alias("other"), *(F.col(c).alias("o" + c) for c in columns))
-        gap = sum(((F.col(c) - F.col("o" + c)) * (F.col(c) - F.col("o" + c)) for c in columns[1:]), (F.col(columns[0]) - F.col("o" + columns[0])) * (F.col(columns[0]) - F.col("o" + columns[0])))
-        near = around.join(targets, [key, "near"]).where(F.col(point) != F.col("other")).select(key, point, "w", "widest", F.sqrt(gap).alias("r"))
-        # the limit on the rank is pushed below the shuffle, so a dense cell sends k rows a point
-        ranked = near.withColumn("rank", F.row_number().over(W.partitionBy(key, point).orderBy("r"))).where(F.col("rank") <= k)
-        ready = staged(ranked.where(F.col("rank") == k).select(key, point, "r", ((F.col("r") <= F.col("w") * scale) | (F.col("w") * scale >= F.col("widest"))).alias("final")), "knn")
-        final = ready.where("final").select(key, point, "r")
-        done = final if done is None else done.union(final)
-        left = staged(left.join(final, [key, point], "left_anti"), "knn")
-        if not left.limit(1).count():
-            return done
-        round_ += 1
+        about = staged(rest.groupBy(key, "_node").agg(F.count("*").alias("n"), *_box(columns)), "nodes")
+        tree.append(about)
+        large = about.where(F.col("n") > most)
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, [*parts, rest]), tree
+        parts.append(rest.join(about.where(F.col("n") <= most).select(key, "_node"), [key, "_node"], "left_semi"))
+        spans = F.array(*(F.col("_hi" + c) - F.col("_lo" + c) for c in columns))
+        axis = F.array_position(spans, F.array_max(spans)).cast("int")
+        diagonal = _squares([F.col("_hi" + c) - F.col("_lo" + c) for c in columns]) * (1 + 1e-9)
+        large = large.select(key, "_node", "n", axis.alias("_axis"), F.element_at(F.array(*("_hi" + c for c in columns)), axis).alias("_top"), diagonal.alias("_diagonal"))
+        inside = rest.join(large, [key, "_node"]).withColumn("_x", F.element_at(F.array(*columns), F.col("_axis")))
+        cuts = inside.groupBy(key, "_node").agg(F.percentile_approx("_x", [i / SLICES for i in range(1, SLICES)]).alias("q"), F.first("n").alias("n"), F.first("_top").alias("_top"))
+        half = SLICES // 2
+        q = F.when(F.col("n") <= 2 * most, F.slice("q", half, 1)).when(F.col("n") <= half * most, F.filter("q", lambda x, i: i % 2 == 1)).otherwise(F.col("q"))
+        cuts = cuts.withColumn("q", q)
+        above = F.filter(F.array_distinct("q"), lambda v: v < F.col("_top"))
+        heavy = F.filter(F.array_distinct("q"), lambda v: (v == F.col("_top")) | (F.size(F.filter("q", lambda w: w == v)) > 1))
+        cuts = staged(cuts.select(key, "_node", above.alias("_above"), heavy.alias("_heavy")), "cuts")
+        part = F.size(F.filter("_above", lambda v: F.col("_x") > v)) + F.size(F.filter("_heavy", lambda v: F.col("_x") >= v))
+        rest = staged(inside.join(cuts, [key, "_node"]).select(key, *columns, "_copies", (F.col("_node") * SLICES + part).alias("_node"), F.col("_diagonal").alias("_reach")), "blocks")
+
+
+def _asked(queries: DataFrame, tree: list[DataFrame], columns: Sequence[str], key: str, most: int) -> DataFrame | None:
+    """queries(key, columns, _own, _r2) to (key, columns, _node): each with the other blocks whose boxes are nearer than _r2, found
+    from the root down; None where no key has several blocks."""
+    out, left = [], queries.withColumn("_node", F.lit(1).cast("long"))
+    for level in tree[1:]:
+        nodes = level.select(key, F.floor(F.col("_node") / SLICES).alias("_node"), F.col("_node").alias("_child"), (F.col("n") <= most).alias("_leaf"), *(g + c for c in columns for g in ("_lo", "_hi")))
+        gap = _squares([F.greatest(F.lit(0.0), F.col("_lo" + c) - F.col(c), F.col(c) - F.col("_hi" + c)) for c in columns])
+        left = left.join(nodes, [key, "_node"]).where((gap < F.col("_r2")) & (F.col("_child") != F.col("_own")))
+        left = staged(left.select(key, *columns, "_own", "_r2", F.col("_child").alias("_node"), "_leaf"), "asked")
+        out.append(left.where("_leaf").select(key, *columns, "_node"))
+        left = left.where("NOT _leaf").drop("_leaf")
+    return reduce(DataFrame.unionByName, out) if out else None
 
 
 def nearest_across(points: DataFrame, columns: Sequence[str] = ("x", "y", "z"), key: str = "mol_id", group: str = "component", point: str = "node", few: int = 64) -> DataFrame:

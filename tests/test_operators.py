@@ -649,3 +649,23 @@ def test_annotated_is_dealt_over_tasks_by_its_rows(spark, monkeypatch):
     out = exports.annotated(torsions, atoms)
     assert out.rdd.getNumPartitions() == 16  # 800 atoms from one partition
     assert {(x["n"], x["m"]) for x in out.groupBy("original_name").agg(F.count("*").alias("n"), F.countDistinct("mol_id").alias("m")).collect()} == {(100, 100)}
+
+
+def test_kth_distances_by_blocks_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 24)
+    r, k = np.random.default_rng(5), 3
+    line = np.column_stack([np.zeros(120), np.zeros(120), r.normal(size=120)])
+    heavy = np.where(r.random((150, 3)) < 0.6, 1.0, r.normal(size=(150, 3)))  # many on one spot, many on one plane
+    mixed = {"a": np.concatenate([r.normal(size=(300, 3)) * 0.01, r.normal(size=(40, 3)) * 100]), "b": np.concatenate([line, heavy]), "c": np.ones((30, 3)), "d": r.normal(size=(5, 3)), "e": np.ones((3, 3))}
+    rows = [(m, i, *map(float, x)) for m, p in mixed.items() for i, x in enumerate(p)]
+    df = spark.createDataFrame([*rows, ("d", 90, None, 0.0, 0.0), ("d", 91, float("nan"), 0.0, 0.0), (None, 1, 0.0, 0.0, 0.0)], "mol_id string, frame long, x double, y double, z double")
+    got = {(x["mol_id"], x["frame"]): x["r"] for x in neighbours.kth_distances(df, k).collect()}
+    assert got.pop(("d", 90)) is None and math.isnan(got.pop(("d", 91)))
+    want = {}
+    for m, p in mixed.items():
+        d = np.sort(np.sqrt(((p[:, None] - p[None]) ** 2).sum(axis=2)), axis=1)
+        want |= {(m, i): d[i, k] for i in range(len(p)) if len(p) > k}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-12) for x in want)
+    positions = df.where("mol_id = 'b'").groupBy("mol_id", *"xyz").agg(F.count("*").alias("_copies"))
+    dealt, tree = neighbours._blocks(positions, list("xyz"), "mol_id", 24)
+    assert max(x["count"] for x in dealt.groupBy("_node").count().collect()) <= 24 and len(tree) > 2
