@@ -16,6 +16,7 @@ from sugarloom.functions import names
 from sugarloom.operators import molecules
 from sugarloom.operators.clusters import membership_vector
 from sugarloom.operators.neighbours import knn_entropy
+from sugarloom.operators.staging import staged
 
 
 def component_columns(columns: Sequence[str], n: int | None = None) -> list[str]:
@@ -134,13 +135,15 @@ def level_entropy(points: DataFrame, memberships: DataFrame, k: int = 5) -> Data
     """(mol_id, level, entropy): the mean over clusters of two members or more of their points' entropy, whose neighbour
     count is k, and one less than the members where those are fewer.
 
-    All clusters of all levels go through the grid together, once for each neighbour count in use.
+    All clusters of all levels are handled together, once for each neighbour count in use; the points of the clusters are
+    written once.
     """
     m = memberships.select("mol_id", "level", "cluster", "frame")
     sizes = m.groupBy("mol_id", "level", "cluster").agg(F.least(F.lit(k), F.count("*") - 1).cast("int").alias("k")).where("k > 0")
     keyed = m.join(sizes, ["mol_id", "level", "cluster"]).join(points, ["mol_id", "frame"]).withColumn("group", F.concat_ws("/", *(F.col(c).cast("string") for c in ("mol_id", "level", "cluster"))))
+    keyed = staged(keyed.select("group", "mol_id", "level", "frame", "k", "x", "y", "z"), "levels")
     found = None
-    for i in range(1, k + 1):
+    for i in sorted(x["k"] for x in keyed.select("k").distinct().collect()) or [k]:  # k numbers at most
         one = knn_entropy(keyed.where(F.col("k") == i), i, key="group").select("group", "entropy")
         found = one if found is None else found.unionByName(one)
     named = keyed.select("group", "mol_id", "level").distinct()
