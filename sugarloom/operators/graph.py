@@ -20,6 +20,8 @@ from sugarloom.operators.neighbours import finite, nearest_across
 from sugarloom.operators.staging import drop_stage, staged
 
 KEYS = ["mol_id"]
+#: Bonds a task that are made to differ.
+BOND_ROWS = 250_000
 
 
 def normal_bonds(bonds: DataFrame, atoms: DataFrame) -> DataFrame:
@@ -29,6 +31,17 @@ def normal_bonds(bonds: DataFrame, atoms: DataFrame) -> DataFrame:
     return both.select("mol_id", F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
 
 
+def dealt_once(bonds: DataFrame) -> DataFrame:
+    """bonds(mol_id, a, b, ...) of a molecule, each once. Those of molecules of few rows are dealt to tasks by molecule first, so that repeats
+    fall out where later steps by molecule find them, without another shuffle, and no task that reads a file holds its
+    bonds in a table by hash; a larger molecule is dealt by all columns."""
+    small, large, tasks = molecules.parted(bonds, KEYS, [], per_task=BOND_ROWS)
+    out = [] if small is None else [small.repartition(tasks, *KEYS).distinct()]
+    if large is not None:
+        out.append(large.distinct())
+    return reduce(DataFrame.union, out)
+
+
 def both_ways(bonds: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Every bond from either end; bonds are read once."""
     ends = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))

@@ -21,7 +21,7 @@ TASK_ROWS, CHUNK_ROWS = 1_000_000, 100_000
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def parted(rows: DataFrame, keys: Sequence[str], numbers: Sequence[str], few: int | None = None) -> tuple[DataFrame | None, DataFrame | None, int]:
+def parted(rows: DataFrame, keys: Sequence[str], numbers: Sequence[str], few: int | None = None, per_task: int = TASK_ROWS) -> tuple[DataFrame | None, DataFrame | None, int]:
     """rows of keys with at most `few` (else FEW) rows, the others (None: there are none), and the number of tasks the first want.
     One aggregation by key tells, of which the driver sees two numbers. Where keys are neither numbers nor text, or numbers are none, all are
     others."""
@@ -30,7 +30,7 @@ def parted(rows: DataFrame, keys: Sequence[str], numbers: Sequence[str], few: in
         return None, rows, 0
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     most, every = sizes.agg(F.max("n"), F.sum("n")).first()
-    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), (every or 0) // TASK_ROWS)
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), (every or 0) // per_task)
     if (most or 0) <= few:
         return rows, None, tasks
     large = staged(sizes.where(F.col("n") > few).select(*keys), "large")

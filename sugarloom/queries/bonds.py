@@ -32,7 +32,7 @@ def read_bonds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bonds(spark: SparkSession, d: str) -> DataFrame:
-    return read_bonds(spark, d).distinct()
+    return graph.dealt_once(read_bonds(spark, d))
 
 
 def nodes(b: DataFrame) -> DataFrame:

@@ -669,3 +669,13 @@ def test_kth_distances_by_blocks_are_those_of_all_pairs(spark, monkeypatch):
     positions = df.where("mol_id = 'b'").groupBy("mol_id", *"xyz").agg(F.count("*").alias("_copies"))
     dealt, tree = neighbours._blocks(positions, list("xyz"), "mol_id", 24)
     assert max(x["count"] for x in dealt.groupBy("_node").count().collect()) <= 24 and len(tree) > 2
+
+
+def test_bonds_are_dealt_once_by_molecule(spark, monkeypatch):
+    monkeypatch.setattr(molecules, "FEW", 50)
+    rows = [(m, i % 7, 10 + i % 5) for m in (1, 2, None) for i in range(40)] + [(3, i % 30, 50 + i % 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "mol_id long, a long, b long")
+    assert sorted(map(tuple, graph.dealt_once(df).collect()), key=str) == sorted(set(rows), key=str)
+    few = graph.dealt_once(df.where("mol_id < 3"))
+    # repeats fall out, and degrees are counted, where the rows have been dealt to by molecule
+    assert graph.degrees(few)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
