@@ -27,7 +27,8 @@ BOND_ROWS = 250_000
 def normal_bonds(bonds: DataFrame, atoms: DataFrame) -> DataFrame:
     """bonds(mol_id, serial1, serial2) to distinct (mol_id, a, b): serials as atom indices, smaller first, no loops."""
     at = lambda n: atoms.select("mol_id", F.col("serial").alias(f"serial{n}"), F.col("atom_index").alias(f"i{n}"))
-    both = bonds.join(at(1), ["mol_id", "serial1"]).join(at(2), ["mol_id", "serial2"]).where("i1 <> i2")
+    once = bonds.select("mol_id", "serial1", "serial2").distinct()  # so repeats are not joined
+    both = once.join(at(1), ["mol_id", "serial1"]).join(at(2), ["mol_id", "serial2"]).where("i1 <> i2")
     return both.select("mol_id", F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
 
 
