@@ -43,19 +43,19 @@ def _when(there: Column, rows: list[Column]) -> list[Column]:
 
 
 def metadata_triples(documents: DataFrame) -> DataFrame:
-    """Common names, description and keywords of each entry."""
+    """Common names, description and keywords of each entry; a concept's triples come with each entry that has it."""
     me = F.concat(F.lit("entry:"), F.col("entry").cast("string"))
     told = documents.select(me.alias("me"), "search_meta.*")
     word = F.col("word")
-    names = t.emit(told.select("me", F.explode("common_names").alias("word")), _labels(F.col("me"), word, "skos:altLabel", "onto:commonName"))
-    about = t.emit(told, _labels(F.col("me"), F.col("description"), "dcterms:description", "rdfs:comment"))
+    names = t.emit(told.select("me", F.explode("common_names").alias("word")), _labels(F.col("me"), word, "skos:altLabel", "onto:commonName"), repeats=True)
+    about = t.emit(told, _labels(F.col("me"), F.col("description"), "dcterms:description", "rdfs:comment"), repeats=True)
     node = F.concat(F.lit("keyword/"), F.regexp_replace(F.lower(word), "[ -]", "_"))
-    keywords = t.emit(told.select("me", F.explode("keywords").alias("word")).where("word <> ''"), [t.uri(F.col("me"), "dcterms:subject", node), *_concept(node, word)])
+    keywords = t.emit(told.select("me", F.explode("keywords").alias("word")).where("word <> ''"), [t.uri(F.col("me"), "dcterms:subject", node), *_concept(node, word)], repeats=True)
     return names.unionByName(about).unionByName(keywords)
 
 
 def form_triples(documents: DataFrame, form: str) -> DataFrame:
-    """What one form of each entry says of itself."""
+    """What one form of each entry says of itself; what it says of other things may be there many times."""
     have = {f.name for f in documents.schema[form].dataType.fields}
     rows = documents.where(F.col(form).isNotNull()).select(F.concat(F.lit("entry:"), F.col("entry").cast("string"), F.lit(f"/{form}")).alias("me"), f"{form}.*")
     me, get = F.col("me"), lambda x: F.col(x) if x in have else F.lit(None).cast("string")
@@ -80,7 +80,7 @@ def form_triples(documents: DataFrame, form: str) -> DataFrame:
     # a salt that is no number stays a plain text
     salt = F.trim(get("salt").cast("string")).try_cast("double")
     out += [*t.quantity(me, "onto:simulationSaltConcentration", salt, "unit:MilliM", "onto:Concentration"), F.when(salt.isNull(), t.literal(me, "onto:simulationSaltConcentration", _some(get("salt")), "string"))]
-    found = t.emit(rows, out)
+    found = t.emit(rows, out, repeats=True)
     for field, make in PARTS.items():
         if field in have:
             found = found.unionByName(make(rows, field))
@@ -90,20 +90,20 @@ def form_triples(documents: DataFrame, form: str) -> DataFrame:
 def _motifs(rows: DataFrame, field: str) -> DataFrame:
     each = rows.select("me", F.explode(field).alias("m")).select("me", F.col("m.motif").cast("string").alias("id"), F.col("m.motif_label").alias("label")).where("id <> ''")
     node = F.concat(F.lit("motif/"), F.col("id"))
-    return t.emit(each, [t.uri(F.col("me"), "rdfg:has_motif", node), *_concept(node, F.col("label"), "rdfg:Motif"), t.literal(node, "dcterms:identifier", F.col("id"), "string")])
+    return t.emit(each, [t.uri(F.col("me"), "rdfg:has_motif", node), *_concept(node, F.col("label"), "rdfg:Motif"), t.literal(node, "dcterms:identifier", F.col("id"), "string")], repeats=True)
 
 
 def _termini(rows: DataFrame, field: str) -> DataFrame:
     each = rows.select("me", F.explode(field).alias("x")).where("x <> ''")
     node = F.concat(F.lit("terminus/"), F.regexp_replace("x", "[()-]", "_"))
-    return t.emit(each, [t.uri(F.col("me"), "rdfg:has_terminal_residue", node), *_concept(node, F.col("x"), "onto:TerminalResidue")])
+    return t.emit(each, [t.uri(F.col("me"), "rdfg:has_terminal_residue", node), *_concept(node, F.col("x"), "onto:TerminalResidue")], repeats=True)
 
 
 def _counts(p: str, kind: str, thing_p: str, thing: str, thing_kind: str, count_p: str):
     def make(rows: DataFrame, field: str) -> DataFrame:
         each = rows.select("me", F.explode(field).alias("name", "n"))
         node, what = t.blank(F.col("me"), F.lit(p), F.col("name")), F.concat(F.lit(thing + "/"), F.col("name"))
-        return t.emit(each, [t.linked(F.col("me"), p, node), t.uri(node, "rdf:type", kind), t.uri(node, thing_p, what), *_concept(what, F.col("name"), thing_kind), t.literal(node, count_p, F.col("n"), "integer")])
+        return t.emit(each, [t.linked(F.col("me"), p, node), t.uri(node, "rdf:type", kind), t.uri(node, thing_p, what), *_concept(what, F.col("name"), thing_kind), t.literal(node, count_p, F.col("n"), "integer")], repeats=True)
 
     return make
 
@@ -112,7 +112,7 @@ def _clusters(p: str, kind: str, share_p: str):
     def make(rows: DataFrame, field: str) -> DataFrame:
         each = rows.select("me", F.explode(field).alias("name", "share"))
         node = t.blank(F.col("me"), F.lit(p), F.col("name"))
-        return t.emit(each, [t.linked(F.col("me"), p, node), t.uri(node, "rdf:type", kind), *_labels(node, F.col("name"), "rdfs:label"), *_labels(node, F.replace("name", F.lit(" "), F.lit("_")), "onto:clusterLabel"), t.literal(node, "rdf:value", F.col("share"), "double"), t.literal(node, share_p, F.col("share"), "double")])
+        return t.emit(each, [t.linked(F.col("me"), p, node), t.uri(node, "rdf:type", kind), *_labels(node, F.col("name"), "rdfs:label"), *_labels(node, F.replace("name", F.lit(" "), F.lit("_")), "onto:clusterLabel"), t.literal(node, "rdf:value", F.col("share"), "double"), t.literal(node, share_p, F.col("share"), "double")], repeats=True)
 
     return make
 
@@ -128,7 +128,7 @@ PARTS = {
 
 
 def entry_triples(documents: DataFrame) -> DataFrame:
-    """All triples of all entries, each once."""
+    """All triples of all entries, each once: repeats fall out in one step, after all kinds are made."""
     me = F.concat(F.lit("entry:"), F.col("entry").cast("string"))
     ident, title = F.col("entry").cast("string"), F.concat(F.lit("Entry "), F.col("entry").cast("string"))
     links = [t.uri(me, "rdf:type", "onto:Entry"), t.uri(me, "rdf:type", "skos:Concept"), *_labels(me, title, "rdfs:label", "dcterms:title"), *_labels(me, ident, "dcterms:identifier", "onto:id")]
@@ -139,7 +139,7 @@ def entry_triples(documents: DataFrame) -> DataFrame:
         links += _when(there, [t.uri(me, "onto:hasVariant", own), t.uri(own, "rdf:type", kind), t.uri(me, p, own)])
         if form != "archetype":
             links.append(F.when(there & F.col("archetype").isNotNull(), t.uri(own, "onto:isAnomerOf", first)))
-    out = t.emit(documents, links).unionByName(metadata_triples(documents))
+    out = t.emit(documents, links, repeats=True).unionByName(metadata_triples(documents))
     for form in FORMS:
         out = out.unionByName(form_triples(documents, form))
     return out.distinct()
